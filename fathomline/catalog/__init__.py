@@ -6,7 +6,7 @@ from importlib import import_module
 
 from fathomline.catalog.registry import REGISTRY, Query, Tables
 
-MODULES = ("loads",)
+MODULES = ("loads", "rules", "joins", "aggs", "ordering", "scalars")
 
 
 def all_queries() -> dict[str, Query]:
