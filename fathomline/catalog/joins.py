@@ -395,6 +395,5 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     span, order, month = ["o_custkey"], ["o_orderdate", "o_orderkey"], F.trunc("o_orderdate", "month")
-    out = ordered.previous(o, span, order, month, {"prev_order": F.col("o_orderkey")})
-    out = ordered.following(out, span, order, month, {"next_price": F.col("o_totalprice")})
+    out = ordered.scan(o, span, order, month, before={"prev_order": F.col("o_orderkey")}, after={"next_price": F.col("o_totalprice")})
     return out.select("o_orderkey", "prev_order", "next_price")

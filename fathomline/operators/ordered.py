@@ -50,20 +50,47 @@ def _combine(kind: str, local: Column, carry: Column) -> Column:
     return F.greatest(local, carry) if kind == "max" else F.least(local, carry)
 
 
-def running_spans(
-    df: DataFrame, order: Sequence[Column | str], measures: dict[str, tuple[str, Column]], current: bool = True, descending: bool = False
+def scan_spans(
+    df: DataFrame,
+    order: Sequence[Column | str],
+    measures: dict[str, tuple[str, Column]] | None = None,
+    before: Exprs | None = None,
+    after: Exprs | None = None,
+    current: bool = True,
+    descending: bool = False,
 ) -> DataFrame:
-    """Running sum, max or min over the rows so far, for a df that already has its spans."""
-    frame = Window.partitionBy(SPAN).orderBy(*_sorted(order, descending)).rowsBetween(Window.unboundedPreceding, 0 if current else -1)
-    local = df.withColumns({f"_l_{out}": AGG[kind](e).over(frame) for out, (kind, e) in measures.items()})
-    summary = df.groupBy(SPAN).agg(*[AGG[kind](e).alias(out) for out, (kind, e) in measures.items()])
-    before = _across(descending).rowsBetween(*BEFORE)
-    carried = summary.select(SPAN, *[AGG[kind](out).over(before).alias(f"_c_{out}") for out, (kind, _) in measures.items()])
-    joined = local.join(carried, SPAN)
-    kept = [c for c in df.columns if c not in measures]
-    return joined.select(
-        *kept, *[_combine(kind, F.col(f"_l_{out}"), F.col(f"_c_{out}")).alias(out) for out, (kind, _) in measures.items()]
-    )
+    """One ordered pass over a df that already has its spans.
+
+    measures: running sum, max or min over the rows so far (`current` includes the row itself).
+    before, after: values of the previous and of the next row of the key. Everything shares one window
+    sort and one summary, so the input is computed twice however much is asked for.
+    """
+    measures, before, after = measures or {}, before or {}, after or {}
+    line = Window.partitionBy(SPAN).orderBy(*_sorted(order, descending))
+    frame = line.rowsBetween(Window.unboundedPreceding, 0 if current else -1)
+    across = _across(descending)
+    local = {f"_l_{out}": AGG[kind](e).over(frame) for out, (kind, e) in measures.items()}
+    totals = [AGG[kind](e).alias(out) for out, (kind, e) in measures.items()]
+    carried = [AGG[kind](out).over(across.rowsBetween(*BEFORE)).alias(f"_c_{out}") for out, (kind, _) in measures.items()]
+    results = [_combine(kind, F.col(f"_l_{out}"), F.col(f"_c_{out}")).alias(out) for out, (kind, _) in measures.items()]
+    place = F.struct(*order)
+    last_in_chunk, first_in_chunk = (F.min_by, F.max_by) if descending else (F.max_by, F.min_by)
+    for values, name, step, edge in ((before, "_before", F.lag, last_in_chunk), (after, "_after", F.lead, first_in_chunk)):
+        if values:
+            row = F.struct(*[e.alias(v) for v, e in values.items()])
+            local[f"_l{name}"] = step(row).over(line)
+            totals.append(edge(row, place).alias(name))
+            carried.append(step(name).over(across).alias(f"_c{name}"))
+            near = F.coalesce(f"_l{name}", f"_c{name}")
+            results += [near[v].alias(v) for v in values]
+    summary = df.groupBy(SPAN).agg(*totals).select(SPAN, *carried)
+    made = {*measures, *before, *after}
+    return df.withColumns(local).join(summary, SPAN).select(*[c for c in df.columns if c not in made], *results)
+
+
+def scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], chunk: Column, **asked) -> DataFrame:
+    """One ordered pass per key; see scan_spans for what can be asked for."""
+    return scan_spans(spans(df, keys, chunk), order, **asked).drop(SPAN)
 
 
 def running(
@@ -76,7 +103,7 @@ def running(
     descending: bool = False,
 ) -> DataFrame:
     """Running sum, max or min per key, with or without the current row."""
-    return running_spans(spans(df, keys, chunk), order, measures, current, descending).drop(SPAN)
+    return scan(df, keys, order, chunk, measures=measures, current=current, descending=descending)
 
 
 def sequence(
@@ -94,29 +121,14 @@ def global_sequence(df: DataFrame, order: Sequence[Column | str], chunk: Column,
     return sequence(df, [], order, chunk, out)
 
 
-def neighbour_spans(df: DataFrame, order: Sequence[str], values: Exprs, ahead: bool = False) -> DataFrame:
-    """Values of the previous (or next) row of the key, for a df that already has its spans."""
-    row = F.struct(*[e.alias(name) for name, e in values.items()])
-    place = F.struct(*order)
-    frame = Window.partitionBy(SPAN).orderBy(*order)
-    local = df.withColumn("_near", F.lead(row).over(frame) if ahead else F.lag(row).over(frame))
-    edge = F.min_by(row, place) if ahead else F.max_by(row, place)
-    summary = df.groupBy(SPAN).agg(edge.alias("_edge"))
-    across = _across()
-    carried = summary.select(SPAN, (F.lead("_edge") if ahead else F.lag("_edge")).over(across).alias("_far"))
-    near = F.coalesce("_near", "_far")
-    kept = [c for c in df.columns if c not in values]
-    return local.join(carried, SPAN).select(*kept, *[near[name].alias(name) for name in values])
-
-
 def previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, values: Exprs) -> DataFrame:
     """Values of the previous row of the key."""
-    return neighbour_spans(spans(df, keys, chunk), order, values).drop(SPAN)
+    return scan(df, keys, order, chunk, before=values)
 
 
 def following(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, values: Exprs) -> DataFrame:
     """Values of the next row of the key."""
-    return neighbour_spans(spans(df, keys, chunk), order, values, ahead=True).drop(SPAN)
+    return scan(df, keys, order, chunk, after=values)
 
 
 def gap_since_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, t: str, out: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fathomline.functions.dates import diff_boundary, whole_minutes
-from fathomline.operators.ordered import BEFORE, SPAN, _across, neighbour_spans, running_spans, spans
+from fathomline.operators.ordered import BEFORE, SPAN, _across, scan, scan_spans, spans
 
 
 def merge_sessions_full(df: DataFrame, keys: Sequence[str], start: str, end: str, order: Sequence[str], chunk: Column) -> DataFrame:
@@ -19,7 +19,7 @@ def merge_sessions_full(df: DataFrame, keys: Sequence[str], start: str, end: str
     """
     until = F.coalesce(F.col(end), F.col(start))
     g = spans(df.select(*dict.fromkeys([*keys, *order, start, end])), keys, chunk).withColumn("_until", until)
-    seen = running_spans(g, order, {"_reach": ("max", F.col("_until"))}, current=False)
+    seen = scan_spans(g, order, measures={"_reach": ("max", F.col("_until"))}, current=False)
     fresh = F.when(F.col("_reach").isNull() | (F.col(start) > F.col("_reach")), 1).otherwise(0)
     inside = Window.partitionBy(SPAN).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     numbered = seen.withColumn("_no", F.sum(fresh).over(inside))
@@ -41,15 +41,14 @@ def merge_sessions_pairwise(df: DataFrame, keys: Sequence[str], start: str, end:
     absorbed: 1 where the previous row's end reaches this start. final_end: the later end of the row and
     of the one it absorbs; an open row takes the next start. seconds is NULL for a row that was open.
     """
-    g = spans(df, keys, chunk)
-    g = neighbour_spans(g, order, {"_prev_end": F.col(end)})
-    g = neighbour_spans(g, order, {"_next_start": F.col(start), "_next_end": F.col(end)}, ahead=True)
+    ahead = {"_next_start": F.col(start), "_next_end": F.col(end)}
+    g = scan(df, keys, order, chunk, before={"_prev_end": F.col(end)}, after=ahead)
     reaches = F.col("_next_start") <= F.col(end)
     final_end = F.when(reaches, F.greatest(end, "_next_end")).otherwise(F.coalesce(F.col(end), F.col("_next_start")))
     out = g.withColumn("absorbed", F.when(F.col("_prev_end") >= F.col(start), 1).otherwise(0)).withColumn("final_end", final_end)
     seconds = F.when(F.col(end).isNotNull(), diff_boundary("second", F.col(start), F.col("final_end")))
     out = out.withColumn("seconds", seconds).withColumn("minutes", whole_minutes("seconds"))
-    return out.drop(SPAN, "_prev_end", "_next_start", "_next_end")
+    return out.drop("_prev_end", "_next_start", "_next_end")
 
 
 def merge_sessions(df: DataFrame, keys: Sequence[str], start: str, end: str, order: Sequence[str], chunk: Column, mode: str = "full") -> DataFrame:
