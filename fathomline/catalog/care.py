@@ -114,7 +114,8 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     stored = t.orders.select(F.col("o_orderkey").alias("referral_id"), F.lit(0).cast("long").alias("contact_order"))
-    return replace_by_key(stored, linked(t).select("referral_id", "contact_order"), ["referral_id"])
+    batch = materialise(linked(t).select("referral_id", "contact_order"), "batch")
+    return replace_by_key(stored, batch, ["referral_id"])
 
 
 def feed(t: Tables, flag: str) -> DataFrame:

@@ -179,22 +179,15 @@ def episodes(t: Tables) -> DataFrame:
     SELECT ep, f.o_orderkey, f.pass_no::INT AS pass_no FROM ep LEFT JOIN (SELECT *, 1 AS pass_no FROM p1 UNION ALL SELECT *, 2 FROM p2 UNION ALL SELECT *, 3 FROM p3) f USING (ep)""",
 )
 def _(t: Tables) -> DataFrame:
-    sp = spells(t).withColumns({"grp": F.col("o_custkey") % 20, "_from": F.date_sub("start", 1)})
+    ep, sp = episodes(t), spells(t).withColumn("grp", F.col("o_custkey") % 20)
 
-    def timed(on: list[str]):
-        def link(open_rows: DataFrame) -> DataFrame:
-            side = sp.select(*on, "o_orderkey", "start", "stop", "_from")
-            rows = joins.join_interval(open_rows.select("ep", "day", *on), side, on, "day", "_from", "stop", width_days=8)
-            return rows.select("ep", "o_orderkey", F.abs(F.datediff("day", "start")).alias("_off"), F.datediff("stop", "start").alias("_stay"))
-
-        return link
-
-    def direct(open_rows: DataFrame) -> DataFrame:
-        hit = open_rows.join(sp.select("o_orderkey", "start", "stop"), F.col("l_orderkey") == F.col("o_orderkey"))
-        return hit.select("ep", "o_orderkey", F.abs(F.datediff("day", "start")).alias("_off"), F.datediff("stop", "start").alias("_stay"))
+    def timed(on: list[str]) -> DataFrame:
+        return joins.nearest_containing(ep, "ep", sp, on, "day", "start", "stop", "o_orderkey", lead_days=1)
 
+    hit = ep.join(sp.select("o_orderkey", "start", "stop"), F.col("l_orderkey") == F.col("o_orderkey"))
+    direct = hit.select("ep", "o_orderkey", F.abs(F.datediff("day", "start")).alias("_off"), F.datediff("stop", "start").alias("_stay"))
     order = [F.col("_off").asc(), F.col("_stay").desc(), F.col("o_orderkey").asc()]
-    out = joins.waterfall_link(episodes(t), "ep", [timed(["o_custkey", "grp"]), timed(["o_custkey"]), direct], order)
+    out = joins.waterfall_link(ep, "ep", [timed(["o_custkey", "grp"]), timed(["o_custkey"]), direct], order)
     return out.select("ep", "o_orderkey", "pass_no")
 
 

@@ -129,17 +129,40 @@ def nearest_before(left: DataFrame, right: DataFrame, keys: Sequence[str], left_
     return asof_last(left, right, keys, left_t, right_t, right_id, cols, strict=False)
 
 
-def waterfall_link(
-    left: DataFrame, left_id: str, passes: Sequence[Callable[[DataFrame], DataFrame]], order: Sequence[Column | str]
+def nearest_containing(
+    left: DataFrame, left_id: str, intervals: DataFrame, keys: Sequence[str], day: str, start: str, stop: str, interval_id: str, lead_days: int = 0, width_days: int = 32
 ) -> DataFrame:
-    """Link in passes. Each pass maps the still unmatched left rows to candidate rows (left_id plus
-    candidate columns); the best candidate by `order` is kept per left row. Column `pass_no` tells which
-    pass linked a row; rows that no pass linked stay, with NULLs."""
-    found: DataFrame | None = None
-    for number, link in enumerate(passes, 1):
-        open_rows = left if found is None else left.join(found.select(left_id), left_id, "left_anti")
-        best = latest_per_key(link(open_rows), [left_id], order).withColumn("pass_no", F.lit(number))
-        found = best if found is None else found.unionByName(best)
+    """For each left row the interval of its keys that holds its day and starts nearest; then the longest, then
+    the smallest id. Gives left_id, interval_id, _off, _stay for the rows that have one.
+
+    An interval holds the days from `lead_days` before its start to its stop. Of the intervals of a key with the same
+    start only the longest can win, and all left rows of a key and day have the same answer: so both sides are first
+    cut to one row per key and day. What is compared is bounded by the calendar, however many rows a key has.
+    """
+    best = latest_per_key(
+        intervals.select(*keys, F.col(start).alias("_start"), F.col(stop).alias("_stop"), F.col(interval_id)),
+        [*keys, "_start"],
+        [F.col("_stop").desc(), F.col(interval_id).asc()],
+    ).withColumn("_from", F.date_sub("_start", lead_days))
+    days = left.select(*keys, F.col(day).alias("_day")).distinct()
+    pairs = join_interval(days, best, keys, "_day", "_from", "_stop", width_days)
+    scored = pairs.select(
+        *keys, "_day", interval_id, F.abs(F.datediff("_day", "_start")).alias("_off"), F.datediff("_stop", "_start").alias("_stay")
+    )
+    answer = latest_per_key(scored, [*keys, "_day"], [F.col("_off").asc(), F.col("_stay").desc(), F.col(interval_id).asc()])
+    rows = left.select(left_id, *keys, F.col(day).alias("_day"))
+    return rows.join(answer, [*keys, "_day"]).select(left_id, interval_id, "_off", "_stay")
+
+
+def waterfall_link(left: DataFrame, left_id: str, passes: Sequence[DataFrame], order: Sequence[Column | str]) -> DataFrame:
+    """Link in passes: the first pass with a candidate decides, and there the best one by `order`.
+
+    Each pass gives candidate rows (left_id plus candidate columns). All passes go into one union and one choice per
+    row, limited before the shuffle, so no pass is computed twice. Column `pass_no` tells which pass linked a row;
+    rows that no pass linked stay, with NULLs.
+    """
+    tagged = [rows.withColumn("pass_no", F.lit(number)) for number, rows in enumerate(passes, 1)]
+    found = latest_per_key(reduce(lambda a, b: a.unionByName(b), tagged), [left_id], [F.col("pass_no").asc(), *order])
     return left.join(found, left_id, "left")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fathomline.functions.dates import diff_boundary
 from fathomline.functions.rules import band, flag, flag_any, length_of_stay, record_status
 from fathomline.functions.text import map_codes
-from fathomline.operators.joins import asof_max, join_interval, waterfall_link
+from fathomline.operators.joins import asof_max, nearest_containing, waterfall_link
 from fathomline.operators.keys import latest_per_key
 from fathomline.operators.ordered import global_sequence, scan
 from fathomline.sources.loads import insert_new, upsert_newer
@@ -220,31 +220,19 @@ def legal_episodes(periods: DataFrame, other_feeds: Sequence[DataFrame], spells:
         "provider",
         F.col("referral_id").alias("spell_referral"),
         F.col("start").alias("spell_start"),
-        F.date_sub("start", 1).alias("_from"),
         F.coalesce("discharge", run_end).alias("spell_end"),
     )
 
-    def scored(rows: DataFrame) -> DataFrame:
-        return rows.select(
-            "episode_id",
-            "spell_id",
-            "spell_referral",
-            F.abs(F.datediff("start", "spell_start")).alias("_off"),
-            F.datediff("spell_end", "spell_start").alias("_stay"),
-        )
-
-    def timed(keys: list[str]):
-        def link(open_rows: DataFrame) -> DataFrame:
-            wanted = side.select("spell_id", *keys, "spell_referral", "spell_start", "_from", "spell_end")
-            return scored(join_interval(open_rows.select("episode_id", *keys, "start"), wanted, keys, "start", "_from", "spell_end", width_days=32))
-
-        return link
-
-    def by_referral(open_rows: DataFrame) -> DataFrame:
-        return scored(open_rows.join(side.drop("person_key", "record_no", "provider"), F.col("referral_id") == F.col("spell_referral")))
+    def timed(keys: list[str]) -> DataFrame:
+        return nearest_containing(latest, "episode_id", side, keys, "start", "spell_start", "spell_end", "spell_id", lead_days=1)
 
+    by_referral = latest.select("episode_id", "referral_id", "start").join(side, F.col("referral_id") == F.col("spell_referral"))
+    direct = by_referral.select(
+        "episode_id", "spell_id", F.abs(F.datediff("start", "spell_start")).alias("_off"), F.datediff("spell_end", "spell_start").alias("_stay")
+    )
     order = [F.col("_off").asc(), F.col("_stay").desc(), F.col("spell_id").asc()]
-    linked = waterfall_link(latest, "episode_id", [timed(["person_key", "record_no"]), timed(["person_key", "provider"]), by_referral], order)
+    linked = waterfall_link(latest, "episode_id", [timed(["person_key", "record_no"]), timed(["person_key", "provider"]), direct], order)
+    linked = linked.join(side.select("spell_id", "spell_referral"), "spell_id", "left")
     own = F.when(F.col("pass_no") <= 2, F.col("spell_referral")).otherwise(F.col("referral_id"))
     return linked.withColumn("referral_id", F.coalesce(own, F.col("referral_id"))).drop("_off", "_stay", "spell_referral", "person_key")
 

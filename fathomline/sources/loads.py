@@ -1,5 +1,8 @@
 """Load patterns. Each takes the stored rows and a batch and gives the new stored rows, lazily.
 
+The batch is used twice by most of them (its keys, then its rows): pass one that is already written
+(`session.materialise`) where it is expensive to compute.
+
 Writers never change a path in place while it is read: callers write the result to a new path, or
 use date partitions with `write_window`, which touches the partitions of the window only.
 """
