@@ -6,7 +6,7 @@ from importlib import import_module
 
 from fathomline.catalog.registry import REGISTRY, Query, Tables
 
-MODULES = ("loads", "rules", "joins", "aggs", "ordering", "scalars", "care", "attendance", "audit")
+MODULES = ("loads", "rules", "joins", "aggs", "ordering", "scalars", "care", "attendance", "organisation", "audit", "records", "claims")
 
 
 def all_queries() -> dict[str, Query]:

@@ -312,15 +312,14 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "k53_approvals",
-    """WITH p AS (SELECT o_orderkey % 3000 AS v, * FROM events JOIN orders ON o_orderkey = event_id WHERE event_type = 'purchase' QUALIFY row_number() OVER (PARTITION BY o_orderkey % 3000 ORDER BY ts DESC, event_id DESC) = 1)
-    SELECT o.o_orderkey AS version_id, p.ts AS published, c_name AS staff_name, n_name AS team_name FROM (SELECT o_orderkey FROM orders WHERE o_orderkey < 3000) o LEFT JOIN p ON p.v = o.o_orderkey
+    """WITH p AS (SELECT event_id // 2 AS v, * FROM events WHERE event_type = 'purchase' QUALIFY row_number() OVER (PARTITION BY event_id // 2 ORDER BY ts DESC, event_id DESC) = 1)
+    SELECT o_orderkey AS version_id, p.ts AS published, c_name AS staff_name, n_name AS team_name FROM orders LEFT JOIN p ON p.v = o_orderkey
     LEFT JOIN customer ON c_custkey = p.user_id LEFT JOIN nation ON n_nationkey = p.user_id % 25""",
 )
 def _(t: Tables) -> DataFrame:
-    versions = t.orders.filter("o_orderkey < 3000").select(F.col("o_orderkey").alias("version_id"), F.col("o_custkey").alias("record_id"))
-    known = t.events.join(t.orders.select(F.col("o_orderkey").alias("event_id")), "event_id", "left_semi")
-    events = known.select(
-        (F.col("event_id") % 3000).alias("version_id"),
+    versions = t.orders.select(F.col("o_orderkey").alias("version_id"), F.col("o_custkey").alias("record_id"))
+    events = t.events.select(
+        F.expr("event_id div 2").alias("version_id"),
         audit.map_codes("event_type", ACTIONS).alias("action"),
         "ts",
         F.col("event_id").alias("item_id"),
@@ -332,14 +331,13 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "k54_access_log",
-    """WITH s AS (SELECT event_id AS access_id, 'stored' AS action FROM events WHERE ts < TIMESTAMP '2024-01-20' AND event_id % 10 <> 3),
+    """WITH s AS (SELECT event_id AS access_id, 'stored' AS action FROM events WHERE ts < TIMESTAMP '2024-01-20' AND event_type <> 'error'),
     f AS (SELECT event_id AS access_id, CASE event_type WHEN 'view' THEN 'read' WHEN 'signup' THEN 'open' WHEN 'click' THEN 'read' WHEN 'purchase' THEN 'change' END AS action FROM events WHERE ts >= TIMESTAMP '2024-01-18')
     SELECT * FROM s UNION ALL SELECT * FROM f WHERE action IS NOT NULL AND access_id NOT IN (SELECT access_id FROM s)""",
 )
 def _(t: Tables) -> DataFrame:
     rows = t.events.select(F.col("event_id").alias("access_id"), (F.col("event_id") % 900).alias("record_id"), "user_id", F.col("event_type").alias("action"), "ts")
-    late = F.col("access_id") % 10 != 3
-    stored = rows.filter((F.col("ts") < at(2024, 1, 20)) & late).withColumn("action", F.lit("stored"))
+    stored = rows.filter((F.col("ts") < at(2024, 1, 20)) & (F.col("action") != "error")).withColumn("action", F.lit("stored"))
     portal, desktop = rows.filter("action IN ('view', 'signup')"), rows.filter("action NOT IN ('view', 'signup')")
     out = audit.access_log(stored, [(portal, {"view": "read", "signup": "open"}), (desktop, {"click": "read", "purchase": "change"})])
     return out.select("access_id", "action")

@@ -129,7 +129,7 @@ def feed(t: Tables, flag: str) -> DataFrame:
 
 
 def stored_diagnoses(t: Tables) -> DataFrame:
-    return t.orders.filter("o_orderkey % 2 = 0").select(
+    return t.orders.filter("o_orderstatus = 'F'").select(
         F.col("o_orderkey").alias("referral_id"), F.lit("Primary").alias("level"), F.lit("D0").alias("code"), F.lit(1412).cast("long").alias("month_id")
     )
 
@@ -140,7 +140,7 @@ def loaded_diagnoses(t: Tables) -> DataFrame:
 
 DIAGNOSES = """SELECT coalesce(s.referral_id, b.referral_id) AS referral_id, coalesce(s.level, b.level) AS level, CASE WHEN s.code IS NULL OR b.month_id > s.month_id THEN b.code ELSE s.code END AS code,
     CASE WHEN s.code IS NULL OR b.month_id > s.month_id THEN b.month_id ELSE s.month_id END AS month_id
-    FROM (SELECT o_orderkey AS referral_id, 'Primary' AS level, 'D0' AS code, 1412 AS month_id FROM orders WHERE o_orderkey % 2 = 0) s FULL JOIN (
+    FROM (SELECT o_orderkey AS referral_id, 'Primary' AS level, 'D0' AS code, 1412 AS month_id FROM orders WHERE o_orderstatus = 'F') s FULL JOIN (
     SELECT l_orderkey AS referral_id, CASE l_returnflag WHEN 'A' THEN 'Provisional' WHEN 'N' THEN 'Primary' ELSE 'Secondary' END AS level, 'D' || (l_partkey % 50) AS code,
     1400 + l_suppkey % 24 AS month_id FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY 1400 + l_suppkey % 24 DESC, l_suppkey DESC, 'D' || (l_partkey % 50)) = 1) b
     ON b.referral_id = s.referral_id AND b.level = s.level"""

@@ -192,7 +192,7 @@ def _(t: Tables) -> DataFrame:
 
 
 PREFIX = """WITH ref AS (SELECT code, min(area) AS area FROM (SELECT replace(p_name, ' ', '') || ' ' || right('000' || (p_partkey % 40), 3) AS code, p_brand AS area
-    FROM part WHERE p_partkey % 9 = 0) GROUP BY ALL), bare AS (SELECT trim(code) AS full_key, replace(trim(code), ' ', '') AS b, area FROM ref),
+    FROM part WHERE p_size < 6) GROUP BY ALL), bare AS (SELECT trim(code) AS full_key, replace(trim(code), ' ', '') AS b, area FROM ref),
     q AS (SELECT p_partkey, replace(p_name, ' ', '') || CASE WHEN p_partkey % 2 = 0 THEN ' ' ELSE '' END || right('000' || (p_partkey % 60), 3) AS k FROM part),
     f AS (SELECT full_key AS form, min(area) AS area FROM bare GROUP BY 1), b0 AS (SELECT b AS form, min(area) AS area FROM bare GROUP BY 1),
     b7 AS (SELECT left(b, 7) AS form, min(area) AS area FROM bare WHERE len(b) >= 7 GROUP BY 1), b6 AS (SELECT left(b, 6) AS form, min(area) AS area FROM bare WHERE len(b) >= 6 GROUP BY 1),
@@ -209,7 +209,7 @@ def _(t: Tables) -> DataFrame:
     def tail(n: int):
         return F.lpad((F.col("p_partkey") % n).cast("string"), 3, "0")
 
-    ref = t.part.filter("p_partkey % 9 = 0").select(F.concat(name, F.lit(" "), tail(40)).alias("code"), F.col("p_brand").alias("area"))
+    ref = t.part.filter("p_size < 6").select(F.concat(name, F.lit(" "), tail(40)).alias("code"), F.col("p_brand").alias("area"))
     gap = F.when(F.col("p_partkey") % 2 == 0, " ").otherwise("")
     asked = t.part.select("p_partkey", F.concat(name, gap, tail(60)).alias("k"))
     return joins.prefix_lookup(asked, ref, "k", "code", "area").select("p_partkey", "area")

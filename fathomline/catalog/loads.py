@@ -163,8 +163,8 @@ def _(t: Tables) -> DataFrame:
     return loads.insert_new(stored_orders(t), order_batch(t), ["o_orderkey"])
 
 
-NEWER_T = "SELECT c_custkey, c_name AS name, (c_custkey % 3)::INT AS version FROM customer WHERE c_custkey % 5 <> 0"
-NEWER_B = "SELECT c_custkey, upper(c_name) AS name, (c_custkey % 4)::INT AS version FROM customer WHERE c_custkey % 7 <> 0"
+NEWER_T = "SELECT c_custkey, c_name AS name, (c_custkey % 3)::INT AS version FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'"
+NEWER_B = "SELECT c_custkey, upper(c_name) AS name, (c_custkey % 4)::INT AS version FROM customer WHERE c_acctbal > 500"
 
 
 @query(
@@ -176,8 +176,8 @@ NEWER_B = "SELECT c_custkey, upper(c_name) AS name, (c_custkey % 4)::INT AS vers
 )
 def _(t: Tables) -> DataFrame:
     key, name = F.col("c_custkey"), F.col("c_name")
-    target = t.customer.filter(key % 5 != 0).select(key, name.alias("name"), (key % 3).cast("int").alias("version"))
-    batch = t.customer.filter(key % 7 != 0).select(key, F.upper(name).alias("name"), (key % 4).cast("int").alias("version"))
+    target = t.customer.filter("c_mktsegment <> 'HOUSEHOLD'").select(key, name.alias("name"), (key % 3).cast("int").alias("version"))
+    batch = t.customer.filter("c_acctbal > 500").select(key, F.upper(name).alias("name"), (key % 4).cast("int").alias("version"))
     return loads.upsert_newer(target, batch, ["c_custkey"], "version")
 
 
@@ -257,13 +257,13 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "a18_lookback_increment",
-    """SELECT event_id, user_id, ts FROM events e WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-20' AND event_id % 10 <> 3) - INTERVAL 7 DAY
-    AND event_id NOT IN (SELECT event_id FROM events WHERE ts < TIMESTAMP '2024-01-20' AND event_id % 10 <> 3)""",
+    """SELECT event_id, user_id, ts FROM events e WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-20' AND event_type <> 'error') - INTERVAL 7 DAY
+    AND event_id NOT IN (SELECT event_id FROM events WHERE ts < TIMESTAMP '2024-01-20' AND event_type <> 'error')""",
 )
 def _(t: Tables) -> DataFrame:
     e = t.events.select("event_id", "user_id", "ts")
-    # one in ten stored rows arrived late and is not there yet
-    stored = e.filter((F.col("ts") < at(2024, 1, 20)) & (F.col("event_id") % 10 != 3))
+    # errors arrived late and are not stored yet
+    stored = t.events.select("event_id", "user_id", "ts", "event_type").filter((F.col("ts") < at(2024, 1, 20)) & (F.col("event_type") != "error")).drop("event_type")
     return loads.incremental_by_id(e, stored, "ts", lookback=dt.timedelta(days=7), keys=["event_id"])
 
 
@@ -300,10 +300,10 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "a22_stable_ids",
-    """SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'id-' || c_custkey ELSE 'new' END AS id FROM customer""",
+    """SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN 'id-' || c_custkey ELSE 'new' END AS id FROM customer""",
 )
 def _(t: Tables) -> DataFrame:
-    stored = t.customer.filter(F.col("c_custkey") % 2 == 0).select("c_custkey", F.concat(F.lit("id-"), F.col("c_custkey")).alias("id"))
+    stored = t.customer.filter("c_acctbal > 0").select("c_custkey", F.concat(F.lit("id-"), F.col("c_custkey")).alias("id"))
     ids = loads.assign_ids(stored, t.customer, ["c_custkey"], "id")
     return ids.withColumn("id", F.when(F.length("id") == 64, "new").otherwise(F.col("id")))
 

@@ -241,10 +241,10 @@ def _(t: Tables) -> DataFrame:
 @query(
     "g05_merge_layouts",
     """SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer UNION SELECT s_suppkey, s_name, s_nationkey, NULL FROM supplier
-    UNION SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer WHERE c_custkey < 100""",
+    UNION SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer WHERE c_acctbal < 0""",
 )
 def _(t: Tables) -> DataFrame:
     current = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
     same = {c: c for c in current.columns}
     renamed = {"c_custkey": F.col("s_suppkey").cast("string"), "c_name": "s_name", "c_nationkey": F.col("s_nationkey").cast("string")}
-    return merge_layouts(merge_layouts(current, t.supplier, renamed), current.filter("c_custkey < 100"), same)
+    return merge_layouts(merge_layouts(current, t.supplier, renamed), current.filter("c_acctbal < 0"), same)
