@@ -12,7 +12,8 @@ from fathomline.catalog.registry import Tables, query
 from fathomline.functions.dates import at
 from fathomline.operators.aggs import period_table
 from fathomline.plans import attendance
-from fathomline.sources.loads import plan_dates, replace_by_window
+from fathomline.session import materialise
+from fathomline.sources.loads import plan_dates, replace_by_key
 
 K = F.get_json_object("props", "$.k").cast("int")
 K_SQL = "json_extract(props, '$.k')::INT"
@@ -143,9 +144,7 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     """Stored counts (negative here, to tell them apart) are kept except for the planned days, which are rebuilt."""
-    from fathomline.sources.loads import replace_by_key
-
-    per = t.events.groupBy(F.col("ts").cast("date").alias("day"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    per = materialise(t.events.groupBy(F.col("ts").cast("date").alias("day"), "event_type").agg(F.count(F.lit(1)).alias("n")), "counts")
     stored = per.filter((F.dayofmonth("day") % 6 != 0) & (F.col("day") < F.lit(dt.date(2024, 1, 26)))).withColumn("n", -F.col("n"))
     plan = plan_dates(t.spark, stored, "day", dt.date(2024, 1, 1), dt.date(2024, 1, 30))
     return replace_by_key(stored, per.join(plan.select("day"), "day", "left_semi"), ["day"])

@@ -273,13 +273,10 @@ def act_spells(t: Tables) -> DataFrame:
     )
 
 
-def other_feeds(t: Tables) -> list[DataFrame]:
-    p = periods(t)
-    return [p.filter(F.col("uniq_id") % n == 0).select("episode_id", "month_id") for n in (7, 11, 13)]
-
-
 def linked_episodes(t: Tables) -> DataFrame:
-    return care.legal_episodes(periods(t), other_feeds(t), act_spells(t), F.lit(dt.date(2001, 12, 31)))
+    written = materialise(periods(t), "periods")
+    feeds = [written.filter(F.col("uniq_id") % n == 0).select("episode_id", "month_id") for n in (7, 11, 13)]
+    return care.legal_episodes(written, feeds, act_spells(t), F.lit(dt.date(2001, 12, 31)))
 
 
 BEST = "QUALIFY row_number() OVER (PARTITION BY episode_id ORDER BY abs(e.start - s.start), s.stop - s.start DESC, s.spell_id) = 1"
@@ -315,7 +312,7 @@ def _(t: Tables) -> DataFrame:
     FROM s LEFT JOIN best ON best.spell_id = s.spell_id LEFT JOIN hold ON hold.spell_id = s.spell_id""",
 )
 def _(t: Tables) -> DataFrame:
-    out = care.spell_legal_status(act_spells(t), linked_episodes(t), ["Section 2", "Section 3"], "Section 136")
+    out = care.spell_legal_status(act_spells(t), materialise(linked_episodes(t), "linked"), ["Section 2", "Section 3"], "Section 136")
     return out.select("spell_id", "episode_id", "section", "prior_hold", "admission_type")
 
 

@@ -10,6 +10,7 @@ from fathomline.functions import text
 from fathomline.functions.dates import at
 from fathomline.functions.rules import explode_list, unpivot_slots
 from fathomline.operators import joins, keys, ordered
+from fathomline.session import materialise
 
 
 def spells(t: Tables) -> DataFrame:
@@ -179,7 +180,7 @@ def episodes(t: Tables) -> DataFrame:
     SELECT ep, f.o_orderkey, f.pass_no::INT AS pass_no FROM ep LEFT JOIN (SELECT *, 1 AS pass_no FROM p1 UNION ALL SELECT *, 2 FROM p2 UNION ALL SELECT *, 3 FROM p3) f USING (ep)""",
 )
 def _(t: Tables) -> DataFrame:
-    ep, sp = episodes(t), spells(t).withColumn("grp", F.col("o_custkey") % 20)
+    ep, sp = materialise(episodes(t), "episodes"), spells(t).withColumn("grp", F.col("o_custkey") % 20)
 
     def timed(on: list[str]) -> DataFrame:
         return joins.nearest_containing(ep, "ep", sp, on, "day", "start", "stop", "o_orderkey", lead_days=1)

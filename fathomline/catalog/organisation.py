@@ -63,13 +63,15 @@ def _(t: Tables) -> DataFrame:
 @query(
     "k18_organisation_base",
     """WITH s AS (SELECT 'N' || c_nationkey AS code, c_name AS name, 'portal' AS source, c_mktsegment AS type FROM customer UNION ALL SELECT 'N' || s_nationkey, s_name, 'registry', 'SUPPLIER' FROM supplier),
-    m AS (SELECT CASE WHEN code = 'N3' THEN 'N4' ELSE code END AS cur, *, CASE source WHEN 'registry' THEN 1 ELSE 2 END AS rnk FROM s WHERE lower(name) NOT LIKE '%#00000000_')
+    m AS (SELECT CASE WHEN n_nationkey IS NOT NULL THEN 'N' || (n_nationkey + 1) ELSE code END AS cur, *, CASE source WHEN 'registry' THEN 1 ELSE 2 END AS rnk FROM s LEFT JOIN nation ON code = 'N' || n_nationkey AND n_regionkey = 2 WHERE lower(name) NOT LIKE '%#00000000_')
     SELECT cur AS current_code, min_by(name, (rnk, name)) AS name, min_by(source, (rnk, name)) AS source, min(type) AS type, count(*) AS source_rows FROM m GROUP BY 1""",
 )
 def _(t: Tables) -> DataFrame:
     c = t.customer.select(F.concat(F.lit("N"), "c_nationkey").alias("code"), F.col("c_name").alias("name"), F.lit("portal").alias("source"), F.col("c_mktsegment").alias("type"))
     s = t.supplier.select(F.concat(F.lit("N"), "s_nationkey").alias("code"), F.col("s_name").alias("name"), F.lit("registry").alias("source"), F.lit("SUPPLIER").alias("type"))
-    moves = t.nation.filter("n_nationkey = 3").select(F.lit("N3").alias("old_code"), F.lit("N4").alias("new_code"))
+    moves = t.nation.filter("n_regionkey = 2").select(
+        F.concat(F.lit("N"), "n_nationkey").alias("old_code"), F.concat(F.lit("N"), F.col("n_nationkey") + 1).alias("new_code")
+    )
     return organisation.organisation_base(c.unionByName(s), ["registry", "portal"], moves, ["%#00000000_"])
 
 

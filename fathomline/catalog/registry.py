@@ -17,6 +17,8 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        # split a skewed join side even where that costs one more shuffle after the join
+        spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
 
     def path(self, name: str) -> str:
         return os.path.join(self.folder, f"{name}.parquet")

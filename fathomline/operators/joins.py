@@ -158,7 +158,8 @@ def waterfall_link(left: DataFrame, left_id: str, passes: Sequence[DataFrame], o
     """Link in passes: the first pass with a candidate decides, and there the best one by `order`.
 
     Each pass gives candidate rows (left_id plus candidate columns). All passes go into one union and one choice per
-    row, limited before the shuffle, so no pass is computed twice. Column `pass_no` tells which pass linked a row;
+    row, limited before the shuffle, so no pass is computed twice. The passes start from `left`: write it first
+    (session.materialise) where it is expensive. Column `pass_no` tells which pass linked a row;
     rows that no pass linked stay, with NULLs.
     """
     tagged = [rows.withColumn("pass_no", F.lit(number)) for number, rows in enumerate(passes, 1)]

@@ -14,7 +14,8 @@ from fathomline.functions.text import map_codes
 from fathomline.operators.joins import asof_max, nearest_containing, waterfall_link
 from fathomline.operators.keys import latest_per_key
 from fathomline.operators.ordered import global_sequence, scan
-from fathomline.sources.loads import insert_new, upsert_newer
+from fathomline.session import materialise
+from fathomline.sources.loads import upsert_newer
 
 # Code groups, version switch and age bands of the published data set
 ATTENDED = ["5", "6"]
@@ -54,7 +55,8 @@ def referral_contacts(referrals: DataFrame, contacts: DataFrame, low: Column, hi
     once = latest_per_key(valid, ["referral_id", "contact_time", "mechanism"], [F.col("submission_id").desc(), F.col("contact_id").desc()])
     side = once.select(F.col("referral_id").alias("_r"), F.col("person_id").alias("_p"), "contact_id", "contact_time", "mechanism")
     on = (F.col("referral_id") == F.col("_r")) & (F.col("person_id") == F.col("_p")) & (F.col("contact_time") >= F.col("received"))
-    rows = latest.join(side, on, "left").drop("_r", "_p")
+    # the ordered pass below reads its input twice, so the joins are written once
+    rows = materialise(latest.join(side, on, "left").drop("_r", "_p"), "referral-contacts")
 
     has = F.col("contact_time").isNotNull()
     f2f = has & F.col("mechanism").isin(FACE_TO_FACE)
@@ -92,8 +94,7 @@ def diagnoses(feeds: dict[str, DataFrame], stored: DataFrame) -> DataFrame:
     all_rows = reduce(lambda a, b: a.unionByName(b), [f.withColumn("level", F.lit(level)) for level, f in feeds.items()])
     newest = [F.col("month_id").desc(), F.col("submission_id").desc(), F.col("code").asc()]
     batch = latest_per_key(all_rows, ["referral_id", "level"], newest).select(*stored.columns)
-    keys = ["referral_id", "level"]
-    return upsert_newer(insert_new(stored, batch, keys), batch, keys, "month_id")
+    return upsert_newer(stored, batch, ["referral_id", "level"], "month_id")
 
 
 def inpatient_spells(spells: DataFrame, dx: DataFrame) -> DataFrame:
@@ -213,6 +214,7 @@ def legal_episodes(periods: DataFrame, other_feeds: Sequence[DataFrame], spells:
     left = reduce(lambda df, feed: df.join(feed, ["episode_id", "month_id"], "left_anti"), other_feeds, periods)
     newest = [F.col("month_id").desc(), F.col("record_no").desc(), F.col("uniq_id").desc()]
     latest = latest_per_key(left, ["episode_id"], newest).withColumn("person_key", F.coalesce("derived_person_id", "person_id"))
+    latest = materialise(latest, "episodes")  # every pass starts from it
     side = spells.select(
         "spell_id",
         F.coalesce("derived_person_id", "person_id").alias("person_key"),
