@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.catalog.registry import Tables, query
@@ -12,7 +12,9 @@ from fathomline.functions.dates import at, month_spine
 from fathomline.functions.text import map_codes
 from fathomline.operators import aggs, keys, sessions
 
-ONE = F.lit(1)
+def one() -> Column:
+    return F.lit(1)
+
 
 
 def logins(t: Tables) -> DataFrame:
@@ -93,12 +95,12 @@ def _(t: Tables) -> DataFrame:
     + " FROM orders GROUP BY 1",
 )
 def _(t: Tables) -> DataFrame:
-    return aggs.dynamic_pivot(t.orders, ["o_custkey"], "o_orderpriority", F.count(ONE))
+    return aggs.dynamic_pivot(t.orders, ["o_custkey"], "o_orderpriority", F.count(one()))
 
 
 @query("d07_distinct_count", "SELECT ts::DATE::VARCHAR AS day, count(DISTINCT user_id) AS users, count(*) AS n FROM events GROUP BY 1")
 def _(t: Tables) -> DataFrame:
-    return t.events.groupBy(F.col("ts").cast("date").alias("day")).agg(F.count_distinct("user_id").alias("users"), F.count(ONE).alias("n"))
+    return t.events.groupBy(F.col("ts").cast("date").alias("day")).agg(F.count_distinct("user_id").alias("users"), F.count(one()).alias("n"))
 
 
 @query("d08_distinct_rows", "SELECT DISTINCT l_suppkey, l_returnflag, l_linestatus FROM lineitem")
@@ -248,7 +250,7 @@ def _(t: Tables) -> DataFrame:
     QUALIFY row_number() OVER (PARTITION BY week ORDER BY day DESC) = 1""",
 )
 def _(t: Tables) -> DataFrame:
-    daily = t.events.groupBy(F.date_trunc("week", "ts").cast("date").alias("week"), F.col("ts").cast("date").alias("day")).agg(F.count(ONE).alias("n"))
+    daily = t.events.groupBy(F.date_trunc("week", "ts").cast("date").alias("week"), F.col("ts").cast("date").alias("day")).agg(F.count(one()).alias("n"))
     return aggs.last_in_group(daily, ["week"], ["day"])
 
 
@@ -265,7 +267,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("d24_grand_totals", "SELECT count(*) AS n, round(sum(l_quantity), 2) AS qty, count(*) FILTER (l_returnflag = 'R') AS returned FROM lineitem")
 def _(t: Tables) -> DataFrame:
-    return t.lineitem.agg(F.count(ONE).alias("n"), F.round(F.sum("l_quantity"), 2).alias("qty"), F.count_if(F.col("l_returnflag") == "R").alias("returned"))
+    return t.lineitem.agg(F.count(one()).alias("n"), F.round(F.sum("l_quantity"), 2).alias("qty"), F.count_if(F.col("l_returnflag") == "R").alias("returned"))
 
 
 @query("d25_activity_span", "SELECT user_id, min(ts) AS first_activity, max(ts) AS last_activity FROM events GROUP BY 1")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.catalog.aggs import IN_OUT, PERIODS, STAYS, stays
@@ -15,13 +15,15 @@ from fathomline.plans import attendance
 from fathomline.session import materialise
 from fathomline.sources.loads import plan_dates, replace_by_key
 
-K = F.get_json_object("props", "$.k").cast("int")
+def k_value() -> Column:
+    return F.get_json_object("props", "$.k").cast("int")
+
 K_SQL = "json_extract(props, '$.k')::INT"
 
 
 def feed(t: Tables) -> DataFrame:
     """Events as attendance records; one in eight is sent twice."""
-    e = t.events.withColumn("k", K).withColumn("copy", F.explode(F.when(F.col("event_id") % 8 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    e = t.events.withColumn("k", k_value()).withColumn("copy", F.explode(F.when(F.col("event_id") % 8 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     k = F.col("k")
     return e.select(
         F.col("event_id").alias("ident"),
@@ -46,7 +48,7 @@ FEED = f"""SELECT event_id AS ident, event_id * 10 + copy AS record_id, user_id
 
 
 def comorbidities(t: Tables) -> DataFrame:
-    return t.events.withColumn("k", K).select(
+    return t.events.withColumn("k", k_value()).select(
         F.col("event_id").alias("ident"), *[F.when(F.col("k") % (i + 1) != 0, F.concat(F.lit("M"), F.col("k") % 10, F.lit("_"), F.lit(i))).alias(f"s{i}") for i in range(1, 7)]
     )
 
@@ -97,7 +99,7 @@ RETURNS = f"""SELECT a.event_id AS ident, s.d AS discharge, s.spell_id, date_dif
 
 def returns(t: Tables) -> DataFrame:
     a = t.events.filter("event_type IN ('click', 'view')").select(
-        F.col("event_id").alias("ident"), F.col("user_id").alias("person_id"), F.col("ts").cast("date").alias("arrival"), (K % 3 == 0).cast("int").alias("presentation_flag")
+        F.col("event_id").alias("ident"), F.col("user_id").alias("person_id"), F.col("ts").cast("date").alias("arrival"), (k_value() % 3 == 0).cast("int").alias("presentation_flag")
     )
     return attendance.returns_after_spell(a, past_spells(t), "person_id", "arrival", days=5)
 

@@ -238,7 +238,9 @@ def _(t: Tables) -> DataFrame:
     return audit.match_rates(audit.service_searches(stored, source, "event_id"), ["team_id"])
 
 
-MEASURES = {name: ("ts", F.col("event_type") == kind) for name, kind in (("requests", "click"), ("completed", "purchase"), ("edits", "view"), ("drafts", "signup"), ("failed", "error"))}
+def measures() -> dict[str, tuple[str, Column]]:
+    return {name: ("ts", F.col("event_type") == kind) for name, kind in (("requests", "click"), ("completed", "purchase"), ("edits", "view"), ("drafts", "signup"), ("failed", "error"))}
+
 PER_DAY = "SELECT d::DATE AS day, " + ", ".join(
     f"(SELECT count(*) FROM events WHERE ts::DATE <= d AND event_type = '{kind}') AS {name}"
     for name, kind in (("requests", "click"), ("completed", "purchase"), ("edits", "view"), ("drafts", "signup"), ("failed", "error"))
@@ -249,8 +251,8 @@ def adoption(t: Tables) -> DataFrame:
     first, last = (F.lit(d).cast("date") for d in ("2024-01-03", "2024-02-05"))
     # three days are stored already, with -1 in place of the counts
     days = t.events.select(F.to_date("ts").alias("day")).filter(F.dayofmonth("ts").isin(4, 5, 6)).distinct()
-    stored = days.select("day", *[F.lit(-1).cast("long").alias(m) for m in MEASURES], F.lit(-1).cast("long").alias("combined"))
-    return audit.portal_adoption(stored, t.events, MEASURES, first, last)
+    stored = days.select("day", *[F.lit(-1).cast("long").alias(m) for m in measures()], F.lit(-1).cast("long").alias("combined"))
+    return audit.portal_adoption(stored, t.events, measures(), first, last)
 
 
 STORED_DAYS = "day IN (DATE '2024-01-04', DATE '2024-01-05', DATE '2024-01-06')"

@@ -14,7 +14,9 @@ from fathomline.plans import care
 from fathomline.session import materialise
 from fathomline.sources.loads import replace_by_key
 
-RECEIVED = F.col("o_orderdate").cast("date")
+def received() -> Column:
+    return F.col("o_orderdate").cast("date")
+
 
 
 def days_after(column: Column, n: Column) -> Column:
@@ -29,9 +31,9 @@ def referrals(t: Tables) -> DataFrame:
         key.alias("referral_id"),
         F.col("o_custkey").alias("person_id"),
         F.concat(F.lit("P"), key % 3).alias("provider"),
-        RECEIVED.alias("received"),
-        F.when(key % 17 == 0, F.date_add(RECEIVED, 3)).alias("rejected"),
-        F.when(F.col("o_orderstatus") == "F", days_after(RECEIVED, key % 90 + F.col("v"))).alias("discharged"),
+        received().alias("received"),
+        F.when(key % 17 == 0, F.date_add(received(), 3)).alias("rejected"),
+        F.when(F.col("o_orderstatus") == "F", days_after(received(), key % 90 + F.col("v"))).alias("discharged"),
         (F.lit(1400) + F.col("v")).alias("month_id"),
         (key * 10 + F.col("v")).alias("submission_id"),
         F.left("o_orderpriority", F.lit(1)).alias("priority"),
@@ -154,8 +156,8 @@ def _(t: Tables) -> DataFrame:
 def spells(t: Tables) -> DataFrame:
     key = F.col("o_orderkey")
     versions = t.orders.withColumn("v", F.explode(F.when(key % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
-    left = F.when((F.col("o_orderstatus") != "P") & (F.col("v") == 1), days_after(RECEIVED, key % 400)).when(
-        F.col("o_orderstatus") == "F", days_after(RECEIVED, key % 150)
+    left = F.when((F.col("o_orderstatus") != "P") & (F.col("v") == 1), days_after(received(), key % 400)).when(
+        F.col("o_orderstatus") == "F", days_after(received(), key % 150)
     )
     return versions.select(
         key.alias("spell_id"),
@@ -163,7 +165,7 @@ def spells(t: Tables) -> DataFrame:
         key.alias("referral_id"),
         (F.year("o_orderdate") + F.col("v")).alias("month_id"),
         (key * 10 + F.col("v")).alias("submission_id"),
-        RECEIVED.alias("start"),
+        received().alias("start"),
         left.alias("discharge"),
         (F.col("o_custkey") % 90).cast("int").alias("age"),
         F.when(F.col("o_custkey") % 2 == 0, "Male").otherwise("Female").alias("gender"),
@@ -234,9 +236,9 @@ def _(t: Tables) -> DataFrame:
     key = F.col("o_orderkey")
     refs = t.orders.select(
         F.col("o_custkey").alias("person"),
-        RECEIVED.alias("received"),
-        F.when(F.col("o_orderstatus") == "F", days_after(RECEIVED, key % 900)).alias("discharged"),
-        F.when(key % 13 == 0, F.date_add(RECEIVED, 5)).alias("rejected"),
+        received().alias("received"),
+        F.when(F.col("o_orderstatus") == "F", days_after(received(), key % 900)).alias("discharged"),
+        F.when(key % 13 == 0, F.date_add(received(), 5)).alias("rejected"),
         F.col("o_orderpriority").alias("source"),
     )
     return care.known_to_service(visits, refs, "person", "arrival", "1-URGENT").drop("person", "arrival")
@@ -268,8 +270,8 @@ def act_spells(t: Tables) -> DataFrame:
         F.when(F.col("o_custkey") % 5 == 0, F.col("o_custkey") - 1).alias("derived_person_id"),
         (key % 4).alias("provider"),
         key.alias("referral_id"),
-        RECEIVED.alias("start"),
-        F.when(F.col("o_orderstatus") != "P", days_after(RECEIVED, key % 60)).alias("discharge"),
+        received().alias("start"),
+        F.when(F.col("o_orderstatus") != "P", days_after(received(), key % 60)).alias("discharge"),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.catalog.aggs import PAYMENTS, payments
@@ -10,7 +10,9 @@ from fathomline.catalog.registry import Tables, query
 from fathomline.functions.dates import at
 from fathomline.plans import claims
 
-CLAIM = F.col("o_orderkey").alias("claim_id")
+def claim_id() -> Column:
+    return F.col("o_orderkey").alias("claim_id")
+
 
 
 @query(
@@ -25,14 +27,14 @@ CLAIM = F.col("o_orderkey").alias("claim_id")
 def _(t: Tables) -> DataFrame:
     price, priority = F.col("o_totalprice"), F.col("o_orderpriority")
     heads = t.orders.select(
-        CLAIM,
+        claim_id(),
         F.when(F.col("o_orderstatus") == "F", 2).otherwise(1).alias("status"),
         F.when(priority != "5-LOW", F.lit(60000.0)).alias("excess"),
         (priority == "1-URGENT").alias("periodical"),
         F.col("o_custkey").alias("changed"),
     )
     reserves = t.orders.select(
-        CLAIM,
+        claim_id(),
         (price * 0.5).alias("reserve_damages"),
         (price * 0.25).alias("reserve_defence"),
         F.lit(None).cast("double").alias("reserve_claimant"),

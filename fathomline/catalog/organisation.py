@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from fathomline.catalog.registry import Tables, query
 from fathomline.plans import organisation
 
-AREA = F.concat(F.substring("n_name", 1, 3), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"), F.lit(" "), F.lpad((F.col("n_nationkey") * 3).cast("string"), 2, "0"))
+def area_code() -> Column:
+    return F.concat(F.substring("n_name", 1, 3), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"), F.lit(" "), F.lpad((F.col("n_nationkey") * 3).cast("string"), 2, "0"))
+
 AREA_SQL = "substring(n_name, 1, 3) || lpad(n_nationkey::VARCHAR, 2, '0') || ' ' || lpad((n_nationkey * 3)::VARCHAR, 2, '0')"
 
 
@@ -43,7 +45,7 @@ def _(t: Tables) -> DataFrame:
     )
     practices = t.supplier.select(F.col("s_suppkey").alias("practice_id"), F.col("s_name").alias("name"), postcode(F.col("s_nationkey")).alias("postcode"))
     members = t.customer.select((F.col("c_custkey") % 40).alias("network_id"), F.col("c_mktsegment").alias("area"))
-    postcodes = t.nation.select(AREA.alias("postcode"), F.col("n_name").alias("authority"))
+    postcodes = t.nation.select(area_code().alias("postcode"), F.col("n_name").alias("authority"))
     return organisation.practice_reference(practices, relations, members, postcodes).select("practice_id", "network_id", "network_area", "authority")
 
 

@@ -14,7 +14,9 @@ from fathomline.functions.text import normalise_names
 from fathomline.plans import records
 from fathomline.sources.tables import merge_layouts
 
-KEY = F.col("c_custkey")
+def key() -> Column:
+    return F.col("c_custkey")
+
 
 
 @query(
@@ -36,7 +38,7 @@ def _(t: Tables) -> DataFrame:
         F.when(F.col("o_orderstatus") == "F", F.date_add(day, 400)).alias("end"),
     )
     emails = t.customer.filter("c_acctbal > 1000").select(
-        KEY.alias("person_id"), F.concat(F.lower("c_name"), F.lit("@example.org")).alias("value"), F.lit(1).alias("preferred"), none.alias("start"), none.alias("end")
+        key().alias("person_id"), F.concat(F.lower("c_name"), F.lit("@example.org")).alias("value"), F.lit(1).alias("preferred"), none.alias("start"), none.alias("end")
     )
     return records.draft_contacts(requests, phones, emails, F.lit(dt.date(2000, 1, 1))).select("person_id", "request_id", "phone", "email")
 
@@ -78,7 +80,7 @@ def _(t: Tables) -> DataFrame:
         "high": (o.filter("o_orderpriority = '2-HIGH'"), order, ["o_orderkey"]),
         "pending": (o.filter("o_orderstatus = 'P'"), order, ["o_orderdate"]),
     }
-    born = F.make_date((F.lit(1920) + KEY % 75).cast("int"), (KEY % 12 + 1).cast("int"), F.lit(15))
+    born = F.make_date((F.lit(1920) + key() % 75).cast("int"), (key() % 12 + 1).cast("int"), F.lit(15))
     people = t.customer.select("c_custkey", age_years(born, F.lit(dt.date(2001, 6, 30))).alias("age"))
     return records.latest_sections(people, "c_custkey", sections).withColumn("age_group", band("age", *AGES))
 
@@ -89,7 +91,7 @@ def _(t: Tables) -> DataFrame:
     WHERE lower(name) NOT LIKE '%00_'""",
 )
 def _(t: Tables) -> DataFrame:
-    current = t.customer.select(KEY.alias("id"), F.trim("c_name").alias("name"), F.col("c_nationkey").cast("string").alias("area"))
+    current = t.customer.select(key().alias("id"), F.trim("c_name").alias("name"), F.col("c_nationkey").cast("string").alias("area"))
     old = {"id": F.col("s_suppkey").cast("string"), "name": normalise_names("s_name", {"supplier#000000007": "Seven"}), "area": F.lit("old")}
     return exclude_matching(merge_layouts(current, t.supplier, old), "name", ["%00_"])
 
@@ -196,7 +198,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     people = t.customer.withColumns(
         {
-            "created": F.date_sub(F.lit(dt.date(2001, 1, 1)), (KEY % 500).cast("int")),
+            "created": F.date_sub(F.lit(dt.date(2001, 1, 1)), (key() % 500).cast("int")),
             "closed": F.when(F.col("c_acctbal") > 0, F.lit(dt.date(2002, 1, 1))),
             "died": F.when(F.col("c_mktsegment") == "BUILDING", F.lit(dt.date(2003, 2, 1))),
         }

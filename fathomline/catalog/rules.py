@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.catalog.registry import Tables, query
@@ -17,7 +17,9 @@ PRIORITY_LABELS = {"1-URGENT": "Emergency", "2-HIGH": "Urgent", "3-MEDIUM": "Rou
 URGENT = ["1-URGENT", "2-HIGH"]
 
 # Orders with a derived end date (NULL for pending ones) for the open and closed rules
-ENDED = F.when(F.col("o_orderstatus") != "P", F.date_add(F.col("o_orderdate").cast("date"), (F.col("o_orderkey") % 40).cast("int")))
+def ended_on() -> Column:
+    return F.when(F.col("o_orderstatus") != "P", F.date_add(F.col("o_orderdate").cast("date"), (F.col("o_orderkey") % 40).cast("int")))
+
 ENDED_SQL = "CASE WHEN o_orderstatus <> 'P' THEN o_orderdate::DATE + (o_orderkey % 40)::INT END"
 
 
@@ -193,7 +195,7 @@ def _(t: Tables) -> DataFrame:
     f"""SELECT o_orderkey, CASE WHEN {ENDED_SQL} IS NULL AND o_orderdate::DATE + INTERVAL 6 MONTH < DATE '2001-01-01' THEN 1 ELSE 0 END::INT AS stale FROM orders""",
 )
 def _(t: Tables) -> DataFrame:
-    return t.orders.select("o_orderkey", rules.stale_flag(ENDED, F.col("o_orderdate").cast("date"), dt.date(2001, 1, 1)).alias("stale"))
+    return t.orders.select("o_orderkey", rules.stale_flag(ended_on(), F.col("o_orderdate").cast("date"), dt.date(2001, 1, 1)).alias("stale"))
 
 
 @query(
@@ -204,7 +206,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     year = F.year("o_orderdate")
     last = t.orders.agg(F.max(year)).scalar()
-    return t.orders.select("o_orderkey", rules.record_status(ENDED, year, last).alias("status"))
+    return t.orders.select("o_orderkey", rules.record_status(ended_on(), year, last).alias("status"))
 
 
 @query(
@@ -216,9 +218,9 @@ def _(t: Tables) -> DataFrame:
     start = F.col("o_orderdate").cast("date")
     return t.orders.select(
         "o_orderkey",
-        rules.length_of_stay(start, ENDED).alias("nights"),
-        rules.length_of_stay(start, ENDED, inclusive=True).alias("days"),
-        rules.length_of_stay(start, ENDED, dt.date(2001, 9, 30)).alias("to_date"),
+        rules.length_of_stay(start, ended_on()).alias("nights"),
+        rules.length_of_stay(start, ended_on(), inclusive=True).alias("days"),
+        rules.length_of_stay(start, ended_on(), dt.date(2001, 9, 30)).alias("to_date"),
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.catalog.registry import Tables, query
@@ -12,7 +12,9 @@ from fathomline.functions import dates, text
 from fathomline.functions.rules import explode_list
 
 # A compound id in the form the parsers meet: kind||order|customer|status
-COMPOUND = F.concat(F.lit("Order||"), "o_orderkey", F.lit("|"), "o_custkey", F.lit("|"), F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).otherwise(F.lit("")))
+def compound_id() -> Column:
+    return F.concat(F.lit("Order||"), "o_orderkey", F.lit("|"), "o_custkey", F.lit("|"), F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).otherwise(F.lit("")))
+
 COMPOUND_SQL = "'Order||' || o_orderkey || '|' || o_custkey || '|' || CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus ELSE '' END"
 
 
@@ -92,7 +94,7 @@ def _(t: Tables) -> DataFrame:
     f"SELECT o_orderkey, nullif(list_extract(p, 3), '') AS third, nullif(list_extract(p, 5), '') AS fifth, nullif(list_extract(p, 6), '') AS sixth FROM (SELECT o_orderkey, string_split({COMPOUND_SQL}, '|') AS p FROM orders)",
 )
 def _(t: Tables) -> DataFrame:
-    return t.orders.select("o_orderkey", *[text.nth_item(COMPOUND, "|", n).alias(name) for n, name in ((3, "third"), (5, "fifth"), (6, "sixth"))])
+    return t.orders.select("o_orderkey", *[text.nth_item(compound_id(), "|", n).alias(name) for n, name in ((3, "third"), (5, "fifth"), (6, "sixth"))])
 
 
 @query(
@@ -101,7 +103,7 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     return t.orders.select(
-        text.number_after(COMPOUND, "|", 3).alias("id"), text.number_after(COMPOUND, "|", 5).alias("bad"), text.nth_item(COMPOUND, "|", 1).alias("kind")
+        text.number_after(compound_id(), "|", 3).alias("id"), text.number_after(compound_id(), "|", 5).alias("bad"), text.nth_item(compound_id(), "|", 1).alias("kind")
     )
 
 

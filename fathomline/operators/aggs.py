@@ -72,7 +72,7 @@ def concat_ordered(
     sorting a long list is spread; the final value is as long as the result asks for."""
 
     def joined(rows: DataFrame, by: Sequence[str], text: str, place: Sequence[str], name: str) -> DataFrame:
-        ordered = F.array_sort(F.collect_list(F.struct(*place, F.col(text).alias("_text"))))
+        ordered = F.sort_array(F.collect_list(F.struct(*place, F.col(text).alias("_text"))))
         return rows.groupBy(*by).agg(F.array_join(F.transform(ordered, lambda x: x["_text"]), sep).alias(name))
 
     rows = df.filter(F.col(value).isNotNull())

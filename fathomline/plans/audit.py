@@ -22,8 +22,6 @@ from fathomline.sources.loads import incremental_by_id, insert_new
 MOBILE_AGENTS = [("iPhone", "iPhone"), ("iPad", "iPad"), ("Mobile Safari", "Android mobile"), ("Android", "Android tablet")]
 DESKTOP_AGENTS = [("Windows NT", "PC"), ("Macintosh", "iPad"), ("Linux", "PC")]
 
-DAY_OF = {"ts": F.col("ts").cast("date")}
-
 
 def version_chain(versions: DataFrame, record: str, version: str, chunk: Column) -> DataFrame:
     """Previous and next version of each record version, and first and last flags."""
@@ -59,8 +57,8 @@ def load_audit(stored: DataFrame, raw: DataFrame, record_kind: str, skipped_acti
 def order_actions(log: DataFrame) -> DataFrame:
     """Number of each action within its record, and within its record and type."""
     order = ["ts", "item_id"]
-    out = sequence(log, ["record_id"], order, DAY_OF["ts"], "overall_order")
-    return sequence(out, ["record_id", "action"], order, DAY_OF["ts"], "type_order")
+    out = sequence(log, ["record_id"], order, F.to_date("ts"), "overall_order")
+    return sequence(out, ["record_id", "action"], order, F.to_date("ts"), "type_order")
 
 
 def team_audit(log: DataFrame, staff: DataFrame, teams: DataFrame, view_action: str) -> DataFrame:
