@@ -75,7 +75,7 @@ def _(t: Tables) -> DataFrame:
     return audit.team_audit(log(t), staff(t), teams(t), "view").select("item_id", "record_id", "action", "staff_name", "team_name")
 
 
-AGENTS = ["Mozilla iPhone", "Linux; ANDROID; Mobile Safari", "Linux; Android", "Windows NT 10", "macintosh; Intel", "X11; Linux", "Bot"]
+AGENTS = ["Mozilla iPhone", "Linux; ANDROID; Mobile Safari", "Linux; Android", "Windows NT 10", "macintosh; Intel Mac OS X", "X11; Linux", "Bot"]
 
 
 def activity(t: Tables) -> DataFrame:
@@ -107,7 +107,7 @@ MERGED = f"""SELECT event_id AS item_id, user_id, ts AS login, stop, CASE WHEN l
 @query(
     "k24_login_sessions",
     f"""SELECT item_id, 'team' || n_regionkey AS team, final_end, absorbed::INT AS absorbed, CASE WHEN stop IS NOT NULL THEN date_diff('second', login, final_end) // 60 END AS minutes,
-    ['iPhone', 'Android mobile', 'Android tablet', 'PC', 'iPad', 'PC', 'Bot'][item_id % 7 + 1] AS device,
+    ['iPhone', 'Android mobile', 'Android Tablet', 'PC', 'iPad', 'PC', 'Bot'][item_id % 7 + 1] AS device,
     CASE WHEN stop IS NULL THEN 'failed' WHEN item_id % 2 = 0 AND bool_and(stop IS NOT NULL) OVER (PARTITION BY user_id, login::DATE) THEN 'direct' ELSE 'login' END AS action_type
     FROM ({MERGED}) LEFT JOIN nation ON n_name = 'NATION_' || (user_id % 30)""",
 )

@@ -18,11 +18,6 @@ from fathomline.operators.ordered import next_value, rank_per_key, scan, sequenc
 from fathomline.operators.sessions import merge_sessions_pairwise, rollup_sessions
 from fathomline.sources.loads import incremental_by_id, insert_new
 
-# Device classes by mobile flag and browser text, first match wins
-MOBILE_AGENTS = [("iPhone", "iPhone"), ("iPad", "iPad"), ("Mobile Safari", "Android mobile"), ("Android", "Android tablet")]
-DESKTOP_AGENTS = [("Windows NT", "PC"), ("Macintosh", "iPad"), ("Linux", "PC")]
-
-
 def version_chain(versions: DataFrame, record: str, version: str, chunk: Column) -> DataFrame:
     """Previous and next version of each record version, and first and last flags."""
     number = F.col(version)
@@ -75,9 +70,22 @@ def team_audit(log: DataFrame, staff: DataFrame, teams: DataFrame, view_action:
 
 
 def device_class(is_mobile: Column, agent: Column) -> Column:
-    """Device class from the mobile flag and the browser text; an unknown text stands for itself."""
-    known = F.when(is_mobile, classify_contains(agent, MOBILE_AGENTS)).otherwise(classify_contains(agent, DESKTOP_AGENTS))
-    return F.coalesce(known, agent)
+    """Device class from the mobile flag and the browser text; any other text stands for itself."""
+    text = F.lower(agent)
+    android, phone_like = text.contains("android"), text.contains("mobile")
+    # Marks in the browser text and their classes, first match wins
+    mobile = (
+        F.when(text.contains("iphone"), "iPhone")
+        .when(text.contains("ipad"), "iPad")
+        .when(android & text.contains("mobile safari"), "Android mobile")
+        .when(android & ~phone_like, "Android Tablet")
+    )
+    desktop = (
+        F.when(text.contains("linux") & ~phone_like, "PC")
+        .when(text.contains("windows nt"), "PC")
+        .when(text.contains("macintosh; intel mac os x"), "iPad")
+    )
+    return F.coalesce(F.when(is_mobile, mobile).when(~is_mobile, desktop), agent)
 
 
 def login_sessions(activity: DataFrame, outcomes: DataFrame, teams: DataFrame, direct_domains: Sequence[str]) -> DataFrame:

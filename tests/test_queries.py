@@ -35,8 +35,8 @@ def test_queries_and_sql_need_no_session():
     subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
 
 
-def plan(df, capsys):
-    df.explain()
+def plan(df, capsys, mode=None):
+    df.explain(mode=mode)
     return capsys.readouterr().out
 
 
@@ -49,7 +49,7 @@ def test_no_products_and_no_python(spark, capsys, name):
 
 
 def test_filters_and_columns_reach_the_scan(spark, capsys):
-    text = plan(QUERIES["a01_columnar_scan"](spark, FOLDER), capsys)
+    text = plan(QUERIES["a01_columnar_scan"](spark, FOLDER), capsys, "formatted")
     assert "GreaterThanOrEqual(l_shipdate" in text and "EqualTo(l_returnflag,R)" in text
     assert "l_comment" not in text and "l_extendedprice" not in text
 
