@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.operators.keys import latest_per_key, null_safe
-from fathomline.operators.ordered import BEFORE, SPAN, _across, spans
+from fathomline.operators.ordered import scan
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
@@ -90,8 +90,7 @@ def asof_max(
 ) -> DataFrame:
     """Left rows with maxima over all right rows of the key that came before.
 
-    Both sides go through one union and one running maximum per (key, chunk), so the cost is linear:
-    no pair is ever formed. A maximum of structs that start with the time is the last event before.
+    Both sides go through one union and one running maximum, so the cost is linear: no pair is ever formed. A maximum of structs that start with the time is the last event before.
     """
     cols = left.columns
     row = F.struct(*[F.col(c) for c in cols])
@@ -99,16 +98,9 @@ def asof_max(
     r = right.filter(F.col(right_t).isNotNull()).select(
         *keys, F.col(right_t).alias("_t"), F.lit(1 if strict else 0).alias("_side"), *[e.alias(m) for m, e in measures.items()]
     )
-    both = spans(l.unionByName(r, allowMissingColumns=True), keys, chunk(F.col("_t")))
-    so_far = Window.partitionBy(SPAN).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    local = both.withColumns({f"_l_{m}": F.max(m).over(so_far) for m in measures}).filter(F.col("_row").isNotNull())
-    tops = spans(r, keys, chunk(F.col("_t"))).groupBy(SPAN).agg(*[F.max(m).alias(m) for m in measures])
-    # chunks that hold only left rows need a carry too
-    marks = spans(l, keys, chunk(F.col("_t"))).groupBy(SPAN).agg(F.lit(1).alias("_mark")).drop("_mark")
-    summary = marks.unionByName(tops, allowMissingColumns=True).groupBy(SPAN).agg(*[F.max(m).alias(m) for m in measures])
-    carried = summary.select(SPAN, *[F.max(m).over(_across().rowsBetween(*BEFORE)).alias(f"_c_{m}") for m in measures])
-    joined = local.join(carried, SPAN)
-    return joined.select("_row.*", *[F.greatest(f"_l_{m}", f"_c_{m}").alias(m) for m in measures])
+    both = l.unionByName(r, allowMissingColumns=True)
+    seen = scan(both, keys, ["_t", "_side"], chunk(F.col("_t")), measures={m: ("max", F.col(m)) for m in measures})
+    return seen.filter(F.col("_row").isNotNull()).select("_row.*", *measures)
 
 
 def asof_last(

@@ -1,11 +1,14 @@
-"""Ordered operators that never need a whole key in one task.
+"""Ordered operators that never need the rows of a hot key in one task.
 
-A plain window by key puts all rows of a hot key into one task. Here every key is cut into chunks
-along its order (a day of a timestamp, a range of a number). Rows are windowed per (key, chunk); one
-small summary row per chunk, combined before its shuffle, is carried across the chunks of the key and
-joined back. The join reuses the partitioning of the window, so the big side is shuffled once.
+A plain window by key puts all rows of a key into one task. That is right for keys that fit, and wrong for a key that
+holds a third of the table. So keys above HOT_ROWS rows are found first (counts, combined before their shuffle) and
+only these are cut into chunks along their order: a day of a timestamp, a range of a number. Rows are windowed per
+(key, chunk); one small summary row per chunk of a hot key is carried across its chunks and joined back. The join
+reuses the partitioning of the window, so the big side is shuffled once. Without hot keys what is left is the plain
+window.
 
-`chunk` must not decrease along the order. Orders must end in a unique column.
+`chunk` must not decrease along the order. Orders must end in a unique column. Inputs are read three times (counts,
+summary, rows): write an expensive one first with `session.materialise`.
 """
 
 from __future__ import annotations
@@ -15,7 +18,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SPAN = "_span"  # (key, chunk): never NULL itself, so equality on it is NULL-safe
+HOT_ROWS = 1_000_000  # rows of one key that a task takes without being split
+
+SPAN = "_span"  # (key, chunk): never NULL itself, so equality on it is NULL-safe; chunk is NULL for a key that fits
+HOT = "_hot"
 BEFORE = (Window.unboundedPreceding, -1)
 AFTER = (1, Window.unboundedFollowing)
 
@@ -27,9 +33,19 @@ def _col(c: Column | str) -> Column:
 
 
 def spans(df: DataFrame, keys: Sequence[str], chunk: Column) -> DataFrame:
-    """df with its (key, chunk) column."""
-    key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("_all"))
-    return df.withColumn(SPAN, F.struct(key.alias("k"), chunk.alias("c")))
+    """df with its (key, chunk) column and a mark on the rows of hot keys. With no keys the table is one hot key."""
+    if not keys:
+        return df.withColumns({HOT: F.lit(True), SPAN: F.struct(F.lit(0).alias("k"), chunk.alias("c"))})
+    key = F.struct(*keys)
+    # at most (rows of the table / HOT_ROWS) keys can be hot, which bounds what is broadcast
+    hot = df.groupBy(key.alias("_hot_key")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > HOT_ROWS).select("_hot_key")
+    marked = df.join(F.broadcast(hot), key == F.col("_hot_key"), "left").withColumn(HOT, F.col("_hot_key").isNotNull())
+    return marked.drop("_hot_key").withColumn(SPAN, F.struct(key.alias("k"), F.when(F.col(HOT), chunk).alias("c")))
+
+
+def release(df: DataFrame) -> DataFrame:
+    """df without the columns made by spans."""
+    return df.drop(SPAN, HOT)
 
 
 def _sorted(order: Sequence[Column | str], descending: bool) -> list[Column]:
@@ -63,7 +79,7 @@ def scan_spans(
 
     measures: running sum, max or min over the rows so far (`current` includes the row itself).
     before, after: values of the previous and of the next row of the key. Everything shares one window
-    sort and one summary, so the input is computed twice however much is asked for.
+    sort and one summary, however much is asked for.
     """
     measures, before, after = measures or {}, before or {}, after or {}
     line = Window.partitionBy(SPAN).orderBy(*_sorted(order, descending))
@@ -83,14 +99,14 @@ def scan_spans(
             carried.append(step(name).over(across).alias(f"_c{name}"))
             near = F.coalesce(f"_l{name}", f"_c{name}")
             results += [near[v].alias(v) for v in values]
-    summary = df.groupBy(SPAN).agg(*totals).select(SPAN, *carried)
+    summary = df.filter(HOT).groupBy(SPAN).agg(*totals).select(SPAN, *carried)
     made = {*measures, *before, *after}
-    return df.withColumns(local).join(summary, SPAN).select(*[c for c in df.columns if c not in made], *results)
+    return df.withColumns(local).join(summary, SPAN, "left").select(*[c for c in df.columns if c not in made], *results)
 
 
 def scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], chunk: Column, **asked) -> DataFrame:
     """One ordered pass per key; see scan_spans for what can be asked for."""
-    return scan_spans(spans(df, keys, chunk), order, **asked).drop(SPAN)
+    return release(scan_spans(spans(df, keys, chunk), order, **asked))
 
 
 def running(
@@ -142,10 +158,10 @@ def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk:
     g = spans(df, keys, chunk)
     ahead = Window.partitionBy(SPAN).orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
     local = g.withColumn("_near", F.first(value, ignorenulls=True).over(ahead))
-    summary = g.groupBy(SPAN).agg(F.min_by(F.col(value), F.when(F.col(value).isNotNull(), F.struct(*order))).alias("_first"))
+    summary = g.filter(HOT).groupBy(SPAN).agg(F.min_by(F.col(value), F.when(F.col(value).isNotNull(), F.struct(*order))).alias("_first"))
     carried = summary.select(SPAN, F.first("_first", ignorenulls=True).over(_across().rowsBetween(*AFTER)).alias("_far"))
     kept = [c for c in df.columns if c != out]
-    return local.join(carried, SPAN).select(*kept, F.coalesce("_near", "_far").alias(out))
+    return local.join(carried, SPAN, "left").select(*kept, F.coalesce("_near", "_far").alias(out))
 
 
 def dense_rank_per_key(df: DataFrame, keys: Sequence[str], value: str, chunk: Column, out: str, descending: bool = False) -> DataFrame:
@@ -172,7 +188,7 @@ def islands(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Col
     """Gaps and islands. `breaks_after(prev, this)` says whether a new island starts between two
     neighbouring times. Gives keys, island (numbered per key), start_time, end_time, events.
 
-    Islands are first built inside each chunk; then only chunk edges are compared.
+    Islands are first built inside each chunk; of a hot key the chunk edges are then compared.
     """
     g = spans(df.select(*keys, *dict.fromkeys([*order, t])), keys, chunk)
     frame = Window.partitionBy(SPAN).orderBy(*order)
@@ -180,15 +196,15 @@ def islands(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Col
     starts = F.when(prev.isNull() | breaks_after(prev, F.col(t)), 1).otherwise(0)
     marked = g.withColumn("_start", starts)
     marked = marked.withColumn("_no", F.sum("_start").over(frame.rowsBetween(Window.unboundedPreceding, 0)))
-    local = marked.groupBy(SPAN, "_no").agg(F.min(t).alias("start_time"), F.max(t).alias("end_time"), F.count(F.lit(1)).alias("events"))
-    summary = local.groupBy(SPAN).agg(F.count(F.lit(1)).alias("_n"), F.min("start_time").alias("_lo"), F.max("end_time").alias("_hi"))
+    local = marked.groupBy(SPAN, HOT, "_no").agg(F.min(t).alias("start_time"), F.max(t).alias("end_time"), F.count(F.lit(1)).alias("events"))
+    summary = local.filter(HOT).groupBy(SPAN).agg(F.count(F.lit(1)).alias("_n"), F.min("start_time").alias("_lo"), F.max("end_time").alias("_hi"))
     before = F.lag("_hi").over(_across())
     linked = summary.withColumn("_joins", F.when(before.isNull() | breaks_after(before, F.col("_lo")), 0).otherwise(1))
     offset = F.coalesce(F.sum("_n").over(_across().rowsBetween(*BEFORE)), F.lit(0)) - F.sum("_joins").over(
         _across().rowsBetween(Window.unboundedPreceding, 0)
     )
     carried = linked.select(SPAN, offset.alias("_offset"))
-    numbered = local.join(carried, SPAN).withColumn("island", F.col("_no") + F.col("_offset"))
+    numbered = local.join(carried, SPAN, "left").withColumn("island", F.col("_no") + F.coalesce("_offset", F.lit(0)))
     return numbered.groupBy(*[F.col(f"{SPAN}.k.{k}").alias(k) for k in keys], "island").agg(
         F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"), F.sum("events").alias("events")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fathomline.functions.dates import diff_boundary, whole_minutes
-from fathomline.operators.ordered import BEFORE, SPAN, _across, scan, scan_spans, spans
+from fathomline.operators.ordered import BEFORE, HOT, SPAN, _across, scan, scan_spans, spans
 
 
 def merge_sessions_full(df: DataFrame, keys: Sequence[str], start: str, end: str, order: Sequence[str], chunk: Column) -> DataFrame:
@@ -24,12 +24,12 @@ def merge_sessions_full(df: DataFrame, keys: Sequence[str], start: str, end: str
     inside = Window.partitionBy(SPAN).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     numbered = seen.withColumn("_no", F.sum(fresh).over(inside))
     # _no = 0 is the tail of a session that began in an earlier chunk
-    local = numbered.groupBy(SPAN, "_no").agg(
+    local = numbered.groupBy(SPAN, HOT, "_no").agg(
         F.min(start).alias("start_time"), F.max("_until").alias("end_time"), F.count(F.lit(1)).alias("rows_merged")
     )
-    begun = local.groupBy(SPAN).agg(F.max("_no").alias("_n"))
+    begun = local.filter(HOT).groupBy(SPAN).agg(F.max("_no").alias("_n"))
     carried = begun.select(SPAN, F.coalesce(F.sum("_n").over(_across().rowsBetween(*BEFORE)), F.lit(0)).alias("_offset"))
-    out = local.join(carried, SPAN).withColumn("session", F.col("_no") + F.col("_offset"))
+    out = local.join(carried, SPAN, "left").withColumn("session", F.col("_no") + F.coalesce("_offset", F.lit(0)))
     return out.groupBy(*[F.col(f"{SPAN}.k.{k}").alias(k) for k in keys], "session").agg(
         F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"), F.sum("rows_merged").alias("rows_merged")
     )

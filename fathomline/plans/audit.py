@@ -16,6 +16,7 @@ from fathomline.operators.joins import asof_max, densify, nearest_before, outer_
 from fathomline.operators.keys import latest_per_key
 from fathomline.operators.ordered import next_value, rank_per_key, scan, sequence
 from fathomline.operators.sessions import merge_sessions_pairwise, rollup_sessions
+from fathomline.session import materialise
 from fathomline.sources.loads import incremental_by_id, insert_new
 
 def version_chain(versions: DataFrame, record: str, version: str, chunk: Column) -> DataFrame:
@@ -97,7 +98,7 @@ def login_sessions(activity: DataFrame, outcomes: DataFrame, teams: DataFrame, d
     joined = activity.join(outcomes, "session_id", "left").join(teams, "org_name", "left")
     direct = F.col("domain").isin(list(direct_domains)) & (F.col("outcome") == "direct")
     kind = F.when(~F.col("success"), "failed").when(direct, "direct").otherwise("login")
-    rows = joined.withColumns({"device": device_class(F.col("is_mobile"), F.col("agent")), "action_type": kind})
+    rows = materialise(joined.withColumns({"device": device_class(F.col("is_mobile"), F.col("agent")), "action_type": kind}), "logins")
     return merge_sessions_pairwise(rows, ["user_id"], "login", "logout", ["login", "item_id"], F.to_date("login"))
 
 

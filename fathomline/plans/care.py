@@ -55,7 +55,7 @@ def referral_contacts(referrals: DataFrame, contacts: DataFrame, low: Column, hi
     once = latest_per_key(valid, ["referral_id", "contact_time", "mechanism"], [F.col("submission_id").desc(), F.col("contact_id").desc()])
     side = once.select(F.col("referral_id").alias("_r"), F.col("person_id").alias("_p"), "contact_id", "contact_time", "mechanism")
     on = (F.col("referral_id") == F.col("_r")) & (F.col("person_id") == F.col("_p")) & (F.col("contact_time") >= F.col("received"))
-    # the ordered pass below reads its input twice, so the joins are written once
+    # the ordered pass below reads its input more than once, so the joins are written once
     rows = materialise(latest.join(side, on, "left").drop("_r", "_p"), "referral-contacts")
 
     has = F.col("contact_time").isNotNull()
@@ -141,7 +141,7 @@ def ward_stays(stays: DataFrame) -> DataFrame:
     stays: spell_id, stay_id, month_id, submission_id, ward, start, bed_days
     """
     newest = [F.col("month_id").desc(), F.col("submission_id").desc()]
-    last = latest_per_key(stays, ["spell_id", "stay_id"], newest)
+    last = materialise(latest_per_key(stays, ["spell_id", "stay_id"], newest), "ward-stays")
     counted, ahead = {"stay_order": ("sum", F.lit(1).cast("long"))}, {"_next": F.col("stay_id")}
     out = scan(last, ["spell_id"], ["start", "stay_id"], F.trunc("start", "month"), measures=counted, after=ahead)
     return out.withColumns({"last_stay": flag(F.col("_next").isNull()), "admission_stay": flag(F.col("stay_order") == 1)}).drop("_next")

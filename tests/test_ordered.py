@@ -9,6 +9,12 @@ from pyspark.sql import functions as F
 from fathomline.functions.dates import diff_boundary
 from fathomline.operators import joins, ordered, sessions
 
+@pytest.fixture(autouse=True, params=[40, 1_000_000], ids=["hot keys split", "no hot key"])
+def hot_rows(request, monkeypatch):
+    """Every test runs with some keys cut into chunks, and with none."""
+    monkeypatch.setattr(ordered, "HOT_ROWS", request.param)
+
+
 SCHEMA = "id long, k string, t timestamp_ntz, v int, stop timestamp_ntz"
 
 

@@ -24,6 +24,17 @@ def test_matches_sql(spark, duck, name):
     assert ok, note
 
 
+ORDERED = [n for n in sorted(QUERIES) if n[:3] in "c09 c11 c29 d13 e02 e03 e04 e05 e06 e07 e11 e12 e13 e15 e16 k01 k04 k07 k21 k28 k29 k36 k48".split()]
+
+
+@pytest.mark.parametrize("name", ORDERED)
+def test_matches_sql_with_hot_keys_split(spark, duck, monkeypatch, name):
+    """The same answers when nearly every key counts as hot."""
+    monkeypatch.setattr("fathomline.operators.ordered.HOT_ROWS", 30)
+    ok, note = compare(QUERIES[name], spark, duck, FOLDER)
+    assert ok, note
+
+
 def test_every_query_has_sql():
     assert [n for n, q in QUERIES.items() if q.sql is None] == []
 
