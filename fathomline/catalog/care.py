@@ -23,6 +23,10 @@ def days_after(column: Column, n: Column) -> Column:
     return F.date_add(column, n.cast("int"))
 
 
+def hours_after(t: Column, n: Column) -> Column:
+    return (t.cast("timestamp") + F.make_dt_interval(F.lit(0), n.cast("int"))).cast("timestamp_ntz")
+
+
 def referrals(t: Tables) -> DataFrame:
     """Each order as a referral; one in four has a second, newer version."""
     key = F.col("o_orderkey")
@@ -110,6 +114,15 @@ def _(t: Tables) -> DataFrame:
     return care.overall_order(materialise(linked(t), "referrals")).select("referral_id", "contact_id", "overall_order")
 
 
+@query(
+    "k01_order_within_referral",
+    K01 + f"SELECT referral_id, contact_id, row_number() OVER (PARTITION BY referral_id ORDER BY received, provider, coalesce(contact_order, 1)) AS overall_order FROM ({K01_ROWS.format(extra=', received')})",
+)
+def _(t: Tables) -> DataFrame:
+    out = care.overall_order(materialise(linked(t), "referrals"), per_referral=True)
+    return out.select("referral_id", "contact_id", "overall_order")
+
+
 @query(
     "k01_replaced_table",
     K01 + f""", b AS ({K01_ROWS.format(extra='')}) SELECT referral_id, contact_order FROM b UNION ALL SELECT o_orderkey, 0 FROM orders WHERE o_orderkey NOT IN (SELECT referral_id FROM b)""",
@@ -229,8 +242,7 @@ KNOWN = """WITH v AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, (l_
     CASE WHEN bool_or(own AND d < arr AND md > 24) THEN 1 WHEN bool_or(own AND d = arr) THEN NULL WHEN bool_or(md > 24) THEN 1 END AS previously_known FROM j GROUP BY rid, l_orderkey, l_linenumber, l_partkey, l_suppkey"""
 
 
-@query("k07_known_to_service", KNOWN)
-def _(t: Tables) -> DataFrame:
+def visits_and_referrals(t: Tables) -> tuple[DataFrame, DataFrame]:
     people = (F.col("l_orderkey") * 7 + F.col("l_partkey")) % 1500
     visits = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", people.alias("person"), F.col("l_shipdate").cast("date").alias("arrival"))
     key = F.col("o_orderkey")
@@ -241,7 +253,18 @@ def _(t: Tables) -> DataFrame:
         F.when(key % 13 == 0, F.date_add(received(), 5)).alias("rejected"),
         F.col("o_orderpriority").alias("source"),
     )
-    return care.known_to_service(visits, refs, "person", "arrival", "1-URGENT").drop("person", "arrival")
+    return visits, refs
+
+
+@query("k07_known_to_service", KNOWN)
+def _(t: Tables) -> DataFrame:
+    return care.known_to_service(*visits_and_referrals(t), "person", "arrival", "1-URGENT").drop("person", "arrival")
+
+
+@query("k07_known_by_days", KNOWN.replace("date_diff('month', d, arr) AS md", "date_diff('day', d, arr) / 30.0 AS md"))
+def _(t: Tables) -> DataFrame:
+    out = care.known_to_service(*visits_and_referrals(t), "person", "arrival", "1-URGENT", days_per_month=30)
+    return out.drop("person", "arrival")
 
 
 def periods(t: Tables) -> DataFrame:
@@ -255,43 +278,45 @@ def periods(t: Tables) -> DataFrame:
         F.when(F.col("o_custkey") % 5 == 0, F.col("o_custkey") - 1).alias("derived_person_id"),
         (F.col("l_partkey") % 4).alias("provider"),
         F.when(F.col("l_partkey") % 3 != 0, F.col("l_orderkey")).alias("referral_id"),
-        F.col("l_shipdate").cast("date").alias("start"),
+        hours_after(F.col("l_shipdate"), F.col("l_suppkey") % 24).alias("start"),
         (F.col("l_partkey") * 1000 + F.col("l_suppkey")).alias("uniq_id"),
         F.concat(F.lit("Section "), F.element_at(F.array(F.lit(2), F.lit(3), F.lit(136), F.lit(5)), (F.col("l_partkey") % 4 + 1).cast("int"))).alias("section"),
     )
 
 
 def act_spells(t: Tables) -> DataFrame:
-    key = F.col("o_orderkey")
+    key, person = F.col("o_orderkey"), F.col("o_custkey")
+    stop = hours_after(days_after(received(), key % 60).cast("timestamp_ntz"), F.lit(24) + person % 24)
     return t.orders.select(
         key.alias("spell_id"),
         (key % 20).alias("record_no"),
-        F.col("o_custkey").alias("person_id"),
-        F.when(F.col("o_custkey") % 5 == 0, F.col("o_custkey") - 1).alias("derived_person_id"),
+        person.alias("person_id"),
+        F.when(person % 5 == 0, person - 1).alias("derived_person_id"),
         (key % 4).alias("provider"),
         key.alias("referral_id"),
-        received().alias("start"),
-        F.when(F.col("o_orderstatus") != "P", days_after(received(), key % 60)).alias("discharge"),
+        hours_after(F.col("o_orderdate"), key % 24).alias("start"),
+        F.when(F.col("o_orderstatus") != "P", stop).alias("discharge"),
     )
 
 
 def linked_episodes(t: Tables) -> DataFrame:
     written = materialise(periods(t), "periods")
     feeds = [written.filter(F.col("uniq_id") % n == 0).select("episode_id", "month_id") for n in (7, 11, 13)]
-    return care.legal_episodes(written, feeds, act_spells(t), F.lit(dt.date(2001, 12, 31)))
+    return care.legal_episodes(written, feeds, act_spells(t), dates.at(2001, 12, 31))
 
 
-BEST = "QUALIFY row_number() OVER (PARTITION BY episode_id ORDER BY abs(e.start - s.start), s.stop - s.start DESC, s.spell_id) = 1"
+BEST = "QUALIFY row_number() OVER (PARTITION BY episode_id ORDER BY abs(date_diff('day', e.start, s.start)), s.stop - s.start DESC, s.spell_id) = 1"
+HELD = "e.start BETWEEN s.start - INTERVAL 24 HOUR AND s.stop"
 EPISODES = f"""WITH p AS (SELECT l_orderkey * 10 + l_linenumber AS episode_id, month(l_shipdate) AS month_id, l_suppkey % 20 AS record_no, CASE WHEN o_custkey % 5 = 0 THEN o_custkey - 1 ELSE o_custkey END AS pk,
-    l_partkey % 4 AS provider, CASE WHEN l_partkey % 3 <> 0 THEN l_orderkey END AS referral_id, l_shipdate::DATE AS start, l_partkey * 1000 + l_suppkey AS u, 'Section ' || [2, 3, 136, 5][l_partkey % 4 + 1] AS section
+    l_partkey % 4 AS provider, CASE WHEN l_partkey % 3 <> 0 THEN l_orderkey END AS referral_id, l_shipdate + to_hours((l_suppkey % 24)::INT) AS start, l_partkey * 1000 + l_suppkey AS u, 'Section ' || [2, 3, 136, 5][l_partkey % 4 + 1] AS section
     FROM lineitem JOIN orders ON o_orderkey = l_orderkey), gone AS (SELECT DISTINCT episode_id, month_id FROM p WHERE u % 7 = 0 OR u % 11 = 0 OR u % 13 = 0),
     e AS (SELECT * FROM p WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.episode_id = p.episode_id AND g.month_id = p.month_id)
     QUALIFY row_number() OVER (PARTITION BY episode_id ORDER BY month_id DESC, record_no DESC, u DESC) = 1),
-    s AS (SELECT o_orderkey AS spell_id, o_orderkey % 20 AS record_no, CASE WHEN o_custkey % 5 = 0 THEN o_custkey - 1 ELSE o_custkey END AS pk, o_orderkey % 4 AS provider, o_orderdate::DATE AS start,
-    CASE WHEN o_orderstatus <> 'P' THEN o_orderdate::DATE + (o_orderkey % 60)::INT ELSE DATE '2001-12-31' END AS stop FROM orders),
-    a AS (SELECT episode_id, spell_id, 1 AS pass_no FROM e JOIN s ON s.pk = e.pk AND s.record_no = e.record_no AND e.start BETWEEN s.start - 1 AND s.stop {BEST}),
-    b AS (SELECT episode_id, spell_id, 2 AS pass_no FROM e JOIN s ON s.pk = e.pk AND s.provider = e.provider AND e.start BETWEEN s.start - 1 AND s.stop WHERE episode_id NOT IN (SELECT episode_id FROM a) {BEST}),
-    c AS (SELECT episode_id, spell_id, 3 AS pass_no FROM e JOIN s ON s.spell_id = e.referral_id WHERE episode_id NOT IN (SELECT episode_id FROM a) AND episode_id NOT IN (SELECT episode_id FROM b)),
+    s AS (SELECT o_orderkey AS spell_id, o_orderkey % 20 AS record_no, CASE WHEN o_custkey % 5 = 0 THEN o_custkey - 1 ELSE o_custkey END AS pk, o_orderkey % 4 AS provider, o_orderdate + to_hours((o_orderkey % 24)::INT) AS start,
+    CASE WHEN o_orderstatus <> 'P' THEN o_orderdate + to_days((o_orderkey % 60)::INT) + to_hours((24 + o_custkey % 24)::INT) ELSE TIMESTAMP '2001-12-31' END AS stop FROM orders),
+    a AS (SELECT episode_id, spell_id, 1 AS pass_no FROM e JOIN s ON s.pk = e.pk AND s.record_no = e.record_no AND {HELD} {BEST}),
+    b AS (SELECT episode_id, spell_id, 2 AS pass_no FROM e JOIN s ON s.pk = e.pk AND s.provider = e.provider AND {HELD} WHERE episode_id NOT IN (SELECT episode_id FROM a) {BEST}),
+    c AS (SELECT episode_id, spell_id, 3 AS pass_no FROM e JOIN s ON s.spell_id = e.referral_id AND {HELD} WHERE episode_id NOT IN (SELECT episode_id FROM a) AND episode_id NOT IN (SELECT episode_id FROM b)),
     f AS (SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c)"""
 
 
@@ -308,7 +333,7 @@ def _(t: Tables) -> DataFrame:
     EPISODES
     + """, l AS (SELECT f.spell_id, e.episode_id, e.section, e.start FROM e JOIN f USING (episode_id)),
     best AS (SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY spell_id ORDER BY CASE WHEN section IN ('Section 2', 'Section 3') THEN 0 ELSE 1 END, start, episode_id) = 1),
-    hold AS (SELECT DISTINCT l.spell_id FROM l JOIN s ON s.spell_id = l.spell_id WHERE section = 'Section 136' AND l.start <= s.start AND s.start - l.start <= 2)
+    hold AS (SELECT DISTINCT l.spell_id FROM l JOIN s ON s.spell_id = l.spell_id WHERE section = 'Section 136' AND date_diff('day', l.start, s.start) BETWEEN 0 AND 2)
     SELECT s.spell_id, best.episode_id, best.section, CASE WHEN hold.spell_id IS NOT NULL THEN 1 END AS prior_hold,
     CASE WHEN best.section IN ('Section 2', 'Section 3') THEN 'Formal' WHEN best.section IS NULL THEN 'No Link' ELSE 'Informal' END AS admission_type
     FROM s LEFT JOIN best ON best.spell_id = s.spell_id LEFT JOIN hold ON hold.spell_id = s.spell_id""",

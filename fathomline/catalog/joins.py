@@ -175,20 +175,19 @@ def episodes(t: Tables) -> DataFrame:
     QUALIFY row_number() OVER (PARTITION BY ep ORDER BY abs(ep.day - s.start), s.stop - s.start DESC, s.o_orderkey) = 1),
     p2 AS (SELECT ep, s.o_orderkey, s.start, s.stop FROM ep JOIN sp s ON s.o_custkey = ep.o_custkey AND ep.day BETWEEN s.start - 1 AND s.stop
     WHERE ep NOT IN (SELECT ep FROM p1) QUALIFY row_number() OVER (PARTITION BY ep ORDER BY abs(ep.day - s.start), s.stop - s.start DESC, s.o_orderkey) = 1),
-    p3 AS (SELECT ep, s.o_orderkey, s.start, s.stop FROM ep JOIN sp s ON s.o_orderkey = ep.l_orderkey
+    p3 AS (SELECT ep, s.o_orderkey, s.start, s.stop FROM ep JOIN sp s ON s.o_orderkey = ep.l_orderkey AND ep.day BETWEEN s.start - 1 AND s.stop
     WHERE ep NOT IN (SELECT ep FROM p1) AND ep NOT IN (SELECT ep FROM p2))
     SELECT ep, f.o_orderkey, f.pass_no::INT AS pass_no FROM ep LEFT JOIN (SELECT *, 1 AS pass_no FROM p1 UNION ALL SELECT *, 2 FROM p2 UNION ALL SELECT *, 3 FROM p3) f USING (ep)""",
 )
 def _(t: Tables) -> DataFrame:
     ep, sp = materialise(episodes(t), "episodes"), spells(t).withColumn("grp", F.col("o_custkey") % 20)
 
-    def timed(on: list[str]) -> DataFrame:
-        return joins.nearest_containing(ep, "ep", sp, on, "day", "start", "stop", "o_orderkey", lead_days=1)
+    def held(left: DataFrame, on: list[str]) -> DataFrame:
+        return joins.nearest_containing(left, "ep", sp, on, "day", "start", "stop", "o_orderkey", "1 day")
 
-    hit = ep.join(sp.select("o_orderkey", "start", "stop"), F.col("l_orderkey") == F.col("o_orderkey"))
-    direct = hit.select("ep", "o_orderkey", F.abs(F.datediff("day", "start")).alias("_off"), F.datediff("stop", "start").alias("_stay"))
+    own = joins.nearest_containing(ep.withColumn("own", F.col("l_orderkey")), "ep", sp.withColumn("own", F.col("o_orderkey")), ["own"], "day", "start", "stop", "o_orderkey", "1 day")
     order = [F.col("_off").asc(), F.col("_stay").desc(), F.col("o_orderkey").asc()]
-    out = joins.waterfall_link(ep, "ep", [timed(["o_custkey", "grp"]), timed(["o_custkey"]), direct], order)
+    out = joins.waterfall_link(ep, "ep", [held(ep, ["o_custkey", "grp"]), held(ep, ["o_custkey"]), own], order)
     return out.select("ep", "o_orderkey", "pass_no")
 
 

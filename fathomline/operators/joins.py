@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fathomline.functions.dates import diff_boundary
 from fathomline.operators.keys import latest_per_key, null_safe
 from fathomline.operators.ordered import scan
 
@@ -122,28 +123,28 @@ def nearest_before(left: DataFrame, right: DataFrame, keys: Sequence[str], left_
 
 
 def nearest_containing(
-    left: DataFrame, left_id: str, intervals: DataFrame, keys: Sequence[str], day: str, start: str, stop: str, interval_id: str, lead_days: int = 0, width_days: int = 32
+    left: DataFrame, left_id: str, intervals: DataFrame, keys: Sequence[str], at: str, start: str, stop: str, interval_id: str, lead: str, width_days: int = 32
 ) -> DataFrame:
-    """For each left row the interval of its keys that holds its day and starts nearest; then the longest, then
-    the smallest id. Gives left_id, interval_id, _off, _stay for the rows that have one.
+    """For each left row the interval of its keys that holds its time and starts on the nearest day; then the
+    longest, then the smallest id. Gives left_id, interval_id, _off (days), _stay (seconds) for the rows that have one.
 
-    An interval holds the days from `lead_days` before its start to its stop. Of the intervals of a key with the same
-    start only the longest can win, and all left rows of a key and day have the same answer: so both sides are first
-    cut to one row per key and day. What is compared is bounded by the calendar, however many rows a key has.
+    An interval holds the times from `lead` (such as '24 hours') before its start to its stop; dates and timestamps
+    both work. Of the intervals of a key with one start only the longest can win, and all left rows of a key and time
+    have the same answer: so both sides are first cut to one row per key and time. For dates what is compared is bounded
+    by the calendar, however many rows a key has.
     """
     best = latest_per_key(
         intervals.select(*keys, F.col(start).alias("_start"), F.col(stop).alias("_stop"), F.col(interval_id)),
         [*keys, "_start"],
         [F.col("_stop").desc(), F.col(interval_id).asc()],
-    ).withColumn("_from", F.date_sub("_start", lead_days))
-    days = left.select(*keys, F.col(day).alias("_day")).distinct()
-    pairs = join_interval(days, best, keys, "_day", "_from", "_stop", width_days)
-    scored = pairs.select(
-        *keys, "_day", interval_id, F.abs(F.datediff("_day", "_start")).alias("_off"), F.datediff("_stop", "_start").alias("_stay")
-    )
-    answer = latest_per_key(scored, [*keys, "_day"], [F.col("_off").asc(), F.col("_stay").desc(), F.col(interval_id).asc()])
-    rows = left.select(left_id, *keys, F.col(day).alias("_day"))
-    return rows.join(answer, [*keys, "_day"]).select(left_id, interval_id, "_off", "_stay")
+    ).withColumn("_from", F.col("_start") - F.expr(f"interval {lead}"))
+    times = left.select(*keys, F.col(at).alias("_at")).distinct()
+    pairs = join_interval(times, best, keys, "_at", "_from", "_stop", width_days)
+    off, stay = F.abs(F.datediff("_at", "_start")), diff_boundary("second", "_start", "_stop")
+    scored = pairs.select(*keys, "_at", interval_id, off.alias("_off"), stay.alias("_stay"))
+    answer = latest_per_key(scored, [*keys, "_at"], [F.col("_off").asc(), F.col("_stay").desc(), F.col(interval_id).asc()])
+    rows = left.select(left_id, *keys, F.col(at).alias("_at"))
+    return rows.join(answer, [*keys, "_at"]).select(left_id, interval_id, "_off", "_stay")
 
 
 def waterfall_link(left: DataFrame, left_id: str, passes: Sequence[DataFrame], order: Sequence[Column | str]) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,9 +33,11 @@ def decode(df: DataFrame, dictionary: DataFrame, columns: dict[str, str]) -> Dat
     return out
 
 
-def filled_slots(slots: Sequence[str], n: int, prefix: str) -> dict[str, Column]:
-    """The first n filled slots in slot order, numbered without gaps: all within the row."""
+def filled_slots(slots: Sequence[str], n: int, prefix: str, by_code: bool = False) -> dict[str, Column]:
+    """The first n filled slots, numbered without gaps, in slot order or as distinct codes in code order: all within the row."""
     filled = F.array_compact(F.array(*slots))
+    if by_code:
+        filled = F.sort_array(F.array_distinct(filled))
     return {f"{prefix}_{i}": F.try_element_at(filled, F.lit(i)) for i in range(1, n + 1)}
 
 
@@ -50,6 +51,8 @@ def attendances(
     diagnosis_codes: Sequence[str],
     intent_code: str,
     slots: Sequence[str],
+    duplicate_key: Sequence[str] = ("person_id", "attendance_id", "arrival_date"),
+    slots_by_code: bool = False,
 ) -> DataFrame:
     """Attendances in scope, once each, decoded and flagged.
 
@@ -57,7 +60,7 @@ def attendances(
     complaint, intent, diagnoses (comma list); comorbidities: ident plus numbered slots; dictionary: code, description, created
     """
     scope = feed.filter(F.col("department").isin(list(departments)) & not_in_or_null("discharge_status", list(excluded_discharges)))
-    once = drop_repeats(scope, ["person_id", "attendance_id", "arrival_date"], [F.col("record_id").asc()])
+    once = drop_repeats(scope, list(duplicate_key), [F.col("record_id").asc()])
     current = latest_per_key(dictionary.filter(F.col("description").isNotNull()), ["code"], [F.col("created").desc(), F.col("description")])
     dx = {f"diagnosis_{i}": nth_item("diagnoses", ",", i) for i in range(1, 5)}
     six, over_six = breach("wait_minutes", 360)
@@ -81,7 +84,7 @@ def attendances(
         }
     )
     decoded = decode(rows, current, {"complaint": "complaint_text", **{c: f"{c}_text" for c in dx}})
-    sick = comorbidities.select("ident", *[c.alias(n) for n, c in filled_slots(slots, 4, "comorbidity").items()])
+    sick = comorbidities.select("ident", *[c.alias(n) for n, c in filled_slots(slots, 4, "comorbidity", slots_by_code).items()])
     return decoded.join(sick, "ident", "left")
 
 

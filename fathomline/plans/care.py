@@ -13,7 +13,7 @@ from fathomline.functions.rules import band, flag, flag_any, length_of_stay, rec
 from fathomline.functions.text import map_codes
 from fathomline.operators.joins import asof_max, nearest_containing, waterfall_link
 from fathomline.operators.keys import latest_per_key
-from fathomline.operators.ordered import global_sequence, scan
+from fathomline.operators.ordered import global_sequence, scan, sequence
 from fathomline.session import materialise
 from fathomline.sources.loads import upsert_newer
 
@@ -79,9 +79,11 @@ def referral_contacts(referrals: DataFrame, contacts: DataFrame, low: Column, hi
     return out.drop("_previous")
 
 
-def overall_order(rows: DataFrame) -> DataFrame:
-    """One number over the whole table: by received date, referral, provider and contact."""
+def overall_order(rows: DataFrame, per_referral: bool = False) -> DataFrame:
+    """One number over the whole table, or within each referral: by received date, referral, provider and contact."""
     placed = rows.withColumn("_c", F.coalesce("contact_order", F.lit(1)))
+    if per_referral:
+        return sequence(placed, ["referral_id"], ["received", "provider", "_c"], F.trunc("received", "month"), "overall_order").drop("_c")
     return global_sequence(placed, ["received", "referral_id", "provider", "_c"], F.trunc("received", "month"), "overall_order").drop("_c")
 
 
@@ -148,12 +150,19 @@ def ward_stays(stays: DataFrame) -> DataFrame:
 
 
 def known_to_service(
-    attendances: DataFrame, referrals: DataFrame, person: str, arrival: str, own_source: str, horizons: Sequence[int] = (6, 24)
+    attendances: DataFrame,
+    referrals: DataFrame,
+    person: str,
+    arrival: str,
+    own_source: str,
+    horizons: Sequence[int] = (6, 24),
+    days_per_month: int | None = None,
 ) -> DataFrame:
     """Known flags per horizon in months, and previously known, one row out per attendance.
 
     Any referral up to the arrival day counts if within the horizon, or if older and still open. A referral made
-    by the department itself on the day clears the flag; one made by it earlier within the horizon sets it.
+    by the department itself on the day clears the flag; one made by it earlier within the horizon sets it. Months are
+    calendar boundaries, or `days_per_month` days each if that is given.
     referrals: person, received, discharged, rejected, source
     """
     never = F.lit("9999-12-31").cast("date")
@@ -189,25 +198,28 @@ def known_to_service(
     same_day_own = F.coalesce(F.col("_own") == arrived, F.lit(False))
     open_now = F.coalesce(F.col("_ends") > arrived, F.lit(False))
 
-    def months(since: Column) -> Column:
-        return diff_boundary("month", since, arrived)
+    def within(since: Column, h: int) -> Column:
+        if days_per_month:
+            return F.datediff(arrived, since) <= h * days_per_month
+        return diff_boundary("month", since, arrived) <= h
 
     flags = {}
     for h in horizons:
-        own_earlier = F.coalesce(months(F.col("_own_before")) <= h, F.lit(False))
-        known_now = F.coalesce(months(F.col("_any")) <= h, F.lit(False)) | open_now
+        own_earlier = F.coalesce(within(F.col("_own_before"), h), F.lit(False))
+        known_now = F.coalesce(within(F.col("_any"), h), F.lit(False)) | open_now
         flags[f"known_{h}_months"] = F.when(own_earlier, 1).when(same_day_own, F.lit(None)).when(known_now, 1)
-    old = F.coalesce(months(F.date_sub(never, F.col("_age"))) > max(horizons), F.lit(False))
-    old_own = F.coalesce(months(F.date_sub(never, F.col("_oldest_own"))) > max(horizons), F.lit(False))
+    old = F.coalesce(~within(F.date_sub(never, F.col("_age")), max(horizons)), F.lit(False))
+    old_own = F.coalesce(~within(F.date_sub(never, F.col("_oldest_own")), max(horizons)), F.lit(False))
     flags["previously_known"] = F.when(old_own, 1).when(same_day_own, F.lit(None)).when(old, 1)
     return seen.withColumns(flags).select(*attendances.columns, *flags)
 
 
-def legal_episodes(periods: DataFrame, other_feeds: Sequence[DataFrame], spells: DataFrame, run_end: Column) -> DataFrame:
+def legal_episodes(periods: DataFrame, other_feeds: Sequence[DataFrame], spells: DataFrame, run_end: Column, lead: str = "24 hours") -> DataFrame:
     """Legal-status episodes linked to spells.
 
-    Episodes that other feeds report in the same month go; the latest month of each episode stays. Links: person key
-    and record number; then person key and provider; then the referral itself. Best: nearest start, longest stay, id.
+    Episodes that other feeds report in the same month go; the latest month of each episode stays. Links, each where the
+    episode starts between `lead` before the spell and its end: by person key and record number; then by person key and
+    provider; then by referral. Best: nearest start day, longest stay, id. The first two also set the referral.
     periods: episode_id, month_id, record_no, person_id, derived_person_id, provider, referral_id, start, uniq_id
     other_feeds: episode_id, month_id; spells: spell_id, record_no, person_id, derived_person_id, provider, referral_id, start, discharge
     """
@@ -220,23 +232,19 @@ def legal_episodes(periods: DataFrame, other_feeds: Sequence[DataFrame], spells:
         F.coalesce("derived_person_id", "person_id").alias("person_key"),
         "record_no",
         "provider",
-        F.col("referral_id").alias("spell_referral"),
+        "referral_id",
         F.col("start").alias("spell_start"),
         F.coalesce("discharge", run_end).alias("spell_end"),
     )
 
-    def timed(keys: list[str]) -> DataFrame:
-        return nearest_containing(latest, "episode_id", side, keys, "start", "spell_start", "spell_end", "spell_id", lead_days=1)
+    def held(keys: list[str]) -> DataFrame:
+        return nearest_containing(latest, "episode_id", side, keys, "start", "spell_start", "spell_end", "spell_id", lead)
 
-    by_referral = latest.select("episode_id", "referral_id", "start").join(side, F.col("referral_id") == F.col("spell_referral"))
-    direct = by_referral.select(
-        "episode_id", "spell_id", F.abs(F.datediff("start", "spell_start")).alias("_off"), F.datediff("spell_end", "spell_start").alias("_stay")
-    )
-    order = [F.col("_off").asc(), F.col("_stay").desc(), F.col("spell_id").asc()]
-    linked = waterfall_link(latest, "episode_id", [timed(["person_key", "record_no"]), timed(["person_key", "provider"]), direct], order)
-    linked = linked.join(side.select("spell_id", "spell_referral"), "spell_id", "left")
-    own = F.when(F.col("pass_no") <= 2, F.col("spell_referral")).otherwise(F.col("referral_id"))
-    return linked.withColumn("referral_id", F.coalesce(own, F.col("referral_id"))).drop("_off", "_stay", "spell_referral", "person_key")
+    passes = [held(["person_key", "record_no"]), held(["person_key", "provider"]), held(["referral_id"])]
+    linked = waterfall_link(latest, "episode_id", passes, [F.col("_off").asc(), F.col("_stay").desc(), F.col("spell_id").asc()])
+    referral = side.select("spell_id", F.col("referral_id").alias("_spell_referral"))
+    linked = linked.join(referral, "spell_id", "left").withColumn("referral_id", F.coalesce("_spell_referral", "referral_id"))
+    return linked.drop("_off", "_stay", "_spell_referral", "person_key")
 
 
 def spell_legal_status(spells: DataFrame, episodes: DataFrame, formal: Sequence[str], hold: str) -> DataFrame:

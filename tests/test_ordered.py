@@ -194,7 +194,7 @@ def test_nearest_containing(spark):
     spans = [(i, rng.choice(["hot", "hot", "x"]), s := rng.randrange(80), s + rng.choice([-1, 0, 3, 40])) for i in range(120)]
     l = spark.createDataFrame(left, "id long, k string, d date")
     s = spark.createDataFrame([(i, k, day(a), day(b)) for i, k, a, b in spans], "sid long, k string, a date, b date")
-    out = joins.nearest_containing(l, "id", s, ["k"], "d", "a", "b", "sid", lead_days=1, width_days=8)
+    out = joins.nearest_containing(l, "id", s, ["k"], "d", "a", "b", "sid", "1 day", width_days=8)
     got = {r.id: (r.sid, r._off, r._stay) for r in out.collect()}
     want = {}
     for i, k, d in left:
@@ -202,7 +202,7 @@ def test_nearest_containing(spark):
         found = [(abs(n - a), -(b - a), sid) for sid, kk, a, b in spans if kk == k and a - 1 <= n <= b]
         if found:
             off, stay, sid = min(found)
-            want[i] = (sid, off, -stay)
+            want[i] = (sid, off, -stay * 86400)
     assert got == want
 
 
