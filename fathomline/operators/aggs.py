@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathomline.operators.keys import top_per_key
-from fathomline.operators.ordered import running, sequence
+from fathomline.operators.ordered import HOT, SPAN, running, sequence, spans
 
 
 def count_by(df: DataFrame, keys: Sequence[str | Column], out: str = "n") -> DataFrame:
@@ -68,18 +68,22 @@ def cumulative_as_at(
 def concat_ordered(
     df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str], sep: str, out: str, chunk: Column | None = None
 ) -> DataFrame:
-    """Texts of a key joined in order. With `chunk` the pieces are first joined per (key, chunk), so that
+    """Texts of a key joined in order. With `chunk` the texts of a hot key are first joined per (key, chunk), so that
     sorting a long list is spread; the final value is as long as the result asks for."""
 
-    def joined(rows: DataFrame, by: Sequence[str], text: str, place: Sequence[str], name: str) -> DataFrame:
+    def joined(rows: DataFrame, by: Sequence[str | Column], text: str, place: Sequence[str | Column]) -> DataFrame:
         ordered = F.sort_array(F.collect_list(F.struct(*place, F.col(text).alias("_text"))))
-        return rows.groupBy(*by).agg(F.array_join(F.transform(ordered, lambda x: x["_text"]), sep).alias(name))
+        return rows.groupBy(*by).agg(F.array_join(F.transform(ordered, lambda x: x["_text"]), sep).alias(out))
 
     rows = df.filter(F.col(value).isNotNull())
     if chunk is None:
-        return joined(rows, keys, value, order, out)
-    pieces = joined(rows.withColumn("_chunk", chunk), [*keys, "_chunk"], value, order, "_piece")
-    return joined(pieces, keys, "_piece", ["_chunk"], out)
+        return joined(rows, keys, value, order)
+    g = spans(rows, keys, chunk)
+    key = F.col(f"{SPAN}.k").alias("_k")
+    fits = joined(g.filter(~F.col(HOT)), [SPAN], value, order).select(key, out)
+    pieces = joined(g.filter(F.col(HOT)), [SPAN], value, order)
+    whole = joined(pieces, [key], out, [F.col(f"{SPAN}.c").alias("_c")])
+    return fits.unionByName(whole).select(*[F.col(f"_k.{k}").alias(k) for k in keys], out)
 
 
 def concat_numbered(

@@ -13,7 +13,7 @@ summary, rows): write an expensive one first with `session.materialise`.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -184,27 +184,32 @@ def _join_rank(df: DataFrame, ranks: DataFrame, on: Sequence[str], out: str) ->
     return df.alias("d").join(ranks.alias("r"), null_safe("d", "r", on)).select("d.*", F.col(f"r.{out}"))
 
 
-def islands(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, breaks_after: "callable", t: str) -> DataFrame:
+def islands(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, breaks_after: Callable[[Column, Column], Column], t: str) -> DataFrame:
     """Gaps and islands. `breaks_after(prev, this)` says whether a new island starts between two
     neighbouring times. Gives keys, island (numbered per key), start_time, end_time, events.
 
-    Islands are first built inside each chunk; of a hot key the chunk edges are then compared.
+    Islands are built inside each span. Those of keys that fit are final; of a hot key the edges of its chunks are
+    compared and islands that go on are put together.
     """
     g = spans(df.select(*keys, *dict.fromkeys([*order, t])), keys, chunk)
     frame = Window.partitionBy(SPAN).orderBy(*order)
     prev = F.lag(t).over(frame)
-    starts = F.when(prev.isNull() | breaks_after(prev, F.col(t)), 1).otherwise(0)
-    marked = g.withColumn("_start", starts)
-    marked = marked.withColumn("_no", F.sum("_start").over(frame.rowsBetween(Window.unboundedPreceding, 0)))
-    local = marked.groupBy(SPAN, HOT, "_no").agg(F.min(t).alias("start_time"), F.max(t).alias("end_time"), F.count(F.lit(1)).alias("events"))
-    summary = local.filter(HOT).groupBy(SPAN).agg(F.count(F.lit(1)).alias("_n"), F.min("start_time").alias("_lo"), F.max("end_time").alias("_hi"))
+
+    def local(rows: DataFrame) -> DataFrame:
+        marked = rows.withColumn("_start", F.when(prev.isNull() | breaks_after(prev, F.col(t)), 1).otherwise(0))
+        marked = marked.withColumn("_no", F.sum("_start").over(frame.rowsBetween(Window.unboundedPreceding, 0)))
+        return marked.groupBy(SPAN, "_no").agg(F.min(t).alias("start_time"), F.max(t).alias("end_time"), F.count(F.lit(1)).alias("events"))
+
+    pieces = local(g.filter(F.col(HOT)))
+    summary = pieces.groupBy(SPAN).agg(F.count(F.lit(1)).alias("_n"), F.min("start_time").alias("_lo"), F.max("end_time").alias("_hi"))
     before = F.lag("_hi").over(_across())
     linked = summary.withColumn("_joins", F.when(before.isNull() | breaks_after(before, F.col("_lo")), 0).otherwise(1))
     offset = F.coalesce(F.sum("_n").over(_across().rowsBetween(*BEFORE)), F.lit(0)) - F.sum("_joins").over(
         _across().rowsBetween(Window.unboundedPreceding, 0)
     )
-    carried = linked.select(SPAN, offset.alias("_offset"))
-    numbered = local.join(carried, SPAN, "left").withColumn("island", F.col("_no") + F.coalesce("_offset", F.lit(0)))
-    return numbered.groupBy(*[F.col(f"{SPAN}.k.{k}").alias(k) for k in keys], "island").agg(
+    numbered = pieces.join(linked.select(SPAN, offset.alias("_offset")), SPAN).withColumn("island", F.col("_no") + F.col("_offset"))
+    joined = numbered.groupBy(F.col(f"{SPAN}.k").alias("_k"), "island").agg(
         F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"), F.sum("events").alias("events")
     )
+    final = local(g.filter(~F.col(HOT))).select(F.col(f"{SPAN}.k").alias("_k"), F.col("_no").alias("island"), "start_time", "end_time", "events")
+    return final.unionByName(joined).select(*[F.col(f"_k.{k}").alias(k) for k in keys], "island", "start_time", "end_time", "events")

@@ -19,20 +19,28 @@ def merge_sessions_full(df: DataFrame, keys: Sequence[str], start: str, end: str
     """
     until = F.coalesce(F.col(end), F.col(start))
     g = spans(df.select(*dict.fromkeys([*keys, *order, start, end])), keys, chunk).withColumn("_until", until)
-    seen = scan_spans(g, order, measures={"_reach": ("max", F.col("_until"))}, current=False)
-    fresh = F.when(F.col("_reach").isNull() | (F.col(start) > F.col("_reach")), 1).otherwise(0)
     inside = Window.partitionBy(SPAN).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    numbered = seen.withColumn("_no", F.sum(fresh).over(inside))
-    # _no = 0 is the tail of a session that began in an earlier chunk
-    local = numbered.groupBy(SPAN, HOT, "_no").agg(
-        F.min(start).alias("start_time"), F.max("_until").alias("end_time"), F.count(F.lit(1)).alias("rows_merged")
-    )
-    begun = local.filter(HOT).groupBy(SPAN).agg(F.max("_no").alias("_n"))
+    fresh = F.when(F.col("_reach").isNull() | (F.col(start) > F.col("_reach")), 1).otherwise(0)
+
+    def local(rows: DataFrame) -> DataFrame:
+        seen = scan_spans(rows, order, measures={"_reach": ("max", F.col("_until"))}, current=False)
+        return (
+            seen.withColumn("_no", F.sum(fresh).over(inside))
+            .groupBy(SPAN, "_no")
+            .agg(F.min(start).alias("start_time"), F.max("_until").alias("end_time"), F.count(F.lit(1)).alias("rows_merged"))
+        )
+
+    # of a hot key, _no = 0 is the tail of a session that began in an earlier chunk
+    pieces = local(g.filter(F.col(HOT)))
+    begun = pieces.groupBy(SPAN).agg(F.max("_no").alias("_n"))
     carried = begun.select(SPAN, F.coalesce(F.sum("_n").over(_across().rowsBetween(*BEFORE)), F.lit(0)).alias("_offset"))
-    out = local.join(carried, SPAN, "left").withColumn("session", F.col("_no") + F.coalesce("_offset", F.lit(0)))
-    return out.groupBy(*[F.col(f"{SPAN}.k.{k}").alias(k) for k in keys], "session").agg(
-        F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"), F.sum("rows_merged").alias("rows_merged")
+    joined = (
+        pieces.join(carried, SPAN)
+        .groupBy(F.col(f"{SPAN}.k").alias("_k"), (F.col("_no") + F.col("_offset")).alias("session"))
+        .agg(F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"), F.sum("rows_merged").alias("rows_merged"))
     )
+    final = local(g.filter(~F.col(HOT))).select(F.col(f"{SPAN}.k").alias("_k"), F.col("_no").alias("session"), "start_time", "end_time", "rows_merged")
+    return final.unionByName(joined).select(*[F.col(f"_k.{k}").alias(k) for k in keys], "session", "start_time", "end_time", "rows_merged")
 
 
 def merge_sessions_pairwise(df: DataFrame, keys: Sequence[str], start: str, end: str, order: Sequence[str], chunk: Column) -> DataFrame:

@@ -159,7 +159,9 @@ def test_exceptions_come_in_two_forms(spark):
     assert got == [(1, "No value - deceased", "id 1"), (2, "No value - living", "id 2")]
 
 
-def test_ordered_texts_with_and_without_chunks(spark):
+@pytest.mark.parametrize("hot_rows", [5, 1_000_000])
+def test_ordered_texts_with_and_without_chunks(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr("fathomline.operators.ordered.HOT_ROWS", hot_rows)
     df = spark.createDataFrame([("k", i, f"t{i}") for i in range(25)] + [("k", 30, None), ("e", 1, None)], "k string, i int, t string")
     want = ",".join(f"t{i}" for i in range(25))
     for chunk in (None, F.expr("i div 10")):
