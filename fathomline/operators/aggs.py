@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathomline.operators.keys import top_per_key
-from fathomline.operators.ordered import HOT, SPAN, running, sequence, spans
+from fathomline.operators.ordered import HASH, HOT, SPAN, running, sequence, spans
 
 
 def count_by(df: DataFrame, keys: Sequence[str | Column], out: str = "n") -> DataFrame:
@@ -80,8 +80,8 @@ def concat_ordered(
         return joined(rows, keys, value, order)
     g = spans(rows, keys, chunk)
     key = F.col(f"{SPAN}.k").alias("_k")
-    fits = joined(g.filter(~F.col(HOT)), [SPAN], value, order).select(key, out)
-    pieces = joined(g.filter(F.col(HOT)), [SPAN], value, order)
+    fits = joined(g.filter(~F.col(HOT)), [HASH, SPAN], value, order).select(key, out)
+    pieces = joined(g.filter(F.col(HOT)), [HASH, SPAN], value, order)
     whole = joined(pieces, [key], out, [F.col(f"{SPAN}.c").alias("_c")])
     return fits.unionByName(whole).select(*[F.col(f"_k.{k}").alias(k) for k in keys], out)
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000  # rows of one key that a task takes without being split
 
 SPAN = "_span"  # (key, chunk): never NULL itself, so equality on it is NULL-safe; chunk is NULL for a key that fits
+HASH = "_hash"  # of the span: sorts fast, where a struct alone sorts slowly
 HOT = "_hot"
 BEFORE = (Window.unboundedPreceding, -1)
 AFTER = (1, Window.unboundedFollowing)
@@ -35,17 +36,19 @@ def _col(c: Column | str) -> Column:
 def spans(df: DataFrame, keys: Sequence[str], chunk: Column) -> DataFrame:
     """df with its (key, chunk) column and a mark on the rows of hot keys. With no keys the table is one hot key."""
     if not keys:
-        return df.withColumns({HOT: F.lit(True), SPAN: F.struct(F.lit(0).alias("k"), chunk.alias("c"))})
+        whole = df.withColumns({HOT: F.lit(True), SPAN: F.struct(F.lit(0).alias("k"), chunk.alias("c"))})
+        return whole.withColumn(HASH, F.xxhash64(SPAN))
     key = F.struct(*keys)
     # at most (rows of the table / HOT_ROWS) keys can be hot, which bounds what is broadcast
     hot = df.groupBy(key.alias("_hot_key")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > HOT_ROWS).select("_hot_key")
     marked = df.join(F.broadcast(hot), key == F.col("_hot_key"), "left").withColumn(HOT, F.col("_hot_key").isNotNull())
-    return marked.drop("_hot_key").withColumn(SPAN, F.struct(key.alias("k"), F.when(F.col(HOT), chunk).alias("c")))
+    spanned = marked.drop("_hot_key").withColumn(SPAN, F.struct(key.alias("k"), F.when(F.col(HOT), chunk).alias("c")))
+    return spanned.withColumn(HASH, F.xxhash64(SPAN))
 
 
 def release(df: DataFrame) -> DataFrame:
     """df without the columns made by spans."""
-    return df.drop(SPAN, HOT)
+    return df.drop(SPAN, HASH, HOT)
 
 
 def _sorted(order: Sequence[Column | str], descending: bool) -> list[Column]:
@@ -82,7 +85,7 @@ def scan_spans(
     sort and one summary, however much is asked for.
     """
     measures, before, after = measures or {}, before or {}, after or {}
-    line = Window.partitionBy(SPAN).orderBy(*_sorted(order, descending))
+    line = Window.partitionBy(HASH, SPAN).orderBy(*_sorted(order, descending))
     frame = line.rowsBetween(Window.unboundedPreceding, 0 if current else -1)
     across = _across(descending)
     local = {f"_l_{out}": AGG[kind](e).over(frame) for out, (kind, e) in measures.items()}
@@ -99,9 +102,9 @@ def scan_spans(
             carried.append(step(name).over(across).alias(f"_c{name}"))
             near = F.coalesce(f"_l{name}", f"_c{name}")
             results += [near[v].alias(v) for v in values]
-    summary = df.filter(HOT).groupBy(SPAN).agg(*totals).select(SPAN, *carried)
+    summary = df.filter(HOT).groupBy(HASH, SPAN).agg(*totals).select(HASH, SPAN, *carried)
     made = {*measures, *before, *after}
-    return df.withColumns(local).join(summary, SPAN, "left").select(*[c for c in df.columns if c not in made], *results)
+    return df.withColumns(local).join(summary, [HASH, SPAN], "left").select(*[c for c in df.columns if c not in made], *results)
 
 
 def scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], chunk: Column, **asked) -> DataFrame:
@@ -156,12 +159,12 @@ def gap_since_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, value: str, out: str) -> DataFrame:
     """The value of the row itself if present, else the next non-NULL one of the key."""
     g = spans(df, keys, chunk)
-    ahead = Window.partitionBy(SPAN).orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
+    ahead = Window.partitionBy(HASH, SPAN).orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
     local = g.withColumn("_near", F.first(value, ignorenulls=True).over(ahead))
-    summary = g.filter(HOT).groupBy(SPAN).agg(F.min_by(F.col(value), F.when(F.col(value).isNotNull(), F.struct(*order))).alias("_first"))
-    carried = summary.select(SPAN, F.first("_first", ignorenulls=True).over(_across().rowsBetween(*AFTER)).alias("_far"))
+    summary = g.filter(HOT).groupBy(HASH, SPAN).agg(F.min_by(F.col(value), F.when(F.col(value).isNotNull(), F.struct(*order))).alias("_first"))
+    carried = summary.select(HASH, SPAN, F.first("_first", ignorenulls=True).over(_across().rowsBetween(*AFTER)).alias("_far"))
     kept = [c for c in df.columns if c != out]
-    return local.join(carried, SPAN, "left").select(*kept, F.coalesce("_near", "_far").alias(out))
+    return local.join(carried, [HASH, SPAN], "left").select(*kept, F.coalesce("_near", "_far").alias(out))
 
 
 def dense_rank_per_key(df: DataFrame, keys: Sequence[str], value: str, chunk: Column, out: str, descending: bool = False) -> DataFrame:
@@ -192,22 +195,22 @@ def islands(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Col
     compared and islands that go on are put together.
     """
     g = spans(df.select(*keys, *dict.fromkeys([*order, t])), keys, chunk)
-    frame = Window.partitionBy(SPAN).orderBy(*order)
+    frame = Window.partitionBy(HASH, SPAN).orderBy(*order)
     prev = F.lag(t).over(frame)
 
     def local(rows: DataFrame) -> DataFrame:
         marked = rows.withColumn("_start", F.when(prev.isNull() | breaks_after(prev, F.col(t)), 1).otherwise(0))
         marked = marked.withColumn("_no", F.sum("_start").over(frame.rowsBetween(Window.unboundedPreceding, 0)))
-        return marked.groupBy(SPAN, "_no").agg(F.min(t).alias("start_time"), F.max(t).alias("end_time"), F.count(F.lit(1)).alias("events"))
+        return marked.groupBy(HASH, SPAN, "_no").agg(F.min(t).alias("start_time"), F.max(t).alias("end_time"), F.count(F.lit(1)).alias("events"))
 
     pieces = local(g.filter(F.col(HOT)))
-    summary = pieces.groupBy(SPAN).agg(F.count(F.lit(1)).alias("_n"), F.min("start_time").alias("_lo"), F.max("end_time").alias("_hi"))
+    summary = pieces.groupBy(HASH, SPAN).agg(F.count(F.lit(1)).alias("_n"), F.min("start_time").alias("_lo"), F.max("end_time").alias("_hi"))
     before = F.lag("_hi").over(_across())
     linked = summary.withColumn("_joins", F.when(before.isNull() | breaks_after(before, F.col("_lo")), 0).otherwise(1))
     offset = F.coalesce(F.sum("_n").over(_across().rowsBetween(*BEFORE)), F.lit(0)) - F.sum("_joins").over(
         _across().rowsBetween(Window.unboundedPreceding, 0)
     )
-    numbered = pieces.join(linked.select(SPAN, offset.alias("_offset")), SPAN).withColumn("island", F.col("_no") + F.col("_offset"))
+    numbered = pieces.join(linked.select(HASH, SPAN, offset.alias("_offset")), [HASH, SPAN]).withColumn("island", F.col("_no") + F.col("_offset"))
     joined = numbered.groupBy(F.col(f"{SPAN}.k").alias("_k"), "island").agg(
         F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"), F.sum("events").alias("events")
     )

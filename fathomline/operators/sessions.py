@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fathomline.functions.dates import diff_boundary, whole_minutes
-from fathomline.operators.ordered import BEFORE, HOT, SPAN, _across, scan, scan_spans, spans
+from fathomline.operators.ordered import BEFORE, HASH, HOT, SPAN, _across, scan, scan_spans, spans
 
 
 def merge_sessions_full(df: DataFrame, keys: Sequence[str], start: str, end: str, order: Sequence[str], chunk: Column) -> DataFrame:
@@ -19,23 +19,23 @@ def merge_sessions_full(df: DataFrame, keys: Sequence[str], start: str, end: str
     """
     until = F.coalesce(F.col(end), F.col(start))
     g = spans(df.select(*dict.fromkeys([*keys, *order, start, end])), keys, chunk).withColumn("_until", until)
-    inside = Window.partitionBy(SPAN).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(HASH, SPAN).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     fresh = F.when(F.col("_reach").isNull() | (F.col(start) > F.col("_reach")), 1).otherwise(0)
 
     def local(rows: DataFrame) -> DataFrame:
         seen = scan_spans(rows, order, measures={"_reach": ("max", F.col("_until"))}, current=False)
         return (
             seen.withColumn("_no", F.sum(fresh).over(inside))
-            .groupBy(SPAN, "_no")
+            .groupBy(HASH, SPAN, "_no")
             .agg(F.min(start).alias("start_time"), F.max("_until").alias("end_time"), F.count(F.lit(1)).alias("rows_merged"))
         )
 
     # of a hot key, _no = 0 is the tail of a session that began in an earlier chunk
     pieces = local(g.filter(F.col(HOT)))
-    begun = pieces.groupBy(SPAN).agg(F.max("_no").alias("_n"))
-    carried = begun.select(SPAN, F.coalesce(F.sum("_n").over(_across().rowsBetween(*BEFORE)), F.lit(0)).alias("_offset"))
+    begun = pieces.groupBy(HASH, SPAN).agg(F.max("_no").alias("_n"))
+    carried = begun.select(HASH, SPAN, F.coalesce(F.sum("_n").over(_across().rowsBetween(*BEFORE)), F.lit(0)).alias("_offset"))
     joined = (
-        pieces.join(carried, SPAN)
+        pieces.join(carried, [HASH, SPAN])
         .groupBy(F.col(f"{SPAN}.k").alias("_k"), (F.col("_no") + F.col("_offset")).alias("session"))
         .agg(F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"), F.sum("rows_merged").alias("rows_merged"))
     )
