@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from fathomline.catalog.aggs import IN_OUT, PERIODS, STAYS, stays
 from fathomline.catalog.registry import Tables, query
-from fathomline.functions.dates import at
 from fathomline.operators.aggs import period_table
 from fathomline.plans import attendance
 from fathomline.session import materialise

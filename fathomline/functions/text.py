@@ -47,7 +47,7 @@ def nth_item(c: Column | str, sep: str, n: int) -> Column:
 
 def number_after(c: Column | str, sep: str, n: int) -> Column:
     """The n-th item as a number, NULL where it is not one."""
-    return F.expr("1") * nth_item(c, sep, n).try_cast("long")
+    return nth_item(c, sep, n).try_cast("long")
 
 
 def split_items(c: Column | str, sep: str) -> Column:

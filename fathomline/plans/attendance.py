@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.functions.dates import make_ts
-from fathomline.functions.rules import band, breach, flag, flag_any, flag_in, not_in_or_null
+from fathomline.functions.rules import band, breach, flag, flag_any, not_in_or_null
 from fathomline.functions.text import nth_item
 from fathomline.operators.aggs import multi_period_summary
 from fathomline.operators.joins import asof_last

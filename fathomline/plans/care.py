@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.functions.dates import diff_boundary
-from fathomline.functions.rules import band, flag, flag_any, length_of_stay, record_status
+from fathomline.functions.rules import band, flag, length_of_stay, record_status
 from fathomline.functions.text import map_codes
 from fathomline.operators.joins import asof_max, nearest_containing, waterfall_link
 from fathomline.operators.keys import latest_per_key

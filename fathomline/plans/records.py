@@ -12,7 +12,7 @@ from fathomline.functions.rules import flag
 from fathomline.functions.text import map_codes, message, strip_markup
 from fathomline.operators.aggs import concat_ordered, profile_nulls
 from fathomline.operators.joins import effective_at, value_changes
-from fathomline.operators.keys import exists_flag, latest_per_key, top_per_key
+from fathomline.operators.keys import exists_flag, latest_per_key
 from fathomline.operators.ordered import scan
 
 
