@@ -78,6 +78,6 @@ def test_rows_are_windowed_by_key_and_chunk(spark, capsys, name):
     text = plan(QUERIES[name](spark, FOLDER), capsys)
     rows = [line for line in text.splitlines() if "Window [" in line and "_span" in line]
     assert rows
-    exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning(_span" in line]
+    exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning(_hash" in line and "_span" in line]
     assert exchanges
     assert "Exchange SinglePartition" not in text
