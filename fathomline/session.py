@@ -1,4 +1,4 @@
-"""Session defaults and the shared scratch location."""
+"""Session defaults, the shared scratch location, and stages written to it."""
 
 from __future__ import annotations
 
@@ -8,17 +8,23 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: What the operators rely on. `build_session` sets these; on a session made elsewhere `require` says what is missing.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+}
+
+_LOCAL: dict[str, str] = {}
+
 
 def build_session(app_name: str = "fathomline", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators rely on. Cluster sizing stays with the cluster."""
-    builder = (
-        SparkSession.builder.appName(app_name)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    )
+    builder = SparkSession.builder.appName(app_name)
+    for key, value in SETTINGS.items():
+        builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
@@ -29,13 +35,19 @@ def build_session(app_name: str = "fathomline", master: str | None = None, **con
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: the one named by spark.checkpoint.dir.
 
-    Only where that setting is absent (tests on one machine) a temporary folder is made and set.
+    Where it is absent, a session on one machine (`local[...]`) gets a temporary folder; on any other master this is an
+    error, since each executor would write to a disk of its own. The session's settings are not changed.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="fathomline-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="fathomline-")
+    return _LOCAL[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -43,8 +55,40 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder, on whichever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Stages:
+    """Intermediate tables of one job, in the shared folder.
+
+    `write` runs the job that fills the table at once (so a caller pays for it when the frame is built, not when it is
+    read) and returns the table read back: lineage ends there and a lost executor loses nothing. `remove` deletes a table
+    that no later step reads; used as a context manager, everything that is left goes at the end.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        self.paths[name] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self, *names: str) -> None:
+        for name in names or tuple(self.paths):
+            remove_path(self.spark, self.paths.pop(name))
+
+    def __enter__(self) -> Stages:
+        return self
+
+    def __exit__(self, *exc: object) -> None:
+        self.remove()
+
+
 def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write df once to the shared folder and read it back: cuts lineage, survives lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write df once to the shared folder and read it back (see Stages.write); its files stay until the folder is cleaned."""
+    return Stages(df.sparkSession).write(df, name)
