@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathomline.llm import chat_events, mixing, secret_scan, warc_writer
+from fathomline.llm import chat_events, language_crf, mixing, secret_scan, toxicity_mil, warc_writer
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +22,19 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secret_scan(docs, F.col("source"), repository)
 
 
+def fold(n: int, key: str = "doc_id"):
+    """A document's fold: crc32 of its id as text, modulo n (a null id counts as empty text)."""
+    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % n
+
+
+def op2_language_crf(spark: SparkSession, folder: str) -> DataFrame:
+    return language_crf.predict_languages(table(spark, folder, "documents"), fold(5) == 0)
+
+
+def op3_toxicity_mil(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity_mil.predict_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"), fold(4) == 2)
+
+
 def op4_warc_writer(spark: SparkSession, folder: str) -> DataFrame:
     return warc_writer.round_trip(spark, table(spark, folder, "pages"))
 
@@ -40,6 +53,8 @@ def op8_chat_events(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_language_crf": op2_language_crf,
+    "op3_toxicity_mil": op3_toxicity_mil,
     "op4_warc_writer": op4_warc_writer,
     "op7_mixing": op7_mixing,
     "op8_chat_events": op8_chat_events,

@@ -24,10 +24,10 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fathomline.llm.files import open_folder
 from fathomline.session import Stages, remove_path, scratch_path
 
 REVISIT_BYTES = 100
@@ -38,11 +38,6 @@ MANIFEST = "file string, bytes long, sha256 string, records long"
 RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
-def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a folder and the folder's path on it."""
-    return fs.FileSystem.from_uri(uri) if re.match(r"\w+:", uri) else (fs.LocalFileSystem(), uri)
-
-
 def record_id(page: object, digest: str, kind: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page}/{digest}/{kind}')}>"
 
