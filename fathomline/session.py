@@ -78,6 +78,13 @@ class Stages:
         self.paths[name] = path
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def put(self, df: DataFrame, name: str, *by: str) -> str:
+        """Write df as `write` does, in subfolders by the values of columns; returns the folder, for tasks that open files."""
+        path = scratch_path(self.spark, name)
+        df.write.partitionBy(*by).parquet(path)
+        self.paths[name] = path
+        return path
+
     def remove(self, *names: str) -> None:
         for name in names or tuple(self.paths):
             remove_path(self.spark, self.paths.pop(name))
