@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathomline.llm import chat_events, language_crf, mixing, secret_scan, toxicity_mil, warc_writer
+from fathomline.llm import chat_events, language_crf, mixing, perplexity, secret_scan, toxicity_mil, warc_writer
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op4_warc_writer(spark: SparkSession, folder: str) -> DataFrame:
     return warc_writer.round_trip(spark, table(spark, folder, "pages"))
 
 
+def op5_perplexity(spark: SparkSession, folder: str) -> DataFrame:
+    return perplexity.quality_rules(table(spark, folder, "documents"))
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sizes(table(spark, folder, "documents"))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_crf": op2_language_crf,
     "op3_toxicity_mil": op3_toxicity_mil,
     "op4_warc_writer": op4_warc_writer,
+    "op5_perplexity": op5_perplexity,
     "op7_mixing": op7_mixing,
     "op8_chat_events": op8_chat_events,
 }
