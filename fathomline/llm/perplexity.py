@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fathomline.llm.files import open_folder
@@ -97,7 +97,8 @@ def _characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def alphabets(docs: DataFrame) -> dict[str | None, np.ndarray]:
     """Per language, a table from code points to symbols. Its most frequent OTHER - 1 characters have their own."""
     counts = docs.mapInArrow(_characters, "lang string, c long, n long").groupBy("lang", "c").agg(F.sum("n").alias("n"))
-    top = counts.groupBy("lang").agg(F.expr(f"max_by(c, struct(n, -c), {OTHER - 1})").alias("c"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "c"))
+    top = counts.withColumn("rank", rank).filter(F.col("rank") < OTHER).groupBy("lang").agg(F.sort_array(F.collect_list("c")).alias("c"))
     out = {}
     for lang, chars in ((r[0], r[1]) for r in top.collect()):
         table = np.full(0x110000, OTHER, np.uint8)
@@ -172,7 +173,8 @@ def estimate(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     for n in range(ORDER - 1, 0, -1):  # a lower order counts in how many ways its n-grams are continued to the left
         levels.append(np.unique(levels[-1][0] & ((1 << (BITS * n)) - 1), return_counts=True))
     levels.reverse()
-    probability, entries = None, []
+    probability, root = None, 0.0
+    grams_at, contexts_at = [], []  # (hashes, logs) of each order; a context that begins a text is no n-gram itself
     for n, (k, c) in enumerate(levels, 1):
         d = discounts(c)[np.minimum(c, 3)]
         context, inverse = np.unique(k >> BITS, return_inverse=True)
@@ -180,18 +182,13 @@ def estimate(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
         left = np.bincount(inverse, d) / total  # the mass that this context gives to the lower order
         lower = 1.0 / SYMBOLS if n == 1 else probability[np.searchsorted(levels[n - 2][0], k & ((1 << (BITS * (n - 1))) - 1))]
         probability = (c - d) / total[inverse] + left[inverse] * lower
-        entries.append((hashed(k, n), np.log(probability)))
-        if n > 1:
-            entries.append((hashed(context, n - 1) | np.uint64(1 << 32), np.log(left)))
-        else:
+        grams_at.append((hashed(k, n), np.log(probability)))
+        if n == 1:
             root = np.log(left[0])
-    # a context may never end an n-gram itself (the start of a text), so back-off weights stand beside, keyed by the same hash
-    probabilities = [e for e in entries if e[0].dtype == np.uint32]
-    h = np.concatenate([e[0] for e in probabilities])
-    p = np.concatenate([e[1] for e in probabilities])
-    contexts = [e for e in entries if e[0].dtype != np.uint32]
-    ch = np.concatenate([e[0].astype(np.uint32) for e in contexts])
-    cw = np.concatenate([e[1] for e in contexts])
+        else:
+            contexts_at.append((hashed(context, n - 1), np.log(left)))
+    h, p = (np.concatenate(x) for x in zip(*grams_at))
+    ch, cw = (np.concatenate(x) for x in zip(*contexts_at))
     every = np.unique(np.concatenate((h, ch)))
     logp, back = np.full(len(every), np.nan, np.float32), np.zeros(len(every), np.float32)
     logp[np.searchsorted(every, h)] = p
@@ -332,7 +329,7 @@ def measure(docs: DataFrame, keep: list[str], stages: Stages) -> DataFrame:
     return stages.write(rows.mapInArrow(_scorer(folder, known, keep), schema), "perplexity-scores")
 
 
-def verdicts(measured: DataFrame, width: float = 4.0, short: float = 2000.0) -> DataFrame:
+def verdicts(measured: DataFrame, width: float = 2.5, short: float = 300.0) -> DataFrame:
     """measured with perplexity, base_failed and kept. A band reaches `width` quartile distances beyond the quartiles of its
     language (over texts that pass the base rules), times 1 + sqrt(short / characters) for short texts."""
     x = F.col("nats") / F.col("chars")
