@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathomline.llm import chat_events, language_crf, mixing, perplexity, secret_scan, toxicity_mil, warc_writer
+from fathomline.llm import chat_events, decontaminate, fuzzy_lines, language_crf, lsh_forest, mixing, perplexity, secret_scan, toxicity_mil, warc_writer
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -43,6 +43,10 @@ def op5_perplexity(spark: SparkSession, folder: str) -> DataFrame:
     return perplexity.quality_rules(table(spark, folder, "documents"))
 
 
+def op6_lsh_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return lsh_forest.similarity_join(table(spark, folder, "documents"))
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sizes(table(spark, folder, "documents"))
 
@@ -55,14 +59,25 @@ def op8_chat_events(spark: SparkSession, folder: str) -> DataFrame:
     return chat_events.chat_format(rows)
 
 
+def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op10_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return fuzzy_lines.line_dedup(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_language_crf": op2_language_crf,
     "op3_toxicity_mil": op3_toxicity_mil,
     "op4_warc_writer": op4_warc_writer,
     "op5_perplexity": op5_perplexity,
+    "op6_lsh_forest": op6_lsh_forest,
     "op7_mixing": op7_mixing,
     "op8_chat_events": op8_chat_events,
+    "op9_decontaminate": op9_decontaminate,
+    "op10_fuzzy_lines": op10_fuzzy_lines,
 }
 
 ORACLE_SQL: dict[str, str] = {
