@@ -196,14 +196,15 @@ def payments(t: Tables) -> DataFrame:
         F.col("l_linenumber").alias("status"),
         (F.col("l_partkey") % 5).alias("excess_portion"),
         (F.col("l_returnflag") == "R").cast("int").alias("tax_recoverable"),
-        F.col("l_extendedprice").alias("amount"),
-        F.col("l_quantity").alias("tax"),
+        F.col("l_extendedprice").cast("decimal(19,4)").alias("amount"),
+        F.col("l_quantity").cast("decimal(19,4)").alias("tax"),
         map_codes("l_returnflag", {"A": 1, "N": 2, "R": 3}).alias("head"),
         F.when(F.col("l_linestatus") == "F", 1).otherwise(2).alias("fund"),
+        F.col("l_partkey").alias("paid_at"),
     )
 
 
-PAYMENTS = """SELECT l_orderkey AS o_orderkey, CASE WHEN l_returnflag = 'R' THEN l_extendedprice ELSE l_extendedprice + l_quantity END AS gross, l_returnflag, l_linestatus
+PAYMENTS = """SELECT l_orderkey AS o_orderkey, CASE WHEN l_returnflag = 'R' THEN l_extendedprice ELSE l_extendedprice + l_quantity END AS gross, l_returnflag, l_linestatus, l_partkey
     FROM lineitem WHERE l_linenumber IN (1, 2, 4, 5) AND l_partkey % 5 <> 4"""
 
 
@@ -211,11 +212,12 @@ PAYMENTS = """SELECT l_orderkey AS o_orderkey, CASE WHEN l_returnflag = 'R' THEN
     "d17_payment_heads",
     f"""SELECT o_orderkey, round(sum(CASE WHEN l_returnflag = 'A' THEN gross END), 2) AS paid_damages, round(sum(CASE WHEN l_returnflag = 'N' THEN gross END), 2) AS paid_defence,
     round(sum(CASE WHEN l_returnflag = 'R' THEN gross END), 2) AS paid_claimant, round(sum(CASE WHEN l_linestatus = 'F' THEN gross END), 2) AS paid_fund,
-    round(sum(CASE WHEN l_linestatus = 'O' THEN gross END), 2) AS paid_member FROM ({PAYMENTS}) GROUP BY 1""",
+    round(sum(CASE WHEN l_linestatus = 'O' THEN gross END), 2) AS paid_member, round(sum(CASE WHEN l_linestatus = 'F' AND l_returnflag = 'N' THEN gross END), 2) AS paid_fund_defence,
+    max(l_partkey) AS last_paid FROM ({PAYMENTS}) GROUP BY 1""",
 )
 def _(t: Tables) -> DataFrame:
     out = aggs.payment_heads(payments(t), ["o_orderkey"])
-    return out.select("o_orderkey", *[F.round(c, 2).alias(c) for c in out.columns[1:]])
+    return out.select("o_orderkey", *[F.round(c, 2).cast("double").alias(c) for c in out.columns if c.startswith("paid_")], "last_paid")
 
 
 @query("d18_single_row_keys", "SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) = 1")

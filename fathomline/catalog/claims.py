@@ -10,6 +10,11 @@ from fathomline.catalog.registry import Tables, query
 from fathomline.functions.dates import at
 from fathomline.plans import claims
 
+
+def money(c: Column) -> Column:
+    return c.cast("decimal(19,4)")
+
+
 def claim_id() -> Column:
     return F.col("o_orderkey").alias("claim_id")
 
@@ -17,10 +22,10 @@ def claim_id() -> Column:
 
 @query(
     "k45_claim_view",
-    f"""WITH p AS (SELECT o_orderkey, coalesce(sum(gross) FILTER (l_returnflag = 'A'), 0) AS pa, coalesce(sum(gross) FILTER (l_returnflag = 'N'), 0) AS pn, coalesce(sum(gross) FILTER (l_returnflag = 'R'), 0) AS pr FROM ({PAYMENTS}) GROUP BY 1),
+    f"""WITH p AS (SELECT o_orderkey, coalesce(sum(gross) FILTER (l_returnflag = 'A'), 0) AS pa, coalesce(sum(gross) FILTER (l_returnflag = 'N'), 0) AS pn, coalesce(sum(gross) FILTER (l_returnflag = 'R'), 0) AS pr, max(l_partkey) AS newest FROM ({PAYMENTS}) GROUP BY 1),
     k AS (SELECT l_orderkey, l_partkey AS contact_id FROM lineitem WHERE l_linestatus = 'O' QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_partkey DESC) = 1),
     c AS (SELECT o.o_orderkey AS claim_id, o_orderstatus = 'F' AS shut, coalesce(pa, 0) AS pa, coalesce(pn, 0) AS pn, coalesce(pr, 0) AS pr, o_totalprice * 0.25::DOUBLE + o_totalprice * 0.5::DOUBLE * 0.5::DOUBLE AS reserve,
-    CASE WHEN o_orderpriority <> '5-LOW' THEN 60000.0::DOUBLE END AS excess, o_orderpriority = '1-URGENT' AS per, contact_id, greatest(o_custkey, CASE WHEN o_orderpriority <> '3-MEDIUM' THEN o_orderkey END) AS last_change FROM orders o LEFT JOIN p USING (o_orderkey) LEFT JOIN k ON l_orderkey = o.o_orderkey)
+    CASE WHEN o_orderpriority <> '5-LOW' THEN 60000.0::DOUBLE END AS excess, o_orderpriority = '1-URGENT' AS per, contact_id, greatest(o_custkey, CASE WHEN o_orderpriority <> '3-MEDIUM' THEN o_orderkey END, newest) AS last_change FROM orders o LEFT JOIN p USING (o_orderkey) LEFT JOIN k ON l_orderkey = o.o_orderkey)
     SELECT claim_id, round(pa + pn + pr, 2) AS total_paid, round(reserve, 6) AS total_reserve, round(CASE WHEN shut THEN pa + pn + pr ELSE reserve END, 4) AS total_claim, round(CASE WHEN shut THEN 0 ELSE reserve - pa - pn - pr END, 4) AS outstanding,
     round(least(CASE WHEN shut THEN pa + pn + pr ELSE reserve END, excess), 4) AS excess_applied, round(reserve - excess, 6) AS funded, CASE WHEN (shut AND pa > 0) OR per THEN 'Successful' WHEN shut THEN 'Unsuccessful' ELSE 'Open' END AS outcome, contact_id, last_change FROM c""",
 )
@@ -29,16 +34,16 @@ def _(t: Tables) -> DataFrame:
     heads = t.orders.select(
         claim_id(),
         F.when(F.col("o_orderstatus") == "F", 2).otherwise(1).alias("status"),
-        F.when(priority != "5-LOW", F.lit(60000.0)).alias("excess"),
+        F.when(priority != "5-LOW", money(F.lit(60000))).alias("excess"),
         (priority == "1-URGENT").alias("periodical"),
         F.col("o_custkey").alias("changed"),
     )
     reserves = t.orders.select(
         claim_id(),
-        (price * 0.5).alias("reserve_damages"),
-        (price * 0.25).alias("reserve_defence"),
-        F.lit(None).cast("double").alias("reserve_claimant"),
-        F.lit(50.0).alias("share_pct"),
+        money(price * 0.5).alias("reserve_damages"),
+        money(price * 0.25).alias("reserve_defence"),
+        money(F.lit(None)).alias("reserve_claimant"),
+        F.lit(50).cast("decimal(5,2)").alias("share_pct"),
         F.when(priority != "3-MEDIUM", F.col("o_orderkey")).alias("reserve_changed"),
     )
     contacts = t.lineitem.select(
@@ -46,7 +51,7 @@ def _(t: Tables) -> DataFrame:
     )
     out = claims.claim_view(heads, reserves, payments(t).withColumnRenamed("o_orderkey", "claim_id"), contacts)
     digits = {"total_paid": 2, "total_reserve": 6, "total_claim": 4, "outstanding": 4, "excess_applied": 4, "funded": 6}
-    return out.select("claim_id", *[F.round(c, n).alias(c) for c, n in digits.items()], "outcome", "contact_id", "last_change")
+    return out.select("claim_id", *[F.round(F.col(c).cast("double"), n).alias(c) for c, n in digits.items()], "outcome", "contact_id", "last_change")
 
 
 @query(

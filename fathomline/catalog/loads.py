@@ -155,6 +155,21 @@ def _(t: Tables) -> DataFrame:
     return by_day(tables.read_table(t.spark, path))
 
 
+@query(
+    "a10_emptied_month",
+    DIGEST.format(
+        f"SELECT * FROM ({STORED}) WHERE o_orderdate < TIMESTAMP '1997-07-01' UNION ALL SELECT * FROM ({BATCH}) WHERE month(o_orderdate) <> 9 OR year(o_orderdate) <> 1997"
+    ),
+)
+def _(t: Tables) -> DataFrame:
+    """A month of the window for which the batch has no row loses its stored rows."""
+    path, month = scratch_path(t.spark, "window"), F.date_format("o_orderdate", "yyyy-MM")
+    loads.write_window(stored_orders(t).withColumn("month", month), path, ["month"])
+    batch = order_batch(t).withColumn("month", month).filter("month <> '1997-09'")
+    loads.write_window(batch, path, ["month"], low="1997-07", high="1998-01")
+    return by_day(tables.read_table(t.spark, path))
+
+
 @query(
     "a11_insert_new",
     f"{STORED} UNION ALL SELECT * FROM ({BATCH}) WHERE o_orderkey NOT IN (SELECT o_orderkey FROM ({STORED}))",
@@ -181,6 +196,23 @@ def _(t: Tables) -> DataFrame:
     return loads.upsert_newer(target, batch, ["c_custkey"], "version")
 
 
+@query(
+    "a12_ties_and_repeats",
+    f"""WITH t AS ({NEWER_T} UNION ALL SELECT c_custkey, 'again', 1 FROM ({NEWER_T}) WHERE c_custkey % 5 = 0),
+    b AS (SELECT c_custkey, max(name) AS name, version FROM ({NEWER_B} UNION ALL SELECT c_custkey, name || '!', version FROM ({NEWER_B})) GROUP BY ALL)
+    SELECT c_custkey, CASE WHEN b.version > t.version THEN b.name ELSE t.name END AS name, CASE WHEN b.version > t.version THEN b.version ELSE t.version END AS version
+    FROM t LEFT JOIN b USING (c_custkey) UNION ALL SELECT c_custkey, name, version FROM b WHERE c_custkey NOT IN (SELECT c_custkey FROM t)""",
+)
+def _(t: Tables) -> DataFrame:
+    """Keys stored twice keep both rows; batch rows of one version are chosen by their other columns."""
+    key, name = F.col("c_custkey"), F.col("c_name")
+    target = t.customer.filter("c_mktsegment <> 'HOUSEHOLD'").select(key, name.alias("name"), (key % 3).cast("int").alias("version"))
+    target = target.unionByName(target.filter(key % 5 == 0).select(key, F.lit("again").alias("name"), F.lit(1).alias("version")))
+    batch = t.customer.filter("c_acctbal > 500").select(key, F.upper(name).alias("name"), (key % 4).cast("int").alias("version"))
+    tied = batch.unionByName(batch.withColumn("name", F.concat("name", F.lit("!"))))
+    return loads.upsert_newer(target, tied, ["c_custkey"], "version")
+
+
 @query(
     "a13_merge_update",
     """SELECT c_custkey, c_name, CASE WHEN s.o_custkey IS NULL THEN c_acctbal ELSE s.o_totalprice END AS c_acctbal

@@ -120,14 +120,13 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "k44_registered_practice",
-    """WITH r AS (SELECT o_custkey AS person, o_orderkey % (SELECT count(*) FROM supplier) AS practice, o_orderdate::DATE AS s, CASE WHEN o_orderstatus = 'F' THEN o_orderdate::DATE + 365 END AS f FROM orders WHERE o_orderdate < TIMESTAMP '1998-06-01'),
+    """WITH r AS (SELECT o_custkey AS person, o_orderkey % (SELECT count(*) FROM supplier) AS practice, o_orderdate::DATE AS s, CASE WHEN o_orderstatus = 'F' THEN o_orderdate::DATE + 365 END AS f FROM orders),
     c AS (SELECT * FROM r WHERE s <= DATE '1999-01-01' AND (f IS NULL OR f >= DATE '1999-01-01') QUALIFY row_number() OVER (PARTITION BY person ORDER BY s DESC, practice) = 1)
     SELECT c_custkey AS person_id, practice AS practice_id, s_name AS practice_name FROM customer LEFT JOIN c ON person = c_custkey LEFT JOIN supplier ON s_suppkey = practice""",
 )
 def _(t: Tables) -> DataFrame:
     size, day = t.supplier.agg(F.count(F.lit(1))).scalar(), F.to_date("o_orderdate")
-    early = t.orders.filter(F.col("o_orderdate") < F.lit("1998-06-01").cast("timestamp_ntz"))
-    registrations = early.select(
+    registrations = t.orders.select(
         F.col("o_custkey").alias("person_id"), (F.col("o_orderkey") % size).alias("practice_id"), day.alias("start"), F.when(F.col("o_orderstatus") == "F", F.date_add(day, 365)).alias("end")
     )
     practices = t.supplier.select(F.col("s_suppkey").alias("practice_id"), F.col("s_name").alias("practice_name"))

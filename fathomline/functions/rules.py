@@ -108,22 +108,23 @@ HEADS = ("damages", "defence", "claimant")
 
 
 def claim_measures(df: DataFrame) -> DataFrame:
-    """Money measures of a claim; absent amounts count as 0, an absent excess never caps.
+    """Money measures of a claim; absent amounts count as 0, an absent excess never caps. The type of the amounts is kept:
+    decimals stay decimals (share_pct then is one too).
 
     Reads: status (2 is closed), share_pct, reserve_<head> and paid_<head> per head, excess.
     """
     closed = F.col("status") == 2
     share = F.col("share_pct") / 100
-    paid = {h: F.coalesce(F.col(f"paid_{h}"), F.lit(0.0)) for h in HEADS}
-    reserve = {h: F.coalesce(F.col(f"reserve_{h}") * (F.lit(1.0) if h == "defence" else share), F.lit(0.0)) for h in HEADS}
+    paid = {h: F.coalesce(F.col(f"paid_{h}"), F.lit(0)) for h in HEADS}
+    reserve = {h: F.coalesce(F.col(f"reserve_{h}") * (F.lit(1) if h == "defence" else share), F.lit(0)) for h in HEADS}
     total_paid = reduce(lambda a, b: a + b, paid.values())
     total_reserve = reduce(lambda a, b: a + b, reserve.values())
     out = df.withColumns({"total_paid": total_paid, "total_reserve": total_reserve})
     out = out.withColumns(
         {
             "total_claim": F.when(closed, F.col("total_paid")).otherwise(F.col("total_reserve")),
-            "outstanding": F.when(closed, 0.0).otherwise(F.col("total_reserve") - F.col("total_paid")),
-            **{f"outstanding_{h}": F.when(closed, 0.0).otherwise(reserve[h] - paid[h]) for h in HEADS},
+            "outstanding": F.when(closed, F.lit(0)).otherwise(F.col("total_reserve") - F.col("total_paid")),
+            **{f"outstanding_{h}": F.when(closed, F.lit(0)).otherwise(reserve[h] - paid[h]) for h in HEADS},
         }
     )
     return out.withColumns({"excess_applied": F.least("total_claim", "excess"), "funded": F.col("total_reserve") - F.col("excess")})
@@ -131,6 +132,6 @@ def claim_measures(df: DataFrame) -> DataFrame:
 
 def claim_outcome(status: Column, damages_paid: Column, periodical: Column) -> Column:
     """Successful, Unsuccessful or Open; `periodical` marks claims settled by periodical payments."""
-    paid = F.coalesce(damages_paid, F.lit(0.0))
+    paid = F.coalesce(damages_paid, F.lit(0))
     won = ((status == 2) & (paid > 0)) | periodical
     return F.when(won, "Successful").when((status == 2) & (paid <= 0), "Unsuccessful").otherwise("Open")

@@ -29,13 +29,20 @@ def static_pivot(df: DataFrame, keys: Sequence[str], column: str, values: Sequen
     return df.groupBy(*keys).pivot(column, list(values)).agg(aggregate)
 
 
-def dynamic_pivot(df: DataFrame, keys: Sequence[str], column: str, aggregate: Column, max_columns: int = 1000) -> DataFrame:
-    """Pivot whose column list comes from the data, sorted. Only the distinct values reach the driver,
-    at most max_columns + 1 of them; a table cannot have more columns, so more is an error."""
-    rows = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(max_columns + 1).collect()
-    if len(rows) > max_columns:
-        raise ValueError(f"{column} has more than {max_columns} values to pivot")
-    return static_pivot(df, keys, column, sorted(r[0] for r in rows), aggregate)
+def column_values(df: DataFrame, column: str) -> list:
+    """All distinct values of a column, sorted: the column list of a pivot. Runs a job; the list is as long as the pivot is wide."""
+    return sorted(r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct().collect())
+
+
+def dynamic_pivot(df: DataFrame, keys: Sequence[str], column: str, aggregate: Column) -> DataFrame:
+    """Pivot whose column list comes from the data, however many values there are. Where a column has no natural bound,
+    `pivot_rows` gives the same figures as rows."""
+    return static_pivot(df, keys, column, column_values(df, column), aggregate)
+
+
+def pivot_rows(df: DataFrame, keys: Sequence[str], column: str, aggregate: Column, value: str = "value") -> DataFrame:
+    """The long form of a pivot: one row per key and column value. No list of values is needed."""
+    return df.filter(F.col(column).isNotNull()).groupBy(*keys, column).agg(aggregate.alias(value))
 
 
 def cumulative_as_at(
@@ -96,16 +103,19 @@ def concat_numbered(
 
 
 def payment_heads(payments: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Payment sums by head and by fund in one pass.
+    """Payment sums by head, by fund, and of fund 1 for head 2, and the time of the newest counted payment (`last_paid`, of
+    column `paid_at`), in one pass.
 
-    Counts rows with status 1, 2, 4 or 5 whose excess portion is not 4; tax is added unless recoverable.
+    Amounts should be decimals: sums of doubles depend on the order of tasks. Counts rows with status 1, 2, 4 or 5 whose excess portion is not 4; tax is added unless recoverable.
     Heads: 1 damages, 2 defence, 3 claimant.
     """
     valid = F.col("status").isin(1, 2, 4, 5) & (F.col("excess_portion") != 4)
     gross = F.when(F.col("tax_recoverable") == 1, F.col("amount")).otherwise(F.col("amount") + F.col("tax"))
     named = {"paid_damages": F.col("head") == 1, "paid_defence": F.col("head") == 2, "paid_claimant": F.col("head") == 3}
     named |= {"paid_fund": F.col("fund") == 1, "paid_member": F.col("fund") == 2}
-    return payments.filter(valid).groupBy(*keys).agg(*[F.sum(F.when(c, gross)).alias(name) for name, c in named.items()])
+    named |= {"paid_fund_defence": (F.col("fund") == 1) & (F.col("head") == 2)}
+    sums = [F.sum(F.when(c, gross)).alias(name) for name, c in named.items()]
+    return payments.filter(valid).groupBy(*keys).agg(*sums, F.max("paid_at").alias("last_paid"))
 
 
 def mode_per_key(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:

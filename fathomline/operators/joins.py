@@ -13,10 +13,11 @@ from fathomline.operators.keys import latest_per_key, null_safe
 from fathomline.operators.ordered import scan
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """df with a broadcast hint only if it is proven small: at most max_rows + 1 rows are read to tell.
-    Beyond the bound the join is left to the optimiser, which shuffles."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def checked_broadcast(df: DataFrame, max_bytes: int = 10 << 20) -> DataFrame:
+    """df with a broadcast hint only if the optimiser puts its size at max_bytes or less. No job runs: the size is that of the
+    plan's statistics, which take filters and joins at their widest. Beyond it the join is left to the optimiser and AQE."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return F.broadcast(df) if int(str(size)) <= max_bytes else df
 
 
 def lookup(df: DataFrame, ref: DataFrame, on: Sequence[str], cols: Sequence[str], defaults: dict[str, object] | None = None) -> DataFrame:

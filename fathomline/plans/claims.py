@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.functions.rules import claim_measures, claim_outcome, row_max
-from fathomline.operators.aggs import concat_numbered, concat_ordered, dynamic_pivot, payment_heads
+from fathomline.operators.aggs import column_values, concat_numbered, concat_ordered, dynamic_pivot, payment_heads
 from fathomline.operators.keys import latest_per_key
 from fathomline.sources.loads import snapshot
 
@@ -27,7 +27,7 @@ def claim_view(claims: DataFrame, reserves: DataFrame, payments: DataFrame, cont
     return out.withColumns(
         {
             "outcome": claim_outcome(F.col("status"), F.col("paid_damages"), F.col("periodical")),
-            "last_change": row_max("changed", "reserve_changed"),
+            "last_change": row_max("changed", "reserve_changed", "last_paid"),
         }
     )
 
@@ -52,10 +52,7 @@ def concern_matrix(concerns: DataFrame) -> DataFrame:
     return dynamic_pivot(concerns, ["case_id"], "item", F.max(F.lit(1)))
 
 
-def numbered_matrix(rows: DataFrame, keys: Sequence[str], number: str, values: Sequence[str], max_numbers: int = 200) -> DataFrame:
+def numbered_matrix(rows: DataFrame, keys: Sequence[str], number: str, values: Sequence[str]) -> DataFrame:
     """Several columns per number found in the data, such as name_1, severity_1, name_2 ..."""
-    found = rows.select(number).filter(F.col(number).isNotNull()).distinct().limit(max_numbers + 1).collect()
-    if len(found) > max_numbers:
-        raise ValueError(f"{number} has more than {max_numbers} values")
-    columns = [F.max(F.when(F.col(number) == n, F.col(v))).alias(f"{v}_{n}") for n in sorted(r[0] for r in found) for v in values]
+    columns = [F.max(F.when(F.col(number) == n, F.col(v))).alias(f"{v}_{n}") for n in column_values(rows, number) for v in values]
     return rows.groupBy(*keys).agg(*columns)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathomline.operators.keys import latest_per_key, null_safe
+from fathomline.session import remove_path
 from fathomline.sources.tables import align_schema
 
 
@@ -30,9 +31,21 @@ def write_append(df: DataFrame, path: str, fmt: str = "parquet", partition_by: S
     df.write.format(fmt).mode("append").partitionBy(*partition_by).save(path)
 
 
-def write_window(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet") -> None:
-    """Replace only the partitions present in df (dynamic partition overwrite), so a rerun is idempotent."""
+def write_window(
+    df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet", low: object | None = None, high: object | None = None
+) -> None:
+    """Replace partitions, so a rerun is idempotent: those present in df (dynamic partition overwrite) and, where bounds are
+    given, also those with low <= first partition column < high that df has no row for, whose rows are stale."""
+    stale = []
+    if low is not None:
+        spark, column = df.sparkSession, partition_by[0]
+        stored = spark.read.format(fmt).load(path).select(F.col(column).cast("string").alias("p")).distinct()
+        inside = stored.filter((F.col("p") >= str(low)) & (F.col("p") < str(high)))
+        fresh = df.select(F.col(column).cast("string").alias("p")).distinct()
+        stale = [r[0] for r in inside.join(fresh, "p", "left_anti").collect()]  # one value per partition folder of the window
     df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path)
+    for value in stale:
+        remove_path(df.sparkSession, f"{path}/{partition_by[0]}={value}")
 
 
 def rebuild_snapshot(df: DataFrame, as_of: Column, column: str = "snapshot_time") -> DataFrame:
@@ -70,11 +83,18 @@ def insert_new(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Data
 
 
 def upsert_newer(target: DataFrame, batch: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
-    """Insert new keys, then replace a stored row only where the batch holds a higher version of its key."""
-    both = target.withColumn("_side", F.lit(0)).unionByName(align_schema(batch, target.schema).withColumn("_side", F.lit(1)))
-    unversioned = (F.col("_side") == 0) & F.col(version).isNull()
-    order = [unversioned.desc(), F.col(version).desc_nulls_last(), F.col("_side").asc()]
-    return latest_per_key(both, keys, order).drop("_side")
+    """Insert new keys, then replace the stored rows of a key where the batch holds a higher version of it.
+
+    Of several batch rows of a key the highest version counts, and among equal versions the greatest row by its other
+    columns. Every stored row stays or is replaced; none is lost where a key is stored twice."""
+    rows, others = align_schema(batch, target.schema), [c for c in target.columns if c not in (*keys, version)]
+    one = latest_per_key(rows, keys, [F.col(version).desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in others]])
+    fresh = one.select(*keys, F.struct(*target.columns).alias("_new")).alias("b")
+    joined = target.alias("t").join(fresh, null_safe("t", "b", keys), "left")
+    newer = F.col(f"_new.{version}") > F.col(f"t.{version}")
+    kept = joined.select(*[F.when(newer, F.col(f"_new.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in target.columns])
+    stored = target.select(*keys).distinct().alias("t")
+    return kept.unionByName(one.alias("b").join(stored, null_safe("b", "t", keys), "left_anti"))
 
 
 def merge_update(target: DataFrame, source: DataFrame, keys: Sequence[str], cols: Sequence[str], order: Sequence[Column]) -> DataFrame:

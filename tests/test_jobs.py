@@ -6,8 +6,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from fathomline.functions import rules
 from fathomline.operators import aggs, joins, keys
 from fathomline.plans import attendance, audit, care, claims, organisation, records
+from fathomline.session import shared_dir
 
 
 def day(n, month=1):
@@ -171,13 +173,12 @@ def test_ordered_texts_with_and_without_chunks(spark, monkeypatch, hot_rows):
     assert numbered[0].n == "1) t0 2) t1 3) t2"
 
 
-def test_dynamic_pivot_refuses_too_many_columns(spark):
-    df = spark.createDataFrame([("k", str(i)) for i in range(5)], "k string, c string")
-    assert aggs.dynamic_pivot(df, ["k"], "c", F.count(F.lit(1)), 5).columns == ["k", "0", "1", "2", "3", "4"]
-    with pytest.raises(ValueError):
-        aggs.dynamic_pivot(df, ["k"], "c", F.count(F.lit(1)), 4)
-    with pytest.raises(ValueError):
-        claims.numbered_matrix(df.withColumn("n", F.col("c").cast("int")), ["k"], "n", ["c"], 4)
+def test_dynamic_pivot_takes_all_values(spark):
+    df = spark.range(1500).select(F.lit("k").alias("k"), F.format_string("c%04d", "id").alias("c"), F.col("id").cast("int").alias("n"))
+    out = aggs.dynamic_pivot(df, ["k"], "c", F.count(F.lit(1)))
+    assert out.columns == ["k", *[f"c{i:04d}" for i in range(1500)]]
+    assert len(claims.numbered_matrix(df.filter("n < 300"), ["k"], "n", ["c"]).columns) == 301
+    assert aggs.pivot_rows(df, ["k"], "c", F.count(F.lit(1))).count() == 1500
 
 
 def test_broadcast_only_when_proven_small(spark, capsys):
@@ -185,12 +186,36 @@ def test_broadcast_only_when_proven_small(spark, capsys):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         for df, expected in ((small, True), (big, False)):
-            big.join(joins.checked_broadcast(df, 100), "x").explain()
+            big.join(joins.checked_broadcast(df, 1000), "x").explain()
             assert ("BroadcastHashJoin" in capsys.readouterr().out) is expected
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_money_stays_decimal(spark):
+    df = spark.sql(
+        "SELECT 1 AS status, cast(50 AS decimal(5,2)) AS share_pct, cast(0.1 AS decimal(19,4)) AS reserve_damages, cast(0.2 AS decimal(19,4)) AS reserve_defence,"
+        " cast(NULL AS decimal(19,4)) AS reserve_claimant, cast(0.1 AS decimal(19,4)) AS paid_damages, cast(0.2 AS decimal(19,4)) AS paid_defence,"
+        " cast(NULL AS decimal(19,4)) AS paid_claimant, cast(1 AS decimal(19,4)) AS excess"
+    )
+    out = rules.claim_measures(df)
+    money = ["total_paid", "total_reserve", "total_claim", "outstanding", "outstanding_damages", "excess_applied", "funded"]
+    assert all(dict(out.dtypes)[c].startswith("decimal") for c in money), out.dtypes
+    assert float(out.first()["total_paid"]) == 0.3 and float(out.first()["outstanding"]) == -0.05
+
+
+def test_shared_folder_is_needed_on_a_cluster():
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master, applicationId = "spark://host:7077", "app"
+
+    with pytest.raises(RuntimeError):
+        shared_dir(Session)
+
+
 def test_group_values_beside_rows_with_null_keys(spark):
     df = spark.createDataFrame([(None, 1), (None, 3), ("a", 2)], "k string, v int")
     assert sorted((r.v, r.m) for r in keys.beside(df, ["k"], {"m": F.max("v")}).collect()) == [(1, 3), (2, 2), (3, 3)]
