@@ -128,7 +128,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, stages: Stages, th
     # multi-index: every pair within the radius agrees on a block after at most RADIUS div BLOCKS changes
     probes = block_rows(prints.withColumnRenamed("weight", "window_weight"), 0)
     index = block_rows(item_prints, RADIUS // BLOCKS).withColumnRenamed("fingerprint", "item_fingerprint")
-    near = probes.join(index, ["n", "block", "value"]).filter(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_fingerprint"))) <= RADIUS)
+    # a size guess does not see how far the changes multiply the index, so it must not be sent whole to every task
+    near = probes.hint("merge").join(index, ["n", "block", "value"]).filter(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_fingerprint"))) <= RADIUS)
     near = stages.write(near.select(*key, "item", "item_id", "window_weight", "weight").distinct(), "bench-near")
     both = near.join(inside, key).join(items.select("item", "h", F.col("c").alias("item_c")), ["item", "h"])
     both = both.groupBy(*key, "item", "item_id", "window_weight", "weight").agg(F.sum(F.least("c", "item_c") * F.col("w")).alias("common"))
