@@ -144,7 +144,8 @@ class Mix:
         """(row, taken): words of each document in the mix, repeats counted. Slots of a block are counted before the join."""
         times = self.slots().groupBy("source", "block").agg(F.count(F.lit(1)).alias("times"))
         same = F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.block") == F.col("b.block"))
-        met = self.pieces().alias("a").join(times.alias("b"), same)
+        # size guesses do not see how many rows an exploded range makes, so neither side may be sent whole to every task
+        met = self.pieces().alias("a").hint("merge").join(times.alias("b"), same)
         return met.groupBy("row").agg(F.sum(F.col("n_words") * F.col("times")).alias("taken"))
 
 
@@ -153,7 +154,7 @@ def mix_sizes(docs: DataFrame, block: int = 64, seed: int = 20) -> DataFrame:
     stages = Stages(docs.sparkSession)
     mix = Mix(docs, stages, block=block, seed=seed)
     taken = mix.taken()
-    rows = mix.rows.join(taken, "row", "left")
+    rows = mix.rows.hint("merge").join(taken, "row", "left")
     same = F.col("a.source").eqNullSafe(F.col("b.source"))
     return rows.alias("a").join(mix.sources.alias("b"), same).select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
