@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.llm.components import connected
@@ -81,11 +81,13 @@ def shingle_sets(texts: list[str]) -> list[np.ndarray]:
 # --- links of rows that share a key ---
 
 
-def share_key(keyed: DataFrame) -> DataFrame:
-    """Links (a, b) from each row of (key, id) to the smallest id of its key. Rows are 16 bytes and stream through a sort by
-    key; nothing is gathered, so a key that many ids share costs sorting only."""
-    first = F.first("id").over(Window.partitionBy("key").orderBy("id").rowsBetween(Window.unboundedPreceding, 0))
-    return keyed.select("key", "id", first.alias("b")).filter("id != b").select(F.col("id").alias("a"), "b").distinct()
+def share_key(keyed: DataFrame, stages: Stages, name: str) -> DataFrame:
+    """Links (a, b) from each row of (key, id) to the smallest id of its key. Smallest and largest are combined before their
+    shuffle, keys of one id drop out, and the rest are written; rows then join them, so Spark can split a key that many
+    rows hold."""
+    ends = keyed.groupBy("key").agg(F.min("id").alias("b"), F.max("id").alias("last")).filter("b < last")
+    shared = stages.write(ends.select("key", "b"), f"{name}-shared")
+    return keyed.join(shared, "key").filter("id != b").select(F.col("id").alias("a"), "b").distinct()
 
 
 class Seen:
