@@ -135,7 +135,7 @@ def repeated_lines(docs: DataFrame, stages: Stages, threshold: float = THRESHOLD
     """(row, doc_id, lines): per row of docs (row, doc_id, text) that loses lines, their sorted numbers (from 0)."""
     rows = docs.select("row", "doc_id", F.col("text").cast("string").alias("text"))
     lines = stages.write(rows.mapInArrow(_reader, LINES), "lines")
-    keyed = lines.filter(F.col("keys").isNotNull()).select(F.col("node").alias("id"), F.explode("keys").alias("key"))
+    keyed = lines.filter(F.col("keys").isNotNull()).select(F.col("node").alias("id"), "keys")
     comps = stages.write(connected(share_key(keyed, stages, "lines"), stages, "lines-met"), "lines-candidates")
     texts = rows.select("text").mapInArrow(_fetcher(Seen(comps.select("id"))), "digest binary, node long, text string")
     met = texts.join(comps.withColumnRenamed("id", "node"), "node").select(F.col("root").alias("comp"), "digest", "text")

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fathomline.llm.components import connected
@@ -81,13 +81,28 @@ def shingle_sets(texts: list[str]) -> list[np.ndarray]:
 # --- links of rows that share a key ---
 
 
-def share_key(keyed: DataFrame, stages: Stages, name: str) -> DataFrame:
-    """Links (a, b) from each row of (key, id) to the smallest id of its key. Smallest and largest are combined before their
-    shuffle, keys of one id drop out, and the rest are written; rows then join them, so Spark can split a key that many
-    rows hold."""
-    ends = keyed.groupBy("key").agg(F.min("id").alias("b"), F.max("id").alias("last")).filter("b < last")
-    shared = stages.write(ends.select("key", "b"), f"{name}-shared")
-    return keyed.join(shared, "key").filter("id != b").select(F.col("id").alias("a"), "b").distinct()
+HOTTEST, SALTS, LOOKED_AT, OFTEN = 1000, 64, 0.01, 20
+
+
+def share_key(rows: DataFrame, stages: Stages, name: str) -> DataFrame:
+    """Links (a, b) that connect the ids of every key, from rows (id, keys). Each row links to the smallest id of its key, in a
+    sort of 16-byte rows by key that gathers nothing.
+
+    The HOTTEST most frequent keys of a sample are salted: their rows link to the smallest id of (key, salt), and these
+    smallest ids, SALTS per key at most, to each other. The sample only decides which keys are salted; the ids connected are
+    the same whichever are. A key that is not salted holds about a thousandth of the rows at most."""
+    seen = rows.sample(LOOKED_AT, 7).select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= OFTEN)
+    hot = stages.write(seen.orderBy(F.col("n").desc(), "key").limit(HOTTEST).select("key", F.lit(True).alias("hot")), f"{name}-hot")
+    keyed = rows.select("id", F.explode("keys").alias("key")).join(F.broadcast(hot), "key", "left")  # HOTTEST rows at most
+    # a salt by task, so that copies of one id are dealt too
+    keyed = keyed.withColumn("salt", F.when(F.col("hot"), F.spark_partition_id() % SALTS).otherwise(0))
+    first = F.first("id").over(Window.partitionBy("key", "salt").orderBy("id").rowsBetween(Window.unboundedPreceding, 0))
+    met = keyed.select("key", "id", "hot", first.alias("b")).filter("id != b OR hot")
+    met = stages.write(met.select(F.when(F.col("id") == F.col("b"), F.col("key")).alias("head"), "id", "b"), f"{name}-shared")
+    heads = met.filter(F.col("head").isNotNull()).select("head", "id").distinct()
+    least = F.min("id").over(Window.partitionBy("head"))
+    links = met.filter("id != b").select("id", "b").union(heads.select("id", least.alias("b")).filter("id != b"))
+    return links.select(F.col("id").alias("a"), "b")
 
 
 class Seen:
@@ -121,7 +136,9 @@ def blocks(members: DataFrame) -> DataFrame:
     sizes = members.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n"))
     mine = F.pmod(F.xxhash64("digest"), F.col("n")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda other: F.struct(F.least(mine, other).alias("i"), F.greatest(mine, other).alias("j")))
-    return members.join(sizes, "comp").select("*", mine.alias("block"), F.explode(pairs).alias("pair")).drop("n")
+    # null-safe equality deals the sizes anew, so that Spark can split the rows of a large component
+    rows = members.join(sizes.withColumnRenamed("comp", "_comp"), F.col("comp").eqNullSafe(F.col("_comp"))).drop("_comp")
+    return rows.select("*", mine.alias("block"), F.explode(pairs).alias("pair")).drop("n")
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:

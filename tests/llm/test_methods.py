@@ -130,6 +130,18 @@ def test_components(spark):
 # --- lines ---
 
 
+def test_hot_keys_are_salted_and_connect_the_same_ids(spark, monkeypatch):
+    rows = spark.range(0, 600, 1, 12).select("id", F.array(F.lit(-1), F.lit(-1), F.col("id") % 7 + 10, F.col("id") + 100).cast("array<long>").alias("keys"))
+    rows = rows.union(rows)  # every id twice
+    for looked_at, often in ((1.0, 2), (1.0, 10_000)):
+        monkeypatch.setattr(near, "LOOKED_AT", looked_at)
+        monkeypatch.setattr(near, "OFTEN", often)
+        for part, groups in ((rows, 1), (rows.withColumn("keys", F.slice("keys", 3, 2)), 7)):
+            got = connected(near.share_key(part, Stages(spark), "hot"), Stages(spark), "hot").collect()
+            assert len(got) == 600 and len({r.root for r in got}) == groups
+            assert all(r.root <= r.id and (groups == 1 or r.root % 7 == r.id % 7) for r in got)
+
+
 def test_lines_against_brute_force(spark):
     r = random.Random(11)
     words = ["".join(r.choices("abcdefghijklmnop", k=r.randint(3, 9))) for _ in range(400)]
