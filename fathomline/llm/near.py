@@ -153,8 +153,9 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     several = n[column] > 1
     row, column = row[several], np.cumsum(np.concatenate(([0], np.diff(column[several]) != 0)))[: several.sum()] if several.any() else column[:0]
     out = np.zeros((len(sets), len(sets)), np.float64)
-    width = max(64, 8_000_000 // len(sets))
-    for begin in range(0, int(column.max()) + 1 if len(column) else 0, width):
+    columns = int(column.max()) + 1 if len(column) else 0
+    width = max(1, min(columns, 8_000_000 // len(sets)))  # as wide as the columns there are
+    for begin in range(0, columns, width):
         lo, hi = np.searchsorted(column, (begin, begin + width))
         part = np.zeros((len(sets), width), np.float32)
         part[row[lo:hi], column[lo:hi] - begin] = 1
