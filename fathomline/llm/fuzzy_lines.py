@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from fathomline.llm.components import connected
 from fathomline.llm.lsh_forest import digest_of, node_of
-from fathomline.llm.near import GOLD, MIX1, MIX2, Seen, runs, scramble, settle, share_key, verify
+from fathomline.llm.near import GOLD, MIX1, MIX2, Seen, distinct, runs, scramble, settle, share_key, verify
 from fathomline.session import Stages
 
 CHARS, BANDS, ROWS = 8, 8, 3
@@ -53,7 +53,7 @@ def char_shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def line_sets(lines: list[str]) -> list[np.ndarray]:
     values, sizes = char_shingles(lines)
-    return [np.unique(s) for s in np.split(values, np.cumsum(sizes)[:-1])] if lines else []
+    return [distinct(s) for s in np.split(values, np.cumsum(sizes)[:-1])] if lines else []
 
 
 def band_keys(lines: list[str]) -> np.ndarray:

@@ -73,9 +73,15 @@ def splits(values: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
     return np.split(values, np.cumsum(sizes)[:-1]) if len(sizes) else []
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    values = np.sort(values)
+    return values[np.concatenate(([True], values[1:] != values[:-1]))] if len(values) else values
+
+
 def shingle_sets(texts: list[str]) -> list[np.ndarray]:
     """Sorted distinct five-word shingles of each text."""
-    return [np.unique(s) for s in splits(*word_shingles(*word_hashes(texts)))]
+    return [distinct(s) for s in splits(*word_shingles(*word_hashes(texts)))]
 
 
 # --- links of rows that share a key ---
