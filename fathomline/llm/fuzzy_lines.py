@@ -27,6 +27,7 @@ from fathomline.session import Stages
 CHARS, BANDS, ROWS = 8, 8, 3
 BINS = BANDS * ROWS
 THRESHOLD = 0.8
+AT_ONCE = 50_000  # characters hashed at once, so that the arrays stay in the processor's cache
 LINES = "row long, doc_id long, line int, digest binary, node long, keys array<long>"
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -94,7 +95,9 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for k, line in enumerate(lines):
                 first.setdefault(line, k)
             keys: list[np.ndarray | None] = [None] * len(lines)
-            for k, row in zip(first.values(), band_keys(list(first))):
+            different = list(first)
+            made = (row for b, e in runs(list(map(len, different)), AT_ONCE) for row in band_keys(different[b:e]))
+            for k, row in zip(first.values(), made):
                 keys[k] = row
             digests = {line: digest_of(line) for line in first}
             digest = [digests[line] for line in lines]
