@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.functions.dates import diff_boundary
-from fathomline.operators.keys import latest_per_key, null_safe
+from fathomline.operators.keys import latest_per_key, null_safe, shuffled_apart
 from fathomline.operators.ordered import scan
 
 
@@ -178,7 +178,7 @@ def prefix_lookup(df: DataFrame, ref: DataFrame, column: str, ref_column: str, v
         "_key", F.inline(F.array(*[F.struct(F.lit(i).alias("_step"), f.alias("_form")) for i, f in tries]))
     )
     hits = asked.join(listed, ["_step", "_form"]).groupBy("_key").agg(F.min(F.struct("_step", "_v"))["_v"].alias(value))
-    return df.join(hits, F.col(column) == F.col("_key"), "left").drop("_key")
+    return df.join(shuffled_apart(hits, ["_key"]), F.col(column) == F.col("_key"), "left").drop("_key")
 
 
 def flatten_hierarchy(nodes: DataFrame, edges: DataFrame, node: str, child: str, parent: str, depth: int) -> DataFrame:
@@ -199,7 +199,7 @@ def redirect_codes(df: DataFrame, column: str, changes: DataFrame, old: str, new
 def enrich(df: DataFrame, ref: DataFrame, on: Sequence[str], cols: Sequence[str], order: Sequence[Column | str], only_null: bool = True) -> DataFrame:
     """Fill (or replace) columns of df from one reference row per key."""
     one = latest_per_key(ref, on, order).select(*on, *[F.col(c).alias(f"_r_{c}") for c in cols])
-    joined = df.join(one, list(on), "left")
+    joined = df.join(shuffled_apart(one, on), list(on), "left")
     pick = {c: F.coalesce(c, f"_r_{c}") if only_null else F.coalesce(f"_r_{c}", c) for c in cols}
     return joined.select(*[pick[c].alias(c) if c in pick else F.col(c) for c in df.columns])
 

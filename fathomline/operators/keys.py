@@ -15,6 +15,16 @@ def null_safe(left: str, right: str, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
 
 
+def shuffled_apart(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """df, small and already partitioned by its keys (an aggregate, a one-row-per-key choice), made ready to be joined by them.
+
+    Spark splits a skewed partition of the big side only where a shuffle of their own stands under both sides of the join.
+    A side that comes out of a grouping by the join key has none, so a hot key would be joined in one task. Placing it by
+    a hash of the keys instead makes the join shuffle it again, which costs the small side once more.
+    """
+    return df.repartition(F.xxhash64(*keys))
+
+
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int = 1, rank_col: str | None = None) -> DataFrame:
     """The first n rows of each key in the given order, which must end in a unique column."""
     ranked = df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("_rn") <= n)
@@ -71,12 +81,13 @@ def single_row_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def restrict_to_keys(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is in keys_df: cuts the wide side before a join."""
-    return df.join(keys_df.select(*keys).distinct(), list(keys), "left_semi")
+    wanted = shuffled_apart(keys_df.select(*keys).distinct(), keys)
+    return df.join(wanted, list(keys), "left_semi")
 
 
 def exists_flag(df: DataFrame, other: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
     """1 where the one-to-many side has any row of the key, else 0."""
-    present = other.select(*keys).distinct().withColumn("_has", F.lit(1))
+    present = shuffled_apart(other.select(*keys).distinct(), keys).withColumn("_has", F.lit(1))
     return df.join(present, list(keys), "left").withColumn(out, F.coalesce("_has", F.lit(0))).drop("_has")
 
 

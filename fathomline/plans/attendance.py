@@ -13,6 +13,7 @@ from fathomline.functions.text import nth_item
 from fathomline.operators.aggs import multi_period_summary
 from fathomline.operators.joins import asof_last
 from fathomline.operators.keys import drop_repeats, latest_per_key
+from fathomline.session import materialise
 
 # Waiting-time bands in minutes (upper ends belong to the band)
 WAIT_EDGES = [0, 240, 720, 1440, 2880, 4320, 10_000_000]
@@ -25,10 +26,13 @@ def wait_band(minutes: Column | str) -> Column:
 
 
 def decode(df: DataFrame, dictionary: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Descriptions of several code columns from one dictionary (code, description, unique on code)."""
-    out = df
+    """Descriptions of several code columns from one dictionary (code, description, unique on code).
+
+    The dictionary is written first: it is made once for all columns, each join knows its true size, and a hot code is split.
+    """
+    out, stored = df, materialise(dictionary.select("code", "description"), "dictionary")
     for column, name in columns.items():
-        side = dictionary.select(F.col("code").alias("_code"), F.col("description").alias(name))
+        side = stored.select(F.col("code").alias("_code"), F.col("description").alias(name))
         out = out.join(side, F.col(column) == F.col("_code"), "left").drop("_code")
     return out
 

@@ -12,7 +12,7 @@ from fathomline.functions.rules import flag
 from fathomline.functions.text import after_last, classify_contains, map_codes, nth_item
 from fathomline.operators.aggs import concat_ordered, cumulative_as_at, last_in_group
 from fathomline.operators.joins import asof_max, densify, nearest_before, outer_align
-from fathomline.operators.keys import latest_per_key
+from fathomline.operators.keys import latest_per_key, shuffled_apart
 from fathomline.operators.ordered import next_value, rank_per_key, scan, sequence
 from fathomline.operators.sessions import merge_sessions_pairwise, rollup_sessions
 from fathomline.session import materialise
@@ -63,7 +63,7 @@ def team_audit(log: DataFrame, staff: DataFrame, teams: DataFrame, view_action:
     staff: staff_id, staff_name; teams: team_id, team_name
     """
     first = log.groupBy("record_id").agg(F.min(F.struct("ts", "item_id", "staff_id")).alias("_first"))
-    joined = log.join(first, "record_id")
+    joined = log.join(shuffled_apart(first, ["record_id"]), "record_id")
     own = (F.col("action") == view_action) & (F.col("staff_id") == F.col("_first.staff_id")) & (F.to_date("ts") == F.to_date("_first.ts"))
     kept = joined.filter(~F.coalesce(own, F.lit(False))).drop("_first")
     return kept.join(staff, "staff_id", "left").join(teams, "team_id", "left")
@@ -94,7 +94,7 @@ def login_sessions(activity: DataFrame, outcomes: DataFrame, teams: DataFrame, d
     activity: item_id, session_id, user_id, org_name, login, logout, agent, is_mobile, domain, success
     outcomes: session_id, outcome (direct, login, failed); teams: org_name, team, postcode
     """
-    joined = activity.join(outcomes, "session_id", "left").join(teams, "org_name", "left")
+    joined = activity.join(shuffled_apart(outcomes, ["session_id"]), "session_id", "left").join(shuffled_apart(teams, ["org_name"]), "org_name", "left")
     direct = F.col("domain").isin(list(direct_domains)) & (F.col("outcome") == "direct")
     kind = F.when(~F.col("success"), "failed").when(direct, "direct").otherwise("login")
     rows = materialise(joined.withColumns({"device": device_class(F.col("is_mobile"), F.col("agent")), "action_type": kind}), "logins")
@@ -239,7 +239,7 @@ def review_lists(log: DataFrame, owner: DataFrame, actions: Sequence[str]) -> Da
     """Per record, the days of reviews by its own and by other teams as text lists. owner: record_id, owner_team"""
     days = (
         log.filter(F.col("action").isin(list(actions)))
-        .join(owner, "record_id")
+        .join(shuffled_apart(owner, ["record_id"]), "record_id")
         .select("record_id", "action", F.when(F.col("team_id") == F.col("owner_team"), "own").otherwise("other").alias("side"), F.to_date("ts").alias("day"))
         .distinct()
         .withColumn("text", F.date_format("day", "dd/MM/yyyy"))
