@@ -191,11 +191,25 @@ SPELLS = """SELECT o_orderkey AS spell_id, o_custkey AS person_id, year(o_orderd
     o_custkey % 90 AS age, CASE WHEN o_custkey % 2 = 0 THEN 'Male' ELSE 'Female' END AS gender FROM orders, (VALUES (0), (1)) x(v) WHERE v = 0 OR o_orderkey % 3 = 0"""
 
 
+REFERRALS = """SELECT o_custkey AS person, o_orderdate::DATE AS d, least(CASE WHEN o_orderstatus = 'F' THEN o_orderdate::DATE + (o_orderkey % 900)::INT ELSE DATE '9999-12-31' END,
+    CASE WHEN o_orderkey % 13 = 0 THEN o_orderdate::DATE + 5 ELSE DATE '9999-12-31' END) AS ended, o_orderpriority = '1-URGENT' AS own FROM orders"""
+
+KNOWN_FLAGS = """CASE WHEN bool_or(own AND d < arr AND md <= 6) THEN 1 WHEN bool_or(own AND d = arr) THEN NULL WHEN bool_or(md <= 6 OR ended > arr) THEN 1 END AS known_6_months,
+    CASE WHEN bool_or(own AND d < arr AND md <= 24) THEN 1 WHEN bool_or(own AND d = arr) THEN NULL WHEN bool_or(md <= 24 OR ended > arr) THEN 1 END AS known_24_months,
+    CASE WHEN bool_or(own AND d < arr AND md > 24) THEN 1 WHEN bool_or(own AND d = arr) THEN NULL WHEN bool_or(md > 24) THEN 1 END AS previously_known"""
+
+KNOWN = f"""WITH v AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, (l_orderkey * 7 + l_partkey) % 1500 AS person, l_shipdate::DATE AS arr FROM lineitem), r AS ({REFERRALS}),
+    j AS (SELECT v.*, d, ended, own, date_diff('month', d, arr) AS md FROM (SELECT *, row_number() OVER () AS rid FROM v) v LEFT JOIN r ON r.person = v.person AND d <= arr)
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {KNOWN_FLAGS} FROM j GROUP BY rid, l_orderkey, l_linenumber, l_partkey, l_suppkey"""
+
+
 @query(
     "k03_inpatient_spells",
     f"""WITH dx AS ({DIAGNOSES}), d AS (SELECT referral_id, string_agg(CASE (substring(code, 2)::INT) % 5 WHEN 0 THEN 'Acute Psychosis' WHEN 1 THEN 'Personality disorder' WHEN 2 THEN 'BIPOLAR' ELSE 'Other' END, '|') AS txt
     FROM dx GROUP BY 1), s AS (SELECT * FROM ({SPELLS}) QUALIFY row_number() OVER (PARTITION BY spell_id ORDER BY month_id DESC, submission_id DESC) = 1),
-    m AS (SELECT max(start) AS last_start, max(month_id) AS last_month FROM ({SPELLS})),
+    m AS (SELECT max(start) AS last_start, max(month_id) AS last_month FROM ({SPELLS})), r AS ({REFERRALS}),
+    kn AS (SELECT spell_id, {KNOWN_FLAGS} FROM (SELECT spell_id, start AS arr, d, ended, own, date_diff('month', d, start) AS md FROM s LEFT JOIN r ON r.person = person_id AND d <= start) GROUP BY spell_id),
+    ab AS (SELECT l_orderkey AS spell_id, 1 AS absence_flag, first(l_linenumber ORDER BY l_shipdate, l_linenumber) AS absence_stay_id FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey),
     x AS (SELECT spell_id, start, CASE WHEN discharge IS NOT NULL THEN 'Closed' WHEN month_id >= last_month THEN 'Open' ELSE 'Inactive' END AS status,
     date_diff('day', start, discharge) + 1 AS stay_days, CASE WHEN discharge IS NULL THEN date_diff('day', start, last_day(last_start)) + 1 END AS stay_to_date,
     CASE WHEN lower(txt) LIKE '%psychosis%' AND age BETWEEN 18 AND 44 AND gender = 'Male' THEN 1 END AS psychosis_flag,
@@ -204,15 +218,20 @@ SPELLS = """SELECT o_orderkey AS spell_id, o_custkey AS person_id, year(o_orderd
     SELECT spell_id, status, stay_days, stay_to_date, stay_days - 1 AS nights, psychosis_flag, personality_flag, bipolar_flag, date_trunc('month', start)::DATE::VARCHAR AS admitted_month,
     CASE WHEN stay_days BETWEEN 1 AND 7 THEN 'Up to 1 week' WHEN stay_days < 15 THEN '1 to 2 weeks' WHEN stay_days < 31 THEN '2 weeks to 1 month' WHEN stay_days < 91 THEN '1 to 3 months'
     WHEN stay_days < 181 THEN '3 to 6 months' WHEN stay_days < 366 THEN '6 months to 1 year' WHEN stay_days >= 366 THEN '1 year and above' END AS stay_band,
-    CASE WHEN stay_days >= 90 THEN 'Super Stranded' WHEN stay_days >= 60 THEN 'Stranded' END AS stranded FROM x""",
+    CASE WHEN stay_days >= 90 THEN 'Super Stranded' WHEN stay_days >= 60 THEN 'Stranded' END AS stranded,
+    known_6_months, known_24_months, previously_known, absence_flag, absence_stay_id FROM x LEFT JOIN kn USING (spell_id) LEFT JOIN ab USING (spell_id)""",
 )
 def _(t: Tables) -> DataFrame:
     names = {str(i): n for i, n in enumerate(("Acute Psychosis", "Personality disorder", "BIPOLAR"))}
     kind = (F.substring("code", 2, 9).cast("int") % 5).cast("string")
     dx = loaded_diagnoses(t).select("referral_id", "level", map_codes(kind, names, "Other").alias("description"))
-    out = care.inpatient_spells(spells(t), dx)
+    refs = visits_and_referrals(t)[1].withColumnRenamed("person", "person_id")
+    absent_from = F.when(F.col("l_returnflag") == "R", F.col("l_shipdate")).alias("absent_from")
+    stays = t.lineitem.select(F.col("l_orderkey").alias("spell_id"), F.col("l_linenumber").alias("stay_id"), absent_from)
+    out = care.inpatient_spells(spells(t), dx, refs, "1-URGENT", stays)
     return out.select(
-        "spell_id", "status", "stay_days", "stay_to_date", "nights", "psychosis_flag", "personality_flag", "bipolar_flag", "admitted_month", "stay_band", "stranded"
+        "spell_id", "status", "stay_days", "stay_to_date", "nights", "psychosis_flag", "personality_flag", "bipolar_flag", "admitted_month", "stay_band", "stranded",
+        "known_6_months", "known_24_months", "previously_known", "absence_flag", "absence_stay_id",
     )
 
 
@@ -234,15 +253,6 @@ def _(t: Tables) -> DataFrame:
     return care.ward_stays(stays).select("spell_id", "stay_id", "start", "stay_order", "last_stay", "admission_stay")
 
 
-KNOWN = """WITH v AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, (l_orderkey * 7 + l_partkey) % 1500 AS person, l_shipdate::DATE AS arr FROM lineitem),
-    r AS (SELECT o_custkey AS person, o_orderdate::DATE AS d, least(CASE WHEN o_orderstatus = 'F' THEN o_orderdate::DATE + (o_orderkey % 900)::INT ELSE DATE '9999-12-31' END,
-    CASE WHEN o_orderkey % 13 = 0 THEN o_orderdate::DATE + 5 ELSE DATE '9999-12-31' END) AS ended, o_orderpriority = '1-URGENT' AS own FROM orders),
-    j AS (SELECT v.*, d, ended, own, date_diff('month', d, arr) AS md FROM (SELECT *, row_number() OVER () AS rid FROM v) v LEFT JOIN r ON r.person = v.person AND d <= arr)
-    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN bool_or(own AND d < arr AND md <= 6) THEN 1 WHEN bool_or(own AND d = arr) THEN NULL WHEN bool_or(md <= 6 OR ended > arr) THEN 1 END AS known_6_months,
-    CASE WHEN bool_or(own AND d < arr AND md <= 24) THEN 1 WHEN bool_or(own AND d = arr) THEN NULL WHEN bool_or(md <= 24 OR ended > arr) THEN 1 END AS known_24_months,
-    CASE WHEN bool_or(own AND d < arr AND md > 24) THEN 1 WHEN bool_or(own AND d = arr) THEN NULL WHEN bool_or(md > 24) THEN 1 END AS previously_known FROM j GROUP BY rid, l_orderkey, l_linenumber, l_partkey, l_suppkey"""
-
-
 def visits_and_referrals(t: Tables) -> tuple[DataFrame, DataFrame]:
     people = (F.col("l_orderkey") * 7 + F.col("l_partkey")) % 1500
     visits = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", people.alias("person"), F.col("l_shipdate").cast("date").alias("arrival"))

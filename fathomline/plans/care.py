@@ -99,11 +99,13 @@ def diagnoses(feeds: dict[str, DataFrame], stored: DataFrame) -> DataFrame:
     return upsert_newer(stored, batch, ["referral_id", "level"], "month_id")
 
 
-def inpatient_spells(spells: DataFrame, dx: DataFrame) -> DataFrame:
-    """Latest version of each spell with status, stay, bands and diagnosis flags.
+def inpatient_spells(spells: DataFrame, dx: DataFrame, referrals: DataFrame, own_source: str, stays: DataFrame) -> DataFrame:
+    """Latest version of each spell with status, stay, bands, diagnosis flags, known-to-service flags at its start (see
+    `known_to_service`), and a flag and stay for absence without leave; of several such stays the earliest absence counts.
 
     spells: spell_id, person_id, referral_id, month_id, submission_id, start, discharge, age, gender
     dx: referral_id, level (Provisional, Primary, Secondary), description
+    referrals: person_id, received, discharged, rejected, source; stays: spell_id, stay_id, absent_from (NULL: no absence)
     """
     last_start = spells.agg(F.max("start")).scalar()
     last_end = F.last_day(last_start)
@@ -134,7 +136,12 @@ def inpatient_spells(spells: DataFrame, dx: DataFrame) -> DataFrame:
         }
     )
     stranded = F.when(F.col("stay_days") >= 90, "Super Stranded").when(F.col("stay_days") >= 60, "Stranded")
-    return out.withColumns({"stay_band": band("stay_days", STAY_EDGES, STAY_LABELS), "stranded": stranded})
+    out = out.withColumns({"stay_band": band("stay_days", STAY_EDGES, STAY_LABELS), "stranded": stranded})
+    earliest = F.min(F.struct("absent_from", "stay_id"))["stay_id"].alias("absence_stay_id")
+    absent = stays.filter(F.col("absent_from").isNotNull()).groupBy("spell_id").agg(earliest, F.lit(1).alias("absence_flag"))
+    # the ordered pass behind the known flags reads its input more than once
+    rows = materialise(out.join(absent, "spell_id", "left"), "spells")
+    return known_to_service(rows, referrals, "person_id", "start", own_source)
 
 
 def ward_stays(stays: DataFrame) -> DataFrame:
