@@ -238,28 +238,40 @@ def _(t: Tables) -> DataFrame:
     return audit.match_rates(audit.service_searches(stored, source, "event_id"), ["team_id"])
 
 
-def measures() -> dict[str, tuple[str, Column]]:
-    return {name: ("ts", F.col("event_type") == kind) for name, kind in (("requests", "click"), ("completed", "purchase"), ("edits", "view"), ("drafts", "signup"), ("failed", "error"))}
-
-PER_DAY = "SELECT d::DATE AS day, " + ", ".join(
-    f"(SELECT count(*) FROM events WHERE ts::DATE <= d AND event_type = '{kind}') AS {name}"
-    for name, kind in (("requests", "click"), ("completed", "purchase"), ("edits", "view"), ("drafts", "signup"), ("failed", "error"))
-) + " FROM (SELECT unnest(generate_series(DATE '2024-01-03', DATE '2024-02-05', INTERVAL 1 DAY)) AS d)"
+KINDS = {"requests": "click", "completed": "purchase", "edits": "view", "drafts": "signup"}
+COUNTED = {m: f"events WHERE ts::DATE <= d AND event_type = '{kind}'" for m, kind in KINDS.items()} | {
+    "accounts": "orders WHERE DATE '2024-01-01' + (o_orderkey % 50)::INT <= d AND o_orderstatus <> 'P'",
+    "sessions": "lineitem WHERE DATE '2024-01-01' + (l_partkey % 45)::INT <= d AND l_linenumber = 1",
+}
+PER_DAY = "SELECT d::DATE AS day, " + ", ".join(f"(SELECT count(*) FROM {rows}) AS {m}" for m, rows in COUNTED.items()) + (
+    " FROM (SELECT unnest(generate_series(DATE '2024-01-03', DATE '2024-02-05', INTERVAL 1 DAY)) AS d)"
+)
 
 
 def adoption(t: Tables) -> DataFrame:
     first, last = (F.lit(d).cast("date") for d in ("2024-01-03", "2024-02-05"))
+    start = F.lit("2024-01-01").cast("date")
+    accounts = t.orders.select("o_orderstatus", F.date_add(start, (F.col("o_orderkey") % 50).cast("int")).alias("activated"))
+    portal = t.lineitem.select("l_linenumber", F.date_add(start, (F.col("l_partkey") % 45).cast("int")).alias("logged"))
+    sources = [
+        (t.events, {m: ("ts", F.col("event_type") == kind) for m, kind in KINDS.items()}),
+        (accounts, {"accounts": ("activated", F.col("o_orderstatus") != "P")}),
+        (portal, {"sessions": ("logged", F.col("l_linenumber") == 1)}),
+    ]
     # three days are stored already, with -1 in place of the counts
     days = t.events.select(F.to_date("ts").alias("day")).filter(F.dayofmonth("ts").isin(4, 5, 6)).distinct()
-    stored = days.select("day", *[F.lit(-1).cast("long").alias(m) for m in measures()], F.lit(-1).cast("long").alias("combined"))
-    return audit.portal_adoption(stored, t.events, measures(), first, last)
+    stored = days.select("day", *[F.lit(-1).cast("long").alias(m) for m in COUNTED], F.lit(-1).cast("long").alias("combined"))
+    return audit.portal_adoption(stored, sources, first, last, ("requests", "completed"), last)
 
 
 STORED_DAYS = "day IN (DATE '2024-01-04', DATE '2024-01-05', DATE '2024-01-06')"
-ADOPTION = "SELECT day, " + ", ".join(f"CASE WHEN {STORED_DAYS} THEN -1 ELSE {m} END AS {m}" for m in ("requests", "completed", "edits", "drafts", "failed")) + f", CASE WHEN {STORED_DAYS} THEN -1 ELSE requests + completed END AS combined FROM ({PER_DAY})"
+ADOPTION = "SELECT day, " + ", ".join(
+    f"CASE WHEN day >= DATE '2024-02-04' THEN NULL WHEN {STORED_DAYS} THEN -1 ELSE {value} END AS {m}"
+    for m, value in [*((m, m) for m in COUNTED), ("combined", "requests + completed")]
+) + f" FROM ({PER_DAY})"
 
 
-@query("k34_portal_adoption", f"SELECT day::VARCHAR AS day, requests, completed, edits, drafts, failed, combined FROM ({ADOPTION})")
+@query("k34_portal_adoption", f"SELECT day::VARCHAR AS day, requests, completed, edits, drafts, accounts, sessions, combined FROM ({ADOPTION})")
 def _(t: Tables) -> DataFrame:
     return adoption(t)
 

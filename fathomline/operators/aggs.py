@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,31 +46,37 @@ def pivot_rows(df: DataFrame, keys: Sequence[str], column: str, aggregate: Colum
     return df.filter(F.col(column).isNotNull()).groupBy(*keys, column).agg(aggregate.alias(value))
 
 
-def cumulative_as_at(
-    df: DataFrame, first: Column, last: Column, times: dict[str, tuple[str, Column | None]], day: str = "day"
+def cumulative_over(
+    sources: Sequence[tuple[DataFrame, Mapping[str, tuple[str, Column | None]]]], first: Column, last: Column, day: str = "day"
 ) -> DataFrame:
     """Per day, how many events of each kind had happened by then: daily counts, then a running sum.
 
-    `times` gives, per measure, its time column and an optional filter. The days are one generated
-    sequence; after the daily counts the running sum sees one row per day.
+    Each source gives its measures, per measure a time column and an optional filter; measures of one table belong in one
+    source, so that it is read once. The days are one generated sequence; after the daily counts the running sum sees one
+    row per day.
     """
-    spark = df.sparkSession
-    long = df.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(m).alias("_m"), F.when(F.lit(True) if cond is None else cond, F.col(t)).cast("date").alias(day))
-                    for m, (t, cond) in times.items()
-                ]
-            )
-        )
-    ).filter(F.col(day).isNotNull())
-    clamped = long.withColumn(day, F.greatest(F.col(day), first))
-    counts = clamped.groupBy(day).agg(*[F.count_if(F.col("_m") == m).alias(m) for m in times])
-    days = spark.range(1).select(F.explode(F.sequence(first, last)).alias(day))
+    names = [m for _, times in sources for m in times]
+    parts = []
+    for df, times in sources:
+        happened = [
+            F.struct(F.lit(m).alias("_m"), F.when(F.lit(True) if cond is None else cond, F.col(t)).cast("date").alias(day))
+            for m, (t, cond) in times.items()
+        ]
+        long = df.select(F.inline(F.array(*happened))).filter(F.col(day).isNotNull())
+        parts.append(long.withColumn(day, F.greatest(F.col(day), first)).groupBy(day, "_m").agg(F.count(F.lit(1)).alias("_n")))
+    per = reduce(lambda x, y: x.unionByName(y), parts)
+    counts = per.groupBy(day).agg(*[F.sum(F.when(F.col("_m") == m, F.col("_n"))).alias(m) for m in names])
+    days = sources[0][0].sparkSession.range(1).select(F.explode(F.sequence(first, last)).alias(day))
     dense = days.join(counts, day, "left")
-    total = running(dense, [], [day], F.trunc(day, "month"), {m: ("sum", F.coalesce(F.col(m), F.lit(0))) for m in times})
-    return total.select(day, *times)
+    total = running(dense, [], [day], F.trunc(day, "month"), {m: ("sum", F.coalesce(F.col(m), F.lit(0))) for m in names})
+    return total.select(day, *names)
+
+
+def cumulative_as_at(
+    df: DataFrame, first: Column, last: Column, times: Mapping[str, tuple[str, Column | None]], day: str = "day"
+) -> DataFrame:
+    """`cumulative_over` one table."""
+    return cumulative_over([(df, times)], first, last, day)
 
 
 def concat_ordered(

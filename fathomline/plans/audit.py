@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fathomline.functions.rules import flag
 from fathomline.functions.text import after_last, classify_contains, map_codes, nth_item
-from fathomline.operators.aggs import concat_ordered, cumulative_as_at, last_in_group
+from fathomline.operators.aggs import concat_ordered, cumulative_over, last_in_group
 from fathomline.operators.joins import asof_max, densify, nearest_before, outer_align
 from fathomline.operators.keys import latest_per_key, shuffled_apart
 from fathomline.operators.ordered import next_value, rank_per_key, scan, sequence
@@ -216,11 +216,21 @@ def match_rates(searches: DataFrame, keys: Sequence[str]) -> DataFrame:
     return per.withColumn("match_pct", F.round(F.col("matches") * 100.0 / F.col("searches"), 2))
 
 
-def portal_adoption(stored: DataFrame, requests: DataFrame, times: Mapping[str, tuple[str, Column | None]], first: Column, last: Column) -> DataFrame:
-    """Cumulative measures per day, with sums of two measures; days already stored are not inserted again."""
-    daily = cumulative_as_at(requests, first, last, dict(times))
-    a, b = list(times)[:2]
-    return insert_new(stored, daily.withColumn("combined", F.col(a) + F.col(b)), ["day"])
+def portal_adoption(
+    stored: DataFrame,
+    sources: Sequence[tuple[DataFrame, Mapping[str, tuple[str, Column | None]]]],
+    first: Column,
+    last: Column,
+    combined: tuple[str, str],
+    run_day: Column,
+) -> DataFrame:
+    """Cumulative measures per day from several tables, with the sum of two of them; days already stored are not inserted
+    again. The run day and the day before it are still filling: their totals are blank, also on stored rows."""
+    daily = cumulative_over(sources, first, last)
+    a, b = combined
+    rows = insert_new(stored, daily.withColumn("combined", F.col(a) + F.col(b)), ["day"])
+    settled = F.col("day") < F.date_sub(run_day, 1)
+    return rows.withColumns({c: F.when(settled, F.col(c)) for c in rows.columns if c != "day"})
 
 
 def last_day_per_week(daily: DataFrame) -> DataFrame:
