@@ -102,7 +102,8 @@ def base(t: Tables) -> DataFrame:
         F.count(F.lit(1)).alias("orders"), F.count_if(F.col("o_orderstatus") == "P").alias("pending"), F.max("o_orderdate").alias("last_order"), F.max("o_totalprice").alias("top")
     )
     docs = t.documents.select(F.col("doc_id").alias("c_custkey"), "lang", "n_chars")
-    return t.customer.join(per, "c_custkey", "left").join(docs, "c_custkey", "left")
+    area = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("area"))
+    return t.customer.join(per, "c_custkey", "left").join(docs, "c_custkey", "left").join(area, "c_nationkey", "left")
 
 
 # name, Spark condition, SQL condition (the same rule for both sides of the check)
@@ -126,8 +127,33 @@ CHECKS = [
     ("Nation missing", "c_nationkey IS NULL"),
     ("Balance missing", "c_acctbal IS NULL"),
 ]
-BASE_SQL = """SELECT c.*, orders, pending, last_order, top, lang, n_chars FROM customer c LEFT JOIN (SELECT o_custkey, count(*) AS orders, count(*) FILTER (o_orderstatus = 'P') AS pending, max(o_orderdate) AS last_order, max(o_totalprice) AS top
-    FROM orders GROUP BY 1) ON o_custkey = c_custkey LEFT JOIN documents ON doc_id = c_custkey"""
+# rules with one form for everybody
+SINGLE_CHECKS = [
+    ("Single order", "orders = 1"),
+    ("Many orders", "orders > 20"),
+    ("All orders pending", "pending = orders"),
+    ("Half of the orders pending", "pending * 2 >= orders"),
+    ("Zero balance", "c_acctbal = 0"),
+    ("Nation out of range", "c_nationkey NOT BETWEEN 0 AND 24"),
+    ("Segment missing", "c_mktsegment IS NULL"),
+    ("Name without number", "c_name NOT LIKE '%#%'"),
+    ("Document without language", "n_chars IS NOT NULL AND lang IS NULL"),
+    ("Small orders only", "top < 100000"),
+    ("Balance without orders", "orders IS NULL AND c_acctbal > 0"),
+    ("Late and large", "year(last_order) >= 1998 AND top > 400000"),
+]
+# rules for records that are still drafts
+DRAFT = "pending > 0"
+DRAFT_CHECKS = [
+    ("no consent", "c_acctbal < 0"),
+    ("deceased", "c_mktsegment = 'BUILDING'"),
+    ("no document", "lang IS NULL"),
+    ("short document", "n_chars < 500"),
+    ("first order", "orders = 1"),
+    ("waiting since long", "year(last_order) < 1998"),
+]
+BASE_SQL = """SELECT c.*, n_name AS area, orders, pending, last_order, top, lang, n_chars FROM customer c LEFT JOIN (SELECT o_custkey, count(*) AS orders, count(*) FILTER (o_orderstatus = 'P') AS pending, max(o_orderdate) AS last_order, max(o_totalprice) AS top
+    FROM orders GROUP BY 1) ON o_custkey = c_custkey LEFT JOIN documents ON doc_id = c_custkey LEFT JOIN nation ON n_nationkey = c_nationkey"""
 DETAIL_SQL = "concat_ws('; ', 'name ' || c_name, 'orders ' || orders, 'language ' || lang)"
 
 
@@ -135,16 +161,22 @@ DETAIL_SQL = "concat_ws('; ', 'name ' || c_name, 'orders ' || orders, 'language
     "k39_exception_report",
     f"WITH b AS ({BASE_SQL}) "
     + " UNION ALL ".join(
-        f"SELECT c_custkey, '{name} - {form}' AS exception, {DETAIL_SQL} AS detail FROM b WHERE ({rule}) AND {'' if form == 'deceased' else 'NOT '}(c_mktsegment = 'BUILDING')"
-        for name, rule in CHECKS
-        for form in ("living", "deceased")
+        f"SELECT c_custkey, c_name, area, c_mktsegment, '{name}' AS exception, {DETAIL_SQL} AS detail FROM b WHERE {rule}"
+        for name, rule in [
+            *((f"{name} - living", f"({rule}) AND NOT (c_mktsegment = 'BUILDING')") for name, rule in CHECKS),
+            *((f"{name} - deceased", f"({rule}) AND (c_mktsegment = 'BUILDING')") for name, rule in CHECKS),
+            *SINGLE_CHECKS,
+            *((f"Not published - {name}", f"{DRAFT} AND {rule}") for name, rule in DRAFT_CHECKS),
+        ]
     ),
 )
 def _(t: Tables) -> DataFrame:
     parts: list[tuple[str, Column | str]] = [("name ", "c_name"), ("orders ", "orders"), ("language ", "lang")]
     deceased = F.col("c_mktsegment") == "BUILDING"
     rules = [form for name, rule in CHECKS for form in records.two_forms(records.Rule(name, F.expr(rule), parts), deceased)]
-    return records.exception_report(base(t), ["c_custkey"], rules)
+    rules += [records.Rule(name, F.expr(rule), parts) for name, rule in SINGLE_CHECKS]
+    rules += records.not_published([records.Rule(name, F.expr(rule), parts) for name, rule in DRAFT_CHECKS], F.expr(DRAFT))
+    return records.exception_report(base(t), ["c_custkey"], rules, ["c_name", "area", "c_mktsegment"])
 
 
 @query(

@@ -72,10 +72,19 @@ def two_forms(rule: Rule, deceased: Column) -> list[Rule]:
     ]
 
 
-def exception_report(base: DataFrame, keys: Sequence[str], rules: Sequence[Rule]) -> DataFrame:
-    """One row per broken rule. All rules are tested in one pass over the base; nothing is scanned again per rule."""
+def not_published(rules: Sequence[Rule], draft: Column) -> list[Rule]:
+    """Rules that hold only for records that are still drafts, named so."""
+    return [Rule(f"Not published - {r.name}", draft & r.applies, r.parts) for r in rules]
+
+
+def exception_report(base: DataFrame, keys: Sequence[str], rules: Sequence[Rule], contact: Sequence[str] = ()) -> DataFrame:
+    """One row per broken rule, with the contact columns of the record. All rules are tested in one pass over the base;
+    nothing is scanned again per rule. Rule names must differ."""
+    names = [r.name for r in rules]
+    if len(set(names)) < len(names):
+        raise ValueError("two rules have one name")
     hits = [F.when(r.applies, F.struct(F.lit(r.name).alias("exception"), message(r.parts).alias("detail"))) for r in rules]
-    return base.select(*keys, F.inline(F.array_compact(F.array(*hits))))
+    return base.select(*keys, *contact, F.inline(F.array_compact(F.array(*hits))))
 
 
 def publication_state(draft: Column, deleted: Column, deceased: Column, consent: Column) -> Column:
