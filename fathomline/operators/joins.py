@@ -55,16 +55,20 @@ def join_interval(
     """Events with the spans of the same key that contain them: start <= t <= end.
 
     Each span is listed under every bucket of `width_days` it touches, and each event under one, so the
-    equi-join runs on (key, bucket): a hot key is spread over its buckets, and only neighbours are compared.
+    equi-join runs on (key, bucket): a hot key is spread over its buckets, and only neighbours are compared. Spans are
+    listed from the first to the last event only, so one that never closes costs no more than the time the events cover.
     A left join needs `event_id`; unmatched events come back with NULL spans.
     """
 
     def bucket(d: Column) -> Column:
         return F.floor(F.datediff(d.cast("date"), F.lit("1970-01-01").cast("date")) / width_days)
 
-    listed = intervals.filter(F.col(start) <= F.col(end)).withColumn(
-        "_bucket", F.explode(F.sequence(bucket(F.col(start)), bucket(F.col(end))))
+    low, high = (events.agg(bucket(extreme(t))).scalar() for extreme in (F.min, F.max))
+    bounded = intervals.filter(F.col(start) <= F.col(end)).withColumns(
+        {"_low": F.greatest(bucket(F.col(start)), low), "_high": F.least(bucket(F.col(end)), high)}
     )
+    touched = F.when(low.isNotNull() & (F.col("_low") <= F.col("_high")), F.sequence("_low", "_high"))
+    listed = bounded.withColumn("_bucket", F.explode(touched)).drop("_low", "_high")
     placed = events.withColumn("_bucket", bucket(F.col(t)))
     payload = [c for c in intervals.columns if c not in keys]
     on = null_safe("e", "s", keys) if not keys else reduce(lambda a, b: a & b, [F.col(f"e.{k}") == F.col(f"s.{k}") for k in keys])

@@ -220,3 +220,14 @@ def test_empty_input(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert ordered.sequence(df, ["k"], ORDER, DAY(), "n").count() == 0
     assert sessions.merge_sessions(df, ["k"], "t", "stop", ORDER, DAY()).count() == 0
+
+
+def test_open_spans_are_listed_for_the_time_of_the_events_only(spark):
+    d = dt.date
+    schema = "k string, a date, b date, sid int"
+    spans = spark.createDataFrame([("x", d(1900, 1, 1), d(9999, 12, 31), 1), ("x", d(2025, 1, 1), d(9999, 12, 31), 2), ("y", d(2024, 1, 2), d(2024, 1, 3), 3)], schema)
+    events = spark.createDataFrame([(1, "x", d(2024, 1, 1)), (2, "y", d(2024, 1, 5)), (3, "y", d(2024, 1, 3)), (4, "x", None)], "id int, k string, t date")
+    out = joins.join_interval(events, spans, ["k"], "t", "a", "b", how="left")
+    assert sorted((r.id, r.sid) for r in out.collect()) == [(1, 1), (2, None), (3, 3), (4, None)]
+    none = joins.join_interval(events.filter("id = 4"), spans, ["k"], "t", "a", "b")
+    assert none.collect() == []
