@@ -1,17 +1,20 @@
 """Quality rules with an n-gram perplexity band per language.
 
-The model is a modified Kneser-Ney model of character n-grams. Spark counts characters, then n-grams, over all texts; each
-language keeps its 62 most frequent characters, all others being one symbol, so a 4-gram is 24 bits and a language's model
-has at most 2^24 + 2^18 + 2^12 + 2^6 entries (`MOST_ENTRIES`), however large the corpus. (Word n-grams have no such bound: on
-the test tables their counts alone are several times the input.) A model is one row of three arrays, sorted by the hash of the
-n-gram: hashes, log probabilities, back-off weights. Tasks read the arrays of the language at hand from the shared folder.
+The model is a modified Kneser-Ney model of code-point 4-grams, without a bound on alphabet or entries. Tasks count the n-grams
+of pieces of PIECE_CHARS characters; Spark adds the counts up, derives the lower orders, and estimates each order by joins, in
+rows dealt by the hash of the n-gram, so the model grows with the corpus and lies nowhere whole. Scores go back the same way:
+the n-grams of each piece are joined with the model, and the task that scores a piece reads the values of that piece alone.
+Since the model is counted over the texts that it judges, each n-gram is judged by the model without one of its occurrences;
+otherwise text that stands nowhere else would teach the model itself. No n-gram counts as less likely than a code point drawn
+evenly from the language's, so that a key or a name in a good text doesn't outweigh the rest.
 
 A text's perplexity is compared with the band of its language: the quartiles over all texts that pass the base rules,
 widened by a multiple of their distance on either side, more for short texts. Texts outside the band are rejected.
 
 Defined edge cases: a null text is empty; a text without characters has no perplexity and fails the base rules; a null
 language is a language of its own; repeated rows are rows of their own; a corpus of equal texts has a band of its one
-perplexity (all pass); columns other than those named are not read.
+perplexity (all pass); columns other than those named are not read. docs must give the same rows in the same order
+when read again (a stored table); a task that finds other n-grams than were counted fails.
 """
 
 from __future__ import annotations
@@ -20,19 +23,23 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.llm.files import open_folder
 from fathomline.session import Stages
 
-ORDER, BITS = 4, 6
-SYMBOLS = 1 << BITS  # 0 is the place before a text, SYMBOLS - 1 any character that is not among the frequent ones
+ORDER = 4
+WIDE = 21  # bits of a code point; a 4-gram is two numbers of two code points (plus one; 0 is the place before a text)
+PIECE_CHARS = 8_000_000  # characters whose n-grams are counted together (or one longer text)
+TABLE = 1 << 24  # up to so many keys are numbered by a table, more by sorting
+# `grams`, `estimate` and `look_up` are the same model in arrays, for alphabets of 62 characters; tests hold the rows to it.
+BITS = 6
+SYMBOLS = 1 << BITS  # 0 is the place before a text, OTHER any character that is not in the alphabet
 OTHER = SYMBOLS - 1
-MOST_ENTRIES = sum(1 << (BITS * n) for n in range(1, ORDER + 1))
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BLANK = " \t\n\x0b\x0c\r"
 MARKS = "#*$%&|<>"
@@ -69,83 +76,89 @@ def grams(texts: list[str], symbol: np.ndarray) -> np.ndarray:
     return out
 
 
-def by_language(batch: pa.RecordBatch) -> dict[str | None, list[int]]:
-    out: dict[str | None, list[int]] = {}
-    for i, lang in enumerate(batch.column("lang").to_pylist()):
-        out.setdefault(lang, []).append(i)
-    return out
-
-
-def _characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: dict[str | None, np.ndarray] = {}
-    for batch in batches:
-        texts = batch.column("text").to_pylist()
-        for lang, rows in by_language(batch).items():
-            mine = [texts[i] or "" for i in rows]
-            for begin, end in runs(list(map(len, mine))):
-                n = np.bincount(code_points(mine[begin:end]))
-                held = counts.get(lang, np.zeros(0, np.int64))
-                if len(n) < len(held):
-                    n, held = held, n
-                n[: len(held)] += held
-                counts[lang] = n
-    for lang, n in counts.items():
-        seen = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(seen), pa.string()), pa.array(seen), pa.array(n[seen])], names=["lang", "c", "n"])
-
-
-def alphabets(docs: DataFrame) -> dict[str | None, np.ndarray]:
-    """Per language, a table from code points to symbols. Its most frequent OTHER - 1 characters have their own."""
-    counts = docs.mapInArrow(_characters, "lang string, c long, n long").groupBy("lang", "c").agg(F.sum("n").alias("n"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "c"))
-    top = counts.withColumn("rank", rank).filter(F.col("rank") < OTHER).groupBy("lang").agg(F.sort_array(F.collect_list("c")).alias("c"))
-    out = {}
-    for lang, chars in ((r[0], r[1]) for r in top.collect()):
-        table = np.full(0x110000, OTHER, np.uint8)
-        table[np.array(chars, np.int64)] = np.arange(1, len(chars) + 1)
-        out[lang] = table
-    return out
-
-
-def _counter(symbols: dict[str | None, np.ndarray]):
-    frequent = {lang: np.flatnonzero(t != OTHER) for lang, t in symbols.items()}
-    numbers = {lang: symbols[lang][c] for lang, c in frequent.items()}
+def dense(key: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys (below size), and the place of each key among them."""
+    if size > TABLE:
+        return np.unique(key, return_inverse=True)
+    seen = np.zeros(size, bool)
+    seen[key] = True
+    values = np.flatnonzero(seen)
+    rank = np.empty(size, np.int64)
+    rank[values] = np.arange(len(values))
+    return values, rank[key]
 
-    def table(lang: str | None) -> np.ndarray:
-        t = np.full(0x110000, OTHER, np.uint8)
-        t[frequent[lang]] = numbers[lang]
-        return t
 
-    del symbols
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables: dict[str | None, np.ndarray] = {}
-        held: dict[str | None, list[tuple[np.ndarray, np.ndarray]]] = {}
-        seen, rank = np.zeros(1 << (BITS * ORDER), bool), np.zeros(1 << (BITS * ORDER), np.int32)
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for lang, rows in by_language(batch).items():
-                if lang not in tables:
-                    tables[lang] = table(lang)
-                mine = [texts[i] or "" for i in rows]
-                for begin, end in runs(list(map(len, mine))):
-                    g = grams(mine[begin:end], tables[lang])
-                    seen[g] = True
-                    keys = np.flatnonzero(seen)
-                    seen[keys] = False
-                    rank[keys] = np.arange(len(keys))
-                    parts = held.setdefault(lang, [])
-                    parts.append((keys, np.bincount(rank[g], minlength=len(keys))))
-                    if len(parts) > 16:
-                        held[lang] = [merged(parts)]
+def code_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ORDER-grams, and which of them ends at each character. An n-gram is a complex number of its two halves, which
+    are below 2 ** 42, so it is exact and sorts."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    first = (np.cumsum(sizes) - sizes)[sizes > 0]
+    symbols, at = dense(code_points(texts), 0x110000)
+    at = at + 1
+    base, ids = len(symbols) + 1, at
+    single = np.concatenate(([0], symbols.astype(np.int64) + 1))
+    table = single[:, None]  # the code points of each number; number 0 is the place before a text
+    for _ in range(ORDER - 1):
+        before = np.concatenate(([0], ids[:-1]))[: len(ids)]
+        before[first] = 0
+        keys, ids = dense(before * base + at, len(table) * base)
+        ids = ids + 1
+        grown = np.column_stack((table[keys // base], single[keys % base]))
+        table = np.concatenate((np.zeros((1, grown.shape[1]), np.int64), grown))
+    left, right = ((table[1:, k] << WIDE) | table[1:, k + 1] for k in (0, 2))
+    return left + 1j * right, ids - 1
+
+
+def piece_rows(batch: pa.RecordBatch, before: int) -> Iterator[tuple[int, dict[str | None, list[int]]]]:
+    """The batch's rows by piece and language; `before` characters of the task's rows precede it."""
+    sizes = np.array([len(t or "") for t in batch.column("text").to_pylist()], np.int64)
+    number = (before + np.cumsum(sizes) - sizes) // PIECE_CHARS
+    langs = batch.column("lang").to_pylist()
+    for piece in np.unique(number):
+        rows: dict[str | None, list[int]] = {}
+        for i in np.flatnonzero(number == piece):
+            rows.setdefault(langs[i], []).append(i)
+        yield int(piece), rows
+
+
+def piece_name(piece: int) -> str:
+    return f"p{TaskContext.get().partitionId()}x{piece}"
+
+
+def lang_key(lang: str | None) -> str:
+    return "" if lang is None else f"x{lang}"
+
+
+def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: dict[str | None, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+    def flush(piece: int) -> Iterator[pa.RecordBatch]:
         for lang, parts in held.items():
             keys, n = merged(parts)
             for at in range(0, len(keys), 100_000):
                 k = keys[at : at + 100_000]
-                columns = [pa.array([lang] * len(k), pa.string()), pa.array(k.astype(np.int32)), pa.array(n[at : at + 100_000].astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, names=["lang", "gram", "n"])
+                names = [pa.array([x] * len(k), pa.string()) for x in (piece_name(piece), lang_key(lang))]
+                columns = [pa.array(x.astype(np.int64)) for x in (k.real, k.imag, n[at : at + 100_000])]
+                yield pa.RecordBatch.from_arrays(names + columns, names=["piece", "lang", "a", "b", "n"])
+        held.clear()
 
-    return count
+    now, before = 0, 0
+    for batch in batches:
+        texts = [t or "" for t in batch.column("text").to_pylist()]
+        for piece, by_lang in piece_rows(batch, before):
+            if piece != now:
+                yield from flush(now)
+                now = piece
+            for lang, rows in by_lang.items():
+                mine = [texts[i] for i in rows]
+                for begin, end in runs(list(map(len, mine))):
+                    keys, ids = code_grams(mine[begin:end])
+                    parts = held.setdefault(lang, [])
+                    parts.append((keys, np.bincount(ids, minlength=len(keys))))
+                    if len(parts) > 16:
+                        held[lang] = [merged(parts)]
+        before += sum(map(len, texts))
+    yield from flush(now)
 
 
 def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -153,6 +166,48 @@ def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return keys, np.bincount(inverse, np.concatenate([p[1] for p in parts]), len(keys)).astype(np.int64)
 
 
+def _discounted(c: Column) -> Column:
+    """The discount of a count, from the numbers n1 to n4 of n-grams seen one to four times (see discounts)."""
+    n = [F.greatest(F.lit(1), F.col(f"n{i}")).cast("double") for i in range(1, 5)]
+    y = n[0] / (n[0] + 2 * n[1])
+    d = [F.least(F.greatest(i - (i + 1) * y * n[i] / n[i - 1], F.lit(0.05)), F.lit(i - 0.05)) for i in (1, 2, 3)]
+    return F.when(c >= 3, d[2]).when(c == 2, d[1]).when(c == 1, d[0]).otherwise(0.0)
+
+
+def model(counts: DataFrame, stages: Stages) -> DataFrame:
+    """(lang, a, b, p, alone, even) from the ORDER-gram counts (lang, a, b, c): the probability of the last code point after the others,
+    what it is without one occurrence of the n-gram, and one over the language's code points and one unknown. An n-gram of a lower order has zeros in front."""
+    last = F.lit((1 << WIDE) - 1)
+    levels = [counts]
+    for shorter in ((F.col("a").bitwiseAND(last), F.col("b")), (F.lit(0).cast("long"), F.col("b")), (F.lit(0).cast("long"), F.col("b").bitwiseAND(last))):
+        lower = levels[-1].groupBy("lang", shorter[0].alias("a"), shorter[1].alias("b")).agg(F.count(F.lit(1)).alias("c"))
+        levels.append(stages.write(lower, f"perplexity-order-{ORDER - len(levels)}"))
+    levels.reverse()
+    seen = [F.count_if(F.col("c") == i).alias(f"n{i}") for i in range(1, 5)]
+    below = None
+    for n, level in enumerate(levels, 1):
+        of_lang = stages.write(level.groupBy("lang").agg(*seen, F.count(F.lit(1)).alias("types")), f"perplexity-seen-{n}")
+        rows = level.join(of_lang, "lang").select(
+            "lang", "a", "b", "c", "types", F.shiftright("b", WIDE).alias("head"), _discounted(F.col("c")).alias("d"), _discounted(F.col("c") - 1).alias("less")
+        )
+        context = ["lang", "a", "head"]
+        rows = rows.join(rows.groupBy(context).agg(F.sum("c").alias("total"), F.sum("d").alias("given")), context)
+        if n == 1:  # the lowest order gives to all code points of the language and one unknown alike
+            rows = rows.withColumn("even", 1 / (F.col("types") + 1)).withColumn("p_low", F.col("even")).withColumn("alone_low", F.col("even"))
+        else:
+            a = F.col("a").bitwiseAND(last) if n == 4 else F.lit(0).cast("long")
+            b = F.col("b").bitwiseAND(last) if n == 2 else F.col("b")
+            low = below.select("lang", F.col("a").alias("a_low"), F.col("b").alias("b_low"), F.col("p").alias("p_low"), F.col("alone").alias("alone_low"), "even")
+            rows = rows.withColumn("a_low", a).withColumn("b_low", b).join(low, ["lang", "a_low", "b_low"])
+        p = (F.col("c") - F.col("d") + F.col("given") * F.col("p_low")) / F.col("total")
+        # an n-gram that was seen once is also one less among the continuations of the lower order
+        lower = F.when(F.col("c") == 1, F.col("alone_low")).otherwise(F.col("p_low"))
+        less = F.col("c") - 1 - F.col("less") + (F.col("given") - F.col("d") + F.col("less")) * lower
+        alone = F.when(F.col("total") == 1, F.col("alone_low")).otherwise(less / (F.col("total") - 1))
+        below = stages.write(rows.select("lang", "a", "b", p.alias("p"), alone.alias("alone"), "even"), f"perplexity-model-{n}")
+    return below
+
+
 def hashed(gram: np.ndarray, n: int) -> np.ndarray:
     """The place of an n-gram in the sorted arrays: a one-to-one scramble of its number and order."""
     h = gram.astype(np.uint32) | np.uint32((n - 1) << (BITS * ORDER))
@@ -197,13 +252,6 @@ def estimate(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return every, logp, np.append(back, np.float32(root))
 
 
-def _estimated(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    order = np.argsort(rows["gram"].to_numpy(), kind="stable")
-    arrays = estimate(rows["gram"].to_numpy()[order], rows["n"].to_numpy()[order])
-    name = (key[0] or "").encode().hex() if key[0] is not None else "null"
-    return pd.DataFrame([[f"x{name}", *(a.tobytes() for a in arrays)]], columns=["part", "hashes", "logp", "back"])
-
-
 def look_up(gram: np.ndarray, n: int, model: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
     """Log probability of the last symbol of distinct n-grams, backing off where an n-gram is not in the arrays."""
     hashes, logp, back = model
@@ -224,21 +272,23 @@ def look_up(gram: np.ndarray, n: int, model: tuple[np.ndarray, np.ndarray, np.nd
     return out
 
 
-_MODELS: dict[tuple[str, str | None], tuple] = {}
+def load(folder: str, piece: str) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Per language of a piece, its sorted n-grams and their log probabilities, from the shared folder."""
+    place, path = open_folder(folder)
+    rows = pq.read_table(f"{path}/piece={piece}", filesystem=place, columns=["lang", "a", "b", "logp"], partitioning=None).to_pandas()
+    out = {}
+    for lang, part in rows.groupby("lang"):
+        keys = part["a"].to_numpy() + 1j * part["b"].to_numpy()
+        order = np.argsort(keys)
+        out[lang] = keys[order], part["logp"].to_numpy()[order]
+    return out
 
 
-def load(folder: str, lang: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A language's arrays from the shared folder; a worker keeps the last four it used."""
-    key = (folder, lang)
-    if key not in _MODELS:
-        place, path = open_folder(folder)
-        name = "null" if lang is None else lang.encode().hex()
-        table = pq.read_table(f"{path}/part=x{name}", filesystem=place, columns=["hashes", "logp", "back"], partitioning=None)
-        h, p, b = (table.column(c)[0].as_py() for c in ("hashes", "logp", "back"))
-        while len(_MODELS) >= 4:
-            _MODELS.pop(next(iter(_MODELS)))
-        _MODELS[key] = (np.frombuffer(h, np.uint32), np.frombuffer(p, np.float32), np.frombuffer(b, np.float32))
-    return _MODELS[key]
+def values_of(keys: np.ndarray, known: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    at = np.minimum(np.searchsorted(known[0], keys), len(known[0]) - 1)
+    if (known[0][at] != keys).any():
+        raise RuntimeError("the documents changed between counting and scoring")
+    return known[1][at]
 
 
 def repeated_words(found: list[list[str]]) -> np.ndarray:
@@ -269,21 +319,17 @@ def repeated_lines(text: str) -> int:
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, chars long, nats double"
 
 
-def _scorer(folder: str, symbols: dict[str | None, tuple[np.ndarray, np.ndarray]], keep: list[str]):
+def _scorer(folder: str, keep: list[str]):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, values = np.zeros(1 << (BITS * ORDER), bool), np.zeros(1 << (BITS * ORDER), np.float32)
         blank, mark = np.zeros(0x110000, bool), np.zeros(0x110000, bool)
         blank[[ord(c) for c in BLANK]] = True
         mark[[ord(c) for c in MARKS]] = True
-        tables: dict[str | None, np.ndarray] = {}
+        loaded, known, before = None, {}, 0
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             columns = np.zeros((6, len(texts)), np.int64)
             nats = np.zeros(len(texts))
-            for lang, rows in by_language(batch).items():
-                if lang not in tables:
-                    tables[lang] = np.full(0x110000, OTHER, np.uint8)
-                    tables[lang][symbols[lang][0]] = symbols[lang][1]
+            for piece, lang, rows in ((p, *x) for p, by_lang in piece_rows(batch, before) for x in by_lang.items()):
                 for begin, end in runs([len(texts[i]) for i in rows]):
                     at = np.array(rows[begin:end])
                     part = [texts[i] for i in at]
@@ -297,13 +343,12 @@ def _scorer(folder: str, symbols: dict[str | None, tuple[np.ndarray, np.ndarray]
                     columns[3, at] = [repeated_lines(t) for t in part]
                     columns[4, at] = repeated_words(found)
                     columns[5, at] = sizes
-                    g = grams(part, tables[lang])
-                    seen[g] = True
-                    keys = np.flatnonzero(seen)
-                    seen[keys] = False
-                    if len(keys):
-                        values[keys] = look_up(keys.astype(np.uint32), ORDER, load(folder, lang))
-                        nats[at] = -np.bincount(owner, values[g], len(part))
+                    if len(codes):
+                        if piece != loaded:
+                            loaded, known = piece, load(folder, piece_name(piece))
+                        keys, ids = code_grams(part)
+                        nats[at] = -np.bincount(owner, values_of(keys, known[lang_key(lang)])[ids], len(part))
+            before += sum(map(len, texts))
             names = [c.split()[0] for c in COUNTS.split(", ")]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in keep), *map(pa.array, columns), pa.array(nats)], names=[*keep, *names]
@@ -320,13 +365,13 @@ def measure(docs: DataFrame, keep: list[str], stages: Stages) -> DataFrame:
     """`keep` columns of docs (lang among them) with base counts, characters and nats under the language's model, written to
     the shared folder. The model is counted over all of docs."""
     rows = docs.select(*keep, F.col("text").cast("string").alias("text"))
-    symbols = alphabets(rows.select(F.col("lang"), F.col("text")))
-    counts = rows.select("lang", "text").mapInArrow(_counter(symbols), "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    models = counts.groupBy("lang").applyInPandas(_estimated, "part string, hashes binary, logp binary, back binary")
-    folder = stages.put(models, "perplexity-model", "part")
-    known = {lang: (np.flatnonzero(t != OTHER), t[t != OTHER]) for lang, t in symbols.items()}
+    found = stages.write(rows.mapInArrow(_counter, "piece string, lang string, a long, b long, n long"), "perplexity-grams")
+    counts = stages.write(found.groupBy("lang", "a", "b").agg(F.sum("n").alias("c")), "perplexity-counts")
+    judged = model(counts, stages).select("lang", "a", "b", F.log(F.greatest("alone", "even")).cast("float").alias("logp"))
+    values = found.drop("n").join(judged, ["lang", "a", "b"]).repartition("piece")
+    folder = stages.put(values, "perplexity-values", "piece")
     schema = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in keep) + ", " + COUNTS
-    return stages.write(rows.mapInArrow(_scorer(folder, known, keep), schema), "perplexity-scores")
+    return stages.write(rows.mapInArrow(_scorer(folder, keep), schema), "perplexity-scores")
 
 
 def verdicts(measured: DataFrame, width: float = 2.5, short: float = 300.0) -> DataFrame:

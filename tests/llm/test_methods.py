@@ -283,6 +283,52 @@ def test_kneser_ney_sums_to_one():
         assert np.isclose(np.exp(perplexity.look_up(each, perplexity.ORDER, model).astype(float)).sum(), 1, atol=1e-4)
 
 
+def code_counts(spark, texts):
+    keys, ids = perplexity.code_grams(texts)
+    rows = zip(["x"] * len(keys), keys.real.astype(int).tolist(), keys.imag.astype(int).tolist(), np.bincount(ids).tolist())
+    return spark.createDataFrame(list(rows), "lang string, a long, b long, c long")
+
+
+def test_rows_give_the_kneser_ney_model_of_the_arrays(spark):
+    r = random.Random(5)
+    alphabet = [chr(0x4E00 + 7 * i) for i in range(63)]  # with the place before a text, as many symbols as the arrays hold
+    texts = ["".join(r.choices(alphabet, [1 / i for i in range(1, 64)], k=400)) for _ in range(40)] + ["".join(alphabet)]
+    symbol = np.full(0x110000, perplexity.OTHER, np.uint8)
+    for i, c in enumerate(alphabet, 1):
+        symbol[ord(c)] = i
+    arrays = perplexity.estimate(*np.unique(perplexity.grams(texts, symbol), return_counts=True))
+    rows = perplexity.model(code_counts(spark, texts), Stages(spark)).collect()
+    number = lambda x: int(symbol[x - 1]) if x else 0
+    low = (1 << perplexity.WIDE) - 1
+    packed = [sum(number(x) << s for x, s in zip((r["a"] >> perplexity.WIDE, r["a"] & low, r["b"] >> perplexity.WIDE, r["b"] & low), (18, 12, 6, 0))) for r in rows]
+    expected = perplexity.look_up(np.array(packed, np.uint32), perplexity.ORDER, arrays)
+    assert len(rows) > 5000 and np.allclose([np.log(r["p"]) for r in rows], expected, atol=1e-4)
+
+
+def test_an_occurrence_is_judged_without_itself(spark):
+    texts = ["abcabdabcabe", "abcx", "bcab"]
+    rows = {(r["a"], r["b"]): r["alone"] for r in perplexity.model(code_counts(spark, texts), Stages(spark)).collect()}
+    keys, _ = perplexity.code_grams(["x"])
+    assert all(0 < v < 1 for v in rows.values())
+    # by hand: what was seen once after its context backs off to the lower orders, and so is less likely than what was seen twice
+    twice, once = perplexity.code_grams(["abca"])[0], perplexity.code_grams(["abcx"])[0]
+    of = lambda k: [rows[int(x.real), int(x.imag)] for x in k]
+    assert max(of(twice)) > max(v for x, v in zip(once, of(once)) if x not in twice)
+
+
+def test_junk_in_a_large_alphabet_is_told_from_text(spark):
+    r = random.Random(6)
+    letters = [chr(0x4E00 + i) for i in range(1500)]
+    words = ["".join(r.choices(letters, k=r.randint(2, 3))) for _ in range(900)]
+    spaced = lambda parts: " ".join(parts)
+    good = [spaced(r.choices(words, k=r.randint(150, 250))) for _ in range(300)]
+    used = sorted({c for w in words for c in w})
+    junk = [spaced("".join(r.choices(used, k=r.randint(2, 3))) for _ in range(200)) for _ in range(10)]
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(good + junk)], "doc_id long, text string, lang string")
+    kept = {x["doc_id"] for x in perplexity.quality_rules(docs).filter("kept").collect()}
+    assert sum(i in kept for i in range(300)) >= 295 and not any(i in kept for i in range(300, 310))
+
+
 def test_base_rules_against_plain_python(spark):
     rows = {r["doc_id"]: r for r in queries.op5_perplexity(spark, FOLDER).collect()}
     labels = dict(texts_of(FOLDER, "labels", column="quality"))
