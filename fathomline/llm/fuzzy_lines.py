@@ -1,12 +1,15 @@
 """Line deduplication that sees through small edits.
 
-Lines are hashed into shingles of eight characters; one-permutation min-hashes of these (24 bins, empty ones filled from
+Lines are hashed into shingles, of eight characters from 79 characters on and of (length + 1) // 10 (two at least) below, the
+longest at which one changed character leaves a similarity of 0.8. The shorter line of a pair sets the shingles for both, so a
+line has keys for its own and for those of the lines it could match, down to 0.8 of its length. Short shingles come again within
+a line, so below eight characters the second is another than the first, and so on. One-permutation min-hashes of these (24 bins, empty ones filled from
 their neighbours) are cut into 8 bands of 3. Lines that share a band, directly or through others, are compared exactly
 by the Jaccard similarity of their shingles, in blocks of bounded size. Linked lines form components by distributed
 union-find, and of each component (and of equal lines) the first line is kept: that of the smallest doc_id, then line number.
 
-Defined edge cases: a null text has no lines and stays null; blank lines are always kept; lines shorter than eight
-characters are one shingle, so they match equal lines alone; repeated rows share a doc_id, so the first copy of the row
+Defined edge cases: a null text has no lines and stays null; blank lines are always kept; below 19
+characters one changed inner character leaves less than 0.8, and a line of one character matches equal lines alone; repeated rows share a doc_id, so the first copy of the row
 keeps the line; null doc_ids come first; an empty table gives no rows; columns other than those named are not read.
 """
 
@@ -24,42 +27,79 @@ from fathomline.llm.lsh_forest import digest_of, node_of
 from fathomline.llm.near import GOLD, MIX1, MIX2, Seen, distinct, runs, scramble, settle, share_key, verify
 from fathomline.session import Stages
 
-CHARS, BANDS, ROWS = 8, 8, 3
+CHARS, LEAST, BANDS, ROWS = 8, 2, 8, 3
 BINS = BANDS * ROWS
 THRESHOLD = 0.8
 AT_ONCE = 50_000  # characters hashed at once, so that the arrays stay in the processor's cache
-LINES = "row long, doc_id long, line int, digest binary, node long, keys array<long>"
+LINES = "row long, doc_id long, line int, digest binary, node long, keys array<struct<chars:int,keys:array<long>>>"
+KEYS = pa.list_(pa.struct([("chars", pa.int32()), ("keys", pa.list_(pa.int64()))]))
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def char_shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of CHARS-character shingles laid end to end, and how many each line has (one for a shorter line)."""
+def own_chars(size: int) -> int:
+    """The length of the shingles of a line of `size` characters."""
+    return max(LEAST, min(CHARS, (size + 1) // 10))
+
+
+def all_chars(size: int, threshold: float = THRESHOLD) -> range:
+    """Lengths of the shingles at which a line of `size` characters meets others: its own and those of shorter lines."""
+    return range(own_chars(int(threshold * size)), own_chars(size) + 1)
+
+
+def char_shingles(lines: list[str], chars: int = CHARS) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of shingles laid end to end, and how many each line has (one for a shorter line)."""
     sizes = np.fromiter(map(len, lines), np.int64, len(lines))
-    # each line is followed by CHARS - 1 zeros, so a window never reaches the next line's characters
-    gap = "\x00" * (CHARS - 1)
+    # each line is followed by chars - 1 zeros, so a window never reaches the next line's characters
+    gap = "\x00" * (chars - 1)
     codes = np.frombuffer("".join([line + gap for line in lines]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    h, width = codes + np.uint64(1), 1
-    for odd in (GOLD, MIX1, MIX2):
-        later = np.zeros_like(h)
-        later[:-width] = h[width:]
-        h = h * odd + later
-        width *= 2
-    count = np.maximum(1, sizes - CHARS + 1)
-    first = np.cumsum(sizes + CHARS - 1) - (sizes + CHARS - 1)
+    if chars == CHARS:
+        h, width = codes + np.uint64(1), 1
+        for odd in (GOLD, MIX1, MIX2):
+            later = np.zeros_like(h)
+            later[:-width] = h[width:]
+            h = h * odd + later
+            width *= 2
+    else:
+        h = np.full(len(codes), chars, np.uint64)
+        for k in range(chars):
+            later = np.zeros_like(codes)
+            later[: len(codes) - k] = codes[k:]
+            h = h * GOLD + later + np.uint64(1)
+    count = np.maximum(1, sizes - chars + 1)
+    first = np.cumsum(sizes + chars - 1) - (sizes + chars - 1)
     keep = np.zeros(len(h) + 1, np.int8)
     np.add.at(keep, first, 1)
     np.add.at(keep, first + count, -1)
-    return scramble(h[np.cumsum(keep[:-1], dtype=np.int8) > 0]), count
+    h = scramble(h[np.cumsum(keep[:-1], dtype=np.int8) > 0])
+    if chars < CHARS and len(h):
+        owner = np.repeat(np.arange(len(lines)), count)
+        order = np.lexsort((h, owner))
+        new = np.concatenate(([True], (h[order][1:] != h[order][:-1]) | (owner[order][1:] != owner[order][:-1])))
+        at = np.arange(len(h))
+        again = np.empty(len(h), np.uint64)
+        again[order] = (at - np.maximum.accumulate(np.where(new, at, 0))).astype(np.uint64)
+        h = scramble(h + again * MIX1)
+    return h, count
+
+
+def line_sets(lines: list[str], chars: int = CHARS) -> list[np.ndarray]:
+    values, sizes = char_shingles(lines, chars)
+    return [distinct(s) for s in np.split(values, np.cumsum(sizes)[:-1])] if lines else []
 
 
-def line_sets(lines: list[str]) -> list[np.ndarray]:
-    values, sizes = char_shingles(lines)
-    return [distinct(s) for s in np.split(values, np.cumsum(sizes)[:-1])] if lines else []
+def marked_sets(marked: list[str]) -> list[np.ndarray]:
+    """Sets of lines that have the length of their shingles in front, all the same."""
+    return line_sets([m[1:] for m in marked], int(marked[0][0]))
+
 
+def guests(marked: list[str]) -> np.ndarray:
+    """Which lines have longer shingles of their own: two of these are compared at those."""
+    return np.array([own_chars(len(m) - 1) > int(m[0]) for m in marked])
 
-def band_keys(lines: list[str]) -> np.ndarray:
+
+def band_keys(lines: list[str], chars: int = CHARS) -> np.ndarray:
     """lines x BANDS keys."""
-    values, sizes = char_shingles(lines)
+    values, sizes = char_shingles(lines, chars)
     owner = np.repeat(np.arange(len(lines), dtype=np.int64), sizes)
     slot = owner * BINS + (values >> np.uint64(40)).astype(np.int64) % BINS
     least = np.full(len(lines) * BINS, EMPTY)
@@ -77,41 +117,47 @@ def band_keys(lines: list[str]) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = batch.column("text").to_pylist()
-        for begin, end in runs([len(t or "") for t in texts]):
-            at, number, lines = [], [], []
-            for i in range(begin, end):
-                for n, line in enumerate((texts[i] or "").split("\n")):
-                    if line and not line.isspace():
-                        at.append(i)
-                        number.append(n)
-                        lines.append(line)
-            if not lines:
-                continue
-            # keys are made once for each line of this piece; further copies have none
-            first: dict[str, int] = {}
-            for k, line in enumerate(lines):
-                first.setdefault(line, k)
-            keys: list[np.ndarray | None] = [None] * len(lines)
-            different = list(first)
-            made = (row for b, e in runs(list(map(len, different)), AT_ONCE) for row in band_keys(different[b:e]))
-            for k, row in zip(first.values(), made):
-                keys[k] = row
-            digests = {line: digest_of(line) for line in first}
-            digest = [digests[line] for line in lines]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("row").take(pa.array(at, pa.int64())),
-                    batch.column("doc_id").take(pa.array(at, pa.int64())),
-                    pa.array(number, pa.int32()),
-                    pa.array(digest, pa.binary()),
-                    pa.array([node_of(d) for d in digest], pa.int64()),
-                    pa.array(keys, pa.list_(pa.int64())),
-                ],
-                names=["row", "doc_id", "line", "digest", "node", "keys"],
-            )
+def _reader(threshold: float):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for begin, end in runs([len(t or "") for t in texts]):
+                at, number, lines = [], [], []
+                for i in range(begin, end):
+                    for n, line in enumerate((texts[i] or "").split("\n")):
+                        if line and not line.isspace():
+                            at.append(i)
+                            number.append(n)
+                            lines.append(line)
+                if not lines:
+                    continue
+                # keys are made once for each line of this piece; further copies have none
+                first: dict[str, int] = {}
+                for k, line in enumerate(lines):
+                    first.setdefault(line, k)
+                keys: list[list[dict] | None] = [None] * len(lines)
+                for k in first.values():
+                    keys[k] = []
+                for chars in range(LEAST, CHARS + 1):
+                    meet = [line for line in first if chars in all_chars(len(line), threshold)]
+                    made = (row for b, e in runs(list(map(len, meet)), AT_ONCE) for row in band_keys(meet[b:e], chars))
+                    for line, row in zip(meet, made):
+                        keys[first[line]].append({"chars": chars, "keys": row})
+                digests = {line: digest_of(line) for line in first}
+                digest = [digests[line] for line in lines]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("row").take(pa.array(at, pa.int64())),
+                        batch.column("doc_id").take(pa.array(at, pa.int64())),
+                        pa.array(number, pa.int32()),
+                        pa.array(digest, pa.binary()),
+                        pa.array([node_of(d) for d in digest], pa.int64()),
+                        pa.array(keys, KEYS),
+                    ],
+                    names=["row", "doc_id", "line", "digest", "node", "keys"],
+                )
+
+    return read
 
 
 def _fetcher(seen: Seen):
@@ -121,12 +167,12 @@ def _fetcher(seen: Seen):
             lines = {line for t in batch.column("text").to_pylist() if t for line in t.split("\n") if line and not line.isspace()}
             lines = list(lines)
             digests = [digest_of(line) for line in lines]
-            may = seen.may_hold(np.array([node_of(d) for d in digests], np.int64)) if lines else []
+            may = seen.may_hold(np.array([node_of(d) >> 3 for d in digests], np.int64)) if lines else []
             out = []
             for digest, line, yes in zip(digests, lines, may):
                 if yes and digest not in sent:
                     sent.add(digest)
-                    out.append((digest, node_of(digest), line))
+                    out.append((digest, node_of(digest) >> 3, line))
             columns = list(zip(*out)) if out else [[], [], []]
             types = (pa.binary(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["digest", "node", "text"])
@@ -137,13 +183,16 @@ def _fetcher(seen: Seen):
 def repeated_lines(docs: DataFrame, stages: Stages, threshold: float = THRESHOLD) -> DataFrame:
     """(row, doc_id, lines): per row of docs (row, doc_id, text) that loses lines, their sorted numbers (from 0)."""
     rows = docs.select("row", "doc_id", F.col("text").cast("string").alias("text"))
-    lines = stages.write(rows.mapInArrow(_reader, LINES), "lines")
-    keyed = lines.filter(F.col("keys").isNotNull()).select(F.col("node").alias("id"), "keys")
+    lines = stages.write(rows.mapInArrow(_reader(threshold), LINES), "lines")
+    # a line is one node for each length of its shingles, told apart by the low three bits
+    each = lines.filter(F.col("keys").isNotNull()).select("node", F.inline("keys"))
+    keyed = each.select((F.shiftleft(F.shiftright("node", 3), 3) + F.col("chars") - 1).alias("id"), "keys")
     comps = stages.write(connected(share_key(keyed, stages, "lines"), stages, "lines-met"), "lines-candidates")
-    texts = rows.select("text").mapInArrow(_fetcher(Seen(comps.select("id"))), "digest binary, node long, text string")
-    met = texts.join(comps.withColumnRenamed("id", "node"), "node").select(F.col("root").alias("comp"), "digest", "text")
-    met = stages.write(met.dropDuplicates(["digest"]), "lines-texts")
-    _, classes = settle(verify(met, line_sets, threshold), stages, "lines")
+    comps = comps.select(F.shiftright("id", 3).alias("node"), "root", (F.col("id").bitwiseAND(F.lit(7)) + 1).alias("chars"))
+    texts = rows.select("text").mapInArrow(_fetcher(Seen(comps.select(F.col("node").alias("id")))), "digest binary, node long, text string")
+    met = texts.join(comps, "node").select(F.col("root").alias("comp"), "digest", F.concat(F.col("chars").cast("string"), "text").alias("text"))
+    met = stages.write(met.dropDuplicates(["comp", "digest"]), "lines-texts")
+    _, classes = settle(verify(met, marked_sets, threshold, guests), stages, "lines")
     # the first place of each different line, then of each class; lines of one place and no class have nothing to lose
     place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "row", "line")
     different = lines.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))

@@ -169,9 +169,9 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def verified_groups(rows: list[tuple], sets: list[np.ndarray], threshold: float) -> list[tuple[bytes, bytes, int]]:
+def verified_groups(rows: list[tuple], sets: list[np.ndarray], threshold: float, apart: np.ndarray | None = None) -> list[tuple[bytes, bytes, int]]:
     """(id, root, links) of the rows of one pair of blocks: rows are (digest, block, i, j). Each pair of rows is compared in one
-    pair of blocks alone: rows of one block where i = j, rows of two where i < j. `root` joins the rows that are linked here."""
+    pair of blocks alone: rows of one block where i = j, rows of two where i < j. Two rows that are `apart` aren't linked. `root` joins the rows that are linked here."""
     n = len(rows)
     sizes = np.array([len(s) for s in sets], np.float64)
     if n <= 12:
@@ -186,6 +186,8 @@ def verified_groups(rows: list[tuple], sets: list[np.ndarray], threshold: float)
     union = sizes[:, None] + sizes[None, :] - common
     linked = (common >= threshold * union - 1e-9) & (common > 0)
     np.fill_diagonal(linked, False)
+    if apart is not None:
+        linked &= ~(apart[:, None] & apart[None, :])
     block = np.array([r[1] for r in rows])
     if rows[0][2] != rows[0][3]:
         linked &= block[:, None] != block[None, :]
@@ -200,11 +202,12 @@ def verified_groups(rows: list[tuple], sets: list[np.ndarray], threshold: float)
     return [(rows[a][0], rows[root[a]][0], int(links[a])) for a in range(n) if links[a]]
 
 
-def _verifier(to_sets: Callable[[list[str]], list[np.ndarray]], threshold: float):
+def _verifier(to_sets: Callable[[list[str]], list[np.ndarray]], threshold: float, apart: Callable[[list[str]], np.ndarray] | None = None):
     def flush(group: list[tuple], out: list[tuple]) -> None:
         rows = list({r[1]: r for r in group}.values())  # equal texts were sent by several tasks
         if len(rows) > 1:
-            out += verified_groups([(r[1], r[2], r[0][1], r[0][2]) for r in rows], to_sets([r[3] for r in rows]), threshold)
+            texts = [r[3] for r in rows]
+            out += verified_groups([(r[1], r[2], r[0][1], r[0][2]) for r in rows], to_sets(texts), threshold, apart(texts) if apart else None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, out = [], []
@@ -232,12 +235,14 @@ def packed(out: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def verify(texts: DataFrame, to_sets: Callable[[list[str]], list[np.ndarray]], threshold: float) -> DataFrame:
-    """(id, root, links) from texts (comp, digest, text): every pair of different texts of a component is compared exactly.
-    A row tells how many links of `id` were found in one pair of blocks, and a row that it is connected with there."""
+def verify(
+    texts: DataFrame, to_sets: Callable[[list[str]], list[np.ndarray]], threshold: float, apart: Callable[[list[str]], np.ndarray] | None = None
+) -> DataFrame:
+    """(id, root, links) from texts (comp, digest, text): every pair of different texts of a component is compared exactly,
+    but those of which `apart` holds for both. A row tells how many links of `id` were found in one pair of blocks, and a row that it is connected with there."""
     dealt = blocks(texts).select("comp", "pair.i", "pair.j", "digest", "block", "text")
     dealt = dealt.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j")
-    return dealt.mapInArrow(_verifier(to_sets, threshold), VERIFIED)
+    return dealt.mapInArrow(_verifier(to_sets, threshold, apart), VERIFIED)
 
 
 def settle(found: DataFrame, stages: Stages, name: str) -> tuple[DataFrame, DataFrame]:

@@ -179,6 +179,22 @@ def test_lines_against_brute_force(spark):
     assert len(got - lost) <= 0.01 * len(lost) and len(got & lost) >= 0.98 * len(lost)
 
 
+def test_one_letter_edits_of_short_lines(spark):
+    r = random.Random(12)
+    docs, edited = [], []
+    for n in range(600):
+        line = "".join(r.choices("abcdefghijklmnopqrstuvwxyz     ", k=20 + n % 61))
+        line = "x" + line[1:-1] + "y"
+        at = r.randrange(1, len(line) - 1)
+        kind = n % 3 if len(line) > 21 else 0
+        copy = line[:at] + "#" + line[at + (kind != 1) :] if kind != 2 else line[:at] + line[at + 1 :]
+        docs += [(2 * n, line), (2 * n + 1, copy)]
+        if kind == 0:
+            edited.append(2 * n + 1)
+    got = {x["doc_id"] for x in fuzzy_lines.line_dedup(spark.createDataFrame(docs, "doc_id long, text string")).filter("n_dropped = 1").collect()}
+    assert len(got & set(edited)) >= 0.98 * len(edited) and not any(d % 2 == 0 for d in got)
+
+
 # --- decontamination ---
 
 
