@@ -103,24 +103,28 @@ def ownership(scanned: DataFrame) -> DataFrame:
     )
 
 
-def judge(scanned: DataFrame, owned: DataFrame, example_owners: int = 3) -> DataFrame:
-    """One row per candidate with its verdict: `example` if `example_owners` owners or more carry the value, `live` if one
-    owner does and it looks random, else `unsure`."""
+def judge(scanned: DataFrame, owned: DataFrame, example_owners: int = 3, example_repositories: int | None = None) -> DataFrame:
+    """One row per candidate with its verdict: `example` if `example_owners` owners or more, or `example_repositories`
+    repositories or more (where given), carry the value, `live` if one owner does and it looks random, else `unsure`. The
+    value's owners, repositories and occurrences stand beside it."""
     each = scanned.select("row", "doc_id", F.explode("found").alias("c")).select("row", "doc_id", "c.*")
+    copied = F.col("owners") >= example_owners
+    if example_repositories is not None:
+        copied |= F.col("repositories") >= example_repositories
     verdict = (
-        F.when(F.col("owners") >= example_owners, "example").when((F.col("owners") == 1) & F.col("random"), "live").otherwise("unsure")
+        F.when(copied, "example").when((F.col("owners") == 1) & F.col("random"), "live").otherwise("unsure")
     )
     return each.join(owned, "hash").withColumn("verdict", verdict)
 
 
-def secret_scan(docs: DataFrame, owner: Column, repository: Column, example_owners: int = 3) -> DataFrame:
+def secret_scan(docs: DataFrame, owner: Column, repository: Column, example_owners: int = 3, example_repositories: int | None = None) -> DataFrame:
     """doc_id, counts and digest of the base kinds, all spans, and candidates by verdict; one row per document.
 
     Spans are those of the base kinds, of private-key headers, and of bare random strings that only one owner has."""
     stages = Stages(docs.sparkSession)
     scanned = scan(docs, owner, repository, stages)
     owned = stages.write(ownership(scanned), "secret-owners")
-    judged = judge(scanned, owned, example_owners)
+    judged = judge(scanned, owned, example_owners, example_repositories)
     kept = judged.filter((F.col("kind") != KINDS.index("bare")) | (F.col("verdict") == "live"))
     names = F.array(*[F.lit(k) for k in KINDS])
     spans = F.sort_array(F.collect_list(F.struct("start", "kind", "end")))

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fathomline.catalog.compare import compare, connect
-from fathomline.llm import chat_events, decontaminate, fuzzy_lines, language_crf, lsh_forest, near, perplexity, queries, toxicity_mil, warc_writer
+from fathomline.llm import chat_events, decontaminate, fuzzy_lines, language_crf, lsh_forest, near, perplexity, queries, secret_scan, toxicity_mil, warc_writer
 from fathomline.llm.components import connected
 from fathomline.session import Stages
 
@@ -437,3 +437,14 @@ def test_pipeline_keeps_columns_and_drops_copies(spark):
     assert decontaminate.decontaminate(kept, bench).isEmpty()
     mixed = corpus_pipeline.STAGES[-1][1](spark, kept, FOLDER)
     assert mixed.count() == kept.count()
+
+
+def test_a_value_in_many_repositories_of_one_owner_is_an_example(spark):
+    copied, own = "Ab3" * 12 + "Q", "Zx9" * 12 + "R"
+    rows = [(i, f"see {copied} here", "hot", f"r{i % 5}") for i in range(40)] + [(99, f"see {own} here", "hot", "r1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, owner string, repository string")
+    got = {r["doc_id"]: r for r in secret_scan.secret_scan(docs, F.col("owner"), F.col("repository"), example_repositories=4).collect()}
+    assert all((got[i]["n_live"], got[i]["n_example"], got[i]["spans"]) == (0, 0, "") for i in range(40)) and got[99]["n_live"] == 1
+    scanned = secret_scan.scan(docs, F.col("owner"), F.col("repository"), Stages(spark))
+    judged = secret_scan.judge(scanned, secret_scan.ownership(scanned), example_repositories=4)
+    assert {(r["owners"], r["repositories"], r["occurrences"]) for r in judged.collect()} == {(1, 5, 40), (1, 1, 1)}
