@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathomline.llm import chat_events, decontaminate, fuzzy_lines, language_crf, lsh_forest, mixing, perplexity, secret_scan, spelling_variants, token_alignment, toxicity_mil, warc_writer
+from fathomline.llm import chat_events, decontaminate, fuzzy_lines, language_crf, lsh_forest, mixing, perplexity, secret_scan, spelling_variants, token_alignment, toxicity_mil, vector_graphs, warc_writer
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -67,6 +67,10 @@ def op10_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
     return fuzzy_lines.line_dedup(table(spark, folder, "documents"))
 
 
+def op11_vector_graphs(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_graphs.near_vectors(table(spark, folder, "embeddings"))
+
+
 def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling_variants.spelling_variants(table(spark, folder, "documents"))
 
@@ -86,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_events": op8_chat_events,
     "op9_decontaminate": op9_decontaminate,
     "op10_fuzzy_lines": op10_fuzzy_lines,
+    "op11_vector_graphs": op11_vector_graphs,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_token_alignment": op13_token_alignment,
 }
