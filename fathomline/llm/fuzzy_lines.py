@@ -1,16 +1,21 @@
 """Line deduplication that sees through small edits.
 
-Lines are hashed into shingles, of eight characters from 79 characters on and of (length + 1) // 10 (two at least) below, the
-longest at which one changed character leaves a similarity of 0.8. The shorter line of a pair sets the shingles for both, so a
-line has keys for its own and for those of the lines it could match, down to 0.8 of its length. Short shingles come again within
-a line, so below eight characters the second is another than the first, and so on. One-permutation min-hashes of these (24 bins, empty ones filled from
-their neighbours) are cut into 8 bands of 3. Lines that share a band, directly or through others, are compared exactly
-by the Jaccard similarity of their shingles, in blocks of bounded size. Linked lines form components by distributed
-union-find, and of each component (and of equal lines) the first line is kept: that of the smallest doc_id, then line number.
+Two lines are linked if the Jaccard similarity of their character shingles is 0.8 or more. The shorter of the two sets the length of
+the shingles: eight characters from 79 characters on, and (length + 1) // 10 (two at least) below, the longest at which one
+changed character leaves 0.8. So a line has keys for its own length and for those of shorter lines that it could match, down to 0.8 of its
+length. Short shingles come again within a line, so below eight characters the second is another than the first, and so on.
+
+Min-hashes of the shingles are cut into bands (`BANDING`: the shorter the shingles, the more alike unrelated lines are, so
+the more min-hashes make a band, and the more bands there are to keep the recall). Lines that share a band are candidates, and candidates
+are verified before anything is closed over them: first every line against the smallest of its band, in rows that grow with the lines.
+Bands whose lines are then one component are settled. Of the others (each set of lines once) all lines are compared with each other,
+in pairs of blocks of bounded size. Verified links form components by distributed union-find, and of each component (and of
+equal lines) the first line is kept: that of the smallest doc_id, then line number.
 
 Defined edge cases: a null text has no lines and stays null; blank lines are always kept; below 19
-characters one changed inner character leaves less than 0.8, and a line of one character matches equal lines alone; repeated rows share a doc_id, so the first copy of the row
-keeps the line; null doc_ids come first; an empty table gives no rows; columns other than those named are not read.
+characters one changed inner character leaves less than 0.8, and a line of one character matches equal lines alone; a line of any length is
+hashed whole; repeated rows share a doc_id, so the first copy of the row keeps the line; null doc_ids come first; of equal doc_ids the first row keeps it; an empty table gives
+no rows; columns other than those named are not read.
 """
 
 from __future__ import annotations
@@ -19,16 +24,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fathomline.llm.components import connected
 from fathomline.llm.lsh_forest import digest_of, node_of
-from fathomline.llm.near import GOLD, MIX1, MIX2, Seen, distinct, runs, scramble, settle, share_key, verify
+from fathomline.llm.near import BLOCK, GOLD, HOTTEST, LOOKED_AT, MIX1, MIX2, OFTEN, SALTS, VERIFIED, Seen, distinct, packed, runs, scramble, verify
 from fathomline.session import Stages
 
-CHARS, LEAST, BANDS, ROWS = 8, 2, 8, 3
-BINS = BANDS * ROWS
+CHARS, LEAST = 8, 2
+#: Bands and min-hashes of a band, by the length of the shingles; at 0.8 a pair shares a band with a probability of 0.995 or more.
+BANDING = {2: (30, 8), 3: (20, 6), 4: (12, 4)} | {chars: (8, 3) for chars in range(5, CHARS + 1)}
 THRESHOLD = 0.8
 AT_ONCE = 50_000  # characters hashed at once, so that the arrays stay in the processor's cache
 LINES = "row long, doc_id long, line int, digest binary, node long, keys array<struct<chars:int,keys:array<long>>>"
@@ -97,23 +103,42 @@ def guests(marked: list[str]) -> np.ndarray:
     return np.array([own_chars(len(m) - 1) > int(m[0]) for m in marked])
 
 
-def band_keys(lines: list[str], chars: int = CHARS) -> np.ndarray:
-    """lines x BANDS keys."""
-    values, sizes = char_shingles(lines, chars)
-    owner = np.repeat(np.arange(len(lines), dtype=np.int64), sizes)
-    slot = owner * BINS + (values >> np.uint64(40)).astype(np.int64) % BINS
-    least = np.full(len(lines) * BINS, EMPTY)
+def least_by_bin(values: np.ndarray, sizes: np.ndarray, bins: int) -> np.ndarray:
+    """One-permutation min-hashes: the least value of each bin; an empty bin takes its right neighbour's, marked by one more step."""
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int64), sizes)
+    slot = owner * bins + (values >> np.uint64(40)).astype(np.int64) % bins
+    least = np.full(len(sizes) * bins, EMPTY)
     np.minimum.at(least, slot, values & np.uint64((1 << 40) - 1))
-    least = least.reshape(len(lines), BINS)
-    for _ in range(BINS):  # an empty bin takes its right neighbour's value, marked by one more step
+    least = least.reshape(len(sizes), bins)
+    for _ in range(bins):
         empty = least == EMPTY
         if not empty.any():
             break
         right = np.roll(least, -1, 1)
         least = np.where(empty & (right != EMPTY), right + np.uint64(1 << 41), least)
-    keys = np.full((len(lines), BANDS), 1, np.uint64) * np.arange(1, BANDS + 1, dtype=np.uint64) * GOLD
-    for r in range(ROWS):
-        keys = scramble(keys * GOLD + least[:, r::ROWS])
+    return least
+
+
+def least_by_hash(values: np.ndarray, sizes: np.ndarray, hashes: int) -> np.ndarray:
+    """Min-hashes by as many functions, for lines with fewer shingles than a bin each would take."""
+    high, low = (values >> np.uint64(32)).astype(np.uint32), values.astype(np.uint32) | np.uint32(1)
+    starts, out = np.cumsum(sizes) - sizes, np.empty((len(sizes), hashes), np.uint64)
+    for k in range(hashes):
+        v = high + low * np.uint32((k * 2654435761 + 1) & 0xFFFFFFFF)
+        v ^= v >> np.uint32(15)
+        v *= np.uint32(2246822519)
+        v ^= v >> np.uint32(13)
+        out[:, k] = np.minimum.reduceat(v, starts)
+    return out
+
+
+def band_keys(lines: list[str], chars: int = CHARS) -> np.ndarray:
+    """lines x bands keys."""
+    bands, rows = BANDING[chars]
+    least = (least_by_hash if chars <= 4 else least_by_bin)(*char_shingles(lines, chars), bands * rows)
+    keys = np.full((len(lines), bands), chars, np.uint64) * MIX1 + np.arange(1, bands + 1, dtype=np.uint64) * GOLD
+    for r in range(rows):
+        keys = scramble(keys * GOLD + least[:, r::rows])
     return keys.view(np.int64)
 
 
@@ -180,6 +205,104 @@ def _fetcher(seen: Seen):
     return fetch
 
 
+def meetings(keyed: DataFrame, stages: Stages) -> DataFrame:
+    """(key, id, first) of keys that several ids share, from rows (id, keys): every id but the first with the smallest id of its
+    key. The HOTTEST most frequent keys of a sample are salted: there `first` is the smallest of (key, salt), and
+    these smallest ones meet the smallest of the key. The sample decides which keys are salted, not what meets."""
+    seen = keyed.sample(LOOKED_AT, 7).select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= OFTEN)
+    hot = stages.write(seen.orderBy(F.col("n").desc(), "key").limit(HOTTEST).select("key", F.lit(True).alias("hot")), "lines-hot")
+    rows = keyed.select("id", F.explode("keys").alias("key")).join(F.broadcast(hot), "key", "left")  # HOTTEST rows at most
+    # a salt by task, so that copies of one id are dealt too
+    rows = rows.withColumn("salt", F.when(F.col("hot"), F.spark_partition_id() % SALTS).otherwise(0))
+    first = F.first("id").over(Window.partitionBy("key", "salt").orderBy("id").rowsBetween(Window.unboundedPreceding, 0))
+    met = rows.select("key", "id", "hot", first.alias("first")).filter("id != first OR hot")
+    met = stages.write(met.select("key", "id", "first", F.coalesce("hot", F.lit(False)).alias("hot")), "lines-shared")
+    heads = met.filter("hot AND id = first").select("key", "id").distinct()
+    least = heads.withColumn("first", F.min("id").over(Window.partitionBy("key")))  # SALTS rows of a key at most
+    return met.filter("id != first").select("key", "id", "first").union(least.filter("id != first"))
+
+
+def similar_to_head(head: tuple, rows: list[tuple], threshold: float) -> list[tuple[bytes, bytes, int]]:
+    """Links of rows (digest, marked text) to the head's line."""
+    marked = [head[1], *(r[1] for r in rows)]
+    sets, guest = marked_sets(marked), guests(marked)
+    out = []
+    for k, row in enumerate(rows, 1):
+        small, large = sorted((len(sets[0]), len(sets[k])))
+        if small >= threshold * large and not (guest[0] and guest[k]):
+            common = len(np.intersect1d(sets[0], sets[k], assume_unique=True))
+            if common and common >= threshold * (small + large - common) - 1e-9:
+                out.append((row[0], head[0], 1))
+    return out
+
+
+def _heads_verifier(threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, head, rows, out = None, None, [], []
+        for batch in batches:
+            for first, part, is_head, digest, text in zip(*(batch.column(c).to_pylist() for c in ("first", "part", "is_head", "digest", "text"))):
+                if group != (first, part) or len(rows) >= BLOCK:
+                    if rows:
+                        out += similar_to_head(head, rows, threshold)
+                        rows = []
+                    group = (first, part)
+                if is_head:
+                    head = (digest, text)
+                else:
+                    rows.append((digest, text))
+            yield packed(out)
+            out = []
+        if rows:
+            out += similar_to_head(head, rows, threshold)
+        yield packed(out)
+
+    return run
+
+
+def near_heads(met: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Verified links of lines to the first lines of their keys. A first line of many goes to several parts of them, as their number is."""
+    pairs = met.select("first", "id").distinct()
+    parts = pairs.groupBy("first").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts")).withColumnRenamed("first", "_first")
+    # null-safe equality deals the counts anew, so that Spark can split the lines of one head
+    pairs = pairs.join(parts, F.col("first").eqNullSafe(F.col("_first"))).select("first", "id", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"))
+    rows = pairs.join(texts, "id").select("first", "part", F.lit(False).alias("is_head"), "digest", "text")
+    heads = parts.join(texts, F.col("_first") == F.col("id")).select(
+        F.col("_first").alias("first"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("is_head"), "digest", "text"
+    )
+    dealt = heads.union(rows).repartition("first", "part").sortWithinPartitions("first", "part", F.col("is_head").desc())
+    return dealt.mapInArrow(_heads_verifier(threshold), VERIFIED)
+
+
+def unsettled(met: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """(comp, digest, text) of keys of three lines or more that are not one class yet; of keys with the same lines, one."""
+    members = met.select("key", "id").union(met.select("key", F.col("first"))).distinct()
+    root = texts.select("id", "digest").join(classes.withColumnRenamed("id", "digest"), "digest", "left").select("id", F.coalesce("root", "digest").alias("root"))
+    mark = F.xxhash64("id")
+    keys = members.join(root, "id").groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), F.bit_xor(mark).alias("x"), F.sum(mark % 1_000_003).alias("s")
+    )
+    keys = keys.filter((F.col("n") > 2) & (F.col("low") != F.col("high"))).groupBy("n", "x", "s").agg(F.min("key").alias("key"))
+    return members.join(keys.select(F.col("key").alias("comp")), F.col("key") == F.col("comp")).join(texts, "id").select("comp", "digest", "text")
+
+
+def line_classes(keyed: DataFrame, rows: DataFrame, stages: Stages, threshold: float) -> DataFrame:
+    """(id, root) of lines (by digest) that are linked to other lines, from keys (id, keys) and texts of rows (text). An id is a line's node
+    with the length of its shingles in the low three bits."""
+    met = stages.write(meetings(keyed, stages), "lines-met")
+    ids = stages.write(met.select("id").union(met.select("first")).distinct(), "lines-ids")
+    ids = ids.select("id", F.shiftright("id", 3).alias("node"), (F.col("id").bitwiseAND(F.lit(7)) + 1).cast("string").alias("chars"))
+    texts = rows.select("text").mapInArrow(_fetcher(Seen(ids.select(F.col("node").alias("id")))), "digest binary, node long, text string")
+    texts = texts.dropDuplicates(["digest"]).join(ids, "node").select("id", "digest", F.concat("chars", "text").alias("text"))
+    texts = stages.write(texts, "lines-texts")
+    first = stages.write(near_heads(met, texts, threshold), "lines-near-heads")
+    links = first.select(F.col("id").alias("a"), F.col("root").alias("b"))
+    classes = stages.write(connected(links, stages, "lines-first"), "lines-first-classes")
+    rest = stages.write(unsettled(met, texts, classes), "lines-unsettled")
+    second = verify(rest, marked_sets, threshold, guests).select(F.col("id").alias("a"), F.col("root").alias("b"))
+    # classes stand for the links that made them
+    return connected(classes.select(F.col("id").alias("a"), F.col("root").alias("b")).union(second), stages, "lines-classes")
+
+
 def repeated_lines(docs: DataFrame, stages: Stages, threshold: float = THRESHOLD) -> DataFrame:
     """(row, doc_id, lines): per row of docs (row, doc_id, text) that loses lines, their sorted numbers (from 0)."""
     rows = docs.select("row", "doc_id", F.col("text").cast("string").alias("text"))
@@ -187,27 +310,18 @@ def repeated_lines(docs: DataFrame, stages: Stages, threshold: float = THRESHOLD
     # a line is one node for each length of its shingles, told apart by the low three bits
     each = lines.filter(F.col("keys").isNotNull()).select("node", F.inline("keys"))
     keyed = each.select((F.shiftleft(F.shiftright("node", 3), 3) + F.col("chars") - 1).alias("id"), "keys")
-    comps = stages.write(connected(share_key(keyed, stages, "lines"), stages, "lines-met"), "lines-candidates")
-    comps = comps.select(F.shiftright("id", 3).alias("node"), "root", (F.col("id").bitwiseAND(F.lit(7)) + 1).alias("chars"))
-    texts = rows.select("text").mapInArrow(_fetcher(Seen(comps.select(F.col("node").alias("id")))), "digest binary, node long, text string")
-    met = texts.join(comps, "node").select(F.col("root").alias("comp"), "digest", F.concat(F.col("chars").cast("string"), "text").alias("text"))
-    met = stages.write(met.dropDuplicates(["comp", "digest"]), "lines-texts")
-    _, classes = settle(verify(met, marked_sets, threshold, guests), stages, "lines")
+    classes = line_classes(keyed, rows, stages, threshold)
     # the first place of each different line, then of each class; lines of one place and no class have nothing to lose
     place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "row", "line")
     different = lines.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     of_class = different.join(classes.withColumnRenamed("id", "digest"), "digest", "left").filter((F.col("n") > 1) | F.col("root").isNotNull())
-    of_class = stages.write(of_class.withColumn("root", F.coalesce("root", "digest")), "lines-classes")
+    of_class = stages.write(of_class.withColumn("root", F.coalesce("root", "digest")), "lines-of-class")
     kept = of_class.groupBy("root").agg(F.min("first").alias("kept"))
     kept = stages.write(of_class.join(kept, "root").select("digest", "kept"), "lines-kept")
     lost = lines.join(kept, "digest").filter(~((F.col("row") == F.col("kept.row")) & (F.col("line") == F.col("kept.line"))))
     return lost.groupBy("row", "doc_id").agg(F.sort_array(F.collect_list("line")).alias("lines"))
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("row", F.monotonically_increasing_id())
-
-
 def line_dedup(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, n_lines, n_dropped, dropped (numbers of the lines that go, from 0)."""
     stages = Stages(docs.sparkSession)

@@ -296,3 +296,46 @@ def test_pieces_of_one_block_are_merged():
     out = [x for b in token_alignment._merger(iter([whole.slice(0, 2), whole.slice(2, 2)])) for x in b.to_pylist()]
     assert [(x["pair"], x["n_docs"], x["n_links"]) for x in out] == [(7, 5, 5 + 2 + 2 * 2), (8, 1, 1)]
     assert token_alignment.unpacked(out[0]["docs"]).tolist() == [1, 2, 5, 9, 11] and token_alignment.unpacked(out[0]["planes"][0]).tolist() == [5, 9]
+
+
+# --- lines of all lengths ---
+
+
+def test_short_and_long_lines_against_brute_force(spark):
+    from fathomline.llm import fuzzy_lines
+
+    r = random.Random(21)
+    lines = []
+    for n in range(260):
+        line = "".join(r.choices("abcdefghijklmnop    ", k=r.choice([12, 20, 24, 33, 45, 58, 70, 85, 130])))
+        lines.append("x" + line + "y")
+        for _ in range(n % 4):
+            copy = lines[-1]
+            for _ in range(r.randint(1, 2)):
+                at = r.randrange(1, len(copy) - 1)
+                copy = copy[:at] + r.choice(["", "#", copy[at] + "+"]) + copy[at + 1 :]
+            lines.append(copy)
+    lines += [f"Page {n} of 400 in this volume" for n in range(400)]  # one family, not all of it linked
+    distinct = list(dict.fromkeys(lines))
+    root = {line: line for line in distinct}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    sets = {(line, c): set(s.tolist()) for c in range(2, 9) for line, s in zip(distinct, fuzzy_lines.line_sets(distinct, c))}
+    for k, a in enumerate(distinct):
+        for b in distinct[:k]:
+            c = fuzzy_lines.own_chars(min(len(a), len(b)))
+            x, y = sets[a, c], sets[b, c]
+            if min(len(x), len(y)) >= 0.8 * max(len(x), len(y)) and len(x & y) >= 0.8 * len(x | y) - 1e-9:
+                root[find(a)] = find(b)
+    seen, lost = set(), set()
+    for d, line in enumerate(lines):
+        if find(line) in seen:
+            lost.add(d)
+        seen.add(find(line))
+    made = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(3)
+    got = {x["doc_id"] for x in fuzzy_lines.line_dedup(made).filter("n_dropped = 1").collect()}
+    assert len(got - lost) <= 0.01 * len(lost) and len(got & lost) >= 0.98 * len(lost)
