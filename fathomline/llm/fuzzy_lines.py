@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from fathomline.llm.components import connected
 from fathomline.llm.lsh_forest import digest_of, node_of
-from fathomline.llm.near import BLOCK, GOLD, HOTTEST, LOOKED_AT, MIX1, MIX2, OFTEN, SALTS, VERIFIED, Seen, distinct, packed, runs, scramble, verify
+from fathomline.llm.near import BLOCK, GOLD, HOTTEST, LOOKED_AT, MIX1, MIX2, OFTEN, SALTS, VERIFIED, Seen, blocks, distinct, packed, runs, scramble, verified_groups
 from fathomline.session import Stages
 
 CHARS, LEAST = 8, 2
@@ -142,6 +142,20 @@ def band_keys(lines: list[str], chars: int = CHARS) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def laid_out(place: np.ndarray, chars: np.ndarray, made: list[np.ndarray], size: int) -> pa.Array:
+    """The keys of lines as one array: each row of `made` belongs to the line at `place`; lines without any have null."""
+    order = np.argsort(place, kind="stable")
+    bands = np.array([BANDING[c][0] for c in chars.tolist()], np.int64)
+    starts, bands = (np.cumsum(bands) - bands)[order], bands[order]
+    ends = np.concatenate(([0], np.cumsum(bands)))
+    flat = np.concatenate([m.ravel() for m in made])[np.repeat(starts - ends[:-1], bands) + np.arange(ends[-1])]
+    keys = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
+    entries = pa.StructArray.from_arrays([pa.array(chars[order]), keys], fields=list(KEYS.value_type))
+    offsets = np.concatenate(([0], np.cumsum(np.bincount(place, minlength=size)))).astype(np.int32)
+    none = np.append(offsets[1:] == offsets[:-1], False)
+    return pa.ListArray.from_arrays(pa.array(offsets, mask=none), entries, type=KEYS)
+
+
 def _reader(threshold: float):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,14 +174,13 @@ def _reader(threshold: float):
                 first: dict[str, int] = {}
                 for k, line in enumerate(lines):
                     first.setdefault(line, k)
-                keys: list[list[dict] | None] = [None] * len(lines)
-                for k in first.values():
-                    keys[k] = []
+                place, chars_of, made = [], [], []
                 for chars in range(LEAST, CHARS + 1):
                     meet = [line for line in first if chars in all_chars(len(line), threshold)]
-                    made = (row for b, e in runs(list(map(len, meet)), AT_ONCE) for row in band_keys(meet[b:e], chars))
-                    for line, row in zip(meet, made):
-                        keys[first[line]].append({"chars": chars, "keys": row})
+                    for b, e in runs(list(map(len, meet)), AT_ONCE):
+                        made.append(band_keys(meet[b:e], chars))
+                        place += [first[line] for line in meet[b:e]]
+                        chars_of += [chars] * (e - b)
                 digests = {line: digest_of(line) for line in first}
                 digest = [digests[line] for line in lines]
                 yield pa.RecordBatch.from_arrays(
@@ -177,7 +190,7 @@ def _reader(threshold: float):
                         pa.array(number, pa.int32()),
                         pa.array(digest, pa.binary()),
                         pa.array([node_of(d) for d in digest], pa.int64()),
-                        pa.array(keys, KEYS),
+                        laid_out(np.array(place, np.int64), np.array(chars_of, np.int32), made, len(lines)),
                     ],
                     names=["row", "doc_id", "line", "digest", "node", "keys"],
                 )
@@ -222,39 +235,52 @@ def meetings(keyed: DataFrame, stages: Stages) -> DataFrame:
     return met.filter("id != first").select("key", "id", "first").union(least.filter("id != first"))
 
 
-def similar_to_head(head: tuple, rows: list[tuple], threshold: float) -> list[tuple[bytes, bytes, int]]:
-    """Links of rows (digest, marked text) to the head's line."""
-    marked = [head[1], *(r[1] for r in rows)]
-    sets, guest = marked_sets(marked), guests(marked)
+def similar_to_heads(heads: list[tuple], rows: list[tuple], threshold: float) -> list[tuple[bytes, bytes, int]]:
+    """Links of rows (number of a head, digest, marked text) to heads (digest, marked text), for many heads at once."""
     out = []
-    for k, row in enumerate(rows, 1):
-        small, large = sorted((len(sets[0]), len(sets[k])))
-        if small >= threshold * large and not (guest[0] and guest[k]):
-            common = len(np.intersect1d(sets[0], sets[k], assume_unique=True))
-            if common and common >= threshold * (small + large - common) - 1e-9:
-                out.append((row[0], head[0], 1))
+    head_chars, row_chars = np.array([h[1][0] for h in heads]), np.array([heads[r[0]][1][0] for r in rows])
+    for chars in np.unique(row_chars).tolist():
+        of, mine = np.flatnonzero(head_chars == chars), np.flatnonzero(row_chars == chars)
+        number = np.zeros(len(heads), np.int64)
+        number[of] = np.arange(len(of))
+        marked = [heads[k][1] for k in of], [rows[k][2] for k in mine]
+        to = number[[rows[k][0] for k in mine]]
+        values, sizes = char_shingles([m[1:] for part in marked for m in part], int(chars))
+        owner = np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)
+        # members of each set, sorted: the set's number above 44 bits of the shingle's hash
+        members = distinct(owner << np.uint64(44) | values >> np.uint64(20))
+        owner = (members >> np.uint64(44)).astype(np.int64)
+        size = np.bincount(owner, minlength=len(sizes))
+        split = np.searchsorted(owner, len(of))
+        asked = to[owner[split:] - len(of)].astype(np.uint64) << np.uint64(44) | members[split:] & np.uint64((1 << 44) - 1)
+        at = np.minimum(np.searchsorted(members[:split], asked), max(0, split - 1))
+        common = np.bincount((owner[split:] - len(of))[members[at] == asked], minlength=len(mine))
+        union = size[to] + size[len(of) :] - common
+        linked = (common >= threshold * union - 1e-9) & (common > 0) & ~(guests(marked[0])[to] & guests(marked[1]))
+        out += [(rows[mine[k]][1], heads[of[to[k]]][0], 1) for k in np.flatnonzero(linked).tolist()]
     return out
 
 
 def _heads_verifier(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, head, rows, out = None, None, [], []
+        group, heads, rows, size = None, [], [], 0
         for batch in batches:
+            out = []
             for first, part, is_head, digest, text in zip(*(batch.column(c).to_pylist() for c in ("first", "part", "is_head", "digest", "text"))):
-                if group != (first, part) or len(rows) >= BLOCK:
-                    if rows:
-                        out += similar_to_head(head, rows, threshold)
-                        rows = []
-                    group = (first, part)
+                if size > AT_ONCE:
+                    out += similar_to_heads(heads, rows, threshold) if rows else []
+                    heads, rows = heads[-1:], []
+                    size = len(heads[0][1])
+                if is_head and group == (first, part):
+                    continue  # another line with the head's node, compared as a line of its own elsewhere
+                group = (first, part)
+                size += len(text)
                 if is_head:
-                    head = (digest, text)
+                    heads.append((digest, text))
                 else:
-                    rows.append((digest, text))
+                    rows.append((len(heads) - 1, digest, text))
             yield packed(out)
-            out = []
-        if rows:
-            out += similar_to_head(head, rows, threshold)
-        yield packed(out)
+        yield packed(similar_to_heads(heads, rows, threshold) if rows else [])
 
     return run
 
@@ -285,6 +311,47 @@ def unsettled(met: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame
     return members.join(keys.select(F.col("key").alias("comp")), F.col("key") == F.col("comp")).join(texts, "id").select("comp", "digest", "text")
 
 
+def _groups_verifier(threshold: float):
+    def closed(groups: list[list[tuple]]) -> list[tuple[bytes, bytes, int]]:
+        rows = [r for g in groups for r in g]
+        sets: list[np.ndarray | None] = [None] * len(rows)
+        for chars in {r[2][0] for r in rows}:
+            at = [k for k, r in enumerate(rows) if r[2][0] == chars]
+            for k, members in zip(at, marked_sets([rows[k][2] for k in at])):
+                sets[k] = members
+        out, begin = [], 0
+        for g in groups:
+            if len(g) > 1:
+                out += verified_groups([(r[0], r[1], *r[3]) for r in g], sets[begin : begin + len(g)], threshold, guests([r[2] for r in g]))
+            begin += len(g)
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, groups, size = None, [], 0
+        for batch in batches:
+            out = []
+            for comp, i, j, digest, block, text in zip(*(batch.column(c).to_pylist() for c in ("comp", "i", "j", "digest", "block", "text"))):
+                if last != (comp, i, j):
+                    if size > AT_ONCE:
+                        out += closed(groups)
+                        groups, size = [], 0
+                    last = (comp, i, j)
+                    groups.append([])
+                groups[-1].append((digest, block, text, (i, j)))
+                size += len(text)
+            yield packed(out)
+        yield packed(closed(groups))
+
+    return run
+
+
+def verified_lines(texts: DataFrame, threshold: float) -> DataFrame:
+    """(id, root, links) from texts (comp, digest, text): all lines of a comp are compared, in pairs of blocks; sets are made for many at once."""
+    dealt = blocks(texts).select("comp", "pair.i", "pair.j", "digest", "block", "text")
+    dealt = dealt.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j")
+    return dealt.mapInArrow(_groups_verifier(threshold), VERIFIED)
+
+
 def line_classes(keyed: DataFrame, rows: DataFrame, stages: Stages, threshold: float) -> DataFrame:
     """(id, root) of lines (by digest) that are linked to other lines, from keys (id, keys) and texts of rows (text). An id is a line's node
     with the length of its shingles in the low three bits."""
@@ -298,7 +365,7 @@ def line_classes(keyed: DataFrame, rows: DataFrame, stages: Stages, threshold: f
     links = first.select(F.col("id").alias("a"), F.col("root").alias("b"))
     classes = stages.write(connected(links, stages, "lines-first"), "lines-first-classes")
     rest = stages.write(unsettled(met, texts, classes), "lines-unsettled")
-    second = verify(rest, marked_sets, threshold, guests).select(F.col("id").alias("a"), F.col("root").alias("b"))
+    second = verified_lines(rest, threshold).select(F.col("id").alias("a"), F.col("root").alias("b"))
     # classes stand for the links that made them
     return connected(classes.select(F.col("id").alias("a"), F.col("root").alias("b")).union(second), stages, "lines-classes")
 
@@ -329,7 +396,7 @@ def line_dedup(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
     lost = stages.write(repeated_lines(rows, stages, threshold), "lines-lost")
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.regexp_count("text", F.lit("\n")) + 1).cast("long")
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("long")
     counted = rows.select("row", "doc_id", n_lines.alias("n_lines"))
     out = counted.join(lost.select("row", "lines"), "row", "left").withColumn("dropped", F.coalesce("lines", F.array().cast("array<int>")))
     return out.select("doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"), "dropped")
