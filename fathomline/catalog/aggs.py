@@ -147,7 +147,7 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     lines = t.lineitem.withColumn("item", F.concat("l_partkey", "l_returnflag"))
-    return aggs.concat_ordered(lines, ["l_orderkey"], "item", ["l_linenumber", "l_partkey", "l_suppkey"], "; ", "lines", F.col("l_linenumber"))
+    return aggs.concat_ordered(lines, ["l_orderkey"], "item", ["l_linenumber", "l_partkey", "l_suppkey"], "; ", "lines", split=True)
 
 
 @query(
@@ -156,7 +156,7 @@ def _(t: Tables) -> DataFrame:
     FROM events) GROUP BY 1""",
 )
 def _(t: Tables) -> DataFrame:
-    return aggs.concat_numbered(t.events, ["user_id"], "event_type", ["ts", "event_id"], " ", "summary", F.col("ts").cast("date"))
+    return aggs.concat_numbered(t.events, ["user_id"], "event_type", ["ts", "event_id"], " ", "summary")
 
 
 @query(

@@ -374,7 +374,7 @@ def _(t: Tables) -> DataFrame:
     JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY ALL""",
 )
 def _(t: Tables) -> DataFrame:
-    o = gap_since_previous(t.orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], F.trunc("o_orderdate", "month"), "o_orderdate", "gap")
+    o = gap_since_previous(t.orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderdate", "gap")
     joined = o.withColumn("y", F.year("o_orderdate")).join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     joined = joined.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     return care.report_feed(joined, ["o_orderstatus", "o_orderpriority", "c_mktsegment", "n_name", "r_name", "y"], "gap")

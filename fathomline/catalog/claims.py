@@ -73,7 +73,6 @@ def concerns(t: Tables) -> DataFrame:
         F.when(F.col("value") > 30, "major").otherwise("minor").alias("section"),
         F.col("event_type").alias("item"),
         F.struct("ts", "event_id").alias("place"),
-        F.hour("ts").alias("_hour"),
     )
 
 
@@ -82,7 +81,7 @@ CONCERNS = "SELECT user_id || '/' || strftime(ts, '%d') AS case_id, CASE WHEN va
 
 @query("k47_concern_list", f"SELECT case_id, section, string_agg(item, ', ' ORDER BY ts, event_id) AS items FROM ({CONCERNS}) GROUP BY ALL")
 def _(t: Tables) -> DataFrame:
-    return claims.concern_list(concerns(t), F.col("_hour"))
+    return claims.concern_list(concerns(t))
 
 
 @query(
@@ -90,7 +89,7 @@ def _(t: Tables) -> DataFrame:
     f"SELECT case_id, string_agg(no || ') ' || item, ' ' ORDER BY no) AS summary FROM (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY ts, event_id) AS no FROM ({CONCERNS})) GROUP BY 1",
 )
 def _(t: Tables) -> DataFrame:
-    return claims.concern_summary(concerns(t), F.col("_hour"))
+    return claims.concern_summary(concerns(t))
 
 
 @query(

@@ -140,7 +140,7 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     e = t.events.select("event_id", "user_id", "ts", F.col("ts").cast("date").alias("d"), F.when(F.col("event_type").isin("click", "error"), F.col("ts")).alias("v"))
-    out = ordered.next_value(e, ["user_id", "d"], ["ts", "event_id"], F.hour("ts"), "v", "nxt")
+    out = ordered.next_value(e, ["user_id", "d"], ["ts", "event_id"], "v", "nxt")
     end_of_day = F.col("d").cast("timestamp_ntz") + F.expr("interval '23:59:59' hour to second")
     return out.select("event_id", F.coalesce("nxt", end_of_day).alias("logout"))
 
@@ -381,6 +381,6 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    span, order, month = ["o_custkey"], ["o_orderdate", "o_orderkey"], F.trunc("o_orderdate", "month")
-    out = ordered.scan(o, span, order, month, before={"prev_order": F.col("o_orderkey")}, after={"next_price": F.col("o_totalprice")})
+    span, order = ["o_custkey"], ["o_orderdate", "o_orderkey"]
+    out = ordered.scan(o, span, order, before={"prev_order": F.col("o_orderkey")}, after={"next_price": F.col("o_totalprice")})
     return out.select("o_orderkey", "prev_order", "next_price")

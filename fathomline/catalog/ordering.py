@@ -36,7 +36,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("e02_sequence_per_key", "SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS seq FROM orders")
 def _(t: Tables) -> DataFrame:
-    return ordered.sequence(orders(t), ["o_custkey"], BY_DATE, month(), "seq").select("o_orderkey", "seq")
+    return ordered.sequence(orders(t), ["o_custkey"], BY_DATE, "seq").select("o_orderkey", "seq")
 
 
 @query(
@@ -44,19 +44,19 @@ def _(t: Tables) -> DataFrame:
     """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN row_number() OVER (PARTITION BY o_custkey, o_orderstatus = 'F' ORDER BY o_orderdate, o_orderkey) END AS seq FROM orders""",
 )
 def _(t: Tables) -> DataFrame:
-    return ordered.sequence(orders(t), ["o_custkey"], BY_DATE, month(), "seq", where=F.col("o_orderstatus") == "F").select("o_orderkey", "seq")
+    return ordered.sequence(orders(t), ["o_custkey"], BY_DATE, "seq", where=F.col("o_orderstatus") == "F").select("o_orderkey", "seq")
 
 
 @query("e04_rank_with_gaps", "SELECT o_orderkey, rank() OVER (PARTITION BY o_custkey ORDER BY date_trunc('month', o_orderdate)) AS rnk FROM orders")
 def _(t: Tables) -> DataFrame:
     o = orders(t).withColumn("month", month())
-    return ordered.rank_per_key(o, ["o_custkey"], "month", F.year("month"), "rnk").select("o_orderkey", "rnk")
+    return ordered.rank_per_key(o, ["o_custkey"], "month", "rnk").select("o_orderkey", "rnk")
 
 
 @query("e05_dense_rank", "SELECT event_id, dense_rank() OVER (PARTITION BY user_id ORDER BY date_trunc('week', ts) DESC) AS week_no FROM events")
 def _(t: Tables) -> DataFrame:
     e = events(t).withColumn("week", F.date_trunc("week", "ts").cast("date"))
-    return ordered.dense_rank_per_key(e, ["user_id"], "week", F.year("week"), "week_no", descending=True).select("event_id", "week_no")
+    return ordered.dense_rank_per_key(e, ["user_id"], "week", "week_no", descending=True).select("event_id", "week_no")
 
 
 @query(
@@ -64,12 +64,12 @@ def _(t: Tables) -> DataFrame:
     "SELECT o_orderkey, date_diff('day', lag(o_orderdate::DATE) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey), o_orderdate::DATE) AS gap FROM orders",
 )
 def _(t: Tables) -> DataFrame:
-    return ordered.gap_since_previous(orders(t), ["o_custkey"], BY_DATE, month(), "o_orderdate", "gap").select("o_orderkey", "gap")
+    return ordered.gap_since_previous(orders(t), ["o_custkey"], BY_DATE, "o_orderdate", "gap").select("o_orderkey", "gap")
 
 
 @query("e07_next_value", "SELECT event_id, lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_type FROM events")
 def _(t: Tables) -> DataFrame:
-    return ordered.following(events(t), ["user_id"], ["ts", "event_id"], day_of(), {"next_type": F.col("event_type")}).select("event_id", "next_type")
+    return ordered.following(events(t), ["user_id"], ["ts", "event_id"], {"next_type": F.col("event_type")}).select("event_id", "next_type")
 
 
 @query("e08_group_maximum", "SELECT o_orderkey, max(o_totalprice) OVER (PARTITION BY o_custkey) AS top FROM orders")
@@ -89,7 +89,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("e10_global_sequence", "SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS seq FROM events")
 def _(t: Tables) -> DataFrame:
-    return ordered.global_sequence(events(t), ["ts", "event_id"], day_of(), "seq").select("event_id", "seq")
+    return ordered.global_sequence(events(t), ["ts", "event_id"], "seq").select("event_id", "seq")
 
 
 @query(
@@ -100,7 +100,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     passive = F.col("event_type").isin("click", "view")
     measures = {"passive_seq": ("sum", passive.cast("long")), "active_seq": ("sum", (~passive).cast("long"))}
-    out = ordered.running(events(t), ["user_id"], ["ts", "event_id"], day_of(), measures)
+    out = ordered.running(events(t), ["user_id"], ["ts", "event_id"], measures)
     return out.select("event_id", F.when(passive, F.col("passive_seq")).alias("passive_seq"), F.when(~passive, F.col("active_seq")).alias("active_seq"))
 
 
@@ -110,13 +110,13 @@ ISLANDS = """SELECT user_id, min(ts) AS start_time, max(ts) AS end_time, count(*
 
 @query("e12_islands", ISLANDS.format(gap=600))
 def _(t: Tables) -> DataFrame:
-    out = ordered.islands(events(t), ["user_id"], ["ts", "event_id"], day_of(), lambda a, b: diff_boundary("minute", a, b) > 600, "ts")
+    out = ordered.islands(events(t), ["user_id"], ["ts", "event_id"], lambda a, b: diff_boundary("minute", a, b) > 600, "ts")
     return out.drop("island")
 
 
 @query("e12_islands_short_gap", ISLANDS.format(gap=5))
 def _(t: Tables) -> DataFrame:
-    out = ordered.islands(events(t), ["user_id"], ["ts", "event_id"], day_of(), lambda a, b: diff_boundary("minute", a, b) > 5, "ts")
+    out = ordered.islands(events(t), ["user_id"], ["ts", "event_id"], lambda a, b: diff_boundary("minute", a, b) > 5, "ts")
     return out.drop("island")
 
 
@@ -127,7 +127,7 @@ def _(t: Tables) -> DataFrame:
     FROM (SELECT *, coalesce(stop, ts) AS u FROM ({LOGINS})))) GROUP BY user_id, ses""",
 )
 def _(t: Tables) -> DataFrame:
-    return sessions.merge_sessions(logins(t), ["user_id"], "ts", "stop", ["ts", "event_id"], day_of()).drop("session")
+    return sessions.merge_sessions(logins(t), ["user_id"], "ts", "stop", ["ts", "event_id"]).drop("session")
 
 
 @query(
@@ -138,7 +138,7 @@ def _(t: Tables) -> DataFrame:
     FROM ({LOGINS}) WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))""",
 )
 def _(t: Tables) -> DataFrame:
-    out = sessions.merge_sessions(logins(t), ["user_id"], "ts", "stop", ["ts", "event_id"], day_of(), mode="pairwise")
+    out = sessions.merge_sessions(logins(t), ["user_id"], "ts", "stop", ["ts", "event_id"], mode="pairwise")
     return out.select("event_id", "absorbed", "final_end", "seconds", "minutes")
 
 
@@ -157,14 +157,14 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     order = ["ts", "event_id"]
-    out = ordered.sequence(events(t), ["user_id"], order, day_of(), "action_no")
-    return ordered.sequence(out, ["user_id", "event_type"], order, day_of(), "type_no").select("event_id", "action_no", "type_no")
+    out = ordered.sequence(events(t), ["user_id"], order, "action_no")
+    return ordered.sequence(out, ["user_id", "event_type"], order, "type_no").select("event_id", "action_no", "type_no")
 
 
 @query("e16_sequence_per_day", "SELECT event_id, row_number() OVER (PARTITION BY user_id, ts::DATE ORDER BY ts, event_id) AS seq FROM events")
 def _(t: Tables) -> DataFrame:
     e = events(t).withColumn("day", day_of())
-    return ordered.sequence(e, ["user_id", "day"], ["ts", "event_id"], F.hour("ts"), "seq").select("event_id", "seq")
+    return ordered.sequence(e, ["user_id", "day"], ["ts", "event_id"], "seq").select("event_id", "seq")
 
 
 @query(

@@ -57,7 +57,7 @@ def _(t: Tables) -> DataFrame:
         F.nullif("o_orderstatus", F.lit("P")).alias("line_1"),
         F.col("o_orderpriority").alias("line_2"),
     )
-    return records.contact_blocks(blocks, F.trunc("start", "month")).select("block_id", "block_no", "last_of_kind", "block_text")
+    return records.contact_blocks(blocks).select("block_id", "block_no", "last_of_kind", "block_text")
 
 
 AGES = ([0, 18, 40, 65, 200], ["0-17", "18-39", "40-64", "65+"])

@@ -68,7 +68,7 @@ def cumulative_over(
     counts = per.groupBy(day).agg(*[F.sum(F.when(F.col("_m") == m, F.col("_n"))).alias(m) for m in names])
     days = sources[0][0].sparkSession.range(1).select(F.explode(F.sequence(first, last)).alias(day))
     dense = days.join(counts, day, "left")
-    total = running(dense, [], [day], F.trunc(day, "month"), {m: ("sum", F.coalesce(F.col(m), F.lit(0))) for m in names})
+    total = running(dense, [], [day], {m: ("sum", F.coalesce(F.col(m), F.lit(0))) for m in names})
     return total.select(day, *names)
 
 
@@ -80,9 +80,9 @@ def cumulative_as_at(
 
 
 def concat_ordered(
-    df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str], sep: str, out: str, chunk: Column | None = None
+    df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str], sep: str, out: str, split: bool = False
 ) -> DataFrame:
-    """Texts of a key joined in order. With `chunk` the texts of a hot key are first joined per (key, chunk), so that
+    """Texts of a key joined in order. With `split` the texts of a hot key are first joined per (key, split), so that
     sorting a long list is spread; the final value is as long as the result asks for."""
 
     def joined(rows: DataFrame, by: Sequence[str | Column], text: str, place: Sequence[str | Column]) -> DataFrame:
@@ -90,9 +90,9 @@ def concat_ordered(
         return rows.groupBy(*by).agg(F.array_join(F.transform(ordered, lambda x: x["_text"]), sep).alias(out))
 
     rows = df.filter(F.col(value).isNotNull())
-    if chunk is None:
+    if not split:
         return joined(rows, keys, value, order)
-    g = spans(rows, keys, chunk)
+    g = spans(rows, keys, order)
     key = F.col(f"{SPAN}.k").alias("_k")
     fits = joined(g.filter(~F.col(HOT)), [HASH, SPAN], value, order).select(key, out)
     pieces = joined(g.filter(F.col(HOT)), [HASH, SPAN], value, order)
@@ -101,12 +101,12 @@ def concat_ordered(
 
 
 def concat_numbered(
-    df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str], sep: str, out: str, chunk: Column
+    df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str], sep: str, out: str
 ) -> DataFrame:
     """As concat_ordered, each text preceded by its number: '1) a 2) b'."""
-    numbered = sequence(df.filter(F.col(value).isNotNull()), keys, order, chunk, "_no")
+    numbered = sequence(df.filter(F.col(value).isNotNull()), keys, order, "_no")
     text = numbered.withColumn("_item", F.concat(F.col("_no").cast("string"), F.lit(") "), F.col(value)))
-    return concat_ordered(text, keys, "_item", order, sep, out, chunk)
+    return concat_ordered(text, keys, "_item", order, sep, out, split=True)
 
 
 def payment_heads(payments: DataFrame, keys: Sequence[str]) -> DataFrame:

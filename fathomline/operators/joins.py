@@ -92,7 +92,6 @@ def asof_max(
     right_t: str,
     measures: dict[str, Column],
     strict: bool = True,
-    chunk: Callable[[Column], Column] = lambda t: t.cast("date"),
 ) -> DataFrame:
     """Left rows with maxima over all right rows of the key that came before.
 
@@ -105,7 +104,7 @@ def asof_max(
         *keys, F.col(right_t).alias("_t"), F.lit(1 if strict else 0).alias("_side"), *[e.alias(m) for m, e in measures.items()]
     )
     both = l.unionByName(r, allowMissingColumns=True)
-    seen = scan(both, keys, ["_t", "_side"], chunk(F.col("_t")), measures={m: ("max", F.col(m)) for m in measures})
+    seen = scan(both, keys, ["_t", "_side"], measures={m: ("max", F.col(m)) for m in measures})
     return seen.filter(F.col("_row").isNotNull()).select("_row.*", *measures)
 
 

@@ -1,14 +1,18 @@
 """Ordered operators that never need the rows of a hot key in one task.
 
 A plain window by key puts all rows of a key into one task. That is right for keys that fit, and wrong for a key that
-holds a third of the table. So keys above HOT_ROWS rows are found first (counts, combined before their shuffle) and
-only these are cut into chunks along their order: a day of a timestamp, a range of a number. Rows are windowed per
-(key, chunk); one small summary row per chunk of a hot key is carried across its chunks and joined back. The join
-reuses the partitioning of the window, so the big side is shuffled once. Without hot keys what is left is the plain
-window.
-
-`chunk` must not decrease along the order. Orders must end in a unique column. Inputs are read three times (counts,
-summary, rows): write an expensive one first with `session.materialise`.
+holds a third of the table. So the rows of keys above HOT_ROWS rows are cut into splits by their own distribution: sorted
+into ranges of (key, order) of about SPLIT_ROWS rows and written, each with the number of its split. However many rows share a day
+or an hour, no split holds more than its range. Rows are windowed per (key, split); one small summary row per split is
+carried across the splits of the key by prefix sums (or maxima, or edges) and joined back. A number over the whole table
+works the same way with the table as one key.
+
+Which bounds Spark's sample gives decides what a task holds and not the answer: a row is stored with its split, so summary and rows
+agree whatever is run again. Whether a key is hot is found when the frame is built, by a count that combines before its
+shuffle; without hot keys what is left is the plain window, and nothing is written.
+
+Orders should end in a unique column; rows that tie stay in one split. Inputs are read for the count and for the
+rows: write an expensive one first with `session.materialise`.
 """
 
 from __future__ import annotations
@@ -19,10 +23,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fathomline.operators.keys import null_safe
+from fathomline.session import materialise
 
 HOT_ROWS = 1_000_000  # rows of one key that a task takes without being split
+SPLIT_ROWS = 1_000_000  # rows of a split
 
-SPAN = "_span"  # (key, chunk): never NULL itself, so equality on it is NULL-safe; chunk is NULL for a key that fits
+SPAN = "_span"  # (key, split): never NULL itself, so equality on it is NULL-safe; the split is NULL for a key that fits
 HASH = "_hash"  # of the span: sorts fast, where a struct alone sorts slowly
 HOT = "_hot"
 BEFORE = (Window.unboundedPreceding, -1)
@@ -35,16 +41,30 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def spans(df: DataFrame, keys: Sequence[str], chunk: Column) -> DataFrame:
-    """df with its (key, chunk) column and a mark on the rows of hot keys. With no keys the table is one hot key."""
-    if not keys:
-        whole = df.withColumns({HOT: F.lit(True), SPAN: F.struct(F.lit(0).alias("k"), chunk.alias("c"))})
-        return whole.withColumn(HASH, F.xxhash64(SPAN))
-    key = F.struct(*keys)
-    # at most (rows of the table / HOT_ROWS) keys can be hot, which bounds what is broadcast
-    hot = df.groupBy(key.alias("_hot_key")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > HOT_ROWS).select("_hot_key")
-    marked = df.join(F.broadcast(hot), key == F.col("_hot_key"), "left").withColumn(HOT, F.col("_hot_key").isNotNull())
-    spanned = marked.drop("_hot_key").withColumn(SPAN, F.struct(key.alias("k"), F.when(F.col(HOT), chunk).alias("c")))
+def range_splits(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], rows: int, out: str) -> DataFrame:
+    """df, written in ranges of (key, order) of about SPLIT_ROWS rows each, with the number of its range in `out`; `rows` is how many df has."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = df.repartitionByRange(max(least, -(-rows // SPLIT_ROWS)), *keys, *order)
+    return materialise(cut.withColumn(out, F.spark_partition_id()), "splits")
+
+
+def spans(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
+    """df with its (key, split) column and a mark on the rows of hot keys. With no keys the table is one hot key."""
+    key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
+    if keys:
+        counts = df.groupBy(key.alias("_hot_key")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > HOT_ROWS)
+        rows = counts.agg(F.sum("_n")).first()[0]
+        if rows:
+            hot = materialise(counts.select("_hot_key"), "hot-keys")  # rows of the table / HOT_ROWS at most
+            of_hot = key == F.col("_hot_key")
+            cut = range_splits(df.join(hot, of_hot, "left_semi"), keys, order, rows, "_split").withColumn(HOT, F.lit(True))
+            rest = df.join(hot, of_hot, "left_anti").withColumns({"_split": F.lit(None).cast("int"), HOT: F.lit(False)})
+            marked = cut.unionByName(rest)
+        else:
+            marked = df.withColumns({"_split": F.lit(None).cast("int"), HOT: F.lit(False)})
+    else:
+        marked = range_splits(df, [], order, df.count(), "_split").withColumn(HOT, F.lit(True))
+    spanned = marked.withColumn(SPAN, F.struct(key.alias("k"), F.col("_split").alias("c"))).drop("_split")
     return spanned.withColumn(HASH, F.xxhash64(SPAN))
 
 
@@ -58,8 +78,8 @@ def _sorted(order: Sequence[Column | str], descending: bool) -> list[Column]:
 
 
 def _across(descending: bool = False):
-    chunk = F.col(f"{SPAN}.c")
-    return Window.partitionBy(F.col(f"{SPAN}.k")).orderBy(chunk.desc() if descending else chunk.asc())
+    split = F.col(f"{SPAN}.c")
+    return Window.partitionBy(F.col(f"{SPAN}.k")).orderBy(split.desc() if descending else split.asc())
 
 
 AGG = {"sum": F.sum, "max": F.max, "min": F.min}
@@ -95,8 +115,8 @@ def scan_spans(
     carried = [AGG[kind](out).over(across.rowsBetween(*BEFORE)).alias(f"_c_{out}") for out, (kind, _) in measures.items()]
     results = [_combine(kind, F.col(f"_l_{out}"), F.col(f"_c_{out}")).alias(out) for out, (kind, _) in measures.items()]
     place = F.struct(*order)
-    last_in_chunk, first_in_chunk = (F.min_by, F.max_by) if descending else (F.max_by, F.min_by)
-    for values, name, step, edge in ((before, "_before", F.lag, last_in_chunk), (after, "_after", F.lead, first_in_chunk)):
+    last_in_split, first_in_split = (F.min_by, F.max_by) if descending else (F.max_by, F.min_by)
+    for values, name, step, edge in ((before, "_before", F.lag, last_in_split), (after, "_after", F.lead, first_in_split)):
         if values:
             row = F.struct(*[e.alias(v) for v, e in values.items()])
             local[f"_l{name}"] = step(row).over(line)
@@ -109,58 +129,57 @@ def scan_spans(
     return df.withColumns(local).join(summary, [HASH, SPAN], "left").select(*[c for c in df.columns if c not in made], *results)
 
 
-def scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], chunk: Column, **asked) -> DataFrame:
+def scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], **asked) -> DataFrame:
     """One ordered pass per key; see scan_spans for what can be asked for."""
-    return release(scan_spans(spans(df, keys, chunk), order, **asked))
+    return release(scan_spans(spans(df, keys, order), order, **asked))
 
 
 def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column | str],
-    chunk: Column,
     measures: dict[str, tuple[str, Column]],
     current: bool = True,
     descending: bool = False,
 ) -> DataFrame:
     """Running sum, max or min per key, with or without the current row."""
-    return scan(df, keys, order, chunk, measures=measures, current=current, descending=descending)
+    return scan(df, keys, order, measures=measures, current=current, descending=descending)
 
 
 def sequence(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], chunk: Column, out: str, where: Column | None = None, descending: bool = False
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], out: str, where: Column | None = None, descending: bool = False
 ) -> DataFrame:
     """Sequence number per key (over the whole table with no keys). With `where` only the rows
     that meet it are numbered and the others get NULL."""
     counted = F.lit(1) if where is None else F.when(where, 1).otherwise(0)
-    numbered = running(df, keys, order, chunk, {out: ("sum", counted.cast("long"))}, descending=descending)
+    numbered = running(df, keys, order, {out: ("sum", counted.cast("long"))}, descending=descending)
     return numbered if where is None else numbered.withColumn(out, F.when(where, F.col(out)))
 
 
-def global_sequence(df: DataFrame, order: Sequence[Column | str], chunk: Column, out: str) -> DataFrame:
-    """Row number over the whole table without a single sorting task: only the chunk counts meet."""
-    return sequence(df, [], order, chunk, out)
+def global_sequence(df: DataFrame, order: Sequence[Column | str], out: str) -> DataFrame:
+    """Row number over the whole table without a single sorting task: only the counts of splits meet."""
+    return sequence(df, [], order, out)
 
 
-def previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, values: Exprs) -> DataFrame:
+def previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Exprs) -> DataFrame:
     """Values of the previous row of the key."""
-    return scan(df, keys, order, chunk, before=values)
+    return scan(df, keys, order, before=values)
 
 
-def following(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, values: Exprs) -> DataFrame:
+def following(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Exprs) -> DataFrame:
     """Values of the next row of the key."""
-    return scan(df, keys, order, chunk, after=values)
+    return scan(df, keys, order, after=values)
 
 
-def gap_since_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, t: str, out: str) -> DataFrame:
+def gap_since_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], t: str, out: str) -> DataFrame:
     """Days since the previous row of the key."""
-    with_prev = previous(df, keys, order, chunk, {"_prev_t": F.col(t)})
+    with_prev = previous(df, keys, order, {"_prev_t": F.col(t)})
     return with_prev.withColumn(out, F.datediff(t, "_prev_t")).drop("_prev_t")
 
 
-def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, value: str, out: str) -> DataFrame:
+def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str) -> DataFrame:
     """The value of the row itself if present, else the next non-NULL one of the key."""
-    g = spans(df, keys, chunk)
+    g = spans(df, keys, order)
     ahead = Window.partitionBy(HASH, SPAN).orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
     local = g.withColumn("_near", F.first(value, ignorenulls=True).over(ahead))
     summary = g.filter(HOT).groupBy(HASH, SPAN).agg(F.min_by(F.col(value), F.when(F.col(value).isNotNull(), F.struct(*order))).alias("_first"))
@@ -169,17 +188,17 @@ def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk:
     return local.join(carried, [HASH, SPAN], "left").select(*kept, F.coalesce("_near", "_far").alias(out))
 
 
-def dense_rank_per_key(df: DataFrame, keys: Sequence[str], value: str, chunk: Column, out: str, descending: bool = False) -> DataFrame:
+def dense_rank_per_key(df: DataFrame, keys: Sequence[str], value: str, out: str, descending: bool = False) -> DataFrame:
     """Dense rank of a value within its key: distinct values are numbered, then joined back."""
-    values = df.select(*keys, value, chunk.alias("_chunk")).distinct()
-    ranks = sequence(values, keys, [value], F.col("_chunk"), out, descending=descending)
+    values = df.select(*keys, value).distinct()
+    ranks = sequence(values, keys, [value], out, descending=descending)
     return _join_rank(df, ranks, [*keys, value], out)
 
 
-def rank_per_key(df: DataFrame, keys: Sequence[str], value: str, chunk: Column, out: str, descending: bool = False) -> DataFrame:
+def rank_per_key(df: DataFrame, keys: Sequence[str], value: str, out: str, descending: bool = False) -> DataFrame:
     """Rank with gaps: one more than the number of rows with a smaller value."""
-    counts = df.groupBy(*keys, value, chunk.alias("_chunk")).agg(F.count(F.lit(1)).alias("_n"))
-    below = running(counts, keys, [value], F.col("_chunk"), {out: ("sum", F.col("_n"))}, current=False, descending=descending)
+    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    below = running(counts, keys, [value], {out: ("sum", F.col("_n"))}, current=False, descending=descending)
     return _join_rank(df, below.withColumn(out, F.coalesce(out, F.lit(0)) + 1), [*keys, value], out)
 
 
@@ -187,14 +206,14 @@ def _join_rank(df: DataFrame, ranks: DataFrame, on: Sequence[str], out: str) ->
     return df.alias("d").join(ranks.alias("r"), null_safe("d", "r", on)).select("d.*", F.col(f"r.{out}"))
 
 
-def islands(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, breaks_after: Callable[[Column, Column], Column], t: str) -> DataFrame:
+def islands(df: DataFrame, keys: Sequence[str], order: Sequence[str], breaks_after: Callable[[Column, Column], Column], t: str) -> DataFrame:
     """Gaps and islands. `breaks_after(prev, this)` says whether a new island starts between two
     neighbouring times. Gives keys, island (numbered per key), start_time, end_time, events.
 
-    Islands are built inside each span. Those of keys that fit are final; of a hot key the edges of its chunks are
+    Islands are built inside each span. Those of keys that fit are final; of a hot key the edges of its splits are
     compared and islands that go on are put together.
     """
-    g = spans(df.select(*keys, *dict.fromkeys([*order, t])), keys, chunk)
+    g = spans(df.select(*keys, *dict.fromkeys([*order, t])), keys, order)
     frame = Window.partitionBy(HASH, SPAN).orderBy(*order)
     prev = F.lag(t).over(frame)
 

@@ -11,14 +11,14 @@ from fathomline.functions.dates import diff_boundary, whole_minutes
 from fathomline.operators.ordered import BEFORE, HASH, HOT, SPAN, _across, scan, scan_spans, spans
 
 
-def merge_sessions_full(df: DataFrame, keys: Sequence[str], start: str, end: str, order: Sequence[str], chunk: Column) -> DataFrame:
+def merge_sessions_full(df: DataFrame, keys: Sequence[str], start: str, end: str, order: Sequence[str]) -> DataFrame:
     """Merge all spans of a key that overlap or touch: keys, session, start_time, end_time, rows_merged.
 
-    An open span (NULL end) counts as a point. Spans that run past many chunks are seen through the
+    An open span (NULL end) counts as a point. Spans that run past many splits are seen through the
     running maximum of the ends.
     """
     until = F.coalesce(F.col(end), F.col(start))
-    g = spans(df.select(*dict.fromkeys([*keys, *order, start, end])), keys, chunk).withColumn("_until", until)
+    g = spans(df.select(*dict.fromkeys([*keys, *order, start, end])), keys, order).withColumn("_until", until)
     inside = Window.partitionBy(HASH, SPAN).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     fresh = F.when(F.col("_reach").isNull() | (F.col(start) > F.col("_reach")), 1).otherwise(0)
 
@@ -30,7 +30,7 @@ def merge_sessions_full(df: DataFrame, keys: Sequence[str], start: str, end: str
             .agg(F.min(start).alias("start_time"), F.max("_until").alias("end_time"), F.count(F.lit(1)).alias("rows_merged"))
         )
 
-    # of a hot key, _no = 0 is the tail of a session that began in an earlier chunk
+    # of a hot key, _no = 0 is the tail of a session that began in an earlier split
     pieces = local(g.filter(F.col(HOT)))
     begun = pieces.groupBy(HASH, SPAN).agg(F.max("_no").alias("_n"))
     carried = begun.select(HASH, SPAN, F.coalesce(F.sum("_n").over(_across().rowsBetween(*BEFORE)), F.lit(0)).alias("_offset"))
@@ -43,14 +43,14 @@ def merge_sessions_full(df: DataFrame, keys: Sequence[str], start: str, end: str
     return final.unionByName(joined).select(*[F.col(f"_k.{k}").alias(k) for k in keys], "session", "start_time", "end_time", "rows_merged")
 
 
-def merge_sessions_pairwise(df: DataFrame, keys: Sequence[str], start: str, end: str, order: Sequence[str], chunk: Column) -> DataFrame:
+def merge_sessions_pairwise(df: DataFrame, keys: Sequence[str], start: str, end: str, order: Sequence[str]) -> DataFrame:
     """One-row-back merge that keeps every row.
 
     absorbed: 1 where the previous row's end reaches this start. final_end: the later end of the row and
     of the one it absorbs; an open row takes the next start. seconds is NULL for a row that was open.
     """
     ahead = {"_next_start": F.col(start), "_next_end": F.col(end)}
-    g = scan(df, keys, order, chunk, before={"_prev_end": F.col(end)}, after=ahead)
+    g = scan(df, keys, order, before={"_prev_end": F.col(end)}, after=ahead)
     reaches = F.col("_next_start") <= F.col(end)
     final_end = F.when(reaches, F.greatest(end, "_next_end")).otherwise(F.coalesce(F.col(end), F.col("_next_start")))
     out = g.withColumn("absorbed", F.when(F.col("_prev_end") >= F.col(start), 1).otherwise(0)).withColumn("final_end", final_end)
@@ -59,8 +59,8 @@ def merge_sessions_pairwise(df: DataFrame, keys: Sequence[str], start: str, end:
     return out.drop("_prev_end", "_next_start", "_next_end")
 
 
-def merge_sessions(df: DataFrame, keys: Sequence[str], start: str, end: str, order: Sequence[str], chunk: Column, mode: str = "full") -> DataFrame:
-    return {"full": merge_sessions_full, "pairwise": merge_sessions_pairwise}[mode](df, keys, start, end, order, chunk)
+def merge_sessions(df: DataFrame, keys: Sequence[str], start: str, end: str, order: Sequence[str], mode: str = "full") -> DataFrame:
+    return {"full": merge_sessions_full, "pairwise": merge_sessions_pairwise}[mode](df, keys, start, end, order)
 
 
 def rollup_sessions(df: DataFrame, keys: Sequence[str], start: str, minutes: str, grain: str = "day") -> DataFrame:

@@ -18,10 +18,10 @@ from fathomline.operators.sessions import merge_sessions_pairwise, rollup_sessio
 from fathomline.session import materialise
 from fathomline.sources.loads import incremental_by_id, insert_new
 
-def version_chain(versions: DataFrame, record: str, version: str, chunk: Column) -> DataFrame:
+def version_chain(versions: DataFrame, record: str, version: str) -> DataFrame:
     """Previous and next version of each record version, and first and last flags."""
     number = F.col(version)
-    out = scan(versions, [record], [version], chunk, before={"previous_version": number}, after={"next_version": number})
+    out = scan(versions, [record], [version], before={"previous_version": number}, after={"next_version": number})
     return out.withColumns(
         {"first_version": flag(F.col("previous_version").isNull()), "last_version": flag(F.col("next_version").isNull())}
     )
@@ -52,8 +52,8 @@ def load_audit(stored: DataFrame, raw: DataFrame, record_kind: str, skipped_acti
 def order_actions(log: DataFrame) -> DataFrame:
     """Number of each action within its record, and within its record and type."""
     order = ["ts", "item_id"]
-    out = sequence(log, ["record_id"], order, F.to_date("ts"), "overall_order")
-    return sequence(out, ["record_id", "action"], order, F.to_date("ts"), "type_order")
+    out = sequence(log, ["record_id"], order, "overall_order")
+    return sequence(out, ["record_id", "action"], order, "type_order")
 
 
 def team_audit(log: DataFrame, staff: DataFrame, teams: DataFrame, view_action: str) -> DataFrame:
@@ -98,7 +98,7 @@ def login_sessions(activity: DataFrame, outcomes: DataFrame, teams: DataFrame, d
     direct = F.col("domain").isin(list(direct_domains)) & (F.col("outcome") == "direct")
     kind = F.when(~F.col("success"), "failed").when(direct, "direct").otherwise("login")
     rows = materialise(joined.withColumns({"device": device_class(F.col("is_mobile"), F.col("agent")), "action_type": kind}), "logins")
-    return merge_sessions_pairwise(rows, ["user_id"], "login", "logout", ["login", "item_id"], F.to_date("login"))
+    return merge_sessions_pairwise(rows, ["user_id"], "login", "logout", ["login", "item_id"])
 
 
 def login_totals(sessions: DataFrame, keys: Sequence[str], grain: str) -> DataFrame:
@@ -144,7 +144,7 @@ def assemble_logins(activity: DataFrame, audit: DataFrame) -> DataFrame:
 def close_sessions(rows: DataFrame, user: str, start: str, stop: str, row_id: str) -> DataFrame:
     """Missing logouts take the next one of the user on that day, else the end of the day."""
     dated = rows.withColumn("_day", F.to_date(start))
-    filled = next_value(dated, [user, "_day"], [start, row_id], F.hour(start), stop, "_next")
+    filled = next_value(dated, [user, "_day"], [start, row_id], stop, "_next")
     last_second = F.col("_day").cast("timestamp_ntz") + F.expr("interval '23:59:59' hour to second")
     closed = F.when(F.col(user).isNull(), F.col(stop)).otherwise(F.coalesce("_next", last_second))
     return filled.withColumn("closed_logout", closed).drop("_next", "_day")
@@ -166,7 +166,7 @@ def link_views(views: DataFrame, sessions: DataFrame) -> DataFrame:
 
 def first_of_type(rows: DataFrame, keys: Sequence[str], kind: str, t: str, row_id: str) -> DataFrame:
     """Order of each action within its key and type, and a flag for the first."""
-    out = sequence(rows, [*keys, kind], [t, row_id], F.to_date(t), "type_order")
+    out = sequence(rows, [*keys, kind], [t, row_id], "type_order")
     return out.withColumn("first_of_type", flag(F.col("type_order") == 1))
 
 
@@ -254,7 +254,7 @@ def review_lists(log: DataFrame, owner: DataFrame, actions: Sequence[str]) -> Da
         .distinct()
         .withColumn("text", F.date_format("day", "dd/MM/yyyy"))
     )
-    lists = concat_ordered(days, ["record_id", "action", "side"], "text", ["day"], ", ", "days", F.trunc("day", "month"))
+    lists = concat_ordered(days, ["record_id", "action", "side"], "text", ["day"], ", ", "days", split=True)
     wide = [
         F.max(F.when((F.col("action") == a) & (F.col("side") == s), F.col("days"))).alias(f"{s}_{a}_days") for s in ("own", "other") for a in actions
     ]
@@ -264,7 +264,7 @@ def review_lists(log: DataFrame, owner: DataFrame, actions: Sequence[str]) -> Da
 def extract_history(changes: DataFrame) -> DataFrame:
     """Order of the changes of a record within each day, with gaps for equal minutes. changes: record_id, ts"""
     dated = changes.withColumns({"day": F.to_date("ts"), "change_time": F.date_format("ts", "HH:mm")})
-    return rank_per_key(dated, ["record_id", "day"], "change_time", F.left("change_time", F.lit(2)), "order_of_change")
+    return rank_per_key(dated, ["record_id", "day"], "change_time", "order_of_change")
 
 
 def approvals(versions: DataFrame, log: DataFrame, publish: str, staff: DataFrame, teams: DataFrame) -> DataFrame:

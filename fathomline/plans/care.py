@@ -63,7 +63,7 @@ def referral_contacts(referrals: DataFrame, contacts: DataFrame, low: Column, hi
     order = ["contact_time", "contact_id"]
     counts = {"contact_order": ("sum", has.cast("long")), "face_to_face_order": ("sum", f2f.cast("long"))}
     keys = ["person_id", "referral_id", "provider"]
-    g = scan(rows, keys, order, F.trunc("contact_time", "month"), measures=counts, before={"_previous": F.col("contact_time")})
+    g = scan(rows, keys, order, measures=counts, before={"_previous": F.col("contact_time")})
     out = g.withColumns(
         {
             "contact_order": F.when(has, F.col("contact_order")),
@@ -83,8 +83,8 @@ def overall_order(rows: DataFrame, per_referral: bool = False) -> DataFrame:
     """One number over the whole table, or within each referral: by received date, referral, provider and contact."""
     placed = rows.withColumn("_c", F.coalesce("contact_order", F.lit(1)))
     if per_referral:
-        return sequence(placed, ["referral_id"], ["received", "provider", "_c"], F.trunc("received", "month"), "overall_order").drop("_c")
-    return global_sequence(placed, ["received", "referral_id", "provider", "_c"], F.trunc("received", "month"), "overall_order").drop("_c")
+        return sequence(placed, ["referral_id"], ["received", "provider", "_c"], "overall_order").drop("_c")
+    return global_sequence(placed, ["received", "referral_id", "provider", "_c"], "overall_order").drop("_c")
 
 
 def diagnoses(feeds: dict[str, DataFrame], stored: DataFrame) -> DataFrame:
@@ -152,7 +152,7 @@ def ward_stays(stays: DataFrame) -> DataFrame:
     newest = [F.col("month_id").desc(), F.col("submission_id").desc()]
     last = materialise(latest_per_key(stays, ["spell_id", "stay_id"], newest), "ward-stays")
     counted, ahead = {"stay_order": ("sum", F.lit(1).cast("long"))}, {"_next": F.col("stay_id")}
-    out = scan(last, ["spell_id"], ["start", "stay_id"], F.trunc("start", "month"), measures=counted, after=ahead)
+    out = scan(last, ["spell_id"], ["start", "stay_id"], measures=counted, after=ahead)
     return out.withColumns({"last_stay": flag(F.col("_next").isNull()), "admission_stay": flag(F.col("stay_order") == 1)}).drop("_next")
 
 
@@ -200,7 +200,7 @@ def known_to_service(
         "_ends": F.col("_ends"),
     }
     dated = attendances.withColumn("_arrived", F.col(arrival).cast("date"))
-    seen = asof_max(dated, moments, [person], "_arrived", "_at", measures, strict=False, chunk=lambda t: F.trunc(t, "month"))
+    seen = asof_max(dated, moments, [person], "_arrived", "_at", measures, strict=False)
     arrived = F.col("_arrived")
     same_day_own = F.coalesce(F.col("_own") == arrived, F.lit(False))
     open_now = F.coalesce(F.col("_ends") > arrived, F.lit(False))

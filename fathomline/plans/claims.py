@@ -37,14 +37,14 @@ def monthly_snapshot(stored: DataFrame, current: DataFrame, month: str) -> DataF
     return snapshot(stored, current, "snapshot_month", month)
 
 
-def concern_list(concerns: DataFrame, chunk: Column) -> DataFrame:
+def concern_list(concerns: DataFrame) -> DataFrame:
     """Concerns of a case as one text per section. concerns: case_id, section, group_name, item, place (unique in a case)"""
-    return concat_ordered(concerns, ["case_id", "section"], "item", ["place"], ", ", "items", chunk)
+    return concat_ordered(concerns, ["case_id", "section"], "item", ["place"], ", ", "items", split=True)
 
 
-def concern_summary(concerns: DataFrame, chunk: Column) -> DataFrame:
+def concern_summary(concerns: DataFrame) -> DataFrame:
     """Numbered concerns of a case: '1) a 2) b'."""
-    return concat_numbered(concerns, ["case_id"], "item", ["place"], " ", "summary", chunk)
+    return concat_numbered(concerns, ["case_id"], "item", ["place"], " ", "summary")
 
 
 def concern_matrix(concerns: DataFrame) -> DataFrame:

@@ -31,13 +31,13 @@ def draft_contacts(requests: DataFrame, phones: DataFrame, emails: DataFrame, at
     return last.join(best(phones, "phone"), "person_id", "left").join(best(emails, "email"), "person_id", "left")
 
 
-def contact_blocks(blocks: DataFrame, chunk: Column) -> DataFrame:
+def contact_blocks(blocks: DataFrame) -> DataFrame:
     """Rows of a person numbered within their kind in order of start, the last one flagged, with a text.
 
     blocks: person_id, kind, block_id, start, line_1, line_2
     """
     counted, ahead = {"block_no": ("sum", F.lit(1).cast("long"))}, {"_next": F.col("block_id")}
-    out = scan(blocks, ["person_id", "kind"], ["start", "block_id"], chunk, measures=counted, after=ahead)
+    out = scan(blocks, ["person_id", "kind"], ["start", "block_id"], measures=counted, after=ahead)
     text = message([("", F.col("line_1")), ("", F.col("line_2"))], ", ")
     return out.withColumns({"last_of_kind": flag(F.col("_next").isNull()), "block_text": text}).drop("_next")
 

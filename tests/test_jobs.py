@@ -162,14 +162,14 @@ def test_exceptions_come_in_two_forms(spark):
 
 
 @pytest.mark.parametrize("hot_rows", [5, 1_000_000])
-def test_ordered_texts_with_and_without_chunks(spark, monkeypatch, hot_rows):
+def test_ordered_texts_with_and_without_splits(spark, monkeypatch, hot_rows):
     monkeypatch.setattr("fathomline.operators.ordered.HOT_ROWS", hot_rows)
     df = spark.createDataFrame([("k", i, f"t{i}") for i in range(25)] + [("k", 30, None), ("e", 1, None)], "k string, i int, t string")
     want = ",".join(f"t{i}" for i in range(25))
-    for chunk in (None, F.expr("i div 10")):
-        out = aggs.concat_ordered(df, ["k"], "t", ["i"], ",", "all", chunk).collect()
+    for split in (False, True):
+        out = aggs.concat_ordered(df, ["k"], "t", ["i"], ",", "all", split).collect()
         assert [(r.k, r["all"]) for r in out] == [("k", want)]
-    numbered = aggs.concat_numbered(df.filter("i < 3"), ["k"], "t", ["i"], " ", "n", F.lit(0)).collect()
+    numbered = aggs.concat_numbered(df.filter("i < 3"), ["k"], "t", ["i"], " ", "n").collect()
     assert numbered[0].n == "1) t0 2) t1 3) t2"
 
 

@@ -11,7 +11,7 @@ from fathomline.operators import joins, ordered, sessions
 
 @pytest.fixture(autouse=True, params=[40, 1_000_000], ids=["hot keys split", "no hot key"])
 def hot_rows(request, monkeypatch):
-    """Every test runs with some keys cut into chunks, and with none."""
+    """Every test runs with some keys cut into splits, and with none."""
     monkeypatch.setattr(ordered, "HOT_ROWS", request.param)
 
 
@@ -36,7 +36,6 @@ def by_key(data):
     return groups
 
 
-DAY = lambda: F.to_date("t")
 ORDER = ["t", "id"]
 
 
@@ -48,7 +47,6 @@ def test_sequence_previous_following_running(spark, seed):
         df,
         ["k"],
         ORDER,
-        DAY(),
         measures={"n": ("sum", F.lit(1).cast("long")), "top": ("max", F.col("v")), "low": ("min", F.col("v"))},
         before={"pv": F.col("v"), "pid": F.col("id")},
         after={"nid": F.col("id")},
@@ -70,11 +68,11 @@ def test_sequence_previous_following_running(spark, seed):
 def test_descending_sequence_and_flagged_sequence(spark, seed):
     data = rows(seed)
     df = spark.createDataFrame(data, SCHEMA)
-    down = ordered.sequence(df, ["k"], ORDER, DAY(), "n", descending=True)
+    down = ordered.sequence(df, ["k"], ORDER, "n", descending=True)
     got = {r.id: r.n for r in down.collect()}
     want = {r[0]: len(g) - i for g in by_key(data).values() for i, r in enumerate(g)}
     assert got == want
-    flagged = ordered.sequence(df, ["k"], ORDER, DAY(), "n", where=F.col("v") > 50)
+    flagged = ordered.sequence(df, ["k"], ORDER, "n", where=F.col("v") > 50)
     got = {r.id: r.n for r in flagged.collect()}
     want = {}
     for g in by_key(data).values():
@@ -89,11 +87,11 @@ def test_descending_sequence_and_flagged_sequence(spark, seed):
 def test_global_sequence_and_ranks(spark):
     data = rows(7)
     df = spark.createDataFrame(data, SCHEMA)
-    got = {r.id: r.n for r in ordered.global_sequence(df, ORDER, DAY(), "n").collect()}
+    got = {r.id: r.n for r in ordered.global_sequence(df, ORDER, "n").collect()}
     assert got == {r[0]: i for i, r in enumerate(sorted(data, key=lambda r: (r[2], r[0])), 1)}
     valued = df.filter("v IS NOT NULL")
-    dense = {r.id: r.n for r in ordered.dense_rank_per_key(valued, ["k"], "v", F.expr("v div 10"), "n").collect()}
-    rank = {r.id: r.n for r in ordered.rank_per_key(valued, ["k"], "v", F.expr("v div 10"), "n").collect()}
+    dense = {r.id: r.n for r in ordered.dense_rank_per_key(valued, ["k"], "v", "n").collect()}
+    rank = {r.id: r.n for r in ordered.rank_per_key(valued, ["k"], "v", "n").collect()}
     for g in by_key([r for r in data if r[3] is not None]).values():
         for r in g:
             assert dense[r[0]] == len({x[3] for x in g if x[3] < r[3]}) + 1
@@ -103,7 +101,7 @@ def test_global_sequence_and_ranks(spark):
 def test_next_value(spark):
     data = rows(3)
     df = spark.createDataFrame(data, SCHEMA)
-    got = {r.id: r.nv for r in ordered.next_value(df, ["k"], ORDER, DAY(), "v", "nv").collect()}
+    got = {r.id: r.nv for r in ordered.next_value(df, ["k"], ORDER, "v", "nv").collect()}
     for g in by_key(data).values():
         for i, r in enumerate(g):
             assert got[r[0]] == next((x[3] for x in g[i:] if x[3] is not None), None)
@@ -113,7 +111,7 @@ def test_next_value(spark):
 def test_islands_count_minute_boundaries(spark, gap):
     data = rows(11)
     df = spark.createDataFrame(data, SCHEMA)
-    out = ordered.islands(df, ["k"], ORDER, DAY(), lambda a, b: diff_boundary("minute", a, b) > gap, "t")
+    out = ordered.islands(df, ["k"], ORDER, lambda a, b: diff_boundary("minute", a, b) > gap, "t")
     got = sorted((r.k or "", r.start_time, r.end_time, r.events) for r in out.collect())
     want = []
     for key, g in by_key(data).items():
@@ -132,7 +130,7 @@ def test_gap_of_five_minutes_by_boundaries(spark):
     base = dt.datetime(2024, 3, 1, 23, 58, 59)
     data = [(1, "a", base), (2, "a", base + dt.timedelta(minutes=5)), (3, "a", base + dt.timedelta(minutes=10, seconds=1))]
     df = spark.createDataFrame(data, "id long, k string, t timestamp_ntz")
-    out = ordered.islands(df, ["k"], ORDER, DAY(), lambda a, b: diff_boundary("minute", a, b) > 5, "t")
+    out = ordered.islands(df, ["k"], ORDER, lambda a, b: diff_boundary("minute", a, b) > 5, "t")
     assert sorted(r.events for r in out.collect()) == [1, 2]
 
 
@@ -140,7 +138,7 @@ def test_gap_of_five_minutes_by_boundaries(spark):
 def test_full_merge_never_overlaps(spark, seed):
     data = rows(seed)
     df = spark.createDataFrame(data, SCHEMA)
-    out = sessions.merge_sessions(df, ["k"], "t", "stop", ORDER, DAY())
+    out = sessions.merge_sessions(df, ["k"], "t", "stop", ORDER)
     got = sorted((r.k or "", r.start_time, r.end_time, r.rows_merged) for r in out.collect())
     want = []
     for key, g in by_key(data).items():
@@ -163,7 +161,7 @@ def test_pairwise_merge_of_hand_made_rows(spark):
     t = lambda h, m=0: dt.datetime(2024, 1, 1, h, m)
     data = [(1, "u", t(8), 0, t(10)), (2, "u", t(9), 0, t(9, 30)), (3, "u", t(10), 0, None), (4, "u", t(12), 0, t(13)), (5, "u", t(13), 0, t(14))]
     df = spark.createDataFrame(data, SCHEMA)
-    out = sessions.merge_sessions(df, ["k"], "t", "stop", ORDER, DAY(), mode="pairwise")
+    out = sessions.merge_sessions(df, ["k"], "t", "stop", ORDER, mode="pairwise")
     got = {r.id: (r.absorbed, r.final_end, r.minutes) for r in out.collect()}
     assert got == {
         1: (0, t(10), 120),  # contains the next one
@@ -218,8 +216,8 @@ def test_join_interval_at_the_edges(spark):
 
 def test_empty_input(spark):
     df = spark.createDataFrame([], SCHEMA)
-    assert ordered.sequence(df, ["k"], ORDER, DAY(), "n").count() == 0
-    assert sessions.merge_sessions(df, ["k"], "t", "stop", ORDER, DAY()).count() == 0
+    assert ordered.sequence(df, ["k"], ORDER, "n").count() == 0
+    assert sessions.merge_sessions(df, ["k"], "t", "stop", ORDER).count() == 0
 
 
 def test_open_spans_are_listed_for_the_time_of_the_events_only(spark):
@@ -231,3 +229,24 @@ def test_open_spans_are_listed_for_the_time_of_the_events_only(spark):
     assert sorted((r.id, r.sid) for r in out.collect()) == [(1, 1), (2, None), (3, 3), (4, None)]
     none = joins.join_interval(events.filter("id = 4"), spans, ["k"], "t", "a", "b")
     assert none.collect() == []
+
+
+def test_a_key_with_most_rows_on_one_day_is_split_evenly(spark, monkeypatch):
+    """90 % of the rows on one key and one day: no task holds more than a few splits' rows, and the answers stay."""
+    monkeypatch.setattr(ordered, "HOT_ROWS", 1000)
+    monkeypatch.setattr(ordered, "SPLIT_ROWS", 1000)
+    day = F.lit("2024-03-01 00:00:00").cast("timestamp_ntz")
+    hot = F.col("id") % 10 != 0
+    df = spark.range(0, 20_000, 1, 6).select(
+        "id", F.when(hot, "h").otherwise((F.col("id") % 70).cast("string")).alias("k"), (day + F.expr("make_dt_interval(0, 0, 0, (id * 7919) % 86400)")).alias("t"), (F.col("id") % 13).alias("v")
+    )
+    for keys in (["k"], []):
+        g = ordered.spans(df, keys, ORDER)
+        sizes = [r.n for r in g.groupBy(ordered.HASH, ordered.SPAN).agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert sum(sizes) == 20_000 and max(sizes) <= 4 * 1000, max(sizes)
+        got = {r.id: (r.n, r.s) for r in ordered.running(df, keys, ORDER, {"n": ("sum", F.lit(1).cast("long")), "s": ("sum", F.col("v"))}).collect()}
+        n, total = {}, {}
+        for r in sorted(df.collect(), key=lambda r: (r.t, r.id)):
+            key = r.k if keys else None
+            n[key], total[key] = n.get(key, 0) + 1, total.get(key, 0) + r.v
+            assert got[r.id] == (n[key], total[key])
