@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.catalog.registry import Tables, query
@@ -170,6 +170,78 @@ def _(t: Tables) -> DataFrame:
     return by_day(tables.read_table(t.spark, path))
 
 
+def window_digest(t: Tables, value: Column, low: object, high: object, emptied: Column) -> DataFrame:
+    """Stored orders in partitions by `value`; a batch without the rows of `emptied` replaces the window [low, high), twice."""
+    path = scratch_path(t.spark, "window")
+    batch = order_batch(t).withColumn("part", value).filter(~emptied)
+    for rows in (stored_orders(t).withColumn("part", value), batch, batch):  # the first load finds no table
+        loads.write_window(rows, path, ["part"], low=low, high=high)
+    return by_day(tables.read_table(t.spark, path))
+
+
+KEPT = "SELECT * FROM ({}) WHERE NOT coalesce(p >= {} AND p < {}, FALSE) AND coalesce(p, -1) NOT IN (SELECT coalesce(p, -1) FROM b)"
+
+
+@query(
+    "a10_int_window",
+    f"""WITH s AS (SELECT *, nullif(month(o_orderdate), 2)::INT AS p FROM ({STORED})), b AS (SELECT *, month(o_orderdate)::INT AS p FROM ({BATCH}) WHERE month(o_orderdate) NOT IN (2, 9, 11))
+    {DIGEST.format("SELECT * FROM b UNION ALL " + KEPT.format("SELECT * FROM s", 9, 12))}""",
+)
+def _(t: Tables) -> DataFrame:
+    """Numbers are compared as numbers (9 < 12), and rows without a partition value stay."""
+    month = F.month("o_orderdate")
+    return window_digest(t, F.when(month != 2, month), 9, 12, month.isin(2, 9, 11))
+
+
+@query(
+    "a10_timestamp_window",
+    f"""WITH s AS (SELECT *, date_trunc('month', o_orderdate) + INTERVAL 30 MINUTE AS p FROM ({STORED})), b AS (SELECT *, date_trunc('month', o_orderdate) + INTERVAL 30 MINUTE AS p FROM ({BATCH}) WHERE month(o_orderdate) NOT IN (8, 10))
+    {DIGEST.format("SELECT * FROM b UNION ALL SELECT * FROM s WHERE NOT (p >= TIMESTAMP '1997-08-01 00:30:00' AND p < TIMESTAMP '1997-11-01') AND p NOT IN (SELECT p FROM b)")}""",
+)
+def _(t: Tables) -> DataFrame:
+    """Partitions whose folder names are escaped."""
+    at_half_past = F.date_trunc("month", "o_orderdate").cast("timestamp_ntz") + F.expr("interval 30 minutes")
+    return window_digest(t, at_half_past, dt.datetime(1997, 8, 1, 0, 30), dt.datetime(1997, 11, 1), F.month("o_orderdate").isin(8, 10))
+
+
+def touched_digest(t: Tables, change: loads.Change, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """Stored orders in partitions by year and status; only those that hold a key of the batch are rewritten."""
+    path, parts = scratch_path(t.spark, "touched"), ["y", "o_orderstatus"]
+    stored = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus").withColumn("y", F.year("o_orderdate"))
+    loads.write_overwrite(stored, path, partition_by=parts)
+    loads.rewrite_touched(t.spark, path, batch, keys, parts, change)
+    return by_day(tables.read_table(t.spark, path))
+
+
+@query(
+    "a09_replace_in_partitions",
+    DIGEST.format(
+        """SELECT o_orderkey, o_totalprice, o_orderdate FROM orders WHERE NOT (o_custkey % 10 = 3 AND o_orderdate < TIMESTAMP '1994-01-01')
+    UNION ALL SELECT o_orderkey, o_totalprice + 1, o_orderdate + INTERVAL 1 YEAR FROM orders WHERE o_custkey % 10 = 3 AND o_orderdate < TIMESTAMP '1994-01-01'"""
+    ),
+)
+def _(t: Tables) -> DataFrame:
+    """Replaced rows move to the next year's partition, and leave the old one."""
+    moved = (F.col("o_orderdate") + F.expr("interval 1 year")).alias("o_orderdate")
+    batch = t.orders.filter((F.col("o_custkey") % 10 == 3) & (F.col("o_orderdate") < at(1994, 1, 1)))
+    batch = batch.select("o_orderkey", "o_custkey", (F.col("o_totalprice") + 1).alias("o_totalprice"), moved, "o_orderstatus").withColumn("y", F.year("o_orderdate"))
+    return touched_digest(t, lambda rows, b: loads.replace_by_key(rows, b, ["o_orderkey"]), batch, ["o_orderkey"])
+
+
+@query(
+    "a13_merge_in_partitions",
+    DIGEST.format(
+        """SELECT o_orderkey, o_orderdate, coalesce(a.account, o_totalprice) AS o_totalprice FROM orders LEFT JOIN (SELECT c_custkey, c_acctbal AS account
+    FROM customer WHERE c_nationkey = 7) a ON o_custkey = c_custkey AND o_orderdate >= TIMESTAMP '1996-01-01'"""
+    ),
+)
+def _(t: Tables) -> DataFrame:
+    """A source without partition columns updates the orders it matches, from 1996 on."""
+    source = t.customer.filter("c_nationkey = 7").join(t.orders.filter(F.col("o_orderdate") >= at(1996, 1, 1)), F.col("c_custkey") == F.col("o_custkey"))
+    source = source.select("o_orderkey", F.col("c_acctbal").alias("o_totalprice"))
+    return touched_digest(t, lambda rows, b: loads.merge_update(rows, b, ["o_orderkey"], ["o_totalprice"], [F.col("o_totalprice")]), source, ["o_orderkey"])
+
+
 @query(
     "a11_insert_new",
     f"{STORED} UNION ALL SELECT * FROM ({BATCH}) WHERE o_orderkey NOT IN (SELECT o_orderkey FROM ({STORED}))",

@@ -55,10 +55,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def remove_path(spark: SparkSession, path: str) -> None:
-    """Delete a folder, on whichever file system it is."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+def _file_system(spark: SparkSession, path: str, encoded: bool = False):
+    """A path and the file system it is on; `encoded` for paths as Spark's file metadata gives them."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    target = fs.Path(spark._jvm.java.net.URI(path)) if encoded else fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target, system = _file_system(spark, path)
+    return system.exists(target)
+
+
+def remove_path(spark: SparkSession, path: str, encoded: bool = False) -> bool:
+    """Delete a folder, on whichever file system it is; False where there was nothing to delete."""
+    target, system = _file_system(spark, path, encoded)
+    return system.delete(target, True)
 
 
 class Stages:

@@ -4,19 +4,21 @@ The batch is used twice by most of them (its keys, then its rows): pass one that
 (`session.materialise`) where it is expensive to compute.
 
 Writers never change a path in place while it is read: callers write the result to a new path, or
-use date partitions with `write_window`, which touches the partitions of the window only.
+use partitions with `write_window`, which touches the partitions of the window only, or with `rewrite_touched`, which applies a
+pattern to the partitions that hold a key of the batch and leaves the files of all others.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from fathomline.operators.keys import latest_per_key, null_safe
-from fathomline.session import remove_path
+from fathomline.session import Stages, path_exists, remove_path
 from fathomline.sources.tables import align_schema
 
 
@@ -31,21 +33,77 @@ def write_append(df: DataFrame, path: str, fmt: str = "parquet", partition_by: S
     df.write.format(fmt).mode("append").partitionBy(*partition_by).save(path)
 
 
+def partition_folders(spark: SparkSession, path: str, partition_by: Sequence[StructField], fmt: str = "parquet") -> DataFrame:
+    """(partition columns, folder, file) of a stored table: each partition's folder as the file system names it, and one of its files. Values have the types of the fields given, whatever text the folders spell them with; no column is read."""
+    stored = spark.read.format(fmt).schema(StructType(list(partition_by))).load(path)
+    file = F.col("_metadata.file_path")
+    names = [F.col(f"`{f.name}`") for f in partition_by]
+    files = stored.select(*names, F.regexp_replace(file, "/[^/]*$", "").alias("folder"), file.alias("file"))
+    return files.groupBy(*names, "folder").agg(F.min("file").alias("file"))
+
+
+def _replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str, before: dict[str, str]) -> None:
+    """Dynamic partition overwrite, and then the folders of `before` (with one of their files) that df had no row for go: a folder
+    that was overwritten has other files."""
+    df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path)
+    if before:
+        spark, fields = df.sparkSession, [df.schema[c] for c in partition_by]
+        after = partition_folders(spark, path, fields, fmt).select("folder", "file").collect()
+        for folder, file in after:
+            if before.get(folder) == file and not remove_path(spark, folder, encoded=True):
+                raise OSError(f"could not remove {folder}")
+
+
 def write_window(
     df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet", low: object | None = None, high: object | None = None
 ) -> None:
     """Replace partitions, so a rerun is idempotent: those present in df (dynamic partition overwrite) and, where bounds are
-    given, also those with low <= first partition column < high that df has no row for, whose rows are stale."""
-    stale = []
-    if low is not None:
-        spark, column = df.sparkSession, partition_by[0]
-        stored = spark.read.format(fmt).load(path).select(F.col(column).cast("string").alias("p")).distinct()
-        inside = stored.filter((F.col("p") >= str(low)) & (F.col("p") < str(high)))
-        fresh = df.select(F.col(column).cast("string").alias("p")).distinct()
-        stale = [r[0] for r in inside.join(fresh, "p", "left_anti").collect()]  # one value per partition folder of the window
-    df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path)
-    for value in stale:
-        remove_path(df.sparkSession, f"{path}/{partition_by[0]}={value}")
+    given, also those (of all levels) with low <= first partition column < high that df has no row for, whose rows are stale.
+
+    Bounds are compared in the type of the column; a NULL partition is in no window. An absent path is a first load. df is read once. New
+    partitions are written before stale ones go: after a failure between the two a rerun completes the work. One row per partition
+    folder of the window passes through the driver."""
+    spark, before = df.sparkSession, {}
+    if low is not None and path_exists(spark, path):
+        first = df.schema[partition_by[0]]
+        column = F.col(f"`{first.name}`")
+        inside = (column >= F.lit(low).cast(first.dataType)) & (column < F.lit(high).cast(first.dataType))
+        folders = partition_folders(spark, path, [df.schema[c] for c in partition_by], fmt)
+        before = {r["folder"]: r["file"] for r in folders.filter(inside).collect()}
+    _replace_partitions(df, path, partition_by, fmt, before)
+
+
+Change = Callable[[DataFrame, DataFrame], DataFrame]
+
+
+def rewrite_touched(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], partition_by: Sequence[str], change: Change, fmt: str = "parquet") -> int:
+    """Apply a load pattern to a stored table of partitions and rewrite only the partitions that it can change; returns how many.
+
+    Touched are the partitions that hold a key of the batch and, if the batch has the partition columns, those of its rows. Only these
+    are read in full and replaced; of the others the keys alone are read and the files stay. `change` takes
+    the touched rows and the batch, such as replace_by_key, upsert_newer or merge_update with their keys filled in; it must leave
+    rows alone whose key is not in the batch. A row that moves to another partition leaves the old one, and a partition left
+    without rows goes. NULL keys and NULL partitions match each other. The new rows are written beside the table first, so a lost
+    executor or a rerun finds the old ones whole until they are replaced."""
+    with Stages(spark) as stages:
+        batch = stages.write(batch, "batch")
+        stored = spark.read.format(fmt).load(path)
+        fields = [stored.schema[c] for c in partition_by]
+        names = [F.col(f"`{c}`") for c in partition_by]
+        fresh = batch.select(*keys).distinct().alias("b")
+        held = stored.select(*dict.fromkeys([*keys, *partition_by])).alias("t").join(fresh, null_safe("t", "b", keys), "left_semi").select(*names)
+        if set(partition_by) <= set(batch.columns):
+            held = held.union(batch.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in fields]))
+        touched = stages.write(held.distinct(), "touched")
+        # the first partition column as literals, so that other folders are not listed for reading; then the exact partitions
+        values = [r[0] for r in touched.select(names[0]).distinct().collect()]  # partition folders, not rows
+        pruned = stored.filter(names[0].isin([v for v in values if v is not None]) | (names[0].isNull() if None in values else F.lit(False)))
+        rows = pruned.alias("s").join(touched.alias("p"), null_safe("s", "p", partition_by), "left_semi")
+        after = stages.write(change(rows, batch).select(*stored.columns), "rewritten")
+        folders = partition_folders(spark, path, fields, fmt).alias("s").join(touched.alias("p"), null_safe("s", "p", partition_by), "left_semi")
+        before = {r["folder"]: r["file"] for r in folders.collect()}
+        _replace_partitions(after, path, partition_by, fmt, before)
+        return len(before)
 
 
 def rebuild_snapshot(df: DataFrame, as_of: Column, column: str = "snapshot_time") -> DataFrame:

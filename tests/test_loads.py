@@ -1,6 +1,7 @@
 """Load patterns on small tables in a temporary folder."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -141,3 +142,56 @@ def test_stream_takes_each_file_once(spark, tmp_path, stored):
         append_new_files(spark, source, stored.schema, target, marks)
     append_new_files(spark, source, stored.schema, target, marks)
     assert spark.read.parquet(target).count() == 5
+
+
+def files_of(path):
+    return {os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+
+@pytest.mark.parametrize(
+    "kind, value, low, high",
+    [("int", lambda n: n, 9, 13), ("date", day, day(9), day(13)), ("timestamp", lambda n: dt.datetime(2024, 1, n, 10, 30), dt.datetime(2024, 1, 9), dt.datetime(2024, 1, 13))],
+)
+def test_window_replaces_stale_partitions_of_any_type(spark, tmp_path, kind, value, low, high):
+    path, schema = str(tmp_path / "t"), f"v int, p {kind}"
+    make = lambda days, v: spark.createDataFrame([(v, value(n) if n else None) for n in days], schema)
+    loads.write_window(make([1, 8, 9, 10, 11, 12, 13, 20, None], 0), path, ["p"], low=low, high=high)  # an absent path is a first load
+    before = files_of(path)
+    for _ in range(2):
+        loads.write_window(make([12], 5), path, ["p"], low=low, high=high)
+        got = sorted((r.v, r.p is None, r.p or 0) for r in spark.read.schema(schema).parquet(path).collect() if r.p is not None)
+        assert got == sorted([(0, False, value(n)) for n in (1, 8, 13, 20)] + [(5, False, value(12))])
+        assert spark.read.schema(schema).parquet(path).filter("p IS NULL").count() == 1
+    assert len(files_of(path) & before) == 5
+
+
+def test_window_of_two_levels(spark, tmp_path):
+    path = str(tmp_path / "t")
+    make = lambda rows: spark.createDataFrame(rows, "v int, d date, s string")
+    loads.write_window(make([(1, day(1), "a"), (2, day(2), "a"), (3, day(2), "b/c"), (4, day(3), "a")]), path, ["d", "s"])
+    loads.write_window(make([(9, day(3), "z z")]), path, ["d", "s"], low=day(2), high=day(4))
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 9]
+
+
+def test_only_touched_partitions_are_rewritten(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "k int, v int, version int, p int, q string"
+    rows = [(k, 0, 1, k % 5, "x" if k % 2 else None) for k in range(40)] + [(99, 0, 1, 7, "lonely"), (None, 0, 1, 8, "n")]
+    spark.createDataFrame(rows, schema).write.partitionBy("p", "q").parquet(path)
+    before = files_of(path)
+    batch = spark.createDataFrame([(3, 5, 2, 3, "x"), (99, 5, 2, 3, "x"), (None, 5, 2, 8, "n"), (500, 5, 2, 9, None)], schema)
+    n = loads.rewrite_touched(spark, path, batch, ["k"], ["p", "q"], lambda old, new: loads.replace_by_key(old, new, ["k"]))
+    got = sorted((-1 if r.k is None else r.k, r.v, r.p, r.q or "") for r in spark.read.schema(schema).parquet(path).collect())
+    want = [(k, 0, k % 5, "x" if k % 2 else "") for k in range(40) if k != 3] + [(3, 5, 3, "x"), (99, 5, 3, "x"), (-1, 5, 8, "n"), (500, 5, 9, "")]
+    assert got == sorted(want) and n == 3
+    kept = files_of(path) & before
+    assert {f for f in before if "p=7/" not in f and "p=8/" not in f and not ("p=3/" in f and "q=x" in f)} == kept
+    assert not any("p=7" in f for f in files_of(path))
+    # a source without the partition columns, and one that holds no stored key
+    loads.rewrite_touched(spark, path, batch.select("k", F.lit(77).alias("v")).filter("k = 500"), ["k"], ["p", "q"], lambda old, new: loads.merge_update(old, new, ["k"], ["v"], [F.col("v")]))
+    assert spark.read.parquet(path).filter("v = 77").count() == 1 and spark.read.parquet(path).count() == 43
+    now = files_of(path)
+    none = batch.filter("k = -5").select("k", "v")
+    assert loads.rewrite_touched(spark, path, none, ["k"], ["p", "q"], lambda old, new: loads.merge_update(old, new, ["k"], ["v"], [F.col("v")])) == 0 and files_of(path) == now
+    newer = spark.createDataFrame([(4, 8, 3, 4, None), (6, 8, 0, 1, None)], schema)
+    loads.rewrite_touched(spark, path, newer, ["k"], ["p", "q"], lambda old, new: loads.upsert_newer(old, new, ["k"], "version"))
+    assert {r.k: r.v for r in spark.read.parquet(path).filter("k IN (4, 6)").collect()} == {4: 8, 6: 0}
