@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fathomline.llm.components import connected
+from fathomline.llm.files import give_back
 from fathomline.llm.lsh_forest import digest_of, node_of
 from fathomline.llm.near import BLOCK, GOLD, HOTTEST, LOOKED_AT, MIX1, MIX2, OFTEN, SALTS, VERIFIED, Seen, blocks, distinct, packed, runs, scramble, verified_groups
 from fathomline.session import Stages
@@ -194,6 +195,7 @@ def _reader(threshold: float):
                     ],
                     names=["row", "doc_id", "line", "digest", "node", "keys"],
                 )
+        give_back()
 
     return read
 
@@ -214,6 +216,8 @@ def _fetcher(seen: Seen):
             columns = list(zip(*out)) if out else [[], [], []]
             types = (pa.binary(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["digest", "node", "text"])
+        sent.clear()
+        give_back()
 
     return fetch
 
@@ -341,6 +345,7 @@ def _groups_verifier(threshold: float):
                 size += len(text)
             yield packed(out)
         yield packed(closed(groups))
+        give_back()
 
     return run
 
