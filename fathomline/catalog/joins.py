@@ -196,6 +196,24 @@ PREFIX = """WITH ref AS (SELECT code, min(area) AS area FROM (SELECT replace(p_n
     LEFT JOIN b5 ON b5.form = left(replace(k, ' ', ''), 5) LEFT JOIN b4 ON b4.form = left(replace(k, ' ', ''), 4)"""
 
 
+@query(
+    "c12_nearest_in_crowd",
+    """WITH spans AS (SELECT o_orderkey, o_orderkey % 5 AS k, o_orderdate::DATE AS a, o_orderdate::DATE + (o_custkey % 400)::INT AS b FROM orders),
+    asks AS (SELECT DISTINCT l_suppkey % 5 AS k, l_shipdate::DATE AS d FROM lineitem),
+    best AS (SELECT asks.k, d, min(struct_pack(off := abs(d - a), short := a - b, id := o_orderkey)) AS w FROM asks JOIN spans ON asks.k = spans.k AND d BETWEEN a - 1 AND b GROUP BY ALL)
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, w.id AS o_orderkey, w.off::INT AS off, (-w.short * 86400)::BIGINT AS stay
+    FROM lineitem JOIN best ON l_suppkey % 5 = k AND l_shipdate::DATE = d""",
+)
+def _(t: Tables) -> DataFrame:
+    """Five keys with all orders between them, hundreds of which are open on any day."""
+    row = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("row")
+    asks = t.lineitem.select(row, (F.col("l_suppkey") % 5).alias("k"), F.to_date("l_shipdate").alias("d"))
+    first = F.to_date("o_orderdate")
+    spans = t.orders.select("o_orderkey", (F.col("o_orderkey") % 5).alias("k"), first.alias("a"), F.date_add(first, (F.col("o_custkey") % 400).cast("int")).alias("b"))
+    out = joins.nearest_in_crowd(asks, "row", spans, ["k"], "d", "a", "b", "o_orderkey", "1 day")
+    return out.select("row.*", "o_orderkey", F.col("_off").alias("off"), F.col("_stay").cast("long").alias("stay"))
+
+
 @query("c13_prefix_lookup", PREFIX)
 def _(t: Tables) -> DataFrame:
     name = F.replace(F.col("p_name"), F.lit(" "), F.lit(""))

@@ -135,7 +135,7 @@ def nearest_containing(
     An interval holds the times from `lead` (such as '24 hours') before its start to its stop; dates and timestamps
     both work. Of the intervals of a key with one start only the longest can win, and all left rows of a key and time
     have the same answer: so both sides are first cut to one row per key and time. For dates what is compared is bounded
-    by the calendar, however many rows a key has.
+    by the calendar, however many rows a key has. Where very many intervals of a key overlap, use `nearest_in_crowd`.
     """
     best = latest_per_key(
         intervals.select(*keys, F.col(start).alias("_start"), F.col(stop).alias("_stop"), F.col(interval_id)),
@@ -151,6 +151,82 @@ def nearest_containing(
     return rows.join(answer, [*keys, "_at"]).select(left_id, interval_id, "_off", "_stay")
 
 
+LEVELS = 8  # of nodes of 4 ** level days; a span of any length is a few nodes of each, and a day lies in one of each
+
+
+def day_number(t: Column) -> Column:
+    return F.datediff(t.cast("date"), F.lit("1970-01-01").cast("date"))
+
+
+def covering_nodes(low: Column, high: Column) -> Column:
+    """The days low to high (inclusive; none if high < low) as the fewest nodes, an array of (level, node): at each level those blocks of 4 ** level days that lie
+    inside while the block of the next level around them does not."""
+
+    def blocks(level: int) -> tuple[Column, Column]:
+        size = 4**level
+        return F.ceil(low / size).cast("int"), (F.floor((high + 1) / size) - 1).cast("int")
+
+    def listed(level: int, first: Column, last: Column) -> Column:
+        nodes = F.transform(F.sequence(first, last), lambda n: F.struct(F.lit(level).alias("level"), n.alias("node")))
+        return F.when(first <= last, nodes).otherwise(F.array().cast("array<struct<level:int,node:int>>"))
+
+    parts = []
+    for level in range(LEVELS):
+        first, last = blocks(level)
+        if level + 1 == LEVELS:
+            parts.append(listed(level, first, last))
+            continue
+        up_first, up_last = blocks(level + 1)
+        above = up_first <= up_last  # some block of the next level lies inside
+        parts.append(listed(level, first, F.when(above, F.least(last, 4 * up_first - 1)).otherwise(last)))
+        parts.append(listed(level, F.when(above, F.greatest(first, 4 * up_last + 4)).otherwise(last + 1), last))
+    return F.concat(*parts)
+
+
+def nearest_in_crowd(
+    left: DataFrame, left_id: str, intervals: DataFrame, keys: Sequence[str], at: str, start: str, stop: str, interval_id: str, lead: str
+) -> DataFrame:
+    """`nearest_containing` for keys whose intervals overlap by the thousand, such as all spells of a provider: linear there, at
+    the price of LEVELS rows for each time asked.
+
+    Intervals are never paired with the times they hold. The days that an interval holds whole are cut into a few
+    nodes of growing size, and each node of a key keeps one winner: the last to start, or before the starts the first. A
+    time asks the nodes its day lies in, one of each size, and only intervals that begin or end on its day are compared with it. So the
+    work grows with the rows, however many intervals of a key overlap. All left rows of a key and time have one answer, and of the intervals
+    of a key with one start only the longest can win: both sides are first cut to these."""
+    best = latest_per_key(
+        intervals.select(*keys, F.col(start).alias("_start"), F.col(stop).alias("_stop"), F.col(interval_id)),
+        [*keys, "_start"],
+        [F.col("_stop").desc(), F.col(interval_id).asc()],
+    ).withColumn("_from", F.col("_start") - F.expr(f"interval {lead}"))
+    stay = diff_boundary("second", "_start", "_stop").alias("_stay")
+    best = best.filter(F.col("_from") <= F.col("_stop")).select(
+        *keys, interval_id, "_from", "_stop", day_number(F.col("_start")).alias("_begun"), day_number(F.col("_from")).alias("_low"), day_number(F.col("_stop")).alias("_high"), stay
+    )
+    # whole days: before the start day the first start is nearest, from it on the last
+    ahead = covering_nodes(F.col("_low") + 1, F.least(F.col("_high") - 1, F.col("_begun") - 1))
+    since = covering_nodes(F.greatest(F.col("_low") + 1, F.col("_begun")), F.col("_high") - 1)
+    sided = F.array(F.struct(F.lit(1).alias("_side"), ahead.alias("_nodes")), F.struct(F.lit(-1).alias("_side"), since.alias("_nodes")))
+    covered = best.select(*keys, interval_id, "_begun", "_stay", F.inline(sided)).select(*keys, interval_id, "_begun", "_stay", "_side", F.inline("_nodes"))
+    place = [*keys, "level", "node"]
+    winner = F.min(F.struct((F.col("_side") * F.col("_begun")).alias("_near"), (-F.col("_stay")).alias("_short"), F.col(interval_id))).alias("_w")
+    winners = covered.groupBy(*place, "_side").agg(winner)
+    winners = winners.select(*place, (F.col("_side") * F.col("_w._near")).alias("_begun"), F.col("_w._short").alias("_short"), F.col(f"_w.{interval_id}").alias(interval_id))
+
+    times = left.select(*keys, F.col(at).alias("_at")).distinct().withColumn("_day", day_number(F.col("_at")))
+    nodes = F.array(*[F.struct(F.lit(n).alias("level"), F.shiftright("_day", 2 * n).alias("node")) for n in range(LEVELS)])
+    asked = times.select(*keys, "_at", "_day", F.inline(nodes))
+    answer = [*keys, "_at", F.abs(F.col("_day") - F.col("_begun")).alias("_off"), "_short", interval_id]
+    inside = asked.join(shuffled_apart(winners, place), place).select(*answer)
+    # days held in part: those on which an interval begins or ends
+    edges = best.withColumn("_day", F.explode(F.array_distinct(F.array("_low", "_high")))).withColumn("_short", -F.col("_stay"))
+    partly = times.join(edges, [*keys, "_day"]).filter(F.col("_at").between(F.col("_from"), F.col("_stop"))).select(*answer)
+    chosen = inside.unionByName(partly).groupBy(*keys, "_at").agg(F.min(F.struct("_off", "_short", interval_id)).alias("_w"))
+    chosen = chosen.select(*keys, "_at", F.col(f"_w.{interval_id}").alias(interval_id), F.col("_w._off").alias("_off"), (-F.col("_w._short")).alias("_stay"))
+    rows = left.select(left_id, *keys, F.col(at).alias("_at"))
+    return rows.join(shuffled_apart(chosen, [*keys, "_at"]), [*keys, "_at"]).select(left_id, interval_id, "_off", "_stay")
+
+
 def waterfall_link(left: DataFrame, left_id: str, passes: Sequence[DataFrame], order: Sequence[Column | str]) -> DataFrame:
     """Link in passes: the first pass with a candidate decides, and there the best one by `order`.
 

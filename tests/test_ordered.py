@@ -192,7 +192,7 @@ def test_nearest_containing(spark):
     spans = [(i, rng.choice(["hot", "hot", "x"]), s := rng.randrange(80), s + rng.choice([-1, 0, 3, 40])) for i in range(120)]
     l = spark.createDataFrame(left, "id long, k string, d date")
     s = spark.createDataFrame([(i, k, day(a), day(b)) for i, k, a, b in spans], "sid long, k string, a date, b date")
-    out = joins.nearest_containing(l, "id", s, ["k"], "d", "a", "b", "sid", "1 day", width_days=8)
+    out = joins.nearest_containing(l, "id", s, ["k"], "d", "a", "b", "sid", "1 day")
     got = {r.id: (r.sid, r._off, r._stay) for r in out.collect()}
     want = {}
     for i, k, d in left:
@@ -250,3 +250,38 @@ def test_a_key_with_most_rows_on_one_day_is_split_evenly(spark, monkeypatch):
             key = r.k if keys else None
             n[key], total[key] = n.get(key, 0) + 1, total.get(key, 0) + r.v
             assert got[r.id] == (n[key], total[key])
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "date"])
+@pytest.mark.parametrize("nearest", [joins.nearest_containing, joins.nearest_in_crowd])
+def test_nearest_containing_against_all_pairs(spark, kind, nearest):
+    rng = random.Random(8)
+    base = dt.datetime(1969, 12, 20)
+    when = (lambda: base + dt.timedelta(minutes=rng.randrange(900 * 1440))) if kind != "date" else (lambda: (base + dt.timedelta(days=rng.randrange(900))).date())
+    spans = []
+    for i in range(500):  # one key holds most, with many long spans over each other; one never closes
+        begin = when()
+        long = dt.timedelta(days=rng.choice([0, 0, 1, 3, 20, 300, 2000]), minutes=0 if kind == "date" else rng.randrange(1440))
+        spans.append((i, "hot" if i % 3 else rng.choice(["a", "b", None]), begin, begin + long))
+    spans.append((900, "a", when(), dt.datetime(9999, 1, 1) if kind != "date" else dt.date(9999, 1, 1)))
+    spans.append((901, "hot", spans[1][2], spans[1][3]))
+    asks = [(i, rng.choice(["hot", "hot", "a", "b", None, "x"]), when()) for i in range(400)] + [(1000 + i, "hot", s[2]) for i, s in enumerate(spans[:50])]
+    left = spark.createDataFrame(asks, f"ask long, k string, t {kind}")
+    right = spark.createDataFrame(spans, f"span long, k string, s {kind}, e {kind}")
+    got = {r.ask: (r["span"], r["_off"], r["_stay"]) for r in nearest(left, "ask", right, ["k"], "t", "s", "e", "span", "24 hours" if kind != "date" else "1 day").collect()}
+    want, date = {}, lambda t: t.date() if isinstance(t, dt.datetime) else t
+    for ask, k, t in asks:
+        held = [(abs((date(t) - date(s)).days), -int((e - s).total_seconds()), i) for i, key, s, e in spans if k and key == k and s - dt.timedelta(hours=24) <= t <= e]
+        if held:
+            off, short, i = min(held)
+            want[ask] = (i, off, -short)
+    assert got == want and len(want) > 300
+
+
+def test_covering_nodes(spark):
+    for low, high in ((0, 0), (-5, 70), (3, 2), (1, 4**5), (-1000, 300_000), (17, 17)):
+        nodes = spark.range(1).select(joins.covering_nodes(F.lit(low), F.lit(high)).alias("n")).first().n
+        days = sorted(d for n in nodes if n.level < 7 or high < 300_000 for d in range(n.node * 4**n.level, (n.node + 1) * 4**n.level)) if high < 300_000 else None
+        if days is not None:
+            assert days == list(range(low, high + 1))
+        assert sum(4**n.level for n in nodes) == max(0, high - low + 1) and len(nodes) <= 6 * joins.LEVELS + 20
