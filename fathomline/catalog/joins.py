@@ -250,6 +250,20 @@ def _(t: Tables) -> DataFrame:
     return joins.flatten_hierarchy(t.customer, edges, "c_custkey", "child", "parent", 7)
 
 
+@query(
+    "c15_top_ancestors",
+    """WITH RECURSIVE e AS (SELECT c_custkey AS child, CASE c_custkey WHEN 11 THEN 12 WHEN 12 THEN 11 ELSE c_custkey // 2 END AS parent FROM customer WHERE c_custkey % 97 <> 5),
+    line(node, top, depth) AS (SELECT child, parent, 1 FROM e UNION ALL SELECT node, parent, depth + 1 FROM line JOIN e ON child = top WHERE depth < 64),
+    last AS (SELECT node, max(depth) AS depth, arg_max(top, depth) AS top FROM line GROUP BY node)
+    SELECT node, CASE WHEN depth < 64 THEN top END AS top, CASE WHEN depth < 64 THEN depth END::BIGINT AS depth, depth = 64 AS cyclic FROM last""",
+)
+def _(t: Tables) -> DataFrame:
+    """Customers in lines of any depth, two of them each other's parent."""
+    key = F.col("c_custkey")
+    parent = F.when(key == 11, 12).when(key == 12, 11).otherwise(F.floor(key / 2)).cast(t.customer.schema["c_custkey"].dataType)
+    return joins.top_ancestors(t.customer.filter(key % 97 != 5).select(key.alias("child"), parent.alias("parent")), "child", "parent")
+
+
 @query(
     "c16_latest_reference",
     """SELECT o_orderkey, description FROM orders LEFT JOIN (SELECT p_partkey AS code, p_name AS description FROM part WHERE p_size > 25) ON code = o_orderkey % 2000""",

@@ -285,3 +285,11 @@ def test_covering_nodes(spark):
         if days is not None:
             assert days == list(range(low, high + 1))
         assert sum(4**n.level for n in nodes) == max(0, high - low + 1) and len(nodes) <= 6 * joins.LEVELS + 20
+
+
+def test_top_ancestors_of_deep_lines_and_cycles(spark):
+    edges = [(i, i - 1) for i in range(1, 71)] + [(200, 201), (201, 202), (202, 200), (203, 200), (300, 300), (5, 9), (None, 1), (400, None)]
+    got = {r.node: (r.top, r.depth, r.cyclic) for r in joins.top_ancestors(spark.createDataFrame(edges, "c long, p long"), "c", "p").collect()}
+    want = {i: (0, i, False) for i in range(1, 71)} | {i: (None, None, True) for i in (200, 201, 202, 203, 300)}
+    assert got == want
+    assert joins.top_ancestors(spark.createDataFrame([], "c long, p long"), "c", "p").collect() == []
