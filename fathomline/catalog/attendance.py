@@ -36,13 +36,18 @@ def feed(t: Tables) -> DataFrame:
         F.when(k % 4 == 0, F.concat(F.lit("S"), k % 7)).alias("discharge_status"),
         F.concat(F.lit("C"), k % 13).alias("complaint"),
         F.concat(F.lit("I"), k % 11).alias("intent"),
+        F.concat(F.lit(" C"), (k + 1) % 15, F.lit(" ")).alias("arrival_mode"),
+        F.concat(F.lit("D"), (k + 2) % 13).alias("attendance_source"),
+        F.when(k % 5 != 0, F.concat(F.lit("C"), (k * 3) % 13)).alias("destination"),
+        F.concat(F.lit("D"), (k * 5) % 14).alias("follow_up"),
+        F.when(k % 7 != 0, F.concat(F.lit("C"), (k * 7) % 13)).alias("accommodation"),
         F.when(k % 6 != 0, F.array_join(F.transform(F.sequence(F.lit(1), k % 5 + 1), lambda i: F.concat(F.lit("D"), (k * i) % 17)), ",")).alias("diagnoses"),
     )
 
 
 FEED = f"""SELECT event_id AS ident, event_id * 10 + copy AS record_id, user_id AS person_id, ts::DATE AS arrival_date, CASE WHEN k % 9 <> 0 THEN date_trunc('second', ts)::TIMESTAMP ELSE date_trunc('day', ts)::TIMESTAMP END AS arrival,
     CASE WHEN k % 10 <> 0 THEN trunc(value * 40)::INT END AS w, CASE WHEN event_type <> 'signup' THEN '01' ELSE '02' END AS department, CASE WHEN k % 4 = 0 THEN 'S' || (k % 7) END AS discharge_status,
-    'C' || (k % 13) AS complaint, 'I' || (k % 11) AS intent, CASE WHEN k % 6 <> 0 THEN list_transform(generate_series(1, k % 5 + 1), lambda i: 'D' || ((k * i) % 17)) END AS dx, k
+    'C' || (k % 13) AS complaint, 'I' || (k % 11) AS intent, CASE WHEN k % 6 <> 0 THEN list_transform(generate_series(1, k % 5 + 1), lambda i: 'D' || ((k * i) % 17)) END AS dx, k, ts
     FROM (SELECT *, {K_SQL} AS k FROM events), (VALUES (0), (1)) x(copy) WHERE copy = 0 OR event_id % 8 = 0"""
 
 
@@ -52,6 +57,17 @@ def comorbidities(t: Tables) -> DataFrame:
     )
 
 
+def referrals(t: Tables) -> DataFrame:
+    """Four slots of services per event; some have none, some a blank."""
+    k, day, time = F.col("k"), F.col("ts").cast("date"), F.date_format("ts", "HH:mm:ss")
+    columns = {}
+    for i in range(1, 5):
+        columns[f"service_{i}"] = F.when(k % (i + 3) == 0, None).when(k % (i + 2) == 0, " ").otherwise(F.concat(F.lit("D"), (k * i) % 17))
+        columns[f"request_date_{i}"], columns[f"request_time_{i}"] = F.date_add(day, i), F.when(k % 3 != 0, time)
+        columns[f"assessment_date_{i}"], columns[f"assessment_time_{i}"] = F.when(k % 4 != 0, F.date_add(day, i + 1)), time
+    return t.events.withColumn("k", k_value()).select(F.col("event_id").alias("ident"), *[c.alias(n) for n, c in columns.items()])
+
+
 def dictionary(t: Tables) -> DataFrame:
     """Parts as a code dictionary with several dated versions of a code."""
     code = F.concat(F.when(F.col("p_partkey") % 2 == 0, "C").otherwise("D"), F.col("p_partkey") % 13)
@@ -63,8 +79,24 @@ WAIT = "CASE WHEN w IS NULL OR w <= 240 THEN '0-4' WHEN w <= 720 THEN '5-12' WHE
 
 def built(t: Tables) -> DataFrame:
     return attendance.attendances(
-        feed(t), dictionary(t), comorbidities(t), ["01"], ["S0", "S4"], ["C3", "C5"], ["D2", "D7", "D9"], "I4", [f"s{i}" for i in range(1, 7)]
-    )
+        feed(t), dictionary(t), comorbidities(t), ["01"], ["S0", "S4"], ["C3", "C5"], ["D2", "D7", "D9"], "I4", [f"s{i}" for i in range(1, 7)],
+        referrals=referrals(t),
+    )
+
+
+# the code of each decoded column, and of each slot
+CODES = {
+    "arrival_mode": "'C' || ((k + 1) % 15)", "attendance_source": "'D' || ((k + 2) % 13)", "intent": "intent", "complaint": "complaint",
+    "destination": "CASE WHEN k % 5 <> 0 THEN 'C' || ((k * 3) % 13) END", "follow_up": "'D' || ((k * 5) % 14)",
+    "accommodation": "CASE WHEN k % 7 <> 0 THEN 'C' || ((k * 7) % 13) END", **{f"diagnosis_{i}": f"dx[{i}]" for i in range(1, 5)},
+}
+SERVICES = {f"service_{i}": f"CASE WHEN k % {i + 3} <> 0 AND k % {i + 2} <> 0 THEN 'D' || ((k * {i}) % 17) END" for i in range(1, 5)}
+TEXTS = ", ".join(f"(SELECT description FROM dict WHERE code = {c}) AS {n}_text" for n, c in (CODES | SERVICES).items())
+SLOTS = ", ".join(
+    f"{c} AS {n}, CASE WHEN {c} IS NOT NULL THEN CASE WHEN k % 3 <> 0 THEN date_trunc('second', ts)::TIMESTAMP ELSE date_trunc('day', ts)::TIMESTAMP END + INTERVAL {n[-1]} DAY END AS requested_{n[-1]}, "
+    f"CASE WHEN {c} IS NOT NULL AND k % 4 <> 0 THEN date_trunc('second', ts)::TIMESTAMP + INTERVAL {int(n[-1]) + 1} DAY END AS assessed_{n[-1]}"
+    for n, c in SERVICES.items()
+)
 
 
 @query(
@@ -76,13 +108,12 @@ def built(t: Tables) -> DataFrame:
     CASE WHEN k % 5 <> 0 THEN 'M' || (k % 10) || '_4' END, CASE WHEN k % 6 <> 0 THEN 'M' || (k % 10) || '_5' END, CASE WHEN k % 7 <> 0 THEN 'M' || (k % 10) || '_6' END], lambda m: m IS NOT NULL) AS m FROM f)
     SELECT ident, record_id, arrival, {WAIT} AS wait_band, CASE WHEN w > 360 THEN 1 ELSE 0 END::INT AS breach_6h, greatest(coalesce(w, 0) - 360, 0)::INT AS minutes_over_6h, CASE WHEN w > 720 THEN 1 ELSE 0 END::INT AS breach_12h,
     CASE WHEN w >= 1440 THEN 1 ELSE 0 END::INT AS breach_24h, CASE WHEN complaint IN ('C3', 'C5') OR intent = 'I4' OR d1 IN ('D2', 'D7', 'D9') THEN 1 ELSE 0 END::INT AS presentation_flag,
-    d1 AS diagnosis_1, d2 AS diagnosis_2, d4 AS diagnosis_4, c.description AS complaint_text, t1.description AS diagnosis_1_text, t2.description AS diagnosis_2_text, m[1] AS comorbidity_1, m[4] AS comorbidity_4
-    FROM x LEFT JOIN dict c ON c.code = complaint LEFT JOIN dict t1 ON t1.code = d1 LEFT JOIN dict t2 ON t2.code = d2""",
+    d1 AS diagnosis_1, d2 AS diagnosis_2, d4 AS diagnosis_4, {TEXTS}, {SLOTS}, m[1] AS comorbidity_1, m[4] AS comorbidity_4 FROM x""",
 )
 def _(t: Tables) -> DataFrame:
     return built(t).select(
         "ident", "record_id", "arrival", "wait_band", "breach_6h", "minutes_over_6h", "breach_12h", "breach_24h", "presentation_flag", "diagnosis_1", "diagnosis_2", "diagnosis_4",
-        "complaint_text", "diagnosis_1_text", "diagnosis_2_text", "comorbidity_1", "comorbidity_4",
+        *[f"{c}_text" for c in CODES | SERVICES], *[f"{c}_{i}" for i in range(1, 5) for c in ("service", "requested", "assessed")], "comorbidity_1", "comorbidity_4",
     )
 
 

@@ -85,8 +85,8 @@ def fiscal_year_label(d: Column | str) -> Column:
 
 
 def make_ts(d: Column | str, time: Column | str) -> Column:
-    """Date plus HH:mm:ss text; a missing time is midnight."""
-    return F.concat_ws(" ", _col(d).cast("date").cast("string"), F.coalesce(_col(time), F.lit("00:00:00"))).cast("timestamp_ntz")
+    """Date plus HH:mm:ss text; a missing time is midnight, and without a date there is no timestamp."""
+    return F.concat(_col(d).cast("date").cast("string"), F.lit(" "), F.coalesce(_col(time), F.lit("00:00:00"))).cast("timestamp_ntz")
 
 
 def age_years(dob: Column | str, at: Column | str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,22 +19,33 @@ from fathomline.session import materialise
 WAIT_EDGES = [0, 240, 720, 1440, 2880, 4320, 10_000_000]
 WAIT_LABELS = ["0-4", "5-12", "12-24", "24-48", "48-72", ">72"]
 
+# Code columns of an attendance beside its diagnoses
+DECODED = ("arrival_mode", "attendance_source", "intent", "complaint", "destination", "follow_up", "accommodation")
+
+GROUP_BITS = 8  # rows that share one map of descriptions: 2 to this power, so a map has at most that many codes per column
+
 
 def wait_band(minutes: Column | str) -> Column:
     """Waiting-time band; an unknown wait counts with the first."""
     return band(minutes, WAIT_EDGES, WAIT_LABELS, "Not recorded", closed=True, null_label="0-4")
 
 
-def decode(df: DataFrame, dictionary: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Descriptions of several code columns from one dictionary (code, description, unique on code).
+def decode(df: DataFrame, dictionary: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Descriptions of several code columns from one dictionary (code, description, unique on code), by one lookup.
 
-    The dictionary is written first: it is made once for all columns, each join knows its true size, and a hot code is split.
+    Rows are written in groups of neighbours. The distinct codes of a group, those of all columns together, meet the dictionary
+    in one join and come back as one map per group, from which each column reads its text. However many columns are decoded, the
+    wide rows move once, and as groups have one size no code is hot. Codes are compared without surrounding blanks; a NULL code,
+    and one that the dictionary lacks, has no text.
     """
-    out, stored = df, materialise(dictionary.select("code", "description"), "dictionary")
-    for column, name in columns.items():
-        side = stored.select(F.col("code").alias("_code"), F.col("description").alias(name))
-        out = out.join(side, F.col(column) == F.col("_code"), "left").drop("_code")
-    return out
+    group = F.shiftright(F.monotonically_increasing_id(), GROUP_BITS)
+    rows = materialise(df.withColumn("_group", group), "rows")
+    codes = F.array_compact(F.array(*[F.trim(c) for c in columns]))
+    wanted = rows.select("_group", F.explode(F.array_distinct(codes)).alias("code")).distinct()
+    found = wanted.join(dictionary.select("code", "description"), "code")
+    texts = found.groupBy("_group").agg(F.map_from_entries(F.collect_list(F.struct("code", "description"))).alias("_texts"))
+    read = {name: F.try_element_at("_texts", F.trim(column)) for column, name in columns.items()}
+    return rows.join(texts, "_group", "left").withColumns(read).drop("_group", "_texts")
 
 
 def filled_slots(slots: Sequence[str], n: int, prefix: str, by_code: bool = False) -> dict[str, Column]:
@@ -45,6 +56,32 @@ def filled_slots(slots: Sequence[str], n: int, prefix: str, by_code: bool = Fals
     return {f"{prefix}_{i}": F.try_element_at(filled, F.lit(i)) for i in range(1, n + 1)}
 
 
+def aligned_slots(slots: Sequence[tuple[Column, Column, Column]], prefix: str, move_up: bool = False) -> dict[str, Column]:
+    """Slots of (service, time of the request, time of the assessment), each kept together. A slot without a service is empty
+    in all three; with `move_up` the ones behind it take its place."""
+    service = [F.nullif(F.trim(s), F.lit("")) for s, _, _ in slots]
+    parts = [F.struct(s.alias("service"), asked.alias("requested"), seen.alias("assessed")) for s, (_, asked, seen) in zip(service, slots)]
+    row = F.array(*[F.when(s.isNotNull(), part) for s, part in zip(service, parts)])
+    row = F.array_compact(row) if move_up else row
+    return {f"{prefix}_{i}": F.get(row, F.lit(i - 1)) for i in range(1, len(slots) + 1)}
+
+
+def referred_services(referrals: DataFrame, n: int, move_up: bool = False) -> DataFrame:
+    """Per attendance, up to n services it was referred to, with the times of request and assessment (no time: midnight).
+
+    referrals: ident and per slot i service_i, request_date_i, request_time_i, assessment_date_i, assessment_time_i
+    """
+    slots = [
+        (F.col(f"service_{i}"), make_ts(f"request_date_{i}", f"request_time_{i}"), make_ts(f"assessment_date_{i}", f"assessment_time_{i}"))
+        for i in range(1, n + 1)
+    ]
+    packed = referrals.select("ident", *[c.alias(name) for name, c in aligned_slots(slots, "slot", move_up).items()])
+    fields = ("service", "requested", "assessed")
+    return packed.filter(F.coalesce(*[F.col(f"slot_{i}") for i in range(1, n + 1)]).isNotNull()).select(
+        "ident", *[F.col(f"slot_{i}.{f}").alias(f"{f}_{i}") for i in range(1, n + 1) for f in fields]
+    )
+
+
 def attendances(
     feed: DataFrame,
     dictionary: DataFrame,
@@ -57,11 +94,15 @@ def attendances(
     slots: Sequence[str],
     duplicate_key: Sequence[str] = ("person_id", "attendance_id", "arrival_date"),
     slots_by_code: bool = False,
+    referrals: DataFrame | None = None,
+    services: int = 4,
+    services_move_up: bool = False,
 ) -> DataFrame:
     """Attendances in scope, once each, decoded and flagged.
 
     feed: ident, record_id, person_id, attendance_id, arrival_date, arrival_time, wait_minutes, department, discharge_status,
-    complaint, intent, diagnoses (comma list); comorbidities: ident plus numbered slots; dictionary: code, description, created
+    complaint, intent, diagnoses (comma list) and any others of DECODED; comorbidities: ident plus numbered slots; dictionary:
+    code, description, created; referrals: see `referred_services`, unique on ident. Codes of all kinds are decoded in one lookup.
     """
     scope = feed.filter(F.col("department").isin(list(departments)) & not_in_or_null("discharge_status", list(excluded_discharges)))
     once = drop_repeats(scope, list(duplicate_key), [F.col("record_id").asc()])
@@ -87,9 +128,13 @@ def attendances(
             "presentation_flag": flag_any([complaint, self_inflicted, diagnosed]),
         }
     )
-    decoded = decode(rows, current, {"complaint": "complaint_text", **{c: f"{c}_text" for c in dx}})
     sick = comorbidities.select("ident", *[c.alias(n) for n, c in filled_slots(slots, 4, "comorbidity", slots_by_code).items()])
-    return decoded.join(sick, "ident", "left")
+    rows = rows.join(sick, "ident", "left")
+    coded = [c for c in DECODED if c in feed.columns] + list(dx)
+    if referrals is not None:
+        rows = rows.join(referred_services(referrals, services, services_move_up), "ident", "left")
+        coded += [f"service_{i}" for i in range(1, services + 1)]
+    return decode(rows, current, {c: f"{c}_text" for c in coded})
 
 
 def returns_after_spell(attendances_: DataFrame, spells: DataFrame, person: str, arrival: str, days: int = 28) -> DataFrame:
