@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from fathomline.operators.keys import top_per_key
 from fathomline.operators.ordered import HASH, HOT, SPAN, running, sequence, spans
+from fathomline.session import materialise
 
 
 def count_by(df: DataFrame, keys: Sequence[str | Column], out: str = "n") -> DataFrame:
@@ -67,7 +69,7 @@ def cumulative_over(
     per = reduce(lambda x, y: x.unionByName(y), parts)
     counts = per.groupBy(day).agg(*[F.sum(F.when(F.col("_m") == m, F.col("_n"))).alias(m) for m in names])
     days = sources[0][0].sparkSession.range(1).select(F.explode(F.sequence(first, last)).alias(day))
-    dense = days.join(counts, day, "left")
+    dense = materialise(days.join(counts, day, "left"), "days")  # the running sum counts its rows first; sources are read once
     total = running(dense, [], [day], {m: ("sum", F.coalesce(F.col(m), F.lit(0))) for m in names})
     return total.select(day, *names)
 
@@ -79,6 +81,32 @@ def cumulative_as_at(
     return cumulative_over([(df, times)], first, last, day)
 
 
+def _events_from(
+    df: DataFrame, times: Mapping[str, tuple[str, Column | None]], start: dt.date
+) -> tuple[DataFrame, dict[str, tuple[str, Column]]]:
+    """A source of `cumulative_over` cut to the events of a day and later."""
+    after = {t: F.col(t) >= F.lit(start).cast(df.schema[t].dataType) for t, _ in times.values()}
+    read = df.filter(reduce(lambda x, y: x | y, after.values()))
+    return read, {m: (t, after[t] if cond is None else after[t] & cond) for m, (t, cond) in times.items()}
+
+
+def cumulative_from(
+    stored: DataFrame, sources: Sequence[tuple[DataFrame, Mapping[str, tuple[str, Column | None]]]], last: dt.date, day: str = "day"
+) -> DataFrame:
+    """`cumulative_over` carried on: the stored days (day and measures, at least one) and those after them up to `last`.
+
+    Only events after the last stored day are counted, on top of its totals. That one row comes to the driver, so that its day is a
+    literal in the filters of the scans. An event of a stored day that arrives later is not counted: stored days stand.
+    """
+    names = [m for _, times in sources for m in times]
+    base = stored.orderBy(F.col(day).desc()).select(day, *names).first()
+    start = base[day] + dt.timedelta(days=1)
+    if start > last:
+        return stored.select(day, *names)
+    days = cumulative_over([_events_from(df, times, start) for df, times in sources], F.lit(start), F.lit(last), day)
+    return stored.select(day, *names).unionByName(days.select(day, *[(F.col(m) + F.lit(base[m])).alias(m) for m in names]))
+
+
 def concat_ordered(
     df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str], sep: str, out: str, split: bool = False
 ) -> DataFrame:

@@ -42,6 +42,20 @@ def densify(df: DataFrame, keys: Sequence[str], period: str, low: Column, high:
     return joined.select(*keys, period, *[F.coalesce(F.col(v), F.lit(0)).alias(v) for v in values])
 
 
+def densify_spans(df: DataFrame, entity: Sequence[str], detail: Sequence[str], period: str, values: Sequence[str], step: str = "1 month") -> DataFrame:
+    """One row per entity, detail and period from the entity's own first to its own last period, with 0 where there was none.
+
+    df: one row per entity, detail and period. The spans come from one aggregate, the periods from a generated sequence, so the grid
+    grows with the time that each entity was active and not with entities times all periods. Keys may be NULL.
+    """
+    keys = [*entity, *detail]
+    spans = df.groupBy(*entity).agg(F.min(period).alias("_lo"), F.max(period).alias("_hi"))
+    kinds = df.select(*keys).distinct().alias("k")
+    own = kinds.join(spans.alias("s"), null_safe("k", "s", entity)).select("k.*", F.explode(F.sequence("_lo", "_hi", F.expr(f"interval {step}"))).alias(period))
+    joined = own.alias("g").join(df.alias("d"), null_safe("g", "d", [*keys, period]), "left")
+    return joined.select(*[f"g.{c}" for c in (*keys, period)], *[F.coalesce(f"d.{v}", F.lit(0)).alias(v) for v in values])
+
+
 def join_interval(
     events: DataFrame,
     intervals: DataFrame,

@@ -17,7 +17,8 @@ rows: write an expensive one first with `session.materialise`.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -156,6 +157,35 @@ def sequence(
     return numbered if where is None else numbered.withColumn(out, F.when(where, F.col(out)))
 
 
+def extend_sequences(
+    stored: DataFrame, fresh: DataFrame, order: Sequence[str], numbers: Mapping[str, Sequence[str]]
+) -> tuple[DataFrame, DataFrame]:
+    """New rows for a table that is numbered already: (rows that keep their numbers, rows with a new one).
+
+    `numbers` gives, per stored number column, the keys that it counts in; fresh has the other columns of stored. In a key that
+    gets new rows, those from its first new row on are numbered again, from the last number before; all other rows of the
+    table are only compared with that place, not ordered. Together both parts are what numbering the whole table would give,
+    and the second is what a load has to write. Keys and orders may be NULL (first in order); the order ends in a unique column.
+    """
+    place, marked = F.struct(*order), stored
+    fresh = materialise(fresh.select(*[c for c in stored.columns if c not in numbers]), "fresh")
+    for out, keys in numbers.items():
+        cuts = fresh.groupBy(*keys).agg(F.min(place).alias(f"_cut_{out}"))
+        marked = marked.alias("s").join(cuts.alias("c"), null_safe("s", "c", keys), "left").select("s.*", f"c._cut_{out}")
+    before = {out: F.coalesce(place < F.col(f"_cut_{out}"), F.lit(True)) for out in numbers}
+    same = reduce(lambda a, b: a & b, before.values())
+    held = {out: F.when(before[out], F.col(out)).alias(f"_held_{out}") for out in numbers}
+    moved = marked.filter(~same).select(*fresh.columns, *held.values())
+    rows = materialise(moved.unionByName(fresh, allowMissingColumns=True), "moved")
+    for out, keys in numbers.items():
+        last = marked.filter(place < F.col(f"_cut_{out}")).groupBy(*keys).agg(F.max(out).alias("_last"))
+        numbered = sequence(rows, keys, order, "_next", where=F.col(f"_held_{out}").isNull())
+        joined = numbered.alias("n").join(last.alias("l"), null_safe("n", "l", keys), "left")
+        number = F.coalesce(f"n._held_{out}", F.coalesce("l._last", F.lit(0)) + F.col("n._next"))
+        rows = joined.select(*[f"n.{c}" for c in rows.columns], number.cast(stored.schema[out].dataType).alias(out))
+    return marked.filter(same).select(*stored.columns), rows.select(*stored.columns)
+
+
 def global_sequence(df: DataFrame, order: Sequence[Column | str], out: str) -> DataFrame:
     """Row number over the whole table without a single sorting task: only the counts of splits meet."""
     return sequence(df, [], order, out)

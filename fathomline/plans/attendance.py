@@ -12,7 +12,7 @@ from fathomline.functions.rules import band, breach, flag, flag_any, not_in_or_n
 from fathomline.functions.text import nth_item
 from fathomline.operators.aggs import multi_period_summary
 from fathomline.operators.joins import asof_last
-from fathomline.operators.keys import drop_repeats, latest_per_key
+from fathomline.operators.keys import drop_repeats, latest_per_key, shuffled_apart
 from fathomline.session import materialise
 
 # Waiting-time bands in minutes (upper ends belong to the band)
@@ -30,19 +30,25 @@ def wait_band(minutes: Column | str) -> Column:
     return band(minutes, WAIT_EDGES, WAIT_LABELS, "Not recorded", closed=True, null_label="0-4")
 
 
+def group_codes(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(_group, code): the distinct codes of several columns per group of rows, without surrounding blanks."""
+    codes = F.array_compact(F.array(*[F.trim(c) for c in columns]))
+    return rows.select("_group", F.explode(F.array_distinct(codes)).alias("code")).distinct()
+
+
 def decode(df: DataFrame, dictionary: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Descriptions of several code columns from one dictionary (code, description, unique on code), by one lookup.
 
     Rows are written in groups of neighbours. The distinct codes of a group, those of all columns together, meet the dictionary
     in one join and come back as one map per group, from which each column reads its text. However many columns are decoded, the
-    wide rows move once, and as groups have one size no code is hot. Codes are compared without surrounding blanks; a NULL code,
+    wide rows move once, in groups of one size; a hot code comes once per group. Codes are compared without surrounding blanks; a NULL code,
     and one that the dictionary lacks, has no text.
     """
     group = F.shiftright(F.monotonically_increasing_id(), GROUP_BITS)
     rows = materialise(df.withColumn("_group", group), "rows")
-    codes = F.array_compact(F.array(*[F.trim(c) for c in columns]))
-    wanted = rows.select("_group", F.explode(F.array_distinct(codes)).alias("code")).distinct()
-    found = wanted.join(dictionary.select("code", "description"), "code")
+    wanted = group_codes(rows, list(columns))
+    known = dictionary.select(F.col("code").cast("string").alias("code"), "description")
+    found = wanted.join(shuffled_apart(known, ["code"]), "code")
     texts = found.groupBy("_group").agg(F.map_from_entries(F.collect_list(F.struct("code", "description"))).alias("_texts"))
     read = {name: F.try_element_at("_texts", F.trim(column)) for column, name in columns.items()}
     return rows.join(texts, "_group", "left").withColumns(read).drop("_group", "_texts")

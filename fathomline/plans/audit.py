@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -10,10 +11,10 @@ from pyspark.sql import functions as F
 
 from fathomline.functions.rules import flag
 from fathomline.functions.text import after_last, classify_contains, map_codes, nth_item
-from fathomline.operators.aggs import concat_ordered, cumulative_over, last_in_group
-from fathomline.operators.joins import asof_max, densify, nearest_before, outer_align
-from fathomline.operators.keys import latest_per_key, shuffled_apart
-from fathomline.operators.ordered import next_value, rank_per_key, scan, sequence
+from fathomline.operators.aggs import concat_ordered, cumulative_from, cumulative_over, last_in_group
+from fathomline.operators.joins import asof_max, densify, densify_spans, nearest_before, outer_align
+from fathomline.operators.keys import latest_per_key, null_safe, shuffled_apart
+from fathomline.operators.ordered import extend_sequences, next_value, rank_per_key, scan, sequence
 from fathomline.operators.sessions import merge_sessions_pairwise, rollup_sessions
 from fathomline.session import materialise
 from fathomline.sources.loads import incremental_by_id, insert_new
@@ -56,6 +57,14 @@ def order_actions(log: DataFrame) -> DataFrame:
     return sequence(out, ["record_id", "action"], order, "type_order")
 
 
+def extend_log(stored: DataFrame, raw: DataFrame, record_kind: str, skipped_actions: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """New audit rows for a log that `order_actions` has numbered: (rows that stay as stored, rows to write). Late rows are
+    put in their place; a record without new rows is not ordered again."""
+    fresh = parse_audit(raw, record_kind, skipped_actions).alias("b")
+    fresh = fresh.join(stored.select("item_id").alias("t"), null_safe("b", "t", ["item_id"]), "left_anti")
+    return extend_sequences(stored, fresh, ["ts", "item_id"], {"overall_order": ["record_id"], "type_order": ["record_id", "action"]})
+
+
 def team_audit(log: DataFrame, staff: DataFrame, teams: DataFrame, view_action: str) -> DataFrame:
     """Audit rows with staff and team names, without the views that the originator of a record makes on the
     day of its first action.
@@ -178,6 +187,29 @@ def team_activity(log: DataFrame, logins: DataFrame, rules: Sequence[tuple[str,
     return densify(counts, ["team", "activity"], "month", low, high, ["n"])
 
 
+def staff_activity(log: DataFrame, logins: DataFrame, teams: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
+    """Actions by class and logins, per member of staff, team and month, with 0 for the months in between.
+
+    The months of a member of staff in a team run from the first to the last with any action or login there, so someone who
+    left long ago gets no rows for today. staff_start and staff_end are the first and last day of a login there (NULL without one).
+    log: staff_id, team_id, action, ts; logins: staff_id, team_id, ts; teams: team_id, team_name, region
+    """
+    who, month = ["staff_id", "team_id"], F.trunc("ts", "month").alias("month")
+    actions = log.select(*who, classify_contains("action", rules, "other").alias("activity"), month)
+    both = actions.unionByName(logins.select(*who, F.lit("login").alias("activity"), month))
+    counts = materialise(both.groupBy(*who, "activity", "month").agg(F.count(F.lit(1)).alias("total")), "activity")
+    dense = densify_spans(counts, who, ["activity"], "month", ["total"])
+    held = logins.groupBy(*who).agg(F.to_date(F.min("ts")).alias("staff_start"), F.to_date(F.max("ts")).alias("staff_end"))
+    dated = dense.alias("a").join(shuffled_apart(held, who).alias("h"), null_safe("a", "h", who), "left").select("a.*", "h.staff_start", "h.staff_end")
+    return dated.join(teams.select("team_id", "team_name", "region"), "team_id", "left")
+
+
+def team_reference(activity: DataFrame) -> DataFrame:
+    """Each team with the first and last month in which anyone did anything. activity: what `staff_activity` gives"""
+    acted = F.when(F.col("total") > 0, F.col("month"))
+    return activity.groupBy("region", "team_id", "team_name").agg(F.min(acted).alias("team_start"), F.max(acted).alias("last_action"))
+
+
 def created_and_published(log: DataFrame, create: str, publish: str) -> DataFrame:
     """Records created, and records first published, per team and month: two reports in one table."""
 
@@ -233,6 +265,24 @@ def portal_adoption(
     return rows.withColumns({c: F.when(settled, F.col(c)) for c in rows.columns if c != "day"})
 
 
+def extend_adoption(
+    stored: DataFrame,
+    sources: Sequence[tuple[DataFrame, Mapping[str, tuple[str, Column | None]]]],
+    last: dt.date,
+    combined: tuple[str, str],
+    run_day: dt.date,
+) -> DataFrame:
+    """The adoption table of an earlier run, carried on to `last`: only events after its last settled day are read.
+
+    A stored day counts as settled where its totals are not blank. Those stay as they are and the rest is made again; the run day
+    and the day before are blank as in `portal_adoption`."""
+    a, b = combined
+    rows = cumulative_from(stored.filter(F.col("combined").isNotNull()).drop("combined"), sources, last)
+    rows = rows.withColumn("combined", F.col(a) + F.col(b)).select(*stored.columns)
+    settled = F.col("day") < F.lit(run_day - dt.timedelta(days=1))
+    return rows.withColumns({c: F.when(settled, F.col(c)) for c in rows.columns if c != "day"})
+
+
 def last_day_per_week(daily: DataFrame) -> DataFrame:
     """The last stored day of each week."""
     weekly = daily.withColumn("week", F.date_trunc("week", "day").cast("date"))

@@ -231,3 +231,68 @@ def test_densify_counts_entities_times_months(spark):
     df = spark.createDataFrame([("a", dt.date(2024, 1, 1), 5), ("b", dt.date(2024, 3, 1), 7)], "k string, m date, n int")
     out = joins.densify(df, ["k"], "m", F.lit(dt.date(2023, 12, 1)), F.lit(dt.date(2024, 4, 1)), ["n"]).collect()
     assert len(out) == 10 and sum(r.n for r in out) == 12
+
+
+def test_one_lookup_decodes_all_columns(spark):
+    rng = random.Random(4)
+    codes = [None, "", "zz"] + [f"c{i}" for i in range(40)]
+    rows = [(i, *[rng.choice(codes) if rng.random() < 0.6 else f" {rng.choice(codes)} " for _ in range(3)]) for i in range(900)]
+    names = {f"c{i}": f"text {i}" for i in range(0, 40, 2)}
+    df = spark.createDataFrame(rows, "id int, a string, b string, c string").repartition(3)
+    known = spark.createDataFrame(list(names.items()), "code string, description string")
+    got = {r.id: (r.ta, r.tb, r.tc) for r in attendance.decode(df, known, {"a": "ta", "b": "tb", "c": "tc"}).collect()}
+    assert got == {r[0]: tuple(names.get(c.strip(" ")) if c is not None else None for c in r[1:]) for r in rows}
+    assert attendance.decode(df.limit(0), known, {"a": "ta"}).count() == 0
+    assert {r.ta for r in attendance.decode(df, known.limit(0), {"a": "ta"}).collect()} == {None}
+
+
+@pytest.mark.parametrize("move_up", [False, True])
+def test_slots_of_referrals_stay_together(spark, move_up):
+    schema = "ident int, " + ", ".join(
+        f"service_{i} string, request_date_{i} date, request_time_{i} string, assessment_date_{i} date, assessment_time_{i} string" for i in (1, 2)
+    )
+    a, b = ("S1", day(0), None, None, "10:00:00"), (" ", day(1), "09:00:00", day(1), "09:30:00")
+    got = attendance.referred_services(spark.createDataFrame([(1, *b, *a), (2, *b, *b), (3, *a, *b)], schema), 2, move_up)
+    first = ("S1", dt.datetime(2024, 1, 1), None)
+    want = {1: (*first, None, None, None) if move_up else (None, None, None, *first), 3: (*first, None, None, None)}
+    assert {r.ident: tuple(r)[1:] for r in got.collect()} == want
+
+
+def test_totals_carried_on_read_only_later_events(spark, tmp_path, capsys):
+    rng = random.Random(8)
+    events = [(dt.datetime(2024, 1, 1) + dt.timedelta(hours=rng.randrange(600)), rng.choice("ab")) for _ in range(300)]
+    spark.createDataFrame(events, "ts timestamp_ntz, kind string").write.parquet(str(tmp_path / "e"))
+    df = spark.read.parquet(str(tmp_path / "e"))
+    sources = [(df, {"all": ("ts", None), "a": ("ts", F.col("kind") == "a")})]
+    first, last = dt.date(2024, 1, 3), dt.date(2024, 1, 24)
+    whole = [tuple(r) for r in aggs.cumulative_over(sources, F.lit(first), F.lit(last)).orderBy("day").collect()]
+    for at in (first, dt.date(2024, 1, 11), last):
+        stored = aggs.cumulative_over(sources, F.lit(first), F.lit(at))
+        out = aggs.cumulative_from(stored, sources, last)
+        assert [tuple(r) for r in out.orderBy("day").collect()] == whole
+    late = df.filter(F.col("ts") >= F.lit(dt.datetime(2024, 1, 12)))
+    stored = aggs.cumulative_over(sources, F.lit(first), F.lit(dt.date(2024, 1, 11)))
+    assert [tuple(r) for r in aggs.cumulative_from(stored, [(late, sources[0][1])], last).orderBy("day").collect()] == whole
+    aggs._events_from(*sources[0], dt.date(2024, 1, 12))[0].explain("formatted")
+    assert "GreaterThanOrEqual(ts,2024-01-12" in capsys.readouterr().out
+
+
+def test_grid_runs_over_the_span_of_each_entity(spark):
+    rows = [(1, "a", day(0), 3), (1, "b", day(0, 3), 1), (None, "a", day(0, 5), 2), (2, "a", day(0, 2), 4), (2, "a", day(0, 6), 5)]
+    df = spark.createDataFrame(rows, "who int, kind string, month date, n long")
+    got = {tuple(r) for r in joins.densify_spans(df, ["who"], ["kind"], "month", ["n"]).collect()}
+    held = {r[:3]: r[3] for r in rows}
+    grid = [(w, k, day(0, m)) for w, k, lo, hi in ((1, "a", 1, 3), (1, "b", 1, 3), (None, "a", 5, 5), (2, "a", 2, 6)) for m in range(lo, hi + 1)]
+    assert got == {(*g, held.get(g, 0)) for g in grid}
+
+
+def test_staff_have_the_months_between_their_first_and_last_action(spark):
+    log = spark.createDataFrame([("s", "t", "view", day(3)), ("s", "t", "view", day(3, 3)), ("old", "t", "edit", day(1))], "staff_id string, team_id string, action string, ts date")
+    logins = spark.createDataFrame([("s", "t", day(9)), ("s", "t", day(2, 2))], "staff_id string, team_id string, ts date")
+    teams = spark.createDataFrame([("t", "Team", "North")], "team_id string, team_name string, region string")
+    got = audit.staff_activity(log, logins, teams, [("view", "viewed")])
+    rows = {(r.staff_id, r.activity, r.month.month): (r.total, r.staff_start, r.staff_end) for r in got.collect()}
+    ends = (day(9), day(2, 2))
+    want = {("s", a, m): (n, *ends) for a, per in (("viewed", (1, 0, 1)), ("login", (1, 1, 0))) for m, n in zip((1, 2, 3), per)}
+    assert rows == want | {("old", "other", 1): (1, None, None)}
+    assert [tuple(r) for r in audit.team_reference(got).collect()] == [("North", "t", "Team", day(0), day(0, 3))]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fathomline.functions.dates import diff_boundary
 from fathomline.operators import joins, ordered, sessions
+from fathomline.session import materialise
 
 @pytest.fixture(autouse=True, params=[40, 1_000_000], ids=["hot keys split", "no hot key"])
 def hot_rows(request, monkeypatch):
@@ -293,3 +294,29 @@ def test_top_ancestors_of_deep_lines_and_cycles(spark):
     want = {i: (0, i, False) for i in range(1, 71)} | {i: (None, None, True) for i in (200, 201, 202, 203, 300)}
     assert got == want
     assert joins.top_ancestors(spark.createDataFrame([], "c long, p long"), "c", "p").collect() == []
+
+
+def test_only_rows_after_the_first_new_one_are_numbered_again(spark):
+    rng = random.Random(17)
+    rows = [(i, rng.choice(["hot"] * 4 + ["x", "y", None]), rng.choice(["p", "q", None]), rng.choice([None, *range(40)])) for i in range(400)]
+    schema, order = "id int, k string, a string, t int", ["t", "id"]
+    numbers = {"in_k": ["k"], "in_a": ["k", "a"]}
+
+    def numbered(df):
+        for out, keys in numbers.items():
+            df = ordered.sequence(df, keys, order, out)
+        return df
+
+    want = {tuple(r) for r in numbered(spark.createDataFrame(rows, schema)).collect()}
+    fresh = [r for r in rows if (r[1] == "hot" and r[3] is not None and r[3] > 25 and r[0] % 3 == 0) or (r[1] == "y" and r[2] == "p") or (r[1] is None and r[0] % 2)]
+    stored = materialise(numbered(spark.createDataFrame([r for r in rows if r not in fresh], schema)))
+    stay, write = ordered.extend_sequences(stored, spark.createDataFrame(fresh, schema), order, numbers)
+    stay, write = [tuple(r) for r in stay.collect()], [tuple(r) for r in write.collect()]
+    assert len(stay) + len(write) == len(rows) and {*stay, *write} == want
+    assert {r[:4] for r in fresh} <= {r[:4] for r in write}
+    assert {r for r in want if r[1] == "x"} <= {*stay}
+    assert {r for r in want if r[1] == "hot" and (r[3] is None or r[3] < 25)} <= {*stay}
+    kept, changed = ordered.extend_sequences(stored, spark.createDataFrame([], schema), order, numbers)
+    assert kept.count() == stored.count() and changed.count() == 0
+    kept, changed = ordered.extend_sequences(stored.limit(0), spark.createDataFrame(rows, schema), order, numbers)
+    assert kept.count() == 0 and {tuple(r) for r in changed.collect()} == want

@@ -64,7 +64,6 @@ CASES = {
     "prefix_lookup": lambda df: joins.prefix_lookup(
         df.withColumn("code", F.format_string("%08d", "k")), other(df).withColumn("ref", F.format_string("%08d", "k")), "code", "ref", "v"
     ),
-    "decode": lambda df: attendance.decode(df, grouped(df, "k", F.max("pay").alias("description")).withColumnRenamed("k", "code"), {"k": "text"}),
     "team_audit": team_audit,
     "beside": lambda df: keys.beside(df, ["k"], {"most": F.max("pay")}),
 }
@@ -83,3 +82,15 @@ def test_hot_key_is_split(low, big, name):
         assert whole.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*whole.columns))).collect()[0] == split
     finally:
         low.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+
+
+def test_a_hot_code_meets_the_dictionary_once_per_group(low, big):
+    """Decoding joins no row by its code: 42,000 rows with one code come as one per group of neighbours."""
+    rows = low.read.parquet(big).withColumn("_group", F.shiftright(F.monotonically_increasing_id(), attendance.GROUP_BITS))
+    groups = rows.select("_group").distinct().count()
+    codes = attendance.group_codes(rows, ["k"])
+    assert codes.filter("code = '0'").count() == groups <= 60_000 // 2**attendance.GROUP_BITS + 8
+    known = low.range(0, 500, 2).select(F.col("id").cast("string").alias("code"), F.concat(F.lit("text "), "id").alias("description"))
+    out = attendance.decode(low.read.parquet(big), known, {"k": "text"})
+    want = F.when(F.col("k") % 2 == 0, F.concat(F.lit("text "), F.col("k")))
+    assert out.count() == 60_000 and out.filter(~F.col("text").eqNullSafe(want)).count() == 0
