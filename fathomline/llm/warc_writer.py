@@ -1,6 +1,7 @@
 """A deterministic sharded WARC writer, and its reader.
 
-Records are sorted by range of (page_id, payload digest), so each task writes one stretch of the order. A task streams its
+Records are sorted by range of (page_id, payload digest), so each task writes one stretch of the order. The ranges are quantiles of a
+sample that a hash of the key chooses, so they follow from the rows alone: files and digests are the same in every run. A task streams its
 records into gzip members, one per record, rolls to a new file when the compressed size passes a bound, and makes headers
 and digests anew from the payload. A file is written under a temporary name and renamed when complete; a retried or
 speculative task makes the same bytes under the same name, so the rename may happen twice. The list of files (with sizes,
@@ -12,25 +13,29 @@ revisit records that name it. Which pages are revisits is found from digests alo
 
 Defined edge cases: a null html is an empty payload; a null url is an empty one, and control characters and blanks in a url
 are percent-encoded; among repeated rows of the smallest page_id one is the response, and the others revisit it; a null
-page_id is below all others; an empty table gives an empty manifest and no records; other columns are not read.
+page_id is below all others; rows that share page_id and payload lie in one shard, and a record is held whole, one at a
+time, however long; temporary files of failed attempts stay until the folder goes; an empty table gives an empty manifest and no records; other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fathomline.llm.files import open_folder
 from fathomline.session import Stages, remove_path, scratch_path
 
 REVISIT_BYTES = 100
+SAMPLE = 256  # keys per shard, about, from which shard bounds are taken
+RECORD_BYTES = 512  # of a record beside its payload, about: the weight of a page is its payload and this
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 
@@ -132,6 +137,36 @@ def _writer(folder: str, roll_bytes: int, date: str):
     return write
 
 
+def shard_bounds(seen: DataFrame, shards: int) -> Column:
+    """Where each shard but the first begins, as a sorted array of runs of sorted keys (two steps find a key's shard). One key per
+    shard passes through the driver and becomes a constant of the plan.
+
+    seen: page_id, digest, n, length, one row per key. The bounds are quantiles of bytes over the keys that a hash of their own
+    chooses, SAMPLE per shard or so, or over all where there are fewer. They depend on the rows alone: not on how the input is
+    split, on a seed or on the session, so reruns and retries deal the same rows to the same shard."""
+    keys = seen.count()
+    share = min(1.0, SAMPLE * shards / max(keys, 1))
+    drawn = F.shiftrightunsigned(F.xxhash64("page_id", "digest"), 11).cast("double") / float(1 << 53)
+    weight = F.col("n") * (F.col("length") + RECORD_BYTES)
+    sample = seen.filter(drawn < share).select(F.struct("page_id", "digest").alias("key"), weight.cast("decimal(38,0)").alias("weight"))
+    order = Window.orderBy("key")  # over the sample
+    placed = sample.withColumn("before", F.sum("weight").over(order) - F.col("weight")).withColumn("total", F.sum("weight").over(Window.partitionBy()))
+    shard = F.floor(F.col("before") * shards / F.col("total")).cast("int")
+    begins = placed.groupBy(shard.alias("shard")).agg(F.min("key").alias("key")).filter("shard > 0").select("key")
+    runs = begins.withColumn("run", F.floor((F.row_number().over(order) - 1) / max(1, math.isqrt(shards))).cast("int"))
+    runs = runs.groupBy("run").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    text = runs.agg(F.to_json(F.sort_array(F.collect_list("keys")))).first()[0]
+    return F.from_json(F.lit(text), "array<array<struct<page_id:bigint,digest:string>>>")
+
+
+def shard_of(key: Column, runs: Column) -> Column:
+    """The number of shard beginnings at or below a key."""
+    run = F.size(F.filter(runs, lambda keys: F.get(keys, F.lit(0)) <= key))  # 1-based; 0 before all
+    within = F.size(F.filter(F.get(runs, run - 1), lambda k: k <= key))
+    length = F.size(F.get(runs, F.lit(0)))  # all runs but the last have the length of the first
+    return F.when(run > 0, (run - 1) * length + within).otherwise(0).cast("int")
+
+
 def write_archives(
     pages: DataFrame, folder: str, shards: int, roll_bytes: int = 64 << 20, date: str = "1970-01-01T00:00:00Z", stages: Stages | None = None
 ) -> DataFrame:
@@ -146,16 +181,19 @@ def write_archives(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"), F.sha2(html, 256).alias("digest")
     )
     # digests alone: the smallest page of each repeated payload, and from it one plan row per page that shares it
-    keys = rows.filter(F.octet_length("html") >= REVISIT_BYTES).select("page_id", "digest")
-    seen = keys.groupBy("page_id", "digest").agg(F.count(F.lit(1)).alias("n"))
+    length = F.octet_length("html").cast("long")
+    seen = rows.groupBy("page_id", "digest").agg(F.count(F.lit(1)).alias("n"), F.max(length).alias("length"))
     seen = stages.write(seen, "warc-keys")
+    bounds = shard_bounds(seen, shards)
+    seen = seen.filter(F.col("length") >= REVISIT_BYTES)
     shared = seen.groupBy("digest").agg(F.min(F.struct(F.col("page_id").isNotNull(), "page_id"))["page_id"].alias("first"), F.sum("n").alias("n"))
     shared = stages.write(shared.filter("n > 1").drop("n"), "warc-shared")
     plan = seen.join(shared, "digest").select(
         "page_id", "digest", F.lit(0).alias("kind"), "first", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("html")
     )
     every = rows.select("page_id", "digest", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("first"), "url", "html")
-    dealt = plan.unionByName(every).repartitionByRange(shards, "page_id", "digest").sortWithinPartitions("page_id", "digest", "kind", "url")
+    numbered = plan.unionByName(every).withColumn("shard", shard_of(F.struct("page_id", "digest"), bounds))
+    dealt = numbered.repartitionById(shards, "shard").drop("shard").sortWithinPartitions("page_id", "digest", "kind", "url")
     manifest = dealt.mapInArrow(_writer(folder, roll_bytes, date), MANIFEST)
     target = folder.rstrip("/") + "/_manifest"
     manifest.write.mode("errorifexists").json(target)

@@ -390,6 +390,44 @@ def test_mix_meets_targets_and_repeats(spark):
     assert all(np.isclose(target[s], 3 * sizes[s] if s in stopped else rate * weight[s]) for s in names)
 
 
+def test_archives_do_not_depend_on_how_the_input_is_split(spark, tmp_path):
+    """More rows than the sample of bounds takes whole; another split, order and row repetition of the input give the same files."""
+    n, shards = 12_000, 8
+    assert n > warc_writer.SAMPLE * shards
+    html = F.when(F.col("id") % 50 == 7, F.lit("same " * 40)).when(F.col("id") % 9 == 0, "").otherwise(F.repeat(F.sha2(F.col("id").cast("string"), 256), (F.col("id") % 7).cast("int")))
+    page = F.when(F.col("id") % 1000 != 3, F.col("id"))
+    pages = spark.range(n).select(page.alias("page_id"), F.concat(F.lit("http://x/"), "id").alias("url"), html.alias("html"))
+    made = []
+    for k, rows in enumerate((pages.repartition(3), pages.orderBy(F.xxhash64("url")).repartition(17))):
+        manifest = warc_writer.write_archives(rows, str(tmp_path / str(k)), shards, roll_bytes=150_000)
+        made.append(sorted(map(tuple, manifest.collect())))
+        got = warc_writer.read_archives(manifest, str(tmp_path / str(k)), 4)
+        assert got.count() == n
+    assert made[0] == made[1]
+    assert {f[0].split("-")[1] for f in made[0]} == {f"{i:06d}" for i in range(shards)}
+    per = {}
+    for name, size, _, _ in made[0]:
+        per[name.split("-")[1]] = per.get(name.split("-")[1], 0) + size
+    assert max(per.values()) < 2 * min(per.values())
+
+
+@pytest.mark.parametrize("shards", [1, 2, 3, 10, 37])
+def test_shards_cut_the_order_at_quantiles(spark, shards):
+    keys = [(None if i == 0 else i, f"{i:064x}", 1 + i % 3, i % 90) for i in range(500)]
+    seen = spark.createDataFrame(keys, "page_id long, digest string, n long, length long")
+    bounds = warc_writer.shard_bounds(seen, shards)
+    got = seen.withColumn("shard", warc_writer.shard_of(F.struct("page_id", "digest"), bounds)).orderBy("digest").collect()
+    numbers = [r.shard for r in got]
+    weights = [k[2] * (k[3] + warc_writer.RECORD_BYTES) for k in keys]
+    want, before = [], 0
+    for w in weights:
+        want.append(before * shards // sum(weights))
+        before += w
+    assert numbers == want
+    empty = warc_writer.shard_bounds(seen.limit(0), shards)
+    assert {r[0] for r in seen.select(warc_writer.shard_of(F.struct("page_id", "digest"), empty)).collect()} == {0}
+
+
 def test_archives_roll_and_repeat(spark, tmp_path):
     pages = spark.createDataFrame([(i, f"http://x/{i}", "".join(random.Random(i).choices("abcdef", k=5000))) for i in range(60)], "page_id long, url string, html string")
     made = []
