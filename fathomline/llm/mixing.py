@@ -1,8 +1,8 @@
 """Mixing sources to target weights, by blocks.
 
 Texts of a source are laid end to end and cut into blocks of a fixed number of words. The mix is a row of slots, dealt into
-shards. For each shard the number of slots per source is drawn: whole expected slots first, the rest multinomially. The
-j-th slot of a source then takes block `perm(j)`, where perm is a keyed permutation of the source's block numbers and of
+shards. For each shard the number of slots per source is drawn: whole expected slots first, the rest multinomially (a draw of all
+slots would stray from the targets by the root of a source's slots, an eighth where it has sixty). The j-th slot of a source then takes block `perm(j)`, where perm is a keyed permutation (a Feistel network) of the source's block numbers and of
 the pass over them; slots and blocks meet in a join on (source, block). Every draw is a hash of seed, shard and source, so a
 rerun gives the same mix.
 
@@ -14,6 +14,10 @@ source of size 0 has target 0; an empty table gives an empty mix; repeated rows
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,17 +58,36 @@ def unit(*parts: object) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*parts), 11).cast("double") / float(1 << 53)
 
 
-def permuted(index: Column, size: Column, seed: Column) -> Column:
-    """Position `index` under a keyed permutation of 0 .. size - 1: rotation by a key, then a walk whose step is coprime to
-    the size, then a second such walk from the other end."""
-    step = F.lit(0).cast("long")
-    primes = (1_000_003, 999_983, 786_433, 611_953, 393_241, 196_613)  # a size below their product lacks one as a factor
-    for p in reversed(primes):
-        step = F.when(size % p != 0, F.lit(p).cast("long")).otherwise(step)
-    key1, key2 = F.pmod(F.xxhash64(seed, F.lit(1)), size), F.pmod(F.xxhash64(seed, F.lit(2)), size)
-    once = F.pmod((index + key1) * step, size)
-    flipped = F.when(once % 2 == 0, F.shiftright(once, 1)).otherwise(size - 1 - F.shiftright(once, 1))
-    return F.pmod((flipped + key2) * step, size)
+def permuted(index: np.ndarray, size: np.ndarray, key: np.ndarray, rounds: int = 6) -> np.ndarray:
+    """Positions `index` under keyed permutations of 0 .. size - 1, elementwise: a Feistel network over the least even number of
+    bits that holds size, walked on from places at or above size until one below is met. Each is a bijection for every key."""
+    bits = np.maximum(np.ceil(np.log2(np.maximum(size, 2).astype(np.float64))).astype(np.uint64), np.uint64(1))
+    half = (bits + np.uint64(1)) // np.uint64(2)
+    half += (np.uint64(1) << (np.uint64(2) * half)) < size.astype(np.uint64)  # a logarithm just below a whole number
+    mask, at, todo = (np.uint64(1) << half) - np.uint64(1), index.astype(np.uint64), np.arange(len(index))
+    keys = key.astype(np.int64).view(np.uint64)
+    while len(todo):
+        h, m, k = half[todo], mask[todo], keys[todo]
+        left, right = at[todo] >> h, at[todo] & m
+        for r in range(rounds):
+            left, right = right, left ^ (_mixed(right ^ _mixed(k + np.uint64(r))) & m)
+        at[todo] = (left << h) | right
+        todo = todo[at[todo] >= size[todo].astype(np.uint64)]
+    return at.astype(np.int64)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """64 bits, each depending on all of x (odd multipliers wrap around)."""
+    for shift, odd in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(odd)
+    return x ^ (x >> np.uint64(31))
+
+
+def _permute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at, size, key = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("at", "blocks", "key"))
+        block = pa.array(permuted(at, size, key), pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column("source"), batch.column("slot"), batch.column("shard"), block], names=["source", "slot", "shard", "block"])
 
 
 class Mix:
@@ -120,12 +143,14 @@ class Mix:
         counted = counted.withColumn("end", F.least(F.sum("count").over(running), F.col("blocks") * MOST)).withColumn(
             "begin", F.coalesce(F.lag("end").over(Window.partitionBy("source").orderBy("shard")), F.lit(0))
         )
-        each = counted.filter(F.col("end") > F.col("begin")).select(
-            "source", "shard", "blocks", F.explode(F.sequence(F.col("begin"), F.col("end") - 1)).alias("slot")
-        )
+        # the shards are dealt out before their slots are listed: one short row each until here
+        tasks = int(self.rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        dealt = counted.filter(F.col("end") > F.col("begin")).repartition(tasks, "source", "shard")
+        each = dealt.select("source", "shard", "blocks", F.explode(F.sequence(F.col("begin"), F.col("end") - 1)).alias("slot"))
         turn = F.floor(F.col("slot") / F.col("blocks")).cast("long")
-        seed = F.xxhash64(F.lit(self.seed), "source", turn)
-        return each.select("source", "slot", "shard", permuted(F.col("slot") % F.col("blocks"), F.col("blocks"), seed).alias("block"))
+        key = F.xxhash64(F.lit(self.seed), "source", turn)
+        drawn = each.select("source", "slot", "shard", "blocks", (F.col("slot") % F.col("blocks")).alias("at"), key.alias("key"))
+        return drawn.mapInArrow(_permute, "source string, slot long, shard int, block long")
 
     def pieces(self) -> DataFrame:
         """(source, block, row, doc_id, place, from_word, n_words): the stretches of documents that make up each block."""

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fathomline.catalog.compare import compare, connect
-from fathomline.llm import chat_events, decontaminate, fuzzy_lines, language_crf, lsh_forest, near, perplexity, queries, secret_scan, toxicity_mil, warc_writer
+from fathomline.llm import chat_events, decontaminate, fuzzy_lines, language_crf, lsh_forest, mixing, near, perplexity, queries, secret_scan, toxicity_mil, warc_writer
 from fathomline.llm.components import connected
 from fathomline.session import Stages
 
@@ -390,6 +390,43 @@ def test_mix_meets_targets_and_repeats(spark):
     assert all(np.isclose(target[s], 3 * sizes[s] if s in stopped else rate * weight[s]) for s in names)
 
 
+def test_permutations_are_bijections(spark):
+    for size in [1, 2, 3, 4, 5, 16, 17, 63, 64, 65, 1000, 4096, 4097, 166_667]:
+        index = np.arange(size)
+        made = [mixing.permuted(index, np.full(size, size), np.full(size, key)) for key in (7, -(1 << 62))]
+        assert all((np.sort(p) == index).all() for p in made)
+        if size >= 1000:
+            steps = np.diff(made[0]) % size
+            assert (made[0] != made[1]).mean() > 0.9 and np.unique(steps, return_counts=True)[1].max() < 0.02 * size
+
+
+def test_mix_takes_what_its_slots_say(spark):
+    rows = texts_of(FOLDER)
+    words = {d: len(re.findall(mixing.WORD, t or "")) for d, t in rows}
+    source = dict(texts_of(FOLDER, column="source"))
+    docs = spark.read.parquet(os.path.join(FOLDER, "documents.parquet"))
+    mix = mixing.Mix(docs, Stages(spark))
+    per_block, laid = {}, {}
+    for p in mix.pieces().collect():
+        assert source[p.doc_id] == p.source and p.place // mix.block == p.block == (p.place + p.n_words - 1) // mix.block
+        per_block.setdefault((p.source, p.block), []).append(p)
+        laid.setdefault(p.doc_id, []).append((p.from_word, p.n_words))
+    for d, parts in laid.items():  # the pieces of a text are all of it, once
+        assert [a for a, _ in sorted(parts)] == [sum(n for _, n in sorted(parts)[:i]) for i in range(len(parts))]
+        assert sum(n for _, n in parts) == words[d]
+    assert {d for d, n in words.items() if n} == set(laid)
+    taken, turns = dict.fromkeys(words, 0), {}
+    sizes = {s: sum(n for d, n in words.items() if source[d] == s) for s in set(source.values())}
+    for s in mix.slots().collect():
+        blocks = -(-sizes[s.source] // mix.block)
+        assert 0 <= s.block < blocks
+        turns.setdefault((s.source, s.slot // blocks), []).append(s.block)
+        for p in per_block[s.source, s.block]:
+            taken[p.doc_id] += p.n_words
+    assert all(len(set(b)) == len(b) for b in turns.values())
+    assert {r.doc_id: r.taken for r in mixing.mix_sizes(docs).collect()} == taken
+
+
 def test_archives_do_not_depend_on_how_the_input_is_split(spark, tmp_path):
     """More rows than the sample of bounds takes whole; another split, order and row repetition of the input give the same files."""
     n, shards = 12_000, 8
