@@ -6,12 +6,11 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fathomline.operators.keys import top_per_key
-from fathomline.operators.ordered import HASH, HOT, SPAN, running, sequence, spans
-from fathomline.session import materialise
+from fathomline.operators.ordered import HASH, HOT, SPAN, sequence, spans
 
 
 def count_by(df: DataFrame, keys: Sequence[str | Column], out: str = "n") -> DataFrame:
@@ -69,9 +68,9 @@ def cumulative_over(
     per = reduce(lambda x, y: x.unionByName(y), parts)
     counts = per.groupBy(day).agg(*[F.sum(F.when(F.col("_m") == m, F.col("_n"))).alias(m) for m in names])
     days = sources[0][0].sparkSession.range(1).select(F.explode(F.sequence(first, last)).alias(day))
-    dense = materialise(days.join(counts, day, "left"), "days")  # the running sum counts its rows first; sources are read once
-    total = running(dense, [], [day], {m: ("sum", F.coalesce(F.col(m), F.lit(0))) for m in names})
-    return total.select(day, *names)
+    dense = days.join(counts, day, "left")
+    so_far = Window.orderBy(day).rowsBetween(Window.unboundedPreceding, 0)  # a row per day of the calendar: one task, one reading
+    return dense.select(day, *[F.sum(F.coalesce(F.col(m), F.lit(0))).over(so_far).alias(m) for m in names])
 
 
 def cumulative_as_at(

@@ -67,13 +67,16 @@ def aligned_slots(slots: Sequence[tuple[Column, Column, Column]], prefix: str, m
     in all three; with `move_up` the ones behind it take its place."""
     service = [F.nullif(F.trim(s), F.lit("")) for s, _, _ in slots]
     parts = [F.struct(s.alias("service"), asked.alias("requested"), seen.alias("assessed")) for s, (_, asked, seen) in zip(service, slots)]
-    row = F.array(*[F.when(s.isNotNull(), part) for s, part in zip(service, parts)])
-    row = F.array_compact(row) if move_up else row
+    held = [F.when(s.isNotNull(), part) for s, part in zip(service, parts)]
+    if not move_up:
+        return {f"{prefix}_{i}": slot for i, slot in enumerate(held, 1)}
+    row = F.array_compact(F.array(*held))
     return {f"{prefix}_{i}": F.get(row, F.lit(i - 1)) for i in range(1, len(slots) + 1)}
 
 
 def referred_services(referrals: DataFrame, n: int, move_up: bool = False) -> DataFrame:
-    """Per attendance, up to n services it was referred to, with the times of request and assessment (no time: midnight).
+    """Per attendance, up to n services it was referred to, with the times of request and assessment (no time: midnight);
+    one without any keeps empty slots, as a filter on the parsed slots would parse them twice.
 
     referrals: ident and per slot i service_i, request_date_i, request_time_i, assessment_date_i, assessment_time_i
     """
@@ -83,7 +86,7 @@ def referred_services(referrals: DataFrame, n: int, move_up: bool = False) -> Da
     ]
     packed = referrals.select("ident", *[c.alias(name) for name, c in aligned_slots(slots, "slot", move_up).items()])
     fields = ("service", "requested", "assessed")
-    return packed.filter(F.coalesce(*[F.col(f"slot_{i}") for i in range(1, n + 1)]).isNotNull()).select(
+    return packed.select(
         "ident", *[F.col(f"slot_{i}.{f}").alias(f"{f}_{i}") for i in range(1, n + 1) for f in fields]
     )
 

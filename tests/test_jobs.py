@@ -254,7 +254,7 @@ def test_slots_of_referrals_stay_together(spark, move_up):
     a, b = ("S1", day(0), None, None, "10:00:00"), (" ", day(1), "09:00:00", day(1), "09:30:00")
     got = attendance.referred_services(spark.createDataFrame([(1, *b, *a), (2, *b, *b), (3, *a, *b)], schema), 2, move_up)
     first = ("S1", dt.datetime(2024, 1, 1), None)
-    want = {1: (*first, None, None, None) if move_up else (None, None, None, *first), 3: (*first, None, None, None)}
+    want = {1: (*first, None, None, None) if move_up else (None, None, None, *first), 2: (None,) * 6, 3: (*first, None, None, None)}
     assert {r.ident: tuple(r)[1:] for r in got.collect()} == want
 
 
