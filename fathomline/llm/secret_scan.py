@@ -1,12 +1,13 @@
 """Secret scans with corpus-wide ownership.
 
 Every text is searched for candidates, and each candidate's value is hashed. Hashes are then counted over the whole corpus by
-distinct owners and repositories: a value that many owners carry is a copied example, a value of one owner that looks
-random is a live credential of that owner. Values themselves never leave the task that found them; only hashes do.
+distinct owners and repositories: a value that many owners carry, or that one owner has copied into many repositories, is an
+example; any other value of one owner that looks random is a live credential of that owner. Values themselves never leave
+the task that found them; only hashes do.
 
 Defined edge cases: a null or empty text has no candidates; a null owner or repository counts as one owner or repository
-of its own (the empty name); repeated rows are rows of their own (same owner, so they don't make a value an example);
-columns other than those named are not read.
+of its own (the empty name); repeated rows are rows of their own (same owner and repository, so they don't make a value an
+example); a text of any length is searched whole; an empty table gives no rows; columns other than those named are not read.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ KEY = re.compile(r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----")
 BARE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{32,}")
 PLACEHOLDER = re.compile(r"example|sample|changeme|your|dummy|xxxx|1234567|00000000|aaaaaaaa", re.I)
 
+COUNTED = ("owners", "repositories", "occurrences")
+
 SCHEMA = (
     "row long, doc_id long, owner string, repository string, n_assign long, n_access long, n_hex long, base_sha256 string, "
     "found array<struct<kind:int,start:int,end:int,hash:string,random:boolean>>"
@@ -103,24 +106,23 @@ def ownership(scanned: DataFrame) -> DataFrame:
     )
 
 
-def judge(scanned: DataFrame, owned: DataFrame, example_owners: int = 3, example_repositories: int | None = None) -> DataFrame:
+def judge(scanned: DataFrame, owned: DataFrame, example_owners: int = 3, example_repositories: int = 4) -> DataFrame:
     """One row per candidate with its verdict: `example` if `example_owners` owners or more, or `example_repositories`
-    repositories or more (where given), carry the value, `live` if one owner does and it looks random, else `unsure`. The
+    repositories or more, carry the value, `live` if one owner does and it looks random, else `unsure`. The
     value's owners, repositories and occurrences stand beside it."""
     each = scanned.select("row", "doc_id", F.explode("found").alias("c")).select("row", "doc_id", "c.*")
-    copied = F.col("owners") >= example_owners
-    if example_repositories is not None:
-        copied |= F.col("repositories") >= example_repositories
+    copied = (F.col("owners") >= example_owners) | (F.col("repositories") >= example_repositories)
     verdict = (
         F.when(copied, "example").when((F.col("owners") == 1) & F.col("random"), "live").otherwise("unsure")
     )
     return each.join(owned, "hash").withColumn("verdict", verdict)
 
 
-def secret_scan(docs: DataFrame, owner: Column, repository: Column, example_owners: int = 3, example_repositories: int | None = None) -> DataFrame:
+def secret_scan(docs: DataFrame, owner: Column, repository: Column, example_owners: int = 3, example_repositories: int = 4) -> DataFrame:
     """doc_id, counts and digest of the base kinds, all spans, and candidates by verdict; one row per document.
 
-    Spans are those of the base kinds, of private-key headers, and of bare random strings that only one owner has."""
+    Spans are those of the base kinds, of private-key headers, and of bare random strings that only one owner has. n_owners,
+    n_repositories and n_occurrences add up what `judge` says of each span's value."""
     stages = Stages(docs.sparkSession)
     scanned = scan(docs, owner, repository, stages)
     owned = stages.write(ownership(scanned), "secret-owners")
@@ -132,6 +134,7 @@ def secret_scan(docs: DataFrame, owner: Column, repository: Column, example_owne
         F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",").alias("spans"),
         F.count_if(F.col("verdict") == "live").alias("n_live"),
         F.count_if(F.col("verdict") == "example").alias("n_example"),
+        *[F.sum(c).alias(f"n_{c}") for c in COUNTED],
     )
     return scanned.join(per_row, "row", "left").select(
         "doc_id",
@@ -142,6 +145,7 @@ def secret_scan(docs: DataFrame, owner: Column, repository: Column, example_owne
         F.coalesce("spans", F.lit("")).alias("spans"),
         F.coalesce("n_live", F.lit(0)).cast("long").alias("n_live"),
         F.coalesce("n_example", F.lit(0)).cast("long").alias("n_example"),
+        *[F.coalesce(f"n_{c}", F.lit(0)).cast("long").alias(f"n_{c}") for c in COUNTED],
     )
 
 
@@ -165,15 +169,17 @@ long AS (SELECT * FROM valued WHERE length(v) >= at_least AND (kind <> 0 OR leng
 base AS (SELECT * FROM long WHERE kind < 3),
 cand AS (SELECT * FROM long l WHERE kind <> 4 OR (regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[A-Z]')
   AND NOT EXISTS (SELECT 1 FROM base b WHERE b.r = l.r AND b.s < l.e AND l.s < b.e))),
-owned AS (SELECT val, count(DISTINCT owner) AS owners FROM cand GROUP BY val),
-judged AS (SELECT c.*, CASE WHEN owners >= 3 THEN 'example' WHEN owners = 1 AND length(c.val) >= 16 AND regexp_matches(c.val, '[0-9]')
+owned AS (SELECT val, count(DISTINCT owner) AS owners, count(DISTINCT repository) AS repositories, count(*) AS occurrences FROM cand GROUP BY val),
+judged AS (SELECT c.*, owners, repositories, occurrences, CASE WHEN owners >= 3 OR repositories >= 4 THEN 'example' WHEN owners = 1 AND length(c.val) >= 16 AND regexp_matches(c.val, '[0-9]')
   AND regexp_matches(c.val, '[A-Za-z]') AND NOT regexp_matches(c.val, '(?i)example|sample|changeme|your|dummy|xxxx|1234567|00000000|aaaaaaaa')
   THEN 'live' ELSE 'unsure' END AS verdict FROM cand c JOIN owned USING (val)),
 kept AS (SELECT * FROM judged WHERE kind <> 4 OR verdict = 'live'),
 per AS (SELECT r, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
   string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, kind) FILTER (kind < 3) AS base, string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, kind) AS spans,
-  count(*) FILTER (verdict = 'live') AS n_live, count(*) FILTER (verdict = 'example') AS n_example FROM kept GROUP BY r)
+  count(*) FILTER (verdict = 'live') AS n_live, count(*) FILTER (verdict = 'example') AS n_example,
+  sum(owners)::BIGINT AS n_owners, sum(repositories)::BIGINT AS n_repositories, sum(occurrences)::BIGINT AS n_occurrences FROM kept GROUP BY r)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
-  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example,
+  coalesce(n_owners, 0) AS n_owners, coalesce(n_repositories, 0) AS n_repositories, coalesce(n_occurrences, 0) AS n_occurrences
 FROM rows LEFT JOIN per USING (r)
 """
