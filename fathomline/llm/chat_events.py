@@ -8,7 +8,8 @@ holding one message at a time.
 
 Defined edge cases: null texts are empty; null roles are the empty role; a null conversation is a conversation of its own;
 equal sequence numbers are taken by kind, then text; events before a start, or without one, make a message of the empty
-role; deleted messages are left out; a conversation with no message left gives no row; an empty log gives no rows.
+role; deleted messages are left out; a conversation with no message left gives no row; an empty log gives no rows. A final
+text of any length is held whole while it is rendered. Columns other than those named are not read.
 """
 
 from __future__ import annotations
@@ -26,33 +27,26 @@ ASSISTANT = "assistant"
 def fold(events: DataFrame) -> DataFrame:
     """Final messages (conv, message, role, text) of events (conv, message, seq, kind, role, text).
 
-    Only the events after the last edit or regenerate of a message count, so an array holds one message's final pieces."""
-    e = F.struct(
-        F.col("seq"),
-        F.coalesce("kind", F.lit("")).alias("kind"),
-        F.coalesce("text", F.lit("")).alias("text"),
-        F.coalesce("role", F.lit("")).alias("role"),
+    The last edit or regenerate of each message, its first start and whether it is deleted are aggregated first, combined
+    before the shuffle. Only deltas after that last reset are then collected, so an array holds one message's final pieces
+    however many edits and regenerations came before. The events are read twice: give a stored table where they are dear."""
+    e = F.struct("seq", F.coalesce("kind", F.lit("")).alias("kind"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("role", F.lit("")).alias("role"))
+    log, kind = events.select("conv", "message", e.alias("e")), F.col("e.kind")
+    facts = log.groupBy(F.col("conv").alias("_conv"), F.col("message").alias("_message")).agg(
+        F.max(F.when(kind.isin("edit", "regenerate"), F.col("e"))).alias("reset"),
+        F.min(F.when(kind == "start", F.col("e"))).alias("start"),
+        F.max(kind == "delete").alias("gone"),
     )
-    log = F.sort_array(F.collect_list(e))
-    folded = events.groupBy("conv", "message").agg(log.alias("log"))
-    reset = F.array_max(
-        F.transform(F.col("log"), lambda x, i: F.when(x["kind"].isin("edit", "regenerate"), i).otherwise(F.lit(-1)))
-    )
-    pieces = F.filter(
-        F.col("log"), lambda x, i: ((x["kind"] == "delta") & (i > F.col("reset"))) | ((x["kind"] == "edit") & (i == F.col("reset")))
-    )
-    role = F.element_at(F.filter(F.col("log"), lambda x: x["kind"] == "start"), 1)["role"]
-    gone = F.exists(F.col("log"), lambda x: x["kind"] == "delete")
-    return (
-        folded.filter(~gone)
-        .withColumn("reset", reset)
-        .select(
-            "conv",
-            "message",
-            F.coalesce(F.when(F.size(F.filter(F.col("log"), lambda x: x["kind"] == "start")) > 0, role), F.lit("")).alias("role"),
-            F.array_join(F.transform(pieces, lambda x: x["text"]), "").alias("text"),
-        )
+    facts = facts.filter(~F.col("gone")).drop("gone")
+    later = (kind == "delta") & (F.col("reset").isNull() | (F.col("e") > F.col("reset")))
+    joined = log.join(facts, F.col("conv").eqNullSafe(F.col("_conv")) & F.col("message").eqNullSafe(F.col("_message")))
+    folded = joined.groupBy("conv", "message").agg(
+        F.first("start.role").alias("role"),
+        F.first(F.when(F.col("reset.kind") == "edit", F.col("reset.text"))).alias("edited"),
+        F.sort_array(F.collect_list(F.when(later, F.struct("e.seq", "e.text")))).alias("pieces"),
     )
+    text = F.concat(F.coalesce("edited", F.lit("")), F.array_join(F.col("pieces.text"), ""))
+    return folded.select("conv", "message", F.coalesce("role", F.lit("")).alias("role"), text.alias("text"))
 
 
 # The marks of the template. A text or role holds none of them once escaped, as every < and > in it is spelt out.
