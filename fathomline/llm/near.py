@@ -1,4 +1,4 @@
-"""What the near-duplicate operators share: hashes of words and shingles, links of rows that share a key, and exact
+"""What the near-duplicate operators share: hashes of words and shingles, bitmaps of ids, and exact
 verification of candidates in blocks."""
 
 from __future__ import annotations
@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.llm.components import connected
@@ -84,33 +84,12 @@ def shingle_sets(texts: list[str]) -> list[np.ndarray]:
     return [distinct(s) for s in splits(*word_shingles(*word_hashes(texts)))]
 
 
-# --- links of rows that share a key ---
-
+# --- rows that share a key ---
 
+# how many keys of a sample are salted, in how many parts; the share of rows looked at, and how often a key is seen there at least
 HOTTEST, SALTS, LOOKED_AT, OFTEN = 1000, 64, 0.01, 20
 
 
-def share_key(rows: DataFrame, stages: Stages, name: str) -> DataFrame:
-    """Links (a, b) that connect the ids of every key, from rows (id, keys). Each row links to the smallest id of its key, in a
-    sort of 16-byte rows by key that gathers nothing.
-
-    The HOTTEST most frequent keys of a sample are salted: their rows link to the smallest id of (key, salt), and these
-    smallest ids, SALTS per key at most, to each other. The sample only decides which keys are salted; the ids connected are
-    the same whichever are. A key that is not salted holds about a thousandth of the rows at most."""
-    seen = rows.sample(LOOKED_AT, 7).select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= OFTEN)
-    hot = stages.write(seen.orderBy(F.col("n").desc(), "key").limit(HOTTEST).select("key", F.lit(True).alias("hot")), f"{name}-hot")
-    keyed = rows.select("id", F.explode("keys").alias("key")).join(F.broadcast(hot), "key", "left")  # HOTTEST rows at most
-    # a salt by task, so that copies of one id are dealt too
-    keyed = keyed.withColumn("salt", F.when(F.col("hot"), F.spark_partition_id() % SALTS).otherwise(0))
-    first = F.first("id").over(Window.partitionBy("key", "salt").orderBy("id").rowsBetween(Window.unboundedPreceding, 0))
-    met = keyed.select("key", "id", "hot", first.alias("b")).filter("id != b OR hot")
-    met = stages.write(met.select(F.when(F.col("id") == F.col("b"), F.col("key")).alias("head"), "id", "b"), f"{name}-shared")
-    heads = met.filter(F.col("head").isNotNull()).select("head", "id").distinct()
-    least = F.min("id").over(Window.partitionBy("head"))
-    links = met.filter("id != b").select("id", "b").union(heads.select("id", least.alias("b")).filter("id != b"))
-    return links.select(F.col("id").alias("a"), "b")
-
-
 class Seen:
     """A bitmap of a set of longs: `bits` bits whatever the size of the set, so it may be sent to all tasks. It holds every
     member; others pass with a probability that grows with the set, so an exact join must follow."""
@@ -138,7 +117,7 @@ VERIFIED = "id binary, root binary, links long"
 def blocks(members: DataFrame) -> DataFrame:
     """members (comp, ...) with `pair`, the pair of blocks in which a row is compared. A component of up to BLOCK rows is one
     block. A larger one is dealt into blocks by a hash, and each of its rows goes to every pair its block belongs to, so
-    a task never holds more than two blocks."""
+    a group holds two blocks of about BLOCK rows, as the hash deals them."""
     sizes = members.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n"))
     mine = F.pmod(F.xxhash64("digest"), F.col("n")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda other: F.struct(F.least(mine, other).alias("i"), F.greatest(mine, other).alias("j")))

@@ -101,6 +101,68 @@ def test_depth_reaches_the_target():
         assert 1 - (1 - 0.8**d) ** lsh_forest.TREES >= target
 
 
+def label_rows(r, n, hot):
+    """ids with labels; the first `hot` share all of tree 0, the others some prefixes."""
+    rows = []
+    for i in range(n):
+        label = np.array([[t] + [r.randrange(3) for _ in range(lsh_forest.LABEL)] for t in range(lsh_forest.TREES)], ">u2")
+        if i < hot:
+            label[0, 1:] = 7
+        rows.append((i, label.tobytes()))
+    return rows
+
+
+def test_tries_connect_what_shares_a_prefix_whichever_task_it_is_in(spark):
+    rows = label_rows(random.Random(3), 300, 100)
+    nodes = spark.createDataFrame(rows, "id long, labels binary").repartition(6)
+    floor = lsh_forest.matched_depth()
+    for parts in ("1", "13"):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            walks = Stages(spark).write(lsh_forest.walked(nodes, floor), "walks")
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        for depth in range(floor, lsh_forest.LABEL + 1):
+            root = {i: i for i, _ in rows}
+            by_prefix: dict = {}
+            for i, label in rows:
+                for t in range(lsh_forest.TREES):
+                    by_prefix.setdefault(label[t * lsh_forest.WIDTH : t * lsh_forest.WIDTH + 2 * (depth + 1)], []).append(i)
+            for _ in range(20):
+                for group in by_prefix.values():
+                    low = min(root[i] for i in group)
+                    for i in group:
+                        root[i] = low
+            together = {i: x for i, x in root.items() if sum(y == x for y in root.values()) > 1}
+            got = {x["id"]: x["root"] for x in connected(lsh_forest.links_at(walks, depth), Stages(spark)).collect()}
+            assert got == together
+
+
+def test_prefixes_are_shortened_as_far_as_measured_pairs_need(spark):
+    r, floor = random.Random(4), lsh_forest.matched_depth()
+
+    def depth(changed, pairs=300):
+        """Of pairs of texts whose labels differ at `changed` levels of all but the last tree."""
+        rows = []
+        for i in range(pairs):
+            one = np.array([[t] + [r.randrange(60_000) for _ in range(lsh_forest.LABEL)] for t in range(lsh_forest.TREES)], ">u2")
+            other = one.copy()
+            for t in range(lsh_forest.TREES):
+                for level in changed:
+                    other[t, level] ^= 1
+            rows += [(2 * i, one.tobytes()), (2 * i + 1, other.tobytes())]
+        nodes = Stages(spark).write(spark.createDataFrame(rows, "id long, labels binary"), "nodes")
+        walks = Stages(spark).write(lsh_forest.walked(nodes, floor), "walks")
+        return lsh_forest.measured_depth(walks, nodes, floor)
+
+    assert depth([]) == lsh_forest.LABEL  # equal labels meet at any depth
+    assert depth([lsh_forest.LABEL]) == lsh_forest.LABEL - 1  # similar in 6 of 7, and met at 6
+    assert depth([], pairs=20) == floor  # too few to tell
+
+
 def test_blocks_cover_each_pair_once():
     r = random.Random(5)
     sets = [np.unique(np.array(r.choices(range(40), k=30), np.uint64)) for _ in range(60)]
@@ -134,10 +196,11 @@ def test_hot_keys_are_salted_and_connect_the_same_ids(spark, monkeypatch):
     rows = spark.range(0, 600, 1, 12).select("id", F.array(F.lit(-1), F.lit(-1), F.col("id") % 7 + 10, F.col("id") + 100).cast("array<long>").alias("keys"))
     rows = rows.union(rows)  # every id twice
     for looked_at, often in ((1.0, 2), (1.0, 10_000)):
-        monkeypatch.setattr(near, "LOOKED_AT", looked_at)
-        monkeypatch.setattr(near, "OFTEN", often)
+        monkeypatch.setattr(fuzzy_lines, "LOOKED_AT", looked_at)
+        monkeypatch.setattr(fuzzy_lines, "OFTEN", often)
         for part, groups in ((rows, 1), (rows.withColumn("keys", F.slice("keys", 3, 2)), 7)):
-            got = connected(near.share_key(part, Stages(spark), "hot"), Stages(spark), "hot").collect()
+            met = fuzzy_lines.meetings(part, Stages(spark)).select(F.col("id").alias("a"), F.col("first").alias("b"))
+            got = connected(met, Stages(spark), "hot").collect()
             assert len(got) == 600 and len({r.root for r in got}) == groups
             assert all(r.root <= r.id and (groups == 1 or r.root % 7 == r.id % 7) for r in got)
 
@@ -492,6 +555,30 @@ def test_events_fold_to_final_messages(spark):
     assert [(r["role"], r["text"]) for r in out] == [p[:2] for r in out for p in chat_events.parse(r["formatted"])]
 
 
+def test_fold_against_a_plain_replay(spark):
+    r = random.Random(8)
+    log = []
+    for conv in (1, 2, None):
+        for message in range(6):
+            for seq in range(r.randrange(1, 40)):
+                kind = r.choice(["delta"] * 6 + ["edit", "regenerate", "start"]) if seq else "start"
+                log.append((conv, message, r.choice([seq, seq // 2]), kind, r.choice(["user", "assistant"]), r.choice(["a", "b", "c", None])))
+    log += [(3, 0, 0, "start", "user", "x"), (3, 0, 5, "delete", None, None), (3, 1, 1, "edit", None, "only"), (3, 1, 1, "edit", None, "only")]
+    want = {}
+    for conv, message, seq, kind, role, text in sorted(log, key=lambda e: (e[0] is None, e[0] or 0, e[1], e[2], e[3], e[5] or "", e[4] or "")):
+        state = want.setdefault((conv, message), {"role": None, "text": "", "gone": False})
+        if kind == "start" and state["role"] is None:
+            state["role"] = role or ""
+        elif kind == "delta":
+            state["text"] += text or ""
+        elif kind in ("edit", "regenerate"):
+            state["text"] = (text or "") if kind == "edit" else ""
+        state["gone"] |= kind == "delete"
+    events = spark.createDataFrame(log, "conv long, message long, seq long, kind string, role string, text string").repartition(5)
+    got = {(x["conv"], x["message"]): (x["role"], x["text"]) for x in chat_events.fold(events).collect()}
+    assert got == {k: (v["role"] or "", v["text"]) for k, v in want.items() if not v["gone"]}
+
+
 def test_decontamination_stays_native(spark, capsys):
     queries.op9_decontaminate(spark, "/root/testdata/sf0.001").explain()
     assert not re.search("Python|Arrow|Pandas", capsys.readouterr().out)
@@ -518,8 +605,9 @@ def test_a_value_in_many_repositories_of_one_owner_is_an_example(spark):
     copied, own = "Ab3" * 12 + "Q", "Zx9" * 12 + "R"
     rows = [(i, f"see {copied} here", "hot", f"r{i % 5}") for i in range(40)] + [(99, f"see {own} here", "hot", "r1")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, owner string, repository string")
-    got = {r["doc_id"]: r for r in secret_scan.secret_scan(docs, F.col("owner"), F.col("repository"), example_repositories=4).collect()}
+    got = {r["doc_id"]: r for r in secret_scan.secret_scan(docs, F.col("owner"), F.col("repository")).collect()}
     assert all((got[i]["n_live"], got[i]["n_example"], got[i]["spans"]) == (0, 0, "") for i in range(40)) and got[99]["n_live"] == 1
+    assert [got[99][c] for c in ("n_owners", "n_repositories", "n_occurrences")] == [1, 1, 1]
     scanned = secret_scan.scan(docs, F.col("owner"), F.col("repository"), Stages(spark))
-    judged = secret_scan.judge(scanned, secret_scan.ownership(scanned), example_repositories=4)
+    judged = secret_scan.judge(scanned, secret_scan.ownership(scanned))
     assert {(r["owners"], r["repositories"], r["occurrences"]) for r in judged.collect()} == {(1, 5, 40), (1, 1, 1)}
