@@ -241,3 +241,60 @@ def _(t: Tables) -> DataFrame:
     pending = t.orders.filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey"))
     out = records.decoded_record(people, codes, {"team": (nations, "c_nationkey", "n_name")}, "created", ["closed", "died"], texts, {"has_pending": pending}, "c_custkey")
     return out.select("c_custkey", "c_mktsegment_text", "team", "days_to_closed", "days_to_died", F.md5("plain_text").alias("digest"), "has_pending")
+
+
+BLOCKS = ["addresses", "contact_info", "aliases", "alerts", "allergies", "contacts", "diagnoses", "disabilities", "medications", "symptoms"]
+SPELT = "coalesce(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '(N/A)')"
+PRACTICE_SQL = " || ".join(
+    f"'{label}' || " + SPELT.format(value)
+    for label, value in [
+        ("Practitioner", "practitioner"),
+        ("Title", "staff_title"),
+        ("Staff code", "staff_code"),
+        ("Practice", "practice"),
+        ("Practice code", "practice_code"),
+        ("Postcode", "practice_postcode"),
+        ("Phone", "practice_phone"),
+    ]
+)
+
+
+@query(
+    "k51_full_record",
+    f"""WITH b AS (SELECT page_id // {len(BLOCKS)} AS k, page_id % {len(BLOCKS)} AS n, html FROM pages),
+    w AS (SELECT k, {", ".join(f"md5(max(html) FILTER (n = {i})) AS {b}_raw, md5(regexp_replace(max(html) FILTER (n = {i}), '<[^>]*>', '', 'g')) AS {b}_plain" for i, b in enumerate(BLOCKS))} FROM b GROUP BY k),
+    s AS (SELECT n_nationkey AS staff_id, nullif(concat_ws(' ', CASE WHEN n_nationkey % 3 > 0 THEN n_name END, CASE WHEN n_nationkey % 4 > 0 THEN '<' || n_regionkey || '>' END), '') AS practitioner,
+      CASE WHEN n_regionkey > 1 THEN 'Dr' END AS staff_title, 'S' || n_nationkey AS staff_code FROM nation),
+    p AS (SELECT s_suppkey AS practice_id, s_name AS practice, 'P' || s_suppkey AS practice_code, CASE WHEN s_acctbal > 0 THEN lower(s_name) || '@example.org' END AS practice_email,
+      CASE WHEN s_acctbal > 2000 THEN 'tel' || s_suppkey END AS practice_phone, s_nationkey || ' Road & Lane' AS practice_address, 'N' || s_nationkey AS practice_postcode FROM supplier),
+    r AS (SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN 'Built' WHEN 'HOUSEHOLD' THEN 'Home' END AS c_mktsegment_text, c_nationkey AS staff_id, c_custkey % 120 AS practice_id FROM customer)
+    SELECT c_custkey, c_mktsegment_text, practitioner, staff_title, practice, practice_email, practice_address, {PRACTICE_SQL} AS practice_text, {", ".join(f"{b}_raw, {b}_plain" for b in BLOCKS)}
+    FROM r LEFT JOIN s USING (staff_id) LEFT JOIN p USING (practice_id) LEFT JOIN w ON k = c_custkey""",
+)
+def _(t: Tables) -> DataFrame:
+    people = t.customer.withColumns({"staff_id": F.col("c_nationkey"), "practice_id": key() % 120, "created": F.lit(dt.date(2001, 1, 1))})
+    staff = t.nation.select(
+        F.col("n_nationkey").alias("staff_id"),
+        F.when(F.col("n_regionkey") > 1, "Dr").alias("staff_title"),
+        F.when(F.col("n_nationkey") % 3 > 0, F.col("n_name")).alias("forename"),
+        F.when(F.col("n_nationkey") % 4 > 0, F.concat(F.lit("<"), "n_regionkey", F.lit(">"))).alias("surname"),
+        F.concat(F.lit("S"), "n_nationkey").alias("staff_code"),
+    )
+    practices = t.supplier.select(
+        F.col("s_suppkey").alias("practice_id"),
+        F.col("s_name").alias("practice"),
+        F.concat(F.lit("P"), "s_suppkey").alias("practice_code"),
+        F.when(F.col("s_acctbal") > 0, F.concat(F.lower("s_name"), F.lit("@example.org"))).alias("practice_email"),
+        F.when(F.col("s_acctbal") > 2000, F.concat(F.lit("tel"), "s_suppkey")).alias("practice_phone"),
+        F.concat("s_nationkey", F.lit(" Road & Lane")).alias("practice_address"),
+        F.concat(F.lit("N"), "s_nationkey").alias("practice_postcode"),
+    )
+    n = len(BLOCKS)
+    of = F.floor(F.col("page_id") / n).alias("c_custkey")
+    blocks = {b: t.pages.filter(F.col("page_id") % n == i).select(of, "html") for i, b in enumerate(BLOCKS)}
+    none = t.pages.select(F.col("page_id").alias("c_custkey"), "html").filter("false")
+    codes = {"c_mktsegment": ({"BUILDING": "Built", "HOUSEHOLD": "Home"}, "Unknown")}
+    decoded = records.decoded_record(people, codes, {}, "created", [], none, {}, "c_custkey")
+    out = records.full_record(decoded, staff, practices, blocks, "c_custkey", {"c_mktsegment_text": "Unknown"})
+    kept = ["c_custkey", "c_mktsegment_text", "practitioner", "staff_title", "practice", "practice_email", "practice_address", "practice_text"]
+    return out.select(*kept, *[c for b in BLOCKS for c in (F.md5(f"{b}_html").alias(f"{b}_raw"), F.md5(b).alias(f"{b}_plain"))])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -135,3 +136,57 @@ def decoded_record(
     for name, rows in flags.items():
         out = exists_flag(out, rows, [key], name)
     return out
+
+
+def text_blocks(blocks: Mapping[str, DataFrame], key: str) -> DataFrame:
+    """All text blocks of a record side by side: key, and per name `<name>_html` as stored and `<name>` without markup.
+
+    blocks: name -> (key, html). All kinds go through one union and one grouping, so the record is joined once however many blocks it
+    has, and markup is removed after the rows are joined together. Of several rows of a kind and key the largest text counts; a NULL key is
+    left out, and a key without any block has no row.
+    """
+    long = reduce(lambda a, b: a.unionByName(b), [rows.select(key, F.lit(name).alias("kind"), "html") for name, rows in blocks.items()])
+    wide = long.filter(F.col(key).isNotNull()).groupBy(key).agg(*[F.max(F.when(F.col("kind") == name, F.col("html"))).alias(f"{name}_html") for name in blocks])
+    return wide.withColumns({name: strip_markup(f"{name}_html") for name in blocks})
+
+
+def as_markup(parts: Sequence[tuple[str, Column | str]], missing: str = "(N/A)") -> Column:
+    """Labels and values as one definition list, a default for missing values; the marks of markup are spelt out in values."""
+    out = [F.lit("<dl>")]
+    for label, value in parts:
+        text = (F.col(value) if isinstance(value, str) else value).cast("string")
+        for mark, spelt in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            text = F.replace(text, F.lit(mark), F.lit(spelt))
+        out += [F.lit(f"<dt>{label}</dt><dd>"), F.coalesce(text, F.lit(missing)), F.lit("</dd>")]
+    return F.concat(*out, F.lit("</dl>"))
+
+
+def practice_details(people: DataFrame, staff: DataFrame, practices: DataFrame) -> DataFrame:
+    """People (staff_id, practice_id) with their practitioner and practice, and both as one text block.
+
+    staff: staff_id, staff_title, forename, surname, staff_code; practices: practice_id, practice, practice_code, practice_email, practice_phone,
+    practice_address, practice_postcode; both unique on their id. A name is what is known of it, NULL where nothing is.
+    """
+    name = F.nullif(F.concat_ws(" ", F.nullif(F.trim("forename"), F.lit("")), F.nullif(F.trim("surname"), F.lit(""))), F.lit(""))
+    who = staff.select("staff_id", name.alias("practitioner"), "staff_title", "staff_code")
+    out = people.join(who, "staff_id", "left").join(practices, "practice_id", "left")
+    listed = [
+        ("Practitioner", "practitioner"),
+        ("Title", "staff_title"),
+        ("Staff code", "staff_code"),
+        ("Practice", "practice"),
+        ("Practice code", "practice_code"),
+        ("Postcode", "practice_postcode"),
+        ("Phone", "practice_phone"),
+    ]
+    html = as_markup(listed)
+    return out.withColumns({"practice_html": html, "practice_text": strip_markup(html)})
+
+
+def full_record(decoded: DataFrame, staff: DataFrame, practices: DataFrame, blocks: Mapping[str, DataFrame], key: str, unknown: Mapping[str, str] | None = None) -> DataFrame:
+    """A decoded record (see `decoded_record`) with its practice and all its text blocks.
+
+    unknown: column -> the text that means that nothing is recorded, which becomes NULL.
+    """
+    known = decoded.withColumns({c: F.nullif(F.rtrim(c), F.lit(label)) for c, label in (unknown or {}).items()})
+    return practice_details(known, staff, practices).join(text_blocks(blocks, key), key, "left")

@@ -296,3 +296,31 @@ def test_staff_have_the_months_between_their_first_and_last_action(spark):
     want = {("s", a, m): (n, *ends) for a, per in (("viewed", (1, 0, 1)), ("login", (1, 1, 0))) for m, n in zip((1, 2, 3), per)}
     assert rows == want | {("old", "other", 1): (1, None, None)}
     assert [tuple(r) for r in audit.team_reference(got).collect()] == [("North", "t", "Team", day(0), day(0, 3))]
+
+
+def test_text_blocks_meet_in_one_grouping(spark, capsys):
+    alerts = spark.createDataFrame([(1, "<b>a</b> & b"), (2, None), (None, "<i>lost</i>"), (1, "<a>smaller</a>")], "id long, html string")
+    notes = spark.createDataFrame([(3, "no markup"), (1, "")], "id long, html string")
+    wide = records.text_blocks({"alerts": alerts, "notes": notes}, "id")
+    wide.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    assert {r["id"]: (r["alerts"], r["alerts_html"], r["notes"]) for r in wide.collect()} == {
+        1: ("a & b", "<b>a</b> & b", ""), 2: (None, None, None), 3: (None, None, "no markup")
+    }
+
+
+def test_practice_details_have_defaults_and_spell_out_marks(spark):
+    people = spark.createDataFrame([(1, 10, 20), (2, 11, None), (3, 12, 99)], "id long, staff_id long, practice_id long")
+    staff = spark.createDataFrame(
+        [(10, "Dr", "Ann", "<Lee>", "c1"), (11, None, " ", None, None), (12, None, None, "Ray", "c3")],
+        "staff_id long, staff_title string, forename string, surname string, staff_code string",
+    )
+    practices = spark.createDataFrame(
+        [(20, "A & B", "p1", None, "tel", "1 Road", "N1")],
+        "practice_id long, practice string, practice_code string, practice_email string, practice_phone string, practice_address string, practice_postcode string",
+    )
+    got = {r["id"]: r for r in records.practice_details(people, staff, practices).collect()}
+    assert [got[i]["practitioner"] for i in (1, 2, 3)] == ["Ann <Lee>", None, "Ray"]
+    assert got[1]["practice_text"] == "PractitionerAnn &lt;Lee&gt;TitleDrStaff codec1PracticeA &amp; BPractice codep1PostcodeN1Phonetel"
+    assert got[3]["practice_html"].count("(N/A)") == 5 and got[2]["practice_text"].count("(N/A)") == 7
