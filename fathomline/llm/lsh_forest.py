@@ -5,8 +5,8 @@ prefix tries: texts whose labels share a prefix stand together, and neighbours s
 range, so a prefix that a third of all texts share lies in several tasks, and what meets at the borders of tasks is joined
 by the two ends of each. One walk over the sorted labels says for each depth which text leads the node that a text is in.
 
-How far matched prefixes are shortened is measured (`measured_depth`): pairs of a text and the leader of its shortest prefix, chosen
-by a hash, are compared by their min-hashes, and the longest prefix is taken at which similar pairs still meet with the
+How far matched prefixes are shortened is measured (`measured_depth`): all pairs of a text and the leader of its shortest prefix
+are compared by their min-hashes, and the longest prefix is taken at which similar pairs still meet with the
 target probability, in each band of similarity. The shortest allowed is where pairs at the threshold meet with that probability
 (`matched_depth`). Texts that meet, directly or through others, are compared exactly, pair by pair, in blocks of bounded
 size. Equal texts are one text throughout and join their copies at the end.
@@ -34,7 +34,7 @@ from fathomline.session import Stages
 TREES, LABEL = 16, 7
 WIDTH = 2 * (LABEL + 1)  # bytes of a label: its tree, then its min-hashes, two bytes each
 THRESHOLD, TARGET = 0.8, 0.995
-AUDITED, BAND = 100_000, 0.05  # pairs that the audit expects to compare at most, and the width of its bands of similarity
+BAND = 0.05  # the width of the audit's bands of similarity
 SIGNED = "doc_id long, digest binary, node long, labels binary"
 
 
@@ -162,12 +162,10 @@ def _auditor(threshold: float):
 def measured_depth(walks: DataFrame, nodes: DataFrame, floor: int, threshold: float = THRESHOLD, target: float = TARGET) -> int:
     """The longest prefix at which measured pairs meet with the target probability in each band of similarity, `floor` at least.
 
-    A band with fewer pairs than would show one miss is judged by its lower edge, and a corpus with so few has `floor`. The pairs
-    only decide how deep the tries are cut; a row per band and depth reaches the driver."""
-    pairs = walks.filter("label IS NULL").select("id", F.col(f"head_{floor}").alias("head"))
-    step = max(1, pairs.count() // AUDITED)
-    chosen = pairs.filter(F.pmod(F.xxhash64("id", "head"), F.lit(step)) == 0).distinct()
-    both = chosen.join(nodes, "id").join(nodes.select(F.col("id").alias("head"), F.col("labels").alias("other")), "head")
+    Every pair is compared, none is left out or chosen. A band with fewer pairs than would show one miss is judged by its lower edge, and
+    a corpus with so few has `floor`. The pairs only decide how deep the tries are cut; a row per band and depth reaches the driver."""
+    pairs = walks.filter("label IS NULL").select("id", F.col(f"head_{floor}").alias("head")).distinct()
+    both = pairs.join(nodes, "id").join(nodes.select(F.col("id").alias("head"), F.col("labels").alias("other")), "head")
     seen = both.select("labels", "other").mapInArrow(_auditor(threshold), "band int, deepest int").groupBy("band", "deepest").count().collect()
     enough = 1 / (1 - target) if target < 1 else float("inf")
     if sum(r["count"] for r in seen) < enough:

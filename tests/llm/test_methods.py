@@ -163,6 +163,17 @@ def test_prefixes_are_shortened_as_far_as_measured_pairs_need(spark):
     assert depth([], pairs=20) == floor  # too few to tell
 
 
+def test_every_pair_counts_for_the_measured_depth(spark, monkeypatch):
+    monkeypatch.setattr(lsh_forest, "AUDITED", 100, raising=False)  # where pairs were chosen, so many were
+    r, floor, rows = random.Random(6), lsh_forest.matched_depth(), []
+    for i in range(600):
+        one = np.array([[t] + [r.randrange(60_000) for _ in range(lsh_forest.LABEL)] for t in range(lsh_forest.TREES)], ">u2")
+        rows += [(2 * i, one.tobytes()), (2 * i + 1, one.tobytes())]
+    nodes = Stages(spark).write(spark.createDataFrame(rows, "id long, labels binary"), "nodes")
+    walks = Stages(spark).write(lsh_forest.walked(nodes, floor), "walks")
+    assert lsh_forest.measured_depth(walks, nodes, floor) == lsh_forest.LABEL
+
+
 def test_blocks_cover_each_pair_once():
     r = random.Random(5)
     sets = [np.unique(np.array(r.choices(range(40), k=30), np.uint64)) for _ in range(60)]
