@@ -289,7 +289,8 @@ def top_ancestors(edges: DataFrame, child: str, parent: str) -> DataFrame:
 
     Each round joins the pointers to themselves, so they reach twice as far: the rounds are the logarithm of the depth. A line that has
     not ended after more steps than there are edges runs into a cycle: cyclic is true there, and top and depth are NULL. Of several parents
-    of a child the lowest counts; rows without a child or parent are no edges. Each round is written, and one flag of it comes to the driver."""
+    of a child the lowest counts; rows without a child or parent are no edges. Each round is written, and one flag of it comes to the driver:
+    the joins are sort-merge joins, since a broadcast would send all pointers through the driver once a round."""
     spark, turn, reach = edges.sparkSession, 0, 1
     known = edges.filter(F.col(child).isNotNull() & F.col(parent).isNotNull()).groupBy(F.col(child).alias("node")).agg(F.min(parent).alias("top"))
     far = materialise(known.withColumn("depth", F.lit(1).cast("long")), "ancestors-0")
@@ -297,14 +298,14 @@ def top_ancestors(edges: DataFrame, child: str, parent: str) -> DataFrame:
     while moved and reach <= n:
         turn, reach = turn + 1, 2 * reach
         further = far.select(F.col("node").alias("top"), F.col("top").alias("_next"), F.col("depth").alias("_more"))
-        on = shuffled_apart(further, ["top"])
+        on = shuffled_apart(further, ["top"]).hint("merge")
         far = far.drop("moves").join(on, "top", "left").select(
             "node", F.coalesce("_next", "top").alias("top"), (F.col("depth") + F.coalesce("_more", F.lit(0))).alias("depth"), F.col("_next").isNotNull().alias("moves")
         )
         far = materialise(far, f"ancestors-{turn}")
         moved = not far.filter("moves").isEmpty()
     # what still points at a node with a parent has no end
-    endless = far.join(shuffled_apart(known.select(F.col("node").alias("top"), F.lit(True).alias("_up")), ["top"]), "top", "left")
+    endless = far.join(shuffled_apart(known.select(F.col("node").alias("top"), F.lit(True).alias("_up")), ["top"]).hint("merge"), "top", "left")
     cyclic = F.col("_up").isNotNull()
     return endless.select("node", F.when(~cyclic, F.col("top")).alias("top"), F.when(~cyclic, F.col("depth")).alias("depth"), cyclic.alias("cyclic"))
 

@@ -320,3 +320,13 @@ def test_only_rows_after_the_first_new_one_are_numbered_again(spark):
     assert kept.count() == stored.count() and changed.count() == 0
     kept, changed = ordered.extend_sequences(stored.limit(0), spark.createDataFrame(rows, schema), order, numbers)
     assert kept.count() == 0 and {tuple(r) for r in changed.collect()} == want
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ancestors_are_joined_without_the_driver(spark):
+    out = joins.top_ancestors(spark.createDataFrame([(i, i // 2) for i in range(1, 60)], "c long, p long"), "c", "p")
+    assert "BroadcastExchange" not in plan_of(out)
+    assert {r.node: r.top for r in out.collect()} == {i: 0 for i in range(1, 60)}
