@@ -350,7 +350,8 @@ def _(t: Tables) -> DataFrame:
     FROM s LEFT JOIN best ON best.spell_id = s.spell_id LEFT JOIN hold ON hold.spell_id = s.spell_id""",
 )
 def _(t: Tables) -> DataFrame:
-    out = care.spell_legal_status(act_spells(t), materialise(linked_episodes(t), "linked"), ["Section 2", "Section 3"], "Section 136")
+    linked = materialise(linked_episodes(t).select("spell_id", "episode_id", "section", "start"), "linked")
+    out = care.spell_legal_status(act_spells(t), linked, ["Section 2", "Section 3"], "Section 136")
     return out.select("spell_id", "episode_id", "section", "prior_hold", "admission_type")
 
 

@@ -56,6 +56,26 @@ def densify_spans(df: DataFrame, entity: Sequence[str], detail: Sequence[str], p
     return joined.select(*[f"g.{c}" for c in (*keys, period)], *[F.coalesce(f"d.{v}", F.lit(0)).alias(v) for v in values])
 
 
+CROWD = 256  # spans of one key with which each of its rows is compared
+
+
+def crowded_keys(intervals: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """The keys of more than CROWD intervals, written; None if there are none. The count is made when the frame is built and combines
+    before its shuffle; keys are at most the intervals / CROWD."""
+    counts = intervals.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > CROWD)
+    crowded = materialise(counts.select(*keys), "crowded-keys")
+    return None if crowded.isEmpty() else crowded
+
+
+def _joined(events: DataFrame, spans: DataFrame, keys: Sequence[str], also: Sequence[str], t: str, start: str, end: str, how: str) -> DataFrame:
+    """Events with the spans that hold them, of equal keys and of equal `also`."""
+    on = reduce(lambda a, b: a & b, [F.col(f"e.{k}") == F.col(f"s.{k}") for k in (*keys, *also)])
+    inside = F.col(f"e.{t}").between(F.col(f"s.{start}"), F.col(f"s.{end}"))
+    joined = events.alias("e").join(spans.filter(F.col(start) <= F.col(end)).alias("s"), on & inside, how)
+    payload = [c for c in spans.columns if c not in (*keys, *also)]
+    return joined.select(*[F.col(f"e.{c}") for c in events.columns], *[F.col(f"s.{c}") for c in payload])
+
+
 def join_interval(
     events: DataFrame,
     intervals: DataFrame,
@@ -69,11 +89,18 @@ def join_interval(
 ) -> DataFrame:
     """Events with the spans of the same key that contain them: start <= t <= end.
 
-    Each span is listed under every bucket of `width_days` it touches, and each event under one, so the
-    equi-join runs on (key, bucket): a hot key is spread over its buckets, and only neighbours are compared. Spans are
+    A key with up to CROWD spans is joined as it is, so each event and span is shuffled once, however long the span. Spans of a key
+    that has more (`crowded_keys`) are listed under every bucket of `width_days` they touch, and each event of it under one, so
+    that the equi-join runs on (key, bucket): a crowded key is spread over its buckets, and only neighbours are compared. Spans are
     listed from the first to the last event only, so one that never closes costs no more than the time the events cover.
-    A left join needs `event_id`; unmatched events come back with NULL spans.
+    In a left join unmatched events come back with NULL spans.
     """
+    crowded = crowded_keys(intervals, keys)
+    if crowded is None:
+        return _joined(events, intervals, keys, [], t, start, end, how)
+    rest = (df.join(crowded, list(keys), "left_anti").select(*df.columns) for df in (events, intervals))
+    few = _joined(*rest, keys, [], t, start, end, how)
+    events, intervals = (df.join(crowded, list(keys), "left_semi").select(*df.columns) for df in (events, intervals))
 
     def bucket(d: Column) -> Column:
         return F.floor(F.datediff(d.cast("date"), F.lit("1970-01-01").cast("date")) / width_days)
@@ -85,11 +112,8 @@ def join_interval(
     touched = F.when(low.isNotNull() & (F.col("_low") <= F.col("_high")), F.sequence("_low", "_high"))
     listed = bounded.withColumn("_bucket", F.explode(touched)).drop("_low", "_high")
     placed = events.withColumn("_bucket", bucket(F.col(t)))
-    payload = [c for c in intervals.columns if c not in keys]
-    on = null_safe("e", "s", keys) if not keys else reduce(lambda a, b: a & b, [F.col(f"e.{k}") == F.col(f"s.{k}") for k in keys])
-    inside = (F.col("e._bucket") == F.col("s._bucket")) & F.col(f"e.{t}").between(F.col(f"s.{start}"), F.col(f"s.{end}"))
-    joined = placed.alias("e").join(listed.alias("s"), on & inside, how)
-    return joined.select(*[F.col(f"e.{c}") for c in events.columns], *[F.col(f"s.{c}") for c in payload])
+    many = _joined(placed, listed, keys, ["_bucket"], t, start, end, how).drop("_bucket")
+    return few.unionByName(many)
 
 
 def effective_at(df: DataFrame, start: str, end: str, at: Column) -> DataFrame:
@@ -148,22 +172,40 @@ def nearest_containing(
     longest, then the smallest id. Gives left_id, interval_id, _off (days), _stay (seconds) for the rows that have one.
 
     An interval holds the times from `lead` (such as '24 hours') before its start to its stop; dates and timestamps
-    both work. Of the intervals of a key with one start only the longest can win, and all left rows of a key and time
+    both work. Of the intervals of a key with one start only the longest can win. Keys with up to CROWD of them hold these in one
+    row, which meets each left row: a left row is shuffled once, and no pair is. For other keys (`crowded_keys`) all left rows of a key and time
     have the same answer: so both sides are first cut to one row per key and time. For dates what is compared is bounded
     by the calendar, however many rows a key has. Where very many intervals of a key overlap, use `nearest_in_crowd`.
     """
-    best = latest_per_key(
-        intervals.select(*keys, F.col(start).alias("_start"), F.col(stop).alias("_stop"), F.col(interval_id)),
-        [*keys, "_start"],
-        [F.col("_stop").desc(), F.col(interval_id).asc()],
-    ).withColumn("_from", F.col("_start") - F.expr(f"interval {lead}"))
-    times = left.select(*keys, F.col(at).alias("_at")).distinct()
-    pairs = join_interval(times, best, keys, "_at", "_from", "_stop", width_days)
+    spans = intervals.select(*keys, F.col(start).alias("_start"), F.col(stop).alias("_stop"), F.col(interval_id))
+    spans = spans.withColumn("_from", F.col("_start") - F.expr(f"interval {lead}")).filter(F.col("_from") <= F.col("_stop"))
+    rows = left.select(left_id, *keys, F.col(at).alias("_at"))
     off, stay = F.abs(F.datediff("_at", "_start")), diff_boundary("second", "_start", "_stop")
+    longest = [F.col("_stop").desc(), F.col(interval_id).asc()]
+
+    crowded = crowded_keys(spans, keys)
+    few, rest = (df if crowded is None else df.join(crowded, list(keys), "left_anti") for df in (spans, rows))
+    # dealt once by a hash of the key, for the choice and for the row of the key; the join deals that row by the key, as `shuffled_apart` would
+    few = few.drop("_from").withColumn("_hash", F.xxhash64(*keys)).repartition("_hash")
+    few = latest_per_key(few, ["_hash", *keys, "_start"], longest)
+    held = F.collect_list(F.struct("_start", "_stop", F.col(interval_id).alias("_id")))
+    of_key = few.groupBy("_hash", *keys).agg(held.alias("_held")).drop("_hash")
+    holding = F.filter("_held", lambda s: F.col("_at").between(s["_start"] - F.expr(f"interval {lead}"), s["_stop"]))
+    scored = F.transform(
+        holding, lambda s: F.struct(F.abs(F.datediff("_at", s["_start"])).alias("off"), (-diff_boundary("second", s["_start"], s["_stop"])).alias("short"), s["_id"].alias("id"))
+    )
+    found = rest.join(of_key, list(keys)).select(left_id, F.array_min(scored).alias("_w")).filter(F.col("_w").isNotNull())
+    found = found.select(left_id, F.col("_w.id").alias(interval_id), F.col("_w.off").alias("_off"), (-F.col("_w.short")).alias("_stay"))
+    if crowded is None:
+        return found
+
+    spans, rows = (df.join(crowded, list(keys), "left_semi") for df in (spans, rows))
+    best = latest_per_key(spans, [*keys, "_start"], longest)
+    times = rows.select(*keys, "_at").distinct()
+    pairs = join_interval(times, best, keys, "_at", "_from", "_stop", width_days)
     scored = pairs.select(*keys, "_at", interval_id, off.alias("_off"), stay.alias("_stay"))
     answer = latest_per_key(scored, [*keys, "_at"], [F.col("_off").asc(), F.col("_stay").desc(), F.col(interval_id).asc()])
-    rows = left.select(left_id, *keys, F.col(at).alias("_at"))
-    return rows.join(answer, [*keys, "_at"]).select(left_id, interval_id, "_off", "_stay")
+    return found.unionByName(rows.join(answer, [*keys, "_at"]).select(left_id, interval_id, "_off", "_stay"))
 
 
 LEVELS = 8  # of nodes of 4 ** level days; a span of any length is a few nodes of each, and a day lies in one of each
@@ -242,6 +284,12 @@ def nearest_in_crowd(
     return rows.join(shuffled_apart(chosen, [*keys, "_at"]), [*keys, "_at"]).select(left_id, interval_id, "_off", "_stay")
 
 
+def first_pass(left_id: str, passes: Sequence[DataFrame], order: Sequence[Column | str]) -> DataFrame:
+    """The choice of `waterfall_link`: one candidate, with its `pass_no`, for each left_id that has any."""
+    tagged = [rows.withColumn("pass_no", F.lit(number)) for number, rows in enumerate(passes, 1)]
+    return latest_per_key(reduce(lambda a, b: a.unionByName(b), tagged), [left_id], [F.col("pass_no").asc(), *order])
+
+
 def waterfall_link(left: DataFrame, left_id: str, passes: Sequence[DataFrame], order: Sequence[Column | str]) -> DataFrame:
     """Link in passes: the first pass with a candidate decides, and there the best one by `order`.
 
@@ -250,9 +298,7 @@ def waterfall_link(left: DataFrame, left_id: str, passes: Sequence[DataFrame], o
     (session.materialise) where it is expensive. Column `pass_no` tells which pass linked a row;
     rows that no pass linked stay, with NULLs.
     """
-    tagged = [rows.withColumn("pass_no", F.lit(number)) for number, rows in enumerate(passes, 1)]
-    found = latest_per_key(reduce(lambda a, b: a.unionByName(b), tagged), [left_id], [F.col("pass_no").asc(), *order])
-    return left.join(found, left_id, "left")
+    return left.join(first_pass(left_id, passes, order), left_id, "left")
 
 
 def prefix_lookup(df: DataFrame, ref: DataFrame, column: str, ref_column: str, value: str, lengths: Sequence[int] = (7, 6, 5, 4)) -> DataFrame:

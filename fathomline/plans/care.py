@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from fathomline.functions.dates import diff_boundary
 from fathomline.functions.rules import band, flag, length_of_stay, record_status
 from fathomline.functions.text import map_codes
-from fathomline.operators.joins import asof_max, nearest_containing, waterfall_link
-from fathomline.operators.keys import latest_per_key
+from fathomline.operators.joins import asof_max, first_pass, nearest_containing
+from fathomline.operators.keys import latest_per_key, shuffled_apart
 from fathomline.operators.ordered import global_sequence, scan, sequence
 from fathomline.session import materialise
 from fathomline.sources.loads import upsert_newer
@@ -230,7 +230,11 @@ def legal_episodes(periods: DataFrame, other_feeds: Sequence[DataFrame], spells:
     periods: episode_id, month_id, record_no, person_id, derived_person_id, provider, referral_id, start, uniq_id
     other_feeds: episode_id, month_id; spells: spell_id, record_no, person_id, derived_person_id, provider, referral_id, start, discharge
     """
-    left = reduce(lambda df, feed: df.join(feed, ["episode_id", "month_id"], "left_anti"), other_feeds, periods)
+    # all months that feeds report of an episode in one row, so that periods are dealt by episode once for this and for the choice below
+    reported = reduce(lambda a, b: a.unionByName(b), [feed.select("episode_id", "month_id") for feed in other_feeds])
+    reported = shuffled_apart(reported.groupBy("episode_id").agg(F.collect_set("month_id").alias("_months")), ["episode_id"])
+    elsewhere = F.coalesce(F.array_contains("_months", F.col("month_id")), F.lit(False))
+    left = periods.join(reported, "episode_id", "left").filter(~elsewhere).drop("_months")
     newest = [F.col("month_id").desc(), F.col("record_no").desc(), F.col("uniq_id").desc()]
     latest = latest_per_key(left, ["episode_id"], newest).withColumn("person_key", F.coalesce("derived_person_id", "person_id"))
     latest = materialise(latest, "episodes")  # every pass starts from it
@@ -248,10 +252,11 @@ def legal_episodes(periods: DataFrame, other_feeds: Sequence[DataFrame], spells:
         return nearest_containing(latest, "episode_id", side, keys, "start", "spell_start", "spell_end", "spell_id", lead)
 
     passes = [held(["person_key", "record_no"]), held(["person_key", "provider"]), held(["referral_id"])]
-    linked = waterfall_link(latest, "episode_id", passes, [F.col("_off").asc(), F.col("_stay").desc(), F.col("spell_id").asc()])
-    referral = side.select("spell_id", F.col("referral_id").alias("_spell_referral"))
-    linked = linked.join(referral, "spell_id", "left").withColumn("referral_id", F.coalesce("_spell_referral", "referral_id"))
-    return linked.drop("_off", "_stay", "_spell_referral", "person_key")
+    found = first_pass("episode_id", passes, [F.col("_off").asc(), F.col("_stay").desc(), F.col("spell_id").asc()]).drop("_off", "_stay")
+    # the spell's referral is looked up for the links, which are narrower than episodes
+    found = found.join(side.select("spell_id", F.col("referral_id").alias("_spell_referral")), "spell_id", "left")
+    linked = latest.join(found, "episode_id", "left").withColumn("referral_id", F.coalesce("_spell_referral", "referral_id"))
+    return linked.drop("_spell_referral", "person_key")
 
 
 def spell_legal_status(spells: DataFrame, episodes: DataFrame, formal: Sequence[str], hold: str) -> DataFrame:

@@ -326,6 +326,39 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_spans_of_keys_with_few_of_them_are_shuffled_once_each(spark):
+    """Open spans would take a row for each bucket up to the last event."""
+    day = lambda n: dt.date(2000, 1, 1) + dt.timedelta(days=n)
+    spans = [(i, i % 40, day(i), dt.date(9999, 12, 31) if i % 2 else day(i + 5)) for i in range(200)]
+    asks = [(i, i % 45 if i % 45 != 44 else None, day(i * 9 % 3000)) for i in range(300)]
+    l = spark.createDataFrame(asks + asks[:20], "id long, k int, d date")
+    s = spark.createDataFrame(spans, "sid long, k int, a date, b date")
+    for how in ("left", "inner"):
+        out = joins.join_interval(l, s, ["k"], "d", "a", "b", width_days=8, how=how)
+        assert "Generate" not in plan_of(out)
+        want = sorted((i, x[0] if x else -1) for i, k, d in asks + asks[:20] for x in [x for x in spans if x[1] == k and x[2] <= d <= x[3]] or ([None] if how == "left" else []))
+        assert sorted((r.id, -1 if r.sid is None else r.sid) for r in out.collect()) == want
+    near = joins.nearest_containing(l, "id", s, ["k"], "d", "a", "b", "sid", "1 day")
+    assert "Generate" not in plan_of(near)
+    want = []
+    for i, k, d in asks + asks[:20]:
+        held = [(abs((d - a).days), (a - b).days, sid) for sid, key, a, b in spans if key == k and a - dt.timedelta(days=1) <= d <= b]
+        want += [(i, min(held)[2])] if held else []
+    assert sorted((r.id, r.sid) for r in near.collect()) == sorted(want)
+
+
+def test_keys_with_many_spans_are_spread_over_buckets(spark, monkeypatch):
+    monkeypatch.setattr(joins, "CROWD", 5)
+    d = lambda n: dt.date(2020, 1, 1) + dt.timedelta(days=n)
+    spans = [(i, "many" if i % 4 else "few", d(i), d(i + 30)) for i in range(20)] + [(99, None, d(0), d(9))]
+    asks = [(i, ("many", "few", "none", None)[i % 4], d(i)) for i in range(60)]
+    l, s = spark.createDataFrame(asks, "id long, k string, d date"), spark.createDataFrame(spans, "sid long, k string, a date, b date")
+    out = joins.join_interval(l, s, ["k"], "d", "a", "b", width_days=4, how="left")
+    assert out.columns == ["id", "k", "d", "sid", "a", "b"] and "Generate" in plan_of(out)
+    want = sorted((i, x) for i, k, day in asks for x in [sid for sid, key, a, b in spans if key and key == k and a <= day <= b] or [-1])
+    assert sorted((r.id, -1 if r.sid is None else r.sid) for r in out.collect()) == want
+
+
 def test_ancestors_are_joined_without_the_driver(spark):
     out = joins.top_ancestors(spark.createDataFrame([(i, i // 2) for i in range(1, 60)], "c long, p long"), "c", "p")
     assert "BroadcastExchange" not in plan_of(out)
