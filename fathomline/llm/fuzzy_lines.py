@@ -361,15 +361,19 @@ def line_classes(keyed: DataFrame, rows: DataFrame, stages: Stages, threshold: f
     """(id, root) of lines (by digest) that are linked to other lines, from keys (id, keys) and texts of rows (text). An id is a line's node
     with the length of its shingles in the low three bits."""
     met = stages.write(meetings(keyed, stages), "lines-met")
+    stages.remove("lines-hot", "lines-shared")
     ids = stages.write(met.select("id").union(met.select("first")).distinct(), "lines-ids")
     ids = ids.select("id", F.shiftright("id", 3).alias("node"), (F.col("id").bitwiseAND(F.lit(7)) + 1).cast("string").alias("chars"))
     texts = rows.select("text").mapInArrow(_fetcher(Seen(ids.select(F.col("node").alias("id")))), "digest binary, node long, text string")
     texts = texts.dropDuplicates(["digest"]).join(ids, "node").select("id", "digest", F.concat("chars", "text").alias("text"))
     texts = stages.write(texts, "lines-texts")
+    stages.remove("lines-ids")
     first = stages.write(near_heads(met, texts, threshold), "lines-near-heads")
     links = first.select(F.col("id").alias("a"), F.col("root").alias("b"))
     classes = stages.write(connected(links, stages, "lines-first"), "lines-first-classes")
+    stages.remove("lines-near-heads")
     rest = stages.write(unsettled(met, texts, classes), "lines-unsettled")
+    stages.remove("lines-met", "lines-texts")
     second = verified_lines(rest, threshold).select(F.col("id").alias("a"), F.col("root").alias("b"))
     # classes stand for the links that made them
     return connected(classes.select(F.col("id").alias("a"), F.col("root").alias("b")).union(second), stages, "lines-classes")

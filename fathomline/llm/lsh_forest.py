@@ -215,7 +215,10 @@ def similarity_classes(docs: DataFrame, stages: Stages, threshold: float = THRES
     texts = rows.select("text").mapInArrow(_fetcher(Seen(comps.select("id"))), "digest binary, node long, text string")
     # each task sends its own copy of a text; one goes on
     met = texts.join(comps.withColumnRenamed("id", "node"), "node").dropDuplicates(["node", "digest"]).select(F.col("root").alias("comp"), "digest", "text")
-    links, classes = settle(verify(stages.write(met, "forest-texts"), shingle_sets, threshold), stages, "forest")
+    met = stages.write(met, "forest-texts")
+    stages.remove("forest-candidates")
+    links, classes = settle(verify(met, shingle_sets, threshold), stages, "forest")
+    stages.remove("forest-texts")
     return signed.select("doc_id", "digest"), classes.join(links, "id").withColumnRenamed("id", "digest")
 
 

@@ -101,6 +101,11 @@ class Stages:
         for name in names or tuple(self.paths):
             remove_path(self.spark, self.paths.pop(name))
 
+    def keep(self, *names: str) -> None:
+        """Delete all tables but these: no later step reads the others."""
+        for name in set(self.paths) - set(names):
+            self.remove(name)
+
     def __enter__(self) -> Stages:
         return self
 
