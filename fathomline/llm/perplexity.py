@@ -24,18 +24,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.files import open_folder
+from fathomline.llm.files import give_back, open_folder
 from fathomline.session import Stages
 
 ORDER = 4
 WIDE = 21  # bits of a code point; a 4-gram is two numbers of two code points (plus one; 0 is the place before a text)
 PIECE_CHARS = 8_000_000  # characters whose n-grams are counted together (or one longer text)
-TABLE = 1 << 24  # up to so many keys are numbered by a table, more by sorting
+TABLE = 1 << 22  # up to so many keys are numbered by a table, more by sorting
 # `grams`, `estimate` and `look_up` are the same model in arrays, for alphabets of 62 characters; tests hold the rows to it.
 BITS = 6
 SYMBOLS = 1 << BITS  # 0 is the place before a text, OTHER any character that is not in the alphabet
@@ -43,7 +44,7 @@ OTHER = SYMBOLS - 1
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BLANK = " \t\n\x0b\x0c\r"
 MARKS = "#*$%&|<>"
-PIECE = 4_000_000  # characters handled at once (or one longer text)
+PIECE = 1_000_000  # bytes of text handled at once (or one longer text); two tasks share an executor's memory with its JVM
 
 
 def runs(sizes: list[int], most: int = PIECE) -> Iterator[tuple[int, int]]:
@@ -109,6 +110,14 @@ def code_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return left + 1j * right, ids - 1
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of batches in slices of PIECE bytes of text: Spark's batches have a number of rows, however long these are."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+        for begin, end in runs(sizes):
+            yield batch.slice(begin, end - begin)
+
+
 def piece_rows(batch: pa.RecordBatch, before: int) -> Iterator[tuple[int, dict[str | None, list[int]]]]:
     """The batch's rows by piece and language; `before` characters of the task's rows precede it."""
     sizes = np.array([len(t or "") for t in batch.column("text").to_pylist()], np.int64)
@@ -143,7 +152,7 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.clear()
 
     now, before = 0, 0
-    for batch in batches:
+    for batch in slices(batches):
         texts = [t or "" for t in batch.column("text").to_pylist()]
         for piece, by_lang in piece_rows(batch, before):
             if piece != now:
@@ -159,6 +168,7 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         held[lang] = [merged(parts)]
         before += sum(map(len, texts))
     yield from flush(now)
+    give_back()
 
 
 def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -275,12 +285,18 @@ def look_up(gram: np.ndarray, n: int, model: tuple[np.ndarray, np.ndarray, np.nd
 def load(folder: str, piece: str) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     """Per language of a piece, its sorted n-grams and their log probabilities, from the shared folder."""
     place, path = open_folder(folder)
-    rows = pq.read_table(f"{path}/piece={piece}", filesystem=place, columns=["lang", "a", "b", "logp"], partitioning=None).to_pandas()
+    columns = ["lang", "a", "b", "logp"]
+    rows = pq.read_table(f"{path}/piece={piece}", filesystem=place, columns=columns, partitioning=None)
+    lang_of = rows.column("lang").combine_chunks().dictionary_encode()
+    number = lang_of.indices.to_numpy()
+    a, b, logp = (rows.column(n).to_numpy() for n in columns[1:])
     out = {}
-    for lang, part in rows.groupby("lang"):
-        keys = part["a"].to_numpy() + 1j * part["b"].to_numpy()
+    for k, lang in enumerate(lang_of.dictionary.to_pylist()):
+        mine = np.flatnonzero(number == k)
+        keys = np.empty(len(mine), np.complex128)
+        keys.real, keys.imag = a[mine], b[mine]
         order = np.argsort(keys)
-        out[lang] = keys[order], part["logp"].to_numpy()[order]
+        out[lang] = keys[order], logp[mine][order]
     return out
 
 
@@ -325,7 +341,7 @@ def _scorer(folder: str, keep: list[str]):
         blank[[ord(c) for c in BLANK]] = True
         mark[[ord(c) for c in MARKS]] = True
         loaded, known, before = None, {}, 0
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             columns = np.zeros((6, len(texts)), np.int64)
             nats = np.zeros(len(texts))
@@ -345,6 +361,7 @@ def _scorer(folder: str, keep: list[str]):
                     columns[5, at] = sizes
                     if len(codes):
                         if piece != loaded:
+                            known = {}  # the piece before goes first
                             loaded, known = piece, load(folder, piece_name(piece))
                         keys, ids = code_grams(part)
                         nats[at] = -np.bincount(owner, values_of(keys, known[lang_key(lang)])[ids], len(part))
@@ -353,6 +370,8 @@ def _scorer(folder: str, keep: list[str]):
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in keep), *map(pa.array, columns), pa.array(nats)], names=[*keep, *names]
             )
+        known = {}
+        give_back()
 
     return score
 

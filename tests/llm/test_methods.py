@@ -4,9 +4,11 @@ import itertools
 import os
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -437,6 +439,34 @@ def test_base_rules_against_plain_python(spark):
     assert sum(r["kept"] for r in good) >= 0.98 * len(good)
 
 
+def test_quality_tasks_hold_little_beside_their_rows(monkeypatch):
+    r = random.Random(9)
+    words = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(3, 9))) for _ in range(2000)]
+    texts = [" ".join(r.choices(words, k=1000)) for _ in range(1100)] + [None, ""]
+    langs = [("x", "y", None)[i % 3] for i in range(len(texts))]
+    batch = pa.RecordBatch.from_pydict({"lang": langs, "text": texts})
+    assert sum(len(t or "") for t in texts) > 7_000_000
+    monkeypatch.setattr(perplexity, "piece_name", str)
+    counted = tracked(lambda: pa.Table.from_batches(perplexity._counter(iter([batch]))).to_pandas(), 100)
+    assert sum(counted["n"]) == sum(map(len, filter(None, texts)))
+    keys = {lang: np.sort(part["a"].to_numpy() + 1j * part["b"].to_numpy()) for lang, part in counted.groupby("lang")}
+    monkeypatch.setattr(perplexity, "load", lambda folder, piece: {lang: (k, np.full(len(k), -2.0)) for lang, k in keys.items()})
+    scored = tracked(lambda: pa.Table.from_batches(perplexity._scorer("", ["lang"])(iter([batch]))), 100)
+    assert scored["lang"].to_pylist() == langs and scored["chars"].to_pylist() == [len(t or "") for t in texts]
+    assert scored["nats"].to_pylist() == [2.0 * len(t or "") for t in texts]
+
+
+def tracked(run, most_mb):
+    """What run() returns, which holds no more than so many MB at once in Python and numpy."""
+    tracemalloc.start()
+    try:
+        out = run()
+        assert tracemalloc.get_traced_memory()[1] < most_mb * 1e6, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    return out
+
+
 # --- mix, archives, chat ---
 
 
