@@ -21,6 +21,7 @@ no rows; columns other than those named are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from fathomline.llm.components import connected
 from fathomline.llm.files import give_back
-from fathomline.llm.lsh_forest import digest_of, node_of
+from fathomline.llm.lsh_forest import digest_of
 from fathomline.llm.near import BLOCK, GOLD, HOTTEST, LOOKED_AT, MIX1, MIX2, OFTEN, SALTS, VERIFIED, Seen, blocks, distinct, packed, runs, scramble, verified_groups
 from fathomline.session import Stages
 
@@ -48,6 +49,7 @@ def own_chars(size: int) -> int:
     return max(LEAST, min(CHARS, (size + 1) // 10))
 
 
+@lru_cache(10_000)
 def all_chars(size: int, threshold: float = THRESHOLD) -> range:
     """Lengths of the shingles at which a line of `size` characters meets others: its own and those of shorter lines."""
     return range(own_chars(int(threshold * size)), own_chars(size) + 1)
@@ -62,21 +64,19 @@ def char_shingles(lines: list[str], chars: int = CHARS) -> tuple[np.ndarray, np.
     if chars == CHARS:
         h, width = codes + np.uint64(1), 1
         for odd in (GOLD, MIX1, MIX2):
-            later = np.zeros_like(h)
-            later[:-width] = h[width:]
-            h = h * odd + later
+            later, h = h[width:], h * odd
+            h[:-width] += later
             width *= 2
     else:
         h = np.full(len(codes), chars, np.uint64)
         for k in range(chars):
-            later = np.zeros_like(codes)
-            later[: len(codes) - k] = codes[k:]
-            h = h * GOLD + later + np.uint64(1)
+            h = h * GOLD + np.uint64(1)
+            h[: len(codes) - k] += codes[k:]
     count = np.maximum(1, sizes - chars + 1)
     first = np.cumsum(sizes + chars - 1) - (sizes + chars - 1)
     keep = np.zeros(len(h) + 1, np.int8)
-    np.add.at(keep, first, 1)
-    np.add.at(keep, first + count, -1)
+    keep[first] += 1  # no place comes twice, in either
+    keep[first + count] -= 1
     h = scramble(h[np.cumsum(keep[:-1], dtype=np.int8) > 0])
     if chars < CHARS and len(h):
         owner = np.repeat(np.arange(len(lines)), count)
@@ -106,8 +106,8 @@ def guests(marked: list[str]) -> np.ndarray:
 
 def least_by_bin(values: np.ndarray, sizes: np.ndarray, bins: int) -> np.ndarray:
     """One-permutation min-hashes: the least value of each bin; an empty bin takes its right neighbour's, marked by one more step."""
-    owner = np.repeat(np.arange(len(sizes), dtype=np.int64), sizes)
-    slot = owner * bins + (values >> np.uint64(40)).astype(np.int64) % bins
+    high = (values >> np.uint64(40)).astype(np.uint32)
+    slot = np.repeat(np.arange(len(sizes), dtype=np.int64) * bins, sizes) + (high - high // np.uint32(bins) * np.uint32(bins))
     least = np.full(len(sizes) * bins, EMPTY)
     np.minimum.at(least, slot, values & np.uint64((1 << 40) - 1))
     least = least.reshape(len(sizes), bins)
@@ -157,6 +157,11 @@ def laid_out(place: np.ndarray, chars: np.ndarray, made: list[np.ndarray], size:
     return pa.ListArray.from_arrays(pa.array(offsets, mask=none), entries, type=KEYS)
 
 
+def nodes_of(digests: list[bytes]) -> np.ndarray:
+    """node_of for many digests."""
+    return np.frombuffer(b"".join(digests), "<i8")[::2].copy()
+
+
 def _reader(threshold: float):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,21 +181,25 @@ def _reader(threshold: float):
                 for k, line in enumerate(lines):
                     first.setdefault(line, k)
                 place, chars_of, made = [], [], []
-                for chars in range(LEAST, CHARS + 1):
-                    meet = [line for line in first if chars in all_chars(len(line), threshold)]
+                of_chars: dict[int, list[str]] = {chars: [] for chars in range(LEAST, CHARS + 1)}
+                for line in first:
+                    for chars in all_chars(len(line), threshold):
+                        of_chars[chars].append(line)
+                for chars, meet in of_chars.items():
                     for b, e in runs(list(map(len, meet)), AT_ONCE):
                         made.append(band_keys(meet[b:e], chars))
                         place += [first[line] for line in meet[b:e]]
                         chars_of += [chars] * (e - b)
                 digests = {line: digest_of(line) for line in first}
                 digest = [digests[line] for line in lines]
+                node = nodes_of(digest)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("row").take(pa.array(at, pa.int64())),
                         batch.column("doc_id").take(pa.array(at, pa.int64())),
                         pa.array(number, pa.int32()),
                         pa.array(digest, pa.binary()),
-                        pa.array([node_of(d) for d in digest], pa.int64()),
+                        pa.array(node),
                         laid_out(np.array(place, np.int64), np.array(chars_of, np.int32), made, len(lines)),
                     ],
                     names=["row", "doc_id", "line", "digest", "node", "keys"],
@@ -207,12 +216,12 @@ def _fetcher(seen: Seen):
             lines = {line for t in batch.column("text").to_pylist() if t for line in t.split("\n") if line and not line.isspace()}
             lines = list(lines)
             digests = [digest_of(line) for line in lines]
-            may = seen.may_hold(np.array([node_of(d) >> 3 for d in digests], np.int64)) if lines else []
+            node = nodes_of(digests) >> 3
             out = []
-            for digest, line, yes in zip(digests, lines, may):
-                if yes and digest not in sent:
-                    sent.add(digest)
-                    out.append((digest, node_of(digest) >> 3, line))
+            for k in np.flatnonzero(seen.may_hold(node)).tolist():
+                if digests[k] not in sent:
+                    sent.add(digests[k])
+                    out.append((digests[k], int(node[k]), lines[k]))
             columns = list(zip(*out)) if out else [[], [], []]
             types = (pa.binary(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["digest", "node", "text"])
@@ -223,20 +232,27 @@ def _fetcher(seen: Seen):
 
 
 def meetings(keyed: DataFrame, stages: Stages) -> DataFrame:
-    """(key, id, first) of keys that several ids share, from rows (id, keys): every id but the first with the smallest id of its
-    key. The HOTTEST most frequent keys of a sample are salted: there `first` is the smallest of (key, salt), and
-    these smallest ones meet the smallest of the key. The sample decides which keys are salted, not what meets."""
+    """(key, id, first, pair, hot) of keys that several ids share, from rows (id, keys): every id but the first with the smallest id of its
+    key; `pair` where no third row has the key. The HOTTEST most frequent keys of a sample are salted: there `first` is the smallest of
+    (key, salt), and these smallest ones meet the smallest of the key. The sample decides which keys are salted, not what meets."""
     seen = keyed.sample(LOOKED_AT, 7).select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= OFTEN)
     hot = stages.write(seen.orderBy(F.col("n").desc(), "key").limit(HOTTEST).select("key", F.lit(True).alias("hot")), "lines-hot")
-    rows = keyed.select("id", F.explode("keys").alias("key")).join(F.broadcast(hot), "key", "left")  # HOTTEST rows at most
-    # a salt by task, so that copies of one id are dealt too
-    rows = rows.withColumn("salt", F.when(F.col("hot"), F.spark_partition_id() % SALTS).otherwise(0))
-    first = F.first("id").over(Window.partitionBy("key", "salt").orderBy("id").rowsBetween(Window.unboundedPreceding, 0))
-    met = rows.select("key", "id", "hot", first.alias("first")).filter("id != first OR hot")
-    met = stages.write(met.select("key", "id", "first", F.coalesce("hot", F.lit(False)).alias("hot")), "lines-shared")
+    rows, by, is_hot = keyed.select("id", F.explode("keys").alias("key")), ["key"], F.lit(False)
+    if not hot.isEmpty():
+        rows = rows.join(F.broadcast(hot), "key", "left")  # HOTTEST rows at most
+        # a salt by task, so that copies of one id are dealt too
+        rows = rows.withColumn("salt", F.when(F.col("hot"), F.spark_partition_id() % SALTS).otherwise(0))
+        by, is_hot = ["key", "salt"], F.coalesce("hot", F.lit(False))
+    of_key = Window.partitionBy(*by)
+    met = rows.select(*by, "id", F.min("id").over(of_key).alias("first"), F.count(F.lit(1)).over(of_key).alias("n"), is_hot.alias("hot"))
+    met = met.filter("id != first OR hot").select(*by, "id", "first", (~F.col("hot") & (F.col("n") == 2)).alias("pair"), "hot").distinct()
+    met = stages.write(met.select("key", "id", "first", "pair", "hot"), "lines-met")
+    if len(by) == 1:
+        return met
     heads = met.filter("hot AND id = first").select("key", "id").distinct()
     least = heads.withColumn("first", F.min("id").over(Window.partitionBy("key")))  # SALTS rows of a key at most
-    return met.filter("id != first").select("key", "id", "first").union(least.filter("id != first"))
+    least = least.filter("id != first").select("key", "id", "first", F.lit(False).alias("pair"), F.lit(True).alias("hot"))
+    return met.filter("id != first").union(least)
 
 
 def similar_to_heads(heads: list[tuple], rows: list[tuple], threshold: float) -> list[tuple[bytes, bytes, int]]:
@@ -267,22 +283,22 @@ def similar_to_heads(heads: list[tuple], rows: list[tuple], threshold: float) ->
 
 def _heads_verifier(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, heads, rows, size = None, [], [], 0
+        group, held, heads, rows, size = None, 0, [], [], 0
         for batch in batches:
             out = []
             for first, part, is_head, digest, text in zip(*(batch.column(c).to_pylist() for c in ("first", "part", "is_head", "digest", "text"))):
                 if size > AT_ONCE:
                     out += similar_to_heads(heads, rows, threshold) if rows else []
-                    heads, rows = heads[-1:], []
-                    size = len(heads[0][1])
-                if is_head and group == (first, part):
-                    continue  # another line with the head's node, compared as a line of its own elsewhere
-                group = (first, part)
+                    heads, rows = heads[-held:], []
+                    size = sum(len(h[1]) for h in heads)
+                if group != (first, part):
+                    group, held = (first, part), 0
                 size += len(text)
+                # lines of one node are heads together
+                rows += [(len(heads) - k, digest, text) for k in range(1, held + 1)]
                 if is_head:
                     heads.append((digest, text))
-                else:
-                    rows.append((len(heads) - 1, digest, text))
+                    held += 1
             yield packed(out)
         yield packed(similar_to_heads(heads, rows, threshold) if rows else [])
 
@@ -295,23 +311,26 @@ def near_heads(met: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     parts = pairs.groupBy("first").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts")).withColumnRenamed("first", "_first")
     # null-safe equality deals the counts anew, so that Spark can split the lines of one head
     pairs = pairs.join(parts, F.col("first").eqNullSafe(F.col("_first"))).select("first", "id", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"))
-    rows = pairs.join(texts, "id").select("first", "part", F.lit(False).alias("is_head"), "digest", "text")
-    heads = parts.join(texts, F.col("_first") == F.col("id")).select(
-        F.col("_first").alias("first"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("is_head"), "digest", "text"
-    )
-    dealt = heads.union(rows).repartition("first", "part").sortWithinPartitions("first", "part", F.col("is_head").desc())
+    heads = parts.select(F.col("_first").alias("first"), F.col("_first").alias("id"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    wanted = pairs.withColumn("is_head", F.lit(False)).unionByName(heads.withColumn("is_head", F.lit(True)))
+    rows = wanted.join(texts, "id").select("first", "part", "is_head", "digest", "text")
+    dealt = rows.repartition("first", "part").sortWithinPartitions("first", "part", F.col("is_head").desc())
     return dealt.mapInArrow(_heads_verifier(threshold), VERIFIED)
 
 
 def unsettled(met: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
-    """(comp, digest, text) of keys of three lines or more that are not one class yet; of keys with the same lines, one."""
-    members = met.select("key", "id").union(met.select("key", F.col("first"))).distinct()
+    """(comp, digest, text) of keys whose lines beside the first are not one class yet (all were compared with the first); of keys with
+    the same lines, one. Lines of a salted key were compared with the first of their salt alone, so there the first ones are among them."""
+    rows = met.filter("NOT pair")
+    salted = rows.filter("hot")
+    salted = salted.select("key", "id").union(salted.select("key", F.col("first"))).distinct()
+    members = rows.filter("NOT hot").select("key", "id").union(salted)
     root = texts.select("id", "digest").join(classes.withColumnRenamed("id", "digest"), "digest", "left").select("id", F.coalesce("root", "digest").alias("root"))
     mark = F.xxhash64("id")
     keys = members.join(root, "id").groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), F.bit_xor(mark).alias("x"), F.sum(mark % 1_000_003).alias("s")
     )
-    keys = keys.filter((F.col("n") > 2) & (F.col("low") != F.col("high"))).groupBy("n", "x", "s").agg(F.min("key").alias("key"))
+    keys = keys.filter(F.col("low") != F.col("high")).groupBy("n", "x", "s").agg(F.min("key").alias("key"))
     return members.join(keys.select(F.col("key").alias("comp")), F.col("key") == F.col("comp")).join(texts, "id").select("comp", "digest", "text")
 
 
@@ -360,8 +379,8 @@ def verified_lines(texts: DataFrame, threshold: float) -> DataFrame:
 def line_classes(keyed: DataFrame, rows: DataFrame, stages: Stages, threshold: float) -> DataFrame:
     """(id, root) of lines (by digest) that are linked to other lines, from keys (id, keys) and texts of rows (text). An id is a line's node
     with the length of its shingles in the low three bits."""
-    met = stages.write(meetings(keyed, stages), "lines-met")
-    stages.remove("lines-hot", "lines-shared")
+    met = meetings(keyed, stages)
+    stages.remove("lines-hot")
     ids = stages.write(met.select("id").union(met.select("first")).distinct(), "lines-ids")
     ids = ids.select("id", F.shiftright("id", 3).alias("node"), (F.col("id").bitwiseAND(F.lit(7)) + 1).cast("string").alias("chars"))
     texts = rows.select("text").mapInArrow(_fetcher(Seen(ids.select(F.col("node").alias("id")))), "digest binary, node long, text string")
@@ -405,7 +424,7 @@ def line_dedup(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
     lost = stages.write(repeated_lines(rows, stages, threshold), "lines-lost")
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("long")
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("long")
     counted = rows.select("row", "doc_id", n_lines.alias("n_lines"))
     out = counted.join(lost.select("row", "lines"), "row", "left").withColumn("dropped", F.coalesce("lines", F.array().cast("array<int>")))
     return out.select("doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"), "dropped")

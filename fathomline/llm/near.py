@@ -155,11 +155,17 @@ def verified_groups(rows: list[tuple], sets: list[np.ndarray], threshold: float,
     sizes = np.array([len(s) for s in sets], np.float64)
     if n <= 12:
         common = np.zeros((n, n))
-        known = [set(s.tolist()) for s in sets]
+        known: list[set[int] | None] = [None] * n  # made for those that have a pair of like size
+        size = [len(s) for s in sets]
         for a in range(n):
             for b in range(a + 1, n):
-                if min(sizes[a], sizes[b]) >= threshold * max(sizes[a], sizes[b]):
+                if min(size[a], size[b]) >= threshold * max(size[a], size[b]):
+                    for k in (a, b):
+                        if known[k] is None:
+                            known[k] = set(sets[k].tolist())
                     common[a, b] = common[b, a] = len(known[a] & known[b])
+        if not common.any():
+            return []
     else:
         common = overlaps(sets)
     union = sizes[:, None] + sizes[None, :] - common
