@@ -8,7 +8,7 @@ length. Short shingles come again within a line, so below eight characters the s
 Min-hashes of the shingles are cut into bands (`BANDING`: the shorter the shingles, the more alike unrelated lines are, so
 the more min-hashes make a band, and the more bands there are to keep the recall). Lines that share a band are candidates, and candidates
 are verified before anything is closed over them: first every line against the smallest of its band, in rows that grow with the lines.
-Bands whose lines are then one component are settled. Of the others (each set of lines once) all lines are compared with each other,
+Bands whose lines beside the first are then one component are settled. Of the others (each set of lines once) all lines but the first are compared with each other,
 in pairs of blocks of bounded size. Verified links form components by distributed union-find, and of each component (and of
 equal lines) the first line is kept: that of the smallest doc_id, then line number.
 

@@ -271,6 +271,30 @@ def test_one_letter_edits_of_short_lines(spark):
     assert len(got & set(edited)) >= 0.98 * len(edited) and not any(d % 2 == 0 for d in got)
 
 
+def test_lines_that_met_their_first_are_compared_again_only_across_classes(spark):
+    mark = lambda i: bytes([i])
+    texts = spark.createDataFrame([(i, mark(i), f"8line {i}") for i in range(9)], "id long, digest binary, text string")
+    classes = spark.createDataFrame([(mark(i), mark(1)) for i in (1, 2, 5)], "id binary, root binary")
+    groups = {10: (0, [1, 2], False), 20: (0, [1, 2, 5], False), 30: (3, [1, 2, 4], False), 40: (6, [7], False), 50: (1, [2, 8], True)}
+    rows = [(key, i, first, not hot and len(ids) == 1, hot) for key, (first, ids, hot) in groups.items() for i in ids]
+    met = spark.createDataFrame(rows, "key long, id long, first long, pair boolean, hot boolean")
+    found: dict = {}
+    for r in fuzzy_lines.unsettled(met, texts, classes).collect():
+        found.setdefault(r["comp"], []).append(r["digest"][0])
+    # 10 and 20 are settled whatever their first is; of a salted key the first is compared too, as others met another first
+    assert {k: sorted(v) for k, v in found.items()} == {30: [1, 2, 4], 50: [1, 2, 8]}
+
+
+def test_lines_of_one_node_are_both_heads(spark):
+    r = random.Random(14)
+    one, other = ("".join(r.choices("abcdefghijklmnop ", k=120)) for _ in range(2))
+    lines = [(8, b"one", one), (8, b"other", other), (16, b"like one", one[:60] + "#" + one[61:]), (24, b"like other", other[:60] + "#" + other[61:])]
+    texts = spark.createDataFrame([(i, d, "8" + t) for i, d, t in lines], "id long, digest binary, text string")
+    met = spark.createDataFrame([(1, 16, 8), (1, 24, 8), (2, 16, 8)], "key long, id long, first long")
+    got = {(bytes(x["id"]), bytes(x["root"])) for x in fuzzy_lines.near_heads(met, texts, 0.8).collect()}
+    assert got == {(b"like one", b"one"), (b"like other", b"other")}
+
+
 # --- decontamination ---
 
 
