@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +40,11 @@ CHARS, LEAST = 8, 2
 BANDING = {2: (30, 8), 3: (20, 6), 4: (12, 4)} | {chars: (8, 3) for chars in range(5, CHARS + 1)}
 THRESHOLD = 0.8
 AT_ONCE = 50_000  # characters hashed at once, so that the arrays stay in the processor's cache
-LINES = "row long, doc_id long, line int, digest binary, node long, keys array<struct<chars:int,keys:array<long>>>"
+LINES = "row long, doc_id long, line int, digest binary, node long, keys array<struct<chars:int,keys:array<long>>>, n_lines long"
 KEYS = pa.list_(pa.struct([("chars", pa.int32()), ("keys", pa.list_(pa.int64()))]))
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
+MEMBER = np.uint64((1 << 44) - 1)  # of a set: the bits of a hash beside the number of the set
+FEW = 12  # lines of a group that is compared pair by pair, together with others
 
 
 def own_chars(size: int) -> int:
@@ -79,14 +82,28 @@ def char_shingles(lines: list[str], chars: int = CHARS) -> tuple[np.ndarray, np.
     keep[first + count] -= 1
     h = scramble(h[np.cumsum(keep[:-1], dtype=np.int8) > 0])
     if chars < CHARS and len(h):
-        owner = np.repeat(np.arange(len(lines)), count)
+        h = scramble(h + times_before(h, count) * MIX1)
+    return h, count
+
+
+def times_before(h: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """How often each value came earlier in its line; `count` values of each line are laid end to end."""
+    owner, order, at = np.repeat(np.arange(len(count)), count), None, np.arange(len(h))
+    if len(count) <= 1 << 16 and count.max() <= 1 << 7:
+        # one sort of numbers: the line, 41 bits of the value, the place in the line
+        place = at - np.repeat(np.cumsum(count) - count, count)
+        mixed = np.sort(owner.astype(np.uint64) << np.uint64(48) | h >> np.uint64(23) << np.uint64(7) | place.astype(np.uint64))
+        new = np.concatenate(([True], mixed[1:] >> np.uint64(7) != mixed[:-1] >> np.uint64(7)))
+        order = at - place + (mixed & np.uint64(127)).astype(np.int64)
+        again = np.flatnonzero(~new)
+        if (h[order[again]] != h[order[again - 1]]).any():  # two values alike in 41 bits
+            order = None
+    if order is None:
         order = np.lexsort((h, owner))
         new = np.concatenate(([True], (h[order][1:] != h[order][:-1]) | (owner[order][1:] != owner[order][:-1])))
-        at = np.arange(len(h))
-        again = np.empty(len(h), np.uint64)
-        again[order] = (at - np.maximum.accumulate(np.where(new, at, 0))).astype(np.uint64)
-        h = scramble(h + again * MIX1)
-    return h, count
+    before = np.empty(len(h), np.uint64)
+    before[order] = (at - np.maximum.accumulate(np.where(new, at, 0))).astype(np.uint64)
+    return before
 
 
 def line_sets(lines: list[str], chars: int = CHARS) -> list[np.ndarray]:
@@ -94,13 +111,8 @@ def line_sets(lines: list[str], chars: int = CHARS) -> list[np.ndarray]:
     return [distinct(s) for s in np.split(values, np.cumsum(sizes)[:-1])] if lines else []
 
 
-def marked_sets(marked: list[str]) -> list[np.ndarray]:
-    """Sets of lines that have the length of their shingles in front, all the same."""
-    return line_sets([m[1:] for m in marked], int(marked[0][0]))
-
-
 def guests(marked: list[str]) -> np.ndarray:
-    """Which lines have longer shingles of their own: two of these are compared at those."""
+    """Which lines (the length of their shingles is in front of them) have longer shingles of their own: two of these are compared at those."""
     return np.array([own_chars(len(m) - 1) > int(m[0]) for m in marked])
 
 
@@ -162,18 +174,32 @@ def nodes_of(digests: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(digests), "<i8")[::2].copy()
 
 
+def without_any(batch: pa.RecordBatch, at: tuple[int, ...], n_lines: tuple[int, ...]) -> pa.RecordBatch:
+    """Rows of texts without a line that is not blank: these have nothing but how many lines they have."""
+    row, doc_id = (batch.column(c).take(pa.array(at, pa.int64())) for c in ("row", "doc_id"))
+    none = [pa.nulls(len(at), t) for t in (pa.int32(), pa.binary(), pa.int64(), KEYS)]
+    return pa.RecordBatch.from_arrays([row, doc_id, *none, pa.array(n_lines, pa.int64())], names=["row", "doc_id", "line", "digest", "node", "keys", "n_lines"])
+
+
 def _reader(threshold: float):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for begin, end in runs([len(t or "") for t in texts]):
-                at, number, lines = [], [], []
+                at, number, lines, blank = [], [], [], []
+                n_lines: dict[int, int] = {}  # of a text, at its first row
                 for i in range(begin, end):
-                    for n, line in enumerate((texts[i] or "").split("\n")):
-                        if line and not line.isspace():
-                            at.append(i)
-                            number.append(n)
-                            lines.append(line)
+                    parts = [] if texts[i] is None else texts[i].split("\n")
+                    here = [n for n, line in enumerate(parts) if line and not line.isspace()]
+                    if not here:
+                        blank.append((i, len(parts)))
+                        continue
+                    n_lines[len(at)] = len(parts)
+                    at += [i] * len(here)
+                    number += here
+                    lines += [parts[n] for n in here]
+                if blank:
+                    yield without_any(batch, *zip(*blank))
                 if not lines:
                     continue
                 # keys are made once for each line of this piece; further copies have none
@@ -201,8 +227,9 @@ def _reader(threshold: float):
                         pa.array(digest, pa.binary()),
                         pa.array(node),
                         laid_out(np.array(place, np.int64), np.array(chars_of, np.int32), made, len(lines)),
+                        pa.array(list(map(n_lines.get, range(len(lines)))), pa.int64()),
                     ],
-                    names=["row", "doc_id", "line", "digest", "node", "keys"],
+                    names=["row", "doc_id", "line", "digest", "node", "keys", "n_lines"],
                 )
         give_back()
 
@@ -334,20 +361,77 @@ def unsettled(met: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame
     return members.join(keys.select(F.col("key").alias("comp")), F.col("key") == F.col("comp")).join(texts, "id").select("comp", "digest", "text")
 
 
+def in_small_groups(
+    groups: list[list[tuple]], begins: list[int], members: np.ndarray, size: np.ndarray, apart: np.ndarray, threshold: float
+) -> list[tuple[bytes, bytes, int]]:
+    """What verified_groups returns, for many groups of few rows (digest, block, text, (i, j)) at once. `members` are those of all sets as
+    `numbered_members` lays them out; the rows of a group are at `begins` in size and apart."""
+    start = np.cumsum(size) - size
+    a, b = (np.concatenate([two_of(len(g))[side] + at for g, at in zip(groups, begins)]) for side in (0, 1))
+    block = np.zeros(len(size), np.int64)
+    for g, at in zip(groups, begins):
+        if g[0][3][0] != g[0][3][1]:
+            block[at : at + len(g)] = [r[1] + 1 for r in g]  # 0 where all rows are compared
+    a, b = np.where(size[a] <= size[b], a, b), np.where(size[a] <= size[b], b, a)
+    wanted = (size[a] >= threshold * size[b] - 1e-9) & ~(apart[a] & apart[b]) & ((block[a] == 0) | (block[a] != block[b]))
+    a, b = a[wanted], b[wanted]
+    linked = np.zeros(len(a), bool)
+    for x, y in runs(size[a].tolist(), 2 * AT_ONCE):
+        n = size[a[x:y]]
+        first = np.cumsum(n) - n
+        asked = members[np.repeat(start[a[x:y]] - first, n) + np.arange(n.sum())] & MEMBER | np.repeat(b[x:y].astype(np.uint64) << np.uint64(44), n)
+        found = members[np.minimum(np.searchsorted(members, asked), len(members) - 1)] == asked
+        common = np.add.reduceat(found, first, dtype=np.int64)
+        linked[x:y] = (common >= threshold * (n + size[b[x:y]] - common) - 1e-9) & (common > 0)
+    a, b = a[linked], b[linked]
+    links, root = np.bincount(np.concatenate((a, b)), minlength=len(size)), {}
+
+    def top(k: int) -> int:
+        while (up := root.get(k, k)) != k:
+            root[k] = root.get(up, up)
+            k = up
+        return k
+
+    for k, j in zip(a.tolist(), b.tolist()):
+        k, j = top(k), top(j)
+        root[max(k, j)] = min(k, j)
+    digest = {at + k: r[0] for g, at in zip(groups, begins) for k, r in enumerate(g)}
+    return [(digest[k], digest[top(k)], int(links[k])) for k in np.flatnonzero(links).tolist()]
+
+
+@lru_cache
+def two_of(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.triu_indices(n, 1)
+
+
+def numbered_members(marked: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Members of the sets of marked lines, sorted: the set's number above 44 bits of the shingle's hash; and the sets' sizes."""
+    chars, parts = np.array([int(m[0]) for m in marked]), []
+    for c in np.unique(chars).tolist():
+        at = np.flatnonzero(chars == c)
+        values, count = char_shingles([marked[k][1:] for k in at.tolist()], c)
+        parts.append(np.repeat(at.astype(np.uint64) << np.uint64(44), count) | values >> np.uint64(20))
+    members = distinct(np.concatenate(parts))
+    return members, np.bincount((members >> np.uint64(44)).astype(np.int64), minlength=len(marked))
+
+
 def _groups_verifier(threshold: float):
     def closed(groups: list[list[tuple]]) -> list[tuple[bytes, bytes, int]]:
-        rows = [r for g in groups for r in g]
-        sets: list[np.ndarray | None] = [None] * len(rows)
-        for chars in {r[2][0] for r in rows}:
-            at = [k for k, r in enumerate(rows) if r[2][0] == chars]
-            for k, members in zip(at, marked_sets([rows[k][2] for k in at])):
-                sets[k] = members
-        out, begin = [], 0
-        for g in groups:
-            if len(g) > 1:
-                out += verified_groups([(r[0], r[1], *r[3]) for r in g], sets[begin : begin + len(g)], threshold, guests([r[2] for r in g]))
-            begin += len(g)
-        return out
+        groups = [g for g in groups if len(g) > 1]
+        if not groups:
+            return []
+        marked = [r[2] for g in groups for r in g]
+        members, size = numbered_members(marked)
+        start, apart = np.cumsum(size) - size, guests(marked)
+        begins = [0, *accumulate(map(len, groups))]
+        out, small = [], []
+        for g, at in zip(groups, begins):
+            if len(g) <= FEW:
+                small.append((g, at))
+                continue
+            sets = [members[start[k] : start[k] + size[k]] & MEMBER for k in range(at, at + len(g))]
+            out += verified_groups([(r[0], r[1], *r[3]) for r in g], sets, threshold, apart[at : at + len(g)])
+        return out + in_small_groups([g for g, _ in small], [at for _, at in small], members, size, apart, threshold) if small else out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, groups, size = None, [], 0
@@ -384,7 +468,8 @@ def line_classes(keyed: DataFrame, rows: DataFrame, stages: Stages, threshold: f
     ids = stages.write(met.select("id").union(met.select("first")).distinct(), "lines-ids")
     ids = ids.select("id", F.shiftright("id", 3).alias("node"), (F.col("id").bitwiseAND(F.lit(7)) + 1).cast("string").alias("chars"))
     texts = rows.select("text").mapInArrow(_fetcher(Seen(ids.select(F.col("node").alias("id")))), "digest binary, node long, text string")
-    texts = texts.dropDuplicates(["digest"]).join(ids, "node").select("id", "digest", F.concat("chars", "text").alias("text"))
+    # dealt by node before copies are dropped, so that copies and ids meet in one shuffle; a task sends a line once
+    texts = texts.repartition("node").dropDuplicates(["node", "digest"]).join(ids, "node").select("id", "digest", F.concat("chars", "text").alias("text"))
     texts = stages.write(texts, "lines-texts")
     stages.remove("lines-ids")
     first = stages.write(near_heads(met, texts, threshold), "lines-near-heads")
@@ -398,15 +483,27 @@ def line_classes(keyed: DataFrame, rows: DataFrame, stages: Stages, threshold: f
     return connected(classes.select(F.col("id").alias("a"), F.col("root").alias("b")).union(second), stages, "lines-classes")
 
 
-def repeated_lines(docs: DataFrame, stages: Stages, threshold: float = THRESHOLD) -> DataFrame:
-    """(row, doc_id, lines): per row of docs (row, doc_id, text) that loses lines, their sorted numbers (from 0)."""
-    rows = docs.select("row", "doc_id", F.col("text").cast("string").alias("text"))
-    lines = stages.write(rows.mapInArrow(_reader(threshold), LINES), "lines")
-    # a line is one node for each length of its shingles, told apart by the low three bits
-    each = lines.filter(F.col("keys").isNotNull()).select("node", F.inline("keys"))
-    keyed = each.select((F.shiftleft(F.shiftright("node", 3), 3) + F.col("chars") - 1).alias("id"), "keys")
-    classes = line_classes(keyed, rows, stages, threshold)
-    # the first place of each different line, then of each class; lines of one place and no class have nothing to lose
+def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(nodes_of(batch.column("id").to_pylist()))], names=["id"])
+
+
+def _passer(seen: Seen):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(seen.may_hold(batch.column("node").to_numpy())))
+
+    return run
+
+
+def lost_lines(lines: DataFrame, classes: DataFrame, stages: Stages) -> DataFrame:
+    """(row, doc_id, lines) of rows that lose lines, from all lines (row, doc_id, line, digest, node) and classes (id, root) of those with links."""
+    # lines of one place and no class have nothing to lose: all others, and few of these, pass the bitmap
+    again = lines.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("node").alias("id"))
+    asked = Seen(again.union(classes.select("id").mapInArrow(_nodes, "id long")))
+    lines = lines.select("row", "doc_id", "line", "digest", "node").mapInArrow(_passer(asked), "row long, doc_id long, line int, digest binary, node long")
+    lines = stages.write(lines.drop("node"), "lines-asked")
+    # the first place of each different line, then of each class
     place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "row", "line")
     different = lines.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     of_class = different.join(classes.withColumnRenamed("id", "digest"), "digest", "left").filter((F.col("n") > 1) | F.col("root").isNotNull())
@@ -417,15 +514,31 @@ def repeated_lines(docs: DataFrame, stages: Stages, threshold: float = THRESHOLD
     return lost.groupBy("row", "doc_id").agg(F.sort_array(F.collect_list("line")).alias("lines"))
 
 
+def read_lines(docs: DataFrame, stages: Stages, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(row, doc_id, n_lines) of all rows of docs (row, doc_id, text), and what repeated_lines returns."""
+    rows = docs.select("row", "doc_id", F.col("text").cast("string").alias("text"))
+    read = stages.write(rows.mapInArrow(_reader(threshold), LINES), "lines")
+    # a line is one node for each length of its shingles, told apart by the low three bits
+    each = read.filter(F.col("keys").isNotNull()).select("node", F.inline("keys"))
+    keyed = each.select((F.shiftleft(F.shiftright("node", 3), 3) + F.col("chars") - 1).alias("id"), "keys")
+    classes = line_classes(keyed, rows, stages, threshold)
+    counted = read.filter(F.col("n_lines").isNotNull()).select("row", "doc_id", "n_lines")
+    return counted, lost_lines(read.filter(F.col("digest").isNotNull()), classes, stages)
+
+
+def repeated_lines(docs: DataFrame, stages: Stages, threshold: float = THRESHOLD) -> DataFrame:
+    """(row, doc_id, lines): per row of docs (row, doc_id, text) that loses lines, their sorted numbers (from 0)."""
+    return read_lines(docs, stages, threshold)[1]
+
+
 def line_dedup(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, n_lines, n_dropped, dropped (numbers of the lines that go, from 0)."""
     stages = Stages(docs.sparkSession)
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
-    lost = stages.write(repeated_lines(rows, stages, threshold), "lines-lost")
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("long")
-    counted = rows.select("row", "doc_id", n_lines.alias("n_lines"))
+    counted, lost = read_lines(rows, stages, threshold)
+    lost = stages.write(lost, "lines-lost")
     out = counted.join(lost.select("row", "lines"), "row", "left").withColumn("dropped", F.coalesce("lines", F.array().cast("array<int>")))
     return out.select("doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"), "dropped")
 

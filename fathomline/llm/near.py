@@ -19,9 +19,15 @@ PIECE = 2_000_000  # characters handled at once (or one longer text)
 
 def scramble(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser."""
-    x = (x ^ (x >> np.uint64(30))) * MIX1
-    x = (x ^ (x >> np.uint64(27))) * MIX2
-    return x ^ (x >> np.uint64(31))
+    y = x >> np.uint64(30)
+    y ^= x
+    y *= MIX1
+    z = y >> np.uint64(27)
+    z ^= y
+    z *= MIX2
+    y = z >> np.uint64(31)
+    y ^= z
+    return y
 
 
 def runs(sizes: list[int], most: int = PIECE) -> Iterator[tuple[int, int]]:

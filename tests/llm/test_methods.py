@@ -295,6 +295,67 @@ def test_lines_of_one_node_are_both_heads(spark):
     assert got == {(b"like one", b"one"), (b"like other", b"other")}
 
 
+def test_lines_that_cannot_be_lost_are_left_out_and_documents_counted_once(spark, tmp_path, monkeypatch):
+    r = random.Random(15)
+    unlike = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=90)) for _ in range(400)]
+    docs = [(n, f"{unlike[n]}\n \n{unlike[n + 200]}") for n in range(200)]
+    docs += [(500, "the same\n" + unlike[3]), (501, "the same"), (502, None), (503, ""), (504, " \n\t\n"), (None, "the same\n")]
+    made = unlike[7][:40] + "#" + unlike[7][41:]
+    docs.append((600, made))
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/docs")
+    sizes, write = {}, Stages.write
+
+    def counting(self, df, name):
+        out = write(self, df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(Stages, "write", counting)
+    found = fuzzy_lines.line_dedup(spark.read.parquet(f"{tmp_path}/docs"))
+    assert not any(f"{tmp_path}/docs" in f for f in found.inputFiles())  # the lines were counted when they were read
+    rows = {x["doc_id"]: (x["n_lines"], x["dropped"]) for x in found.collect()}
+    assert rows == {n: (3, []) for n in range(200)} | {500: (2, [0, 1]), 501: (1, [0]), 502: (0, []), 503: (1, []), 504: (3, []), None: (2, []), 600: (1, [0])}
+    assert sizes["lines-asked"] < 20
+
+
+def test_small_groups_of_lines_at_once_are_as_one_by_one():
+    r = random.Random(16)
+    groups = []
+    for n in range(120):
+        base = "".join(r.choices("abcdefgh ", k=r.choice([25, 44, 90, 150])))
+        i, j = r.choice([(0, 0), (0, 1), (2, 3)])
+        group = []
+        for k in range(r.randint(2, 15)):
+            at = r.randrange(len(base))
+            text = base[:at] + r.choice("#*+") + base[at + r.randint(0, 8) :] + "z" * (r.randint(0, 3) * 9)
+            group.append((b"%d %d" % (n, k), r.choice([i, j]), f"{fuzzy_lines.own_chars(len(base))}{text}", (i, j)))
+        groups.append(group)
+    marked = [x[2] for g in groups for x in g]
+    members, size = fuzzy_lines.numbered_members(marked)
+    begins = [0, *itertools.accumulate(map(len, groups))][:-1]
+    apart = fuzzy_lines.guests(marked)
+    assert apart.any() and not apart.all()
+    got = {x: (y, n) for x, y, n in fuzzy_lines.in_small_groups(groups, begins, members, size, apart, 0.8)}
+    wanted = {}
+    for g, at in zip(groups, begins):
+        sets = [fuzzy_lines.line_sets([x[2][1:]], int(x[2][0]))[0] for x in g]
+        wanted |= {x: (y, n) for x, y, n in near.verified_groups([(x[0], x[1], *x[3]) for x in g], sets, 0.8, apart[at : at + len(g)])}
+    assert got == wanted and len(got) > 100
+
+
+def test_shingles_that_come_again_in_a_line():
+    r = random.Random(17)
+    for longest, alike in ((60, False), (60, True), (300, False)):
+        count = [r.randint(1, longest) for _ in range(300)]
+        # alike: values that differ in their lowest bits alone
+        values = [r.randrange(30) * (1 if alike else 0x9E3779B97F4A7C15) % 2**64 for _ in range(sum(count))]
+        wanted, at = [], 0
+        for n in count:
+            wanted += [values[at : at + k].count(values[at + k]) for k in range(n)]
+            at += n
+        assert fuzzy_lines.times_before(np.array(values, np.uint64), np.array(count)).tolist() == wanted
+
+
 # --- decontamination ---
 
 
