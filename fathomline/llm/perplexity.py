@@ -401,7 +401,8 @@ def verdicts(measured: DataFrame, width: float = 2.5, short: float = 300.0) -> D
     bands = rows.filter(~F.col("base_failed")).groupBy("lang").agg(F.percentile_approx("x", [0.25, 0.75], 10_000).alias("q"))
     rows = rows.alias("a").join(bands.alias("b"), F.col("a.lang").eqNullSafe(F.col("b.lang")), "left").select("a.*", "b.q")
     low, high = F.get("q", F.lit(0)), F.get("q", F.lit(1))
-    reach = width * (high - low) * (1 + F.sqrt(short / F.col("chars"))) + 1e-6
+    # Spark takes the reach of a row before it looks at x, so a text without characters must have one (null) and not an error
+    reach = width * (high - low) * (1 + F.sqrt(F.try_divide(F.lit(short), F.col("chars")))) + 1e-6
     inside = (F.col("x") >= low - reach) & (F.col("x") <= high + reach)
     return rows.withColumn("perplexity", F.exp("x")).withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False))).drop("q", "x")
 

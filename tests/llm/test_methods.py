@@ -524,6 +524,25 @@ def test_base_rules_against_plain_python(spark):
     assert sum(r["kept"] for r in good) >= 0.98 * len(good)
 
 
+def test_a_text_without_characters_is_rejected_beside_a_band(spark):
+    good = [(i, "en", 100, 500, 0, 0, 0, 600, 1200.0 + i) for i in range(8)]  # pass the base rules, so that the language has a band
+    none = [(8 + i, lang, 0, 0, 0, 0, 0, 0, 0.0) for i, lang in enumerate(("en", "en", "fr", None))]
+    measured = spark.createDataFrame(good + none, f"doc_id long, lang string, {perplexity.COUNTS}")
+    rows = {r["doc_id"]: r for r in perplexity.verdicts(measured).collect()}
+    assert len(rows) == 12 and all(rows[i]["kept"] and not rows[i]["base_failed"] for i in range(8))
+    assert all(rows[i]["base_failed"] and rows[i]["kept"] is False and rows[i]["perplexity"] is None for i in range(8, 12))
+
+
+def test_quality_rules_take_empty_texts_among_good_ones(spark):
+    r = random.Random(4)
+    words = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(3, 9))) for _ in range(400)]
+    texts = [" ".join(r.choices(words, k=120)) for _ in range(20)] + [None, ""]
+    docs = spark.createDataFrame([(i, t, lang) for i, t in enumerate(texts) for lang in ("en", None)], "doc_id long, text string, lang string")
+    rows = perplexity.quality_rules(docs).collect()
+    assert sorted(x["doc_id"] for x in rows if x["base_failed"]) == [20, 20, 21, 21]
+    assert sum(x["kept"] for x in rows if not x["base_failed"]) >= 30 and not any(x["kept"] for x in rows if x["base_failed"])
+
+
 def test_quality_tasks_hold_little_beside_their_rows(monkeypatch):
     r = random.Random(9)
     words = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(3, 9))) for _ in range(2000)]
